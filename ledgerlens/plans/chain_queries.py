@@ -72,8 +72,8 @@ _TAMPERED = f"""SELECT chain_id, action, db_alias, decision, denial_reason, id,
 FROM (SELECT *, mac AS hash_, seq AS place, {_FAULT} AS f FROM [chained]) t WHERE NOT (f = 15 AND seq = 6)"""
 
 
-def tampered(spark, sf_dir):
-    rows = spark.sql(_TAMPERED.replace("[chained]", "{chained}"), chained=stored(spark, sf_dir))
+def tampered(spark, chained):
+    rows = spark.sql(_TAMPERED.replace("[chained]", "{chained}"), chained=chained)
     return rows.withColumn("hash", F.when(F.col("mac") == F.col("hash_"), F.col("hash_")).otherwise(F.col("mac"))).drop("hash_")
 
 
@@ -92,8 +92,9 @@ SELECT chain_id, coalesce(why, CASE WHEN aseq > top THEN 'seq_regression' WHEN a
   at_ - 1 AS broken_at, bseq AS broken_seq, coalesce(at_, n) AS events FROM g JOIN a USING (chain_id)""",
 )
 def verify_chain(spark, sf_dir):
-    damaged = tampered(spark, sf_dir)
-    claims = chain.heads(built(spark, sf_dir)).selectExpr(
+    clean = stored(spark, sf_dir)
+    damaged = tampered(spark, clean)
+    claims = chain.heads(clean).selectExpr(
         "chain_id", "chain_id AS anchor_chain_id", "seq AS anchor_seq", "last_hash AS anchor_hash"
     )
     damaged = damaged.withColumn("part", F.floor(F.col("place") / 16))
