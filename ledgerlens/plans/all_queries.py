@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("log_queries", "text_queries", "chain_queries", "policy_queries")
+MODULES = ("log_queries", "text_queries", "chain_queries", "policy_queries", "catalog_queries", "limit_queries")
 
 
 def load() -> None:

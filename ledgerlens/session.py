@@ -44,3 +44,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut_lineage(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a table written to the shared scratch folder.
+
+    Used where a frame feeds several later steps that would each compute it again. The written
+    table also survives the loss of executors.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
