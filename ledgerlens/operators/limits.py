@@ -18,6 +18,10 @@ from ledgerlens import constants as C
 from ledgerlens.operators.ordered import number_rows, running, with_previous
 from ledgerlens.session import cut_lineage
 
+#: Default width of a time block. A minute keeps both the rows of a hot key inside one block and
+#: the blocks of one key (43,200 a month) small enough for a task.
+BLOCK_MS = 60_000
+
 #: a fold takes one row of inputs and a state (None at the start of a piece)
 Fold = Callable[[tuple, tuple | None], tuple[tuple, tuple]]
 
@@ -86,7 +90,7 @@ def token_bucket(
     order: Sequence[str],
     policy: dict[str, Column],
     ts_ms: str = "ts_ms",
-    block_ms: int = 3_600_000,
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Add ``allowed, retry_after_ms``: a token bucket per key. ``order`` starts with the time.
 
@@ -192,7 +196,7 @@ def concurrency(
     start_ms: str = "start_ms",
     end_ms: str = "end_ms",
     row_id: str = "request_id",
-    block_ms: int = 3_600_000,
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Per group: requests, peak number in flight and how many began over the limit. A request that
     ends when another begins has left before it."""
@@ -254,7 +258,7 @@ def latest_state(
 
 
 def activity_sessions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_ms: int = C.IDLE_MS, ts_ms: str = "ts_ms", block_ms: int = 3_600_000
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_ms: int = C.IDLE_MS, ts_ms: str = "ts_ms", block_ms: int = BLOCK_MS
 ) -> DataFrame:
     """Sessions of activity: one ends ``gap_ms`` after its last event. ``order`` starts with the time.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
@@ -42,15 +42,23 @@ def keyset_rows(df: DataFrame, cursor: Cursor, page_size: int | None = None) ->
 
 
 def keyset_page(df: DataFrame, cursor: Cursor, page_size: int | None = None) -> DataFrame:
-    """One page with its ``has_more`` flag and ``next_value``, both constant over the page."""
+    """One page with its ``has_more`` flag and ``next_value``, both constant over the page.
+
+    The table is read once: the windows below run over the top-k's at most ``page_size + 1`` rows.
+    """
     size = page_size_of(page_size)
     rows = keyset_rows(df, cursor, size)
-    # at most page_size + 1 rows from here on
-    key = F.col(cursor.column)
-    ahead = rows.agg(F.count(F.lit(1)) > size).scalar()
-    sent = rows.orderBy(key.asc() if cursor.direction == "forward" else key.desc()).limit(size)
-    last = sent.agg((F.max if cursor.direction == "forward" else F.min)(key)).scalar()
-    return sent.withColumn("has_more", ahead).withColumn("next_value", F.when(F.col("has_more"), last))
+    key, forward = F.col(cursor.column), cursor.direction == "forward"
+    page = Window.partitionBy(F.lit(0))
+    sent = F.col("_rn") <= size
+    last = (F.max if forward else F.min)(F.when(sent, key)).over(page)
+    return (
+        rows.withColumn("_rn", F.row_number().over(page.orderBy(key.asc() if forward else key.desc())))
+        .withColumn("has_more", F.count(F.lit(1)).over(page) > size)
+        .withColumn("next_value", F.when(F.col("has_more"), last))
+        .where(sent)
+        .drop("_rn")
+    )
 
 
 def fetch_page(df: DataFrame, cursor: Cursor, page_size: int | None = None):

@@ -470,19 +470,22 @@ def match_approvals(requests: DataFrame, responses: DataFrame, window_ms: int =
         F.col("ts_ms").alias("_ts_ms"), F.col("approved").alias("_approved"),
     )
     timely = (F.col("_ts_ms") >= F.col("ts_ms")) & (F.col("_ts_ms") <= F.col("ts_ms") + approval_window(window_ms))
-    joined = requests.join(
-        answers,
-        (F.col("request_id") == F.col("_request_id")) & (F.col("user_id") == F.col("_user_id"))
-        & (F.col("nonce") == F.col("_nonce")) & timely,
-        "left",
+    # An inner join can be split on either side, so very many responses to one request stay
+    # parallel; what joins back is one row per decided request.
+    decided = (
+        requests.join(
+            answers,
+            (F.col("request_id") == F.col("_request_id")) & (F.col("user_id") == F.col("_user_id"))
+            & (F.col("nonce") == F.col("_nonce")) & timely,
+        )
+        .groupBy(F.col("request_id").alias("_id"))
+        .agg(F.min(F.struct("_ts_ms", (~F.col("_approved")).alias("_no"))).alias("_first"))
     )
-    return joined.groupBy(*requests.columns).agg(
-        F.min(F.struct(F.col("_ts_ms").alias("at"), ~F.col("_approved"))).alias("_first"),
-        F.min_by("_approved", F.struct("_ts_ms", ~F.col("_approved"))).alias("_said"),
-    ).select(
+    answered = requests.join(decided, F.col("request_id") == F.col("_id"), "left")
+    return answered.select(
         *requests.columns,
-        F.when(F.col("_said").isNull(), "expired").when(F.col("_said"), "approved").otherwise("rejected").alias("decision"),
-        F.when(F.col("_said").isNotNull(), F.col("_first.at")).alias("decided_ms"),
+        F.when(F.col("_first").isNull(), "expired").when(F.col("_first._no"), "rejected").otherwise("approved").alias("decision"),
+        F.col("_first._ts_ms").alias("decided_ms"),
     )
 
 

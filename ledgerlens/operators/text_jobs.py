@@ -56,11 +56,17 @@ def mask_credentials(df: DataFrame, text: str = "text", to: str = "masked", secr
     return df.withColumn(to, F.expr(scrubbing.mask_credentials(_col(text), secrets)))
 
 
+def acceptable_plans(df: DataFrame, plan: str = "plan_id", most: int = C.MAX_PLAN_STATEMENTS) -> DataFrame:
+    """Rows of the plans that can exist: the payload rules refuse one of more than ``most``
+    statements, so lists per plan are bounded whatever the table holds."""
+    sizes = df.groupBy(F.col(plan).alias("_plan")).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") <= most)
+    return df.join(sizes, F.col(plan) == F.col("_plan"), "left_semi")
+
+
 def plan_hash(df: DataFrame, plan: str = "plan_id", idx: str = "idx", sql: str = "sql") -> DataFrame:
-    """One hash per plan over its statements in order. A plan is bounded: it has at most 500
-    statements by the validity rules, so its list fits a row."""
+    """One hash per acceptable plan over its statements in order."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(idx, sql))), lambda s: s[sql])
-    return df.groupBy(plan).agg(ordered.alias("_list")).select(
+    return acceptable_plans(df, plan).groupBy(plan).agg(ordered.alias("_list")).select(
         plan, F.expr(redaction.statement_hash("_list")).alias("statements_hash")
     )
 
@@ -203,9 +209,8 @@ def non_transactional(df: DataFrame, sql: str = "sql") -> DataFrame:
 
 
 def plan_transactionality(df: DataFrame, plan: str = "plan_id", idx: str = "idx", sql: str = "sql") -> DataFrame:
-    """Per plan: the indices that stop it from running in one transaction. Lists are bounded by
-    the 500 statements a plan may have."""
-    rows = non_transactional(df, sql)
+    """Per acceptable plan: the indices that stop it from running in one transaction."""
+    rows = non_transactional(acceptable_plans(df, plan), sql)
 
     def where(status: str):
         return F.array_sort(F.collect_list(F.when(F.col("tx_status") == status, F.col(idx))))

@@ -101,7 +101,7 @@ def plan_rules() -> dict[str, Column]:
     """Rules of a plan payload with an array of ``statements``."""
     return {
         "plan_id": F.length("plan_id") > 0,
-        "statements": F.size("statements").between(1, 500),
+        "statements": F.size("statements").between(1, C.MAX_PLAN_STATEMENTS),
         "statement_text": F.forall("statements", lambda s: (F.trim(s) != "") & (F.octet_length(s) <= C.MAX_STATEMENT_BYTES)),
         "strategy": F.col("strategy").isin(list(C.STRATEGIES)),
         "timeout_ms": F.col("timeout_ms").isNull() | (F.col("timeout_ms") > 0),

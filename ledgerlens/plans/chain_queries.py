@@ -16,7 +16,7 @@ LINK_RECORDS = 40
 
 _LOG = """SELECT concat('r', CAST(seq_id AS VARCHAR(20))) AS id, seq_id, ts_ms, db_alias, project,
   CAST(user_id AS VARCHAR(20)) AS user_id, role, action, decision, outcome, denial_reason, k,
-  concat(db_alias, '/', CAST(CAST(ts AS DATE) AS VARCHAR(10))) AS shard, CAST(floor(ts_ms / 3600000) AS BIGINT) AS hour
+  concat(db_alias, '/', CAST(CAST(ts AS DATE) AS VARCHAR(10))) AS shard, CAST(floor(ts_ms / 60000) AS BIGINT) AS minute, CAST(floor(ts_ms / 3600000) AS BIGINT) AS hour
 FROM [request_log]"""
 
 _JSON = """'{"action":"' || action || '","chain_id":"' || chain_id || '","db_alias":"' || db_alias || '","decision":"' || decision ||
@@ -47,7 +47,7 @@ def log(spark, sf_dir):
 
 
 def built(spark, sf_dir):
-    return chain.build_chain(log(spark, sf_dir), KEY, "shard", "hour", ["ts_ms", "seq_id"], RECORD, LINK_RECORDS)
+    return chain.build_chain(log(spark, sf_dir), KEY, "shard", "minute", ["ts_ms", "seq_id"], RECORD, LINK_RECORDS)
 
 
 def stored(spark, sf_dir):

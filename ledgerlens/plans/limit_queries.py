@@ -25,7 +25,7 @@ SELECT seq_id, db_alias, allowed, retry AS retry_after_ms FROM b"""
 def token_bucket(spark, sf_dir):
     log = view(spark, sf_dir, "request_log").select("seq_id", "db_alias", "ts_ms")
     policy = {"burst": F.lit(BURST).cast("bigint"), "refill": F.lit(REFILL).cast("bigint"), "per_ms": F.lit(PER_MS).cast("bigint")}
-    return limits.token_bucket(log, ["db_alias"], ["ts_ms", "seq_id"], policy, block_ms=86_400_000).drop("ts_ms")
+    return limits.token_bucket(log, ["db_alias"], ["ts_ms", "seq_id"], policy).drop("ts_ms")
 
 
 @query(
@@ -70,7 +70,7 @@ def concurrency(spark, sf_dir):
     requests = view(spark, sf_dir, "request_log").selectExpr(
         "db_alias", "seq_id AS request_id", "ts_ms AS start_ms", "ts_ms + 1 + duration_ms * 5000 AS end_ms"
     )
-    return limits.concurrency(requests, ["db_alias"], 4, block_ms=86_400_000)
+    return limits.concurrency(requests, ["db_alias"], 4)
 
 
 @query(
@@ -87,16 +87,18 @@ def assign_chunks(spark, sf_dir):
 
 @query(
     "assign_chunks_by_size",
-    """WITH RECURSIVE n AS (SELECT lang, doc_id, strlen(text) AS size, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents),
-c AS (SELECT lang, doc_id, rn, CAST(0 AS BIGINT) AS chunk_index, 1 AS held, size AS weight FROM n WHERE rn = 1
-  UNION ALL SELECT n.lang, n.doc_id, n.rn, CASE WHEN c.held >= 20 OR c.weight >= 65536 THEN c.chunk_index + 1 ELSE c.chunk_index END AS chunk_index,
+    """WITH RECURSIVE n AS (SELECT doc_id // 250 AS stream, doc_id, strlen(text) AS size, row_number() OVER (PARTITION BY doc_id // 250 ORDER BY doc_id) AS rn FROM documents),
+c AS (SELECT stream, doc_id, rn, CAST(0 AS BIGINT) AS chunk_index, 1 AS held, size AS weight FROM n WHERE rn = 1
+  UNION ALL SELECT n.stream, n.doc_id, n.rn, CASE WHEN c.held >= 20 OR c.weight >= 65536 THEN c.chunk_index + 1 ELSE c.chunk_index END AS chunk_index,
     CASE WHEN c.held >= 20 OR c.weight >= 65536 THEN 1 ELSE c.held + 1 END AS held, CASE WHEN c.held >= 20 OR c.weight >= 65536 THEN n.size ELSE c.weight + n.size END AS weight
-  FROM c JOIN n ON n.lang = c.lang AND n.rn = c.rn + 1)
-SELECT lang, doc_id, chunk_index FROM c""",
+  FROM c JOIN n ON n.stream = c.stream AND n.rn = c.rn + 1)
+SELECT stream, doc_id, chunk_index FROM c""",
 )
 def assign_chunks_by_size(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("lang", "doc_id", F.octet_length("text").cast("bigint").alias("size"))
-    return limits.chunk_by_size(docs, ["lang"], ["doc_id"], "size", rows=20).drop("size")
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / 250).alias("stream"), "doc_id", F.octet_length("text").cast("bigint").alias("size")
+    )
+    return limits.chunk_by_size(docs, ["stream"], ["doc_id"], "size", rows=20).drop("size")
 
 
 _PROCESSES = """SELECT concat('a', CAST(user_id AS VARCHAR(20))) AS agent_id, CAST(max(k) AS BIGINT) AS pid, max(k) % 5 <> 0 AS alive FROM [request_log] GROUP BY user_id"""
@@ -126,7 +128,7 @@ SELECT * FROM a"""
 @query("activity_sessions", SESSIONS_SQL)
 def activity_sessions(spark, sf_dir):
     log = view(spark, sf_dir, "request_log")
-    return limits.activity_sessions(log, ["db_alias"], ["ts_ms", "seq_id"], GAP, block_ms=86_400_000)
+    return limits.activity_sessions(log, ["db_alias"], ["ts_ms", "seq_id"], GAP)
 
 
 _WAKES = """SELECT seq_id AS row_id, CASE WHEN k % 41 = 0 THEN '' ELSE concat('w', CAST(CAST(floor(seq_id / 3) AS BIGINT) AS VARCHAR(20))) END AS wake_id,

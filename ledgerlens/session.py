@@ -16,6 +16,7 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
@@ -25,9 +26,15 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """All event times are UTC; the setting is a run-time one, so it can be pinned late."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Run-time settings the jobs rely on, set on whatever session they are given.
+
+    Event times are UTC. A skewed join is split even where an aggregate on the same key follows:
+    the extra shuffle then carries partial aggregates, while the unsplit join would put a hot key
+    into one task.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
@@ -43,7 +50,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

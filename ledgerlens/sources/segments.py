@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ledgerlens import constants as C
 from ledgerlens.operators.ordered import number_rows
-from ledgerlens.session import pin_utc
+from ledgerlens.session import prepare
 
 _TEXT_FIELDS = (
     "id", "ts", "agent_id", "project", "db_alias", "db_alias_asserted", "resolved_db_alias", "resolved_database", "user_id",
@@ -95,7 +95,7 @@ def read_segments(
     first line is dropped, and a line that is not one JSON object is marked, not fatal. Segments
     up to ``whole_file_bytes`` are read whole; if any is larger, all are split by lines.
     """
-    pin_utc(spark)
+    prepare(spark)
     largest = _listing(spark, path).agg(F.max("length")).first()[0] or 0
     lines = (_lines_of_small_files if largest <= whole_file_bytes else _lines_of_any_files)(spark, path)
     lines = lines.where(~F.col("raw").rlike(_BLANKS))
@@ -116,7 +116,7 @@ def follow_segments(
     The source's checkpoint takes the place of byte offsets. Files must appear complete: a
     growing file is not tailed, so writers roll small files (see :func:`write_segments`).
     """
-    pin_utc(spark)
+    prepare(spark)
     lines = (
         spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).text(path)
         .select(F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerlens import constants as C
 from ledgerlens.operators import admission, aggregates, limits
 from ledgerlens.operators.policy import approval_window, has_capability
-from ledgerlens.session import pin_utc, scratch_dir
+from ledgerlens.session import prepare, scratch_dir
 
 
 def event_time(ts: str) -> Column:
@@ -125,7 +125,7 @@ def run_to_table(stream: DataFrame, label: str, timeout_sec: int = 600) -> DataF
 
     State and offsets are checkpointed in the shared folder, next to the table.
     """
-    spark: SparkSession = pin_utc(stream.sparkSession)
+    spark: SparkSession = prepare(stream.sparkSession)
     root = scratch_dir(spark, label)
     query = (
         stream.writeStream.format("parquet").option("path", f"{root}/data").option("checkpointLocation", f"{root}/checkpoint")
@@ -139,7 +139,7 @@ def run_to_table(stream: DataFrame, label: str, timeout_sec: int = 600) -> DataF
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType, max_files: int = 16) -> DataFrame:
     """A driver table as a file stream."""
-    reader = pin_utc(spark).readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = prepare(spark).readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
