@@ -14,65 +14,66 @@ from ledgerlens.functions.sqltext import lit
 #: parentheses are unfolded to this depth when the main verb of a WITH statement is looked for
 NESTING = 8
 
-# Fixed values: (leading words, class, verb). The first match counts.
+# Fixed values: (first words, rest of the leading words, class, verb). The first match counts.
 VERBS = [
-    (r"(?:select|values|table)\b", "read", "SELECT"),
-    (r"show\b", "read", "SHOW"),
-    (r"insert\b", "write", "INSERT"),
-    (r"update\b", "write", "UPDATE"),
-    (r"delete\b", "write", "DELETE"),
-    (r"merge\b", "write", "MERGE"),
-    (r"(?:do)\b", "ddl", "DO"),
-    (r"call\b", "ddl", "CALL"),
-    (r"execute\b", "ddl", "EXECUTE"),
-    (r"(?:create|drop)\s+database\b", "unknown", "DATABASE"),
-    (r"create\s+(?:unique\s+)?index\b", "ddl", "CREATE INDEX"),
-    (r"create\s+(?:or\s+replace\s+)?(?:(?:global|local)\s+)?(?:temp|temporary\s+)?(?:recursive\s+)?view\b", "ddl", "CREATE VIEW"),
-    (r"create\s+(?:role|user|group)\b(?!\s+mapping)", "ddl", "CREATE ROLE"),
-    (r"create\b[^(;]*\btable\b[^(;]*\bas\b", "ddl", "CREATE TABLE AS"),
-    (r"create\b", "ddl", "CREATE"),
-    (r"alter\s+system\b", "ddl", "ALTER SYSTEM"),
-    (r"alter\s+(?:role|user|group)\b(?!\s+mapping)", "ddl", "ALTER ROLE"),
-    (r"alter\b", "ddl", "ALTER"),
-    (r"drop\b", "ddl", "DROP"),
-    (r"truncate\b", "ddl", "TRUNCATE"),
-    (r"grant\b(?=[\s\S]*\bon\b)", "ddl", "GRANT"),
-    (r"grant\b", "ddl", "GRANT ROLE"),
-    (r"revoke\b(?=[\s\S]*\bon\b)", "ddl", "REVOKE"),
-    (r"revoke\b", "ddl", "REVOKE ROLE"),
-    (r"comment\b", "ddl", "COMMENT"),
-    (r"reindex\b", "ddl", "REINDEX"),
-    (r"refresh\s+materialized\s+view\b", "ddl", "REFRESH MATERIALIZED VIEW"),
-    (r"reassign\s+owned\b", "ddl", "REASSIGNOWNED"),
-    (r"security\s+label\b", "ddl", "SECLABEL"),
-    (r"lock\b", "ddl", "LOCK"),
-    (r"cluster\b", "ddl", "CLUSTER"),
-    (r"(?:vacuum|analyze|analyse)\b", "utility", "VACUUM"),
-    (r"checkpoint\b", "utility", "CHECKPOINT"),
-    (r"close\b", "utility", "CLOSEPORTAL"),
-    (r"deallocate\b", "utility", "DEALLOCATE"),
-    (r"declare\b", "utility", "DECLARE"),
-    (r"discard\b", "utility", "DISCARD"),
-    (r"listen\b", "utility", "LISTEN"),
-    (r"unlisten\b", "utility", "UNLISTEN"),
-    (r"notify\b", "utility", "NOTIFY"),
-    (r"load\b", "utility", "LOAD"),
-    (r"prepare\s+transaction\b", "utility", "TRANSACTION"),
-    (r"prepare\b", "utility", "PREPARE"),
-    (r"(?:begin|start\s+transaction|commit|end|rollback|abort|savepoint|release)\b", "utility", "TRANSACTION"),
-    (r"set\s+constraints\b", "utility", "CONSTRAINTSSET"),
+    ("select values table", "", "read", "SELECT"),
+    ("show", "", "read", "SHOW"),
+    ("insert", "", "write", "INSERT"),
+    ("update", "", "write", "UPDATE"),
+    ("delete", "", "write", "DELETE"),
+    ("merge", "", "write", "MERGE"),
+    ("do", "", "ddl", "DO"),
+    ("call", "", "ddl", "CALL"),
+    ("execute", "", "ddl", "EXECUTE"),
+    ("create drop", r"\s+database\b", "unknown", "DATABASE"),
+    ("create", r"\s+(?:unique\s+)?index\b", "ddl", "CREATE INDEX"),
+    ("create", r"\s+(?:or\s+replace\s+)?(?:(?:global|local)\s+)?(?:temp\s+|temporary\s+)?(?:recursive\s+)?view\b", "ddl", "CREATE VIEW"),
+    ("create", r"\s+(?:role|user|group)\b(?!\s+mapping)", "ddl", "CREATE ROLE"),
+    ("create", r"\b[^(;]*\btable\b[^(;]*\bas\b", "ddl", "CREATE TABLE AS"),
+    ("create", "", "ddl", "CREATE"),
+    ("alter", r"\s+system\b", "ddl", "ALTER SYSTEM"),
+    ("alter", r"\s+(?:role|user|group)\b(?!\s+mapping)", "ddl", "ALTER ROLE"),
+    ("alter", "", "ddl", "ALTER"),
+    ("drop", "", "ddl", "DROP"),
+    ("truncate", "", "ddl", "TRUNCATE"),
+    ("grant", r"\b[\s\S]*\bon\b", "ddl", "GRANT"),
+    ("grant", "", "ddl", "GRANT ROLE"),
+    ("revoke", r"\b[\s\S]*\bon\b", "ddl", "REVOKE"),
+    ("revoke", "", "ddl", "REVOKE ROLE"),
+    ("comment", "", "ddl", "COMMENT"),
+    ("reindex", "", "ddl", "REINDEX"),
+    ("refresh", r"\s+materialized\s+view\b", "ddl", "REFRESH MATERIALIZED VIEW"),
+    ("reassign", r"\s+owned\b", "ddl", "REASSIGNOWNED"),
+    ("security", r"\s+label\b", "ddl", "SECLABEL"),
+    ("lock", "", "ddl", "LOCK"),
+    ("cluster", "", "ddl", "CLUSTER"),
+    ("vacuum analyze analyse", "", "utility", "VACUUM"),
+    ("checkpoint", "", "utility", "CHECKPOINT"),
+    ("close", "", "utility", "CLOSEPORTAL"),
+    ("deallocate", "", "utility", "DEALLOCATE"),
+    ("declare", "", "utility", "DECLARE"),
+    ("discard", "", "utility", "DISCARD"),
+    ("listen", "", "utility", "LISTEN"),
+    ("unlisten", "", "utility", "UNLISTEN"),
+    ("notify", "", "utility", "NOTIFY"),
+    ("load", "", "utility", "LOAD"),
+    ("prepare", r"\s+transaction\b", "utility", "TRANSACTION"),
+    ("prepare", "", "utility", "PREPARE"),
+    ("start", r"\s+transaction\b", "utility", "TRANSACTION"),
+    ("begin commit end rollback abort savepoint release", "", "utility", "TRANSACTION"),
+    ("set", r"\s+constraints\b", "utility", "CONSTRAINTSSET"),
     (
-        r"(?:set\s+(?:session\s+|local\s+)?|reset\s+)(?:role|session\s+authorization|session_replication_role"
+        "set reset",
+        r"\s+(?:session\s+|local\s+)?(?:role|session\s+authorization|authorization|session_replication_role"
         r"|(?:default_)?transaction_read_only)\b",
         "ddl",
         "SET",
     ),
-    (r"set\s+(?:session\s+characteristics\s+as\s+)?(?:local\s+)?transaction\b[\s\S]*\bread\s+write\b", "ddl", "SET"),
-    (r"(?:set|reset)\b", "utility", "SET"),
+    ("set", r"\s+(?:session\s+characteristics\s+as\s+)?(?:local\s+)?transaction\b[\s\S]*\bread\s+write\b", "ddl", "SET"),
+    ("set reset", "", "utility", "SET"),
 ]
 #: statements that run code whose body was never read
-_EXECUTABLE = r"^\s*+(?:do|call|execute)\b"
-_PRIVILEGED_SET = "|".join(f"(?:{p})" for p, kind, verb in VERBS if verb == "SET" and kind == "ddl")
+_EXECUTABLE = ("do", "call", "execute")
 
 _EXPLAIN = r"^\s*+explain\s*+(?:\([^)]*+\)\s*+|(?:analyze|analyse|verbose)\b\s*+)*+"
 _EXPLAIN_ANALYZE = r"^\s*+explain\s*+(?:\([^)]*\banaly[zs]e\b[^)]*\)|(?:verbose\s+)?analy[zs]e\b)"
@@ -92,38 +93,54 @@ _DENIED = (
 
 # Leading words of statements that cannot run in a transaction, with their label.
 NON_TRANSACTIONAL = [
-    (r"alter\s+database\b[\s\S]*\bset\s+tablespace\b", "ALTER DATABASE ... SET TABLESPACE"),
-    (r"alter\s+database\b", "ALTER DATABASE"),
-    (r"alter\s+subscription\b", "ALTER SUBSCRIPTION"),
-    (r"alter\s+system\b", "ALTER SYSTEM"),
-    (r"alter\s+(?:table|index|materialized\s+view)\b[\s\S]*\bset\s+tablespace\b", "ALTER TABLE ... SET TABLESPACE"),
-    (r"checkpoint\b", "CHECKPOINT"),
-    (r"cluster\b", "CLUSTER"),
-    (r"close\b", "CLOSE"),
-    (r"create\s+database\b", "CREATE DATABASE"),
-    (r"create\s+subscription\b", "CREATE SUBSCRIPTION"),
-    (r"create\s+tablespace\b", "CREATE TABLESPACE"),
-    (r"discard\b", "DISCARD"),
-    (r"do\b", "DO"),
-    (r"drop\s+database\b", "DROP DATABASE"),
-    (r"drop\s+subscription\b", "DROP SUBSCRIPTION"),
-    (r"drop\s+tablespace\b", "DROP TABLESPACE"),
-    (r"load\b", "LOAD"),
-    (r"lock\b", "LOCK"),
-    (r"prepare\s+transaction\b", "transaction control"),
-    (r"prepare\b", "PREPARE"),
-    (r"(?:begin|start\s+transaction|commit|end|rollback|abort|savepoint|release)\b", "transaction control"),
-    (r"(?:vacuum|analyze|analyse)\b", "VACUUM / ANALYZE"),
-    (r"create\s+(?:unique\s+)?index\s+concurrently\b", "CREATE INDEX CONCURRENTLY"),
-    (r"drop\s+index\s+concurrently\b", "DROP INDEX CONCURRENTLY"),
-    (r"reindex\b[\s\S]*\bconcurrently\b", "REINDEX CONCURRENTLY"),
-    (r"refresh\s+materialized\s+view\s+concurrently\b", "REFRESH MATERIALIZED VIEW CONCURRENTLY"),
+    ("alter", r"\s+database\b[\s\S]*\bset\s+tablespace\b", "ALTER DATABASE ... SET TABLESPACE"),
+    ("alter", r"\s+database\b", "ALTER DATABASE"),
+    ("alter", r"\s+subscription\b", "ALTER SUBSCRIPTION"),
+    ("alter", r"\s+system\b", "ALTER SYSTEM"),
+    ("alter", r"\s+(?:table|index|materialized\s+view)\b[\s\S]*\bset\s+tablespace\b", "ALTER TABLE ... SET TABLESPACE"),
+    ("checkpoint", "", "CHECKPOINT"),
+    ("cluster", "", "CLUSTER"),
+    ("close", "", "CLOSE"),
+    ("create", r"\s+database\b", "CREATE DATABASE"),
+    ("create", r"\s+subscription\b", "CREATE SUBSCRIPTION"),
+    ("create", r"\s+tablespace\b", "CREATE TABLESPACE"),
+    ("discard", "", "DISCARD"),
+    ("do", "", "DO"),
+    ("drop", r"\s+database\b", "DROP DATABASE"),
+    ("drop", r"\s+subscription\b", "DROP SUBSCRIPTION"),
+    ("drop", r"\s+tablespace\b", "DROP TABLESPACE"),
+    ("load", "", "LOAD"),
+    ("lock", "", "LOCK"),
+    ("prepare", r"\s+transaction\b", "transaction control"),
+    ("prepare", "", "PREPARE"),
+    ("start", r"\s+transaction\b", "transaction control"),
+    ("begin commit end rollback abort savepoint release", "", "transaction control"),
+    ("vacuum analyze analyse", "", "VACUUM / ANALYZE"),
+    ("create", r"\s+(?:unique\s+)?index\s+concurrently\b", "CREATE INDEX CONCURRENTLY"),
+    ("drop", r"\s+index\s+concurrently\b", "DROP INDEX CONCURRENTLY"),
+    ("reindex", r"\b[\s\S]*\bconcurrently\b", "REINDEX CONCURRENTLY"),
+    ("refresh", r"\s+materialized\s+view\s+concurrently\b", "REFRESH MATERIALIZED VIEW CONCURRENTLY"),
 ]
 #: leading words whose transactionality cannot be proven from the verb
-_UNPROVEN = (
-    r"^\s*+(?:explain|copy|call|execute|declare|deallocate|listen|unlisten|notify|set\s+constraints|fetch|move"
-    r"|import|(?:create|alter|drop)\s+user\s+mapping)\b"
-)
+_UNPROVEN = [
+    ("explain copy call execute declare deallocate listen unlisten notify fetch move import", "", "true"),
+    ("set", r"\s+constraints\b", "true"),
+    ("create alter drop", r"\s+user\s+mapping\b", "true"),
+]
+
+
+def first_word(s: str) -> str:
+    return f"regexp_extract({s}, {lit(r'^[\s(]*+([a-z]++)')}, 1)"
+
+
+def _by_words(word: str, text: str, arms, default: str) -> str:
+    """A CASE over the first word; only the few arms of that word look at the text."""
+    body = ""
+    for words, rest, value in arms:
+        among = ", ".join(lit(w) for w in words.split())
+        tail = f" AND {text} RLIKE {lit(rf'^[\s(]*+[a-z]++{rest}')}" if rest else ""
+        body += f"WHEN {word} IN ({among}){tail} THEN {value} "
+    return f"CASE {body}ELSE {default} END"
 
 
 def cleaned(x: str) -> str:
@@ -147,40 +164,33 @@ def main_text(s: str) -> str:
     return f"CASE WHEN {body} RLIKE {lit(r'^\s*+with\b')} THEN {main} ELSE {body} END"
 
 
-def _case(text: str, arms: list[tuple[str, str]], default: str) -> str:
-    body = " ".join(f"WHEN {text} RLIKE {lit(r'^\s*+' + pattern)} THEN {value}" for pattern, value in arms)
-    return f"CASE {body} ELSE {default} END"
-
-
-def class_of(s: str, m: str) -> str:
-    """Class of one statement ``s`` with main text ``m``, before its violations are looked at."""
+def class_of(m: str, w: str) -> str:
+    """Class of the statement text ``m`` with first word ``w``, before its violations are looked at."""
     return (
-        f"CASE WHEN {m} RLIKE {lit(_COPY_FROM)} THEN 'write' WHEN {m} RLIKE {lit(_COPY_PROGRAM)} THEN 'ddl' "
-        f"WHEN {m} RLIKE {lit(_COPY_STDOUT)} THEN 'read' WHEN {m} RLIKE {lit(r'^\s*+copy\b')} THEN 'ddl' "
-        f"ELSE {_case(m, [(p, lit(kind)) for p, kind, _ in VERBS], lit('unknown'))} END"
+        f"CASE WHEN {w} = 'copy' THEN CASE WHEN {m} RLIKE {lit(_COPY_FROM)} THEN 'write' WHEN {m} RLIKE {lit(_COPY_PROGRAM)} THEN 'ddl' "
+        f"WHEN {m} RLIKE {lit(_COPY_STDOUT)} THEN 'read' ELSE 'ddl' END "
+        f"ELSE {_by_words(w, m, [(words, rest, lit(kind)) for words, rest, kind, _ in VERBS], lit('unknown'))} END"
     )
 
 
-def verb_of(s: str, m: str) -> str:
-    return (
-        f"CASE WHEN {m} RLIKE {lit(r'^\s*+copy\b')} THEN 'COPY' "
-        f"ELSE {_case(m, [(p, lit(verb)) for p, _, verb in VERBS], lit(''))} END"
-    )
+def verb_of(m: str, w: str) -> str:
+    known = _by_words(w, m, [(words, rest, lit(verb)) for words, rest, _, verb in VERBS], lit(""))
+    return f"CASE WHEN {w} = 'copy' THEN 'COPY' ELSE {known} END"
 
 
-def violations_of(s: str, m: str) -> str:
-    """Flags of one statement, found by pattern once literals are gone."""
-    is_select = f"{m} RLIKE {lit(r'^\s*+(?:select|values|table)\b')}"
+def violations_of(s: str, m: str, w: str, kind: str, verb: str) -> str:
+    """Flags of one statement ``s``, found by pattern once literals are gone."""
+    is_select = f"{w} IN ('select', 'values', 'table')"
     executable = (
-        f"{m} RLIKE {lit(_EXECUTABLE)} OR {m} RLIKE {lit(_COPY_PROGRAM)} "
-        f"OR {m} RLIKE {lit(rf'^\s*+(?:{_PRIVILEGED_SET})')} OR {class_of(s, m)} = 'unknown'"
+        f"{w} IN ({', '.join(lit(x) for x in _EXECUTABLE)}) OR {kind} = 'unknown' OR ({verb} = 'SET' AND {kind} = 'ddl') "
+        f"OR ({w} = 'copy' AND {m} RLIKE {lit(_COPY_PROGRAM)})"
     )
     return (
         "filter(array("
-        f"CASE WHEN {is_select} AND {s} RLIKE {lit(_INTO)} THEN 'selects_into' END, "
-        f"CASE WHEN {is_select} AND {s} RLIKE {lit(_LOCKING)} THEN 'row_locking' END, "
-        f"CASE WHEN {is_select} AND {s} RLIKE {lit(_WRITABLE_CTE)} THEN 'writable_cte' END, "
-        f"CASE WHEN {is_select} AND {s} RLIKE {lit(_DENIED)} THEN 'denied_function' END, "
+        f"CASE WHEN {is_select} AND contains({s}, 'into') AND {s} RLIKE {lit(_INTO)} THEN 'selects_into' END, "
+        f"CASE WHEN {is_select} AND contains({s}, 'for') AND {s} RLIKE {lit(_LOCKING)} THEN 'row_locking' END, "
+        f"CASE WHEN {is_select} AND contains({s}, 'with') AND {s} RLIKE {lit(_WRITABLE_CTE)} THEN 'writable_cte' END, "
+        f"CASE WHEN {is_select} AND contains({s}, '(') AND {s} RLIKE {lit(_DENIED)} THEN 'denied_function' END, "
         f"CASE WHEN {executable} THEN 'executable_block' END), v -> v IS NOT NULL)"
     )
 
@@ -193,14 +203,14 @@ def is_explain_analyze(s: str) -> str:
     return f"{s} RLIKE {lit(_EXPLAIN_ANALYZE)}"
 
 
-def non_transactional_label(s: str) -> str:
+def non_transactional_label(s: str, w: str) -> str:
     """Label of a statement that cannot run in a transaction, else null."""
-    return _case(s, [(p, lit(label)) for p, label in NON_TRANSACTIONAL], "CAST(NULL AS STRING)")
+    return _by_words(w, s, [(words, rest, lit(label)) for words, rest, label in NON_TRANSACTIONAL], "CAST(NULL AS STRING)")
 
 
-def is_unproven(s: str) -> str:
-    known = _case(s, [(p, "true") for p, _, _ in VERBS] + [(r"with\b", "true")], "false")
-    return f"({s} RLIKE {lit(_UNPROVEN)} OR NOT {known})"
+def is_unproven(s: str, w: str) -> str:
+    known = [(words, rest, "false") for words, rest, _, _ in VERBS] + [("with", "", "false")]
+    return _by_words(w, s, [*_UNPROVEN, *known], "true")
 
 
 #: names followed by a parenthesis that are not calls
@@ -222,7 +232,7 @@ _COLUMN_LIST = (
 
 def called_functions(s: str) -> str:
     """Distinct function names called in cleaned text, dotted when qualified."""
-    calls = f"regexp_replace({s}, {lit(_COLUMN_LIST)}, ' ( ')"
+    calls = f"CASE WHEN contains({s}, '(') THEN regexp_replace({s}, {lit(_COLUMN_LIST)}, ' ( ') ELSE '' END"
     found = f"regexp_extract_all({calls}, {lit(r'(?<![a-z0-9_$.])([a-z_][a-z0-9_$]*+(?:\.[a-z_][a-z0-9_$]*+)?+)\s*+\(')}, 1)"
     words = ", ".join(f"'{w}'" for w in _NOT_CALLS)
     return f"array_distinct(filter({found}, f -> f NOT IN ({words})))"

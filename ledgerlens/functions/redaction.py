@@ -18,12 +18,12 @@ PREVIEW_CHARS = 200
 PREVIEW_BYTES = 512
 ELLIPSIS = "…"
 
+#: what trimming removes
+BLANKS = " \t\n\r\f\v\u00a0\ufeff\u2028\u2029"
+
 #: Nested block comments are followed to this depth; deeper ones give the marker.
 COMMENT_DEPTH = 8
 
-_NOT_GLUED = r"(?<![A-Za-z0-9_$])"
-
-
 def _block_comment(depth: int) -> str:
     pattern = r"/\*(?:[^*/]++|\*(?!/)|/(?!\*))*+\*/"
     for _ in range(depth - 1):
@@ -39,25 +39,25 @@ def _quoted(quote: str, escapes: bool) -> str:
 
 _COMMENT = rf"--[^\n]*+|{_block_comment(COMMENT_DEPTH)}"
 _DOLLAR_OPEN = r"\$(?:[A-Za-z_][A-Za-z0-9_]*+)?\$"
-_STRINGS = [
-    (rf"{_NOT_GLUED}[Uu]&'", _quoted("'", True), "'"),
-    (rf"{_NOT_GLUED}[Ee]'", _quoted("'", True), "'"),
-    (r"'", _quoted("'", False), "'"),
-]
-_IDENTIFIERS = [
-    (rf'{_NOT_GLUED}[Uu]&"', _quoted('"', True), '"'),
-    (r'"', _quoted('"', False), '"'),
+# Whether a quote opens an escaping form is read off what stands before it, so ordinary text can
+# be skipped in runs. A quote opens exactly one form; an unterminated one has no second reading.
+_AFTER_E = r"(?<![A-Za-z0-9_$])[Ee]"
+_AFTER_U = r"(?<![A-Za-z0-9_$])[Uu]&"
+_LITERALS = [
+    (rf"(?<={_AFTER_E})'", _quoted("'", True), "'"),
+    (rf"(?<={_AFTER_U})'", _quoted("'", True), "'"),
+    (rf"(?<!{_AFTER_E})(?<!{_AFTER_U})'", _quoted("'", False), "'"),
+    (rf"(?<={_AFTER_U})\"", _quoted('"', True), '"'),
+    (rf"(?<!{_AFTER_U})\"", _quoted('"', False), '"'),
 ]
 
 
 def _token_pattern() -> str:
     """Comment, or literal with its opening delimiter in group 1, 3, 5.. and closing in 2, 4, 6.."""
-    # An unterminated comment or introducer must not be re-read from its second character, so
-    # `/*` and the prefixed quotes come before the plain ones, as in the scanner of the server.
     parts = [_COMMENT]
-    for opening, body, close in _STRINGS + _IDENTIFIERS:
+    for opening, body, close in _LITERALS:
         parts.append(rf"({opening}){body}({close})")
-    dollar = 2 * (len(_STRINGS) + len(_IDENTIFIERS)) + 1
+    dollar = 2 * len(_LITERALS) + 1
     parts.append(rf"({_DOLLAR_OPEN})[\s\S]*?(\{dollar})")
     return "|".join(parts)
 
@@ -68,11 +68,10 @@ _GROUPS = "".join(f"${n}" for n in range(1, 13, 2)), "".join(f"${n}" for n in ra
 
 def _complete_pattern() -> str:
     """Matches exactly the statements whose every delimiter is accounted for."""
-    literals = "|".join(rf"{o}{b}{c}" for o, b, c in _STRINGS + _IDENTIFIERS)
+    literals = "|".join(rf"{o}{b}{c}" for o, b, c in _LITERALS)
     return (
-        rf"\A(?:[^'\"$/\-EeUu]++|{_COMMENT}|{literals}|({_DOLLAR_OPEN})[\s\S]*?\1"
-        rf"|-(?!-)|/(?!\*)|\$(?!(?:[A-Za-z_][A-Za-z0-9_]*+)?\$)"
-        rf"|(?:{_NOT_GLUED}[Ee](?!')|{_NOT_GLUED}[Uu](?!&['\"])|(?<=[A-Za-z0-9_$])[EeUu]))*+\z"
+        rf"\A(?:[^'\"$/\-]++|{literals}|{_COMMENT}|({_DOLLAR_OPEN})[\s\S]*?\1"
+        r"|-(?!-)|/(?!\*)|\$(?!(?:[A-Za-z_][A-Za-z0-9_]*+)?\$))*+\z"
     )
 
 
@@ -85,8 +84,8 @@ _MARK = "\0"
 _NUMBERS = [
     # a number of two or more characters, never glued to a name or placeholder
     (
-        r"(?<![A-Za-z0-9_$])(?=[0-9](?:[0-9.]|[eE][+-]?[0-9]))"
-        r"[0-9]++(?:\.[0-9]*+)?+(?:[eE][+-]?[0-9]++)?+(?![A-Za-z0-9_$])",
+        r"[0-9](?<![A-Za-z0-9_$][0-9])(?=[0-9.]|[eE][+-]?[0-9])"
+        r"[0-9]*+(?:\.[0-9]*+)?+(?:[eE][+-]?[0-9]++)?+(?![A-Za-z0-9_$])",
         "?",
     ),
     # one digit where a value is expected: after an operator, parenthesis or comma
@@ -126,22 +125,26 @@ def redact(x: str) -> str:
 
 def _keep_identifiers(x: str, salt: str) -> str:
     """Like :func:`strip_literals`, but a quoted identifier becomes a keyed digest of its body."""
-    piece = rf"{_TOKEN}|[^'\"$/\-EeUu]++|[\s\S]"
-    body = "regexp_replace(t, '^[Uu]&', '')"
-    digest = hmac_sha256(f"substring({body}, 2, char_length({body}) - 2)", salt.encode())
+    piece = rf"{_TOKEN}|[^'\"$/\-]++|[\s\S]"
+    digest = hmac_sha256("substring(t, 2, char_length(t) - 2)", salt.encode())
+    quote, mark = lit('"'), lit(_MARK)
     each = (
-        f"CASE WHEN t RLIKE {lit(r'^(?:[Uu]&)?\"')} "
-        f"THEN concat('\"', {lit(_MARK + 'x')}, substring({digest}, 1, 16), {lit(_MARK)}, '\"') "
-        f"WHEN char_length(t) > 1 THEN {strip_literals('t')} ELSE t END"
+        "CASE WHEN char_length(t) = 1 THEN t "
+        f"WHEN startswith(t, {quote}) THEN concat({quote}, {lit(_MARK + 'x')}, substring({digest}, 1, 16), {mark}, {quote}) "
+        f"WHEN startswith(t, {lit(chr(39))}) THEN {lit(chr(39) + '?' + chr(39))} "
+        "WHEN startswith(t, '--') OR startswith(t, '/*') THEN '' "
+        f"WHEN startswith(t, '$') THEN regexp_replace(t, {lit(rf'^({_DOLLAR_OPEN})[\s\S]*+$')}, '$1?$1') ELSE t END"
     )
-    return f"array_join(transform(regexp_extract_all({x}, {lit(piece)}, 0), t -> {each}), '')"
+    joined = f"array_join(transform(regexp_extract_all({x}, {lit(piece)}, 0), t -> {each}), '')"
+    # the introducer of an escaped identifier is not part of its identity
+    return f"regexp_replace({joined}, {lit(_AFTER_U + '(?=\"' + chr(92) + 'x00x)')}, '')"
 
 
 def normalise(x: str, salt: str) -> str:
     """The text a fingerprint is taken of."""
     stripped = f"CASE WHEN instr({x}, '\"') > 0 THEN {_keep_identifiers(x, salt)} ELSE {strip_literals(x)} END"
     text = f"CASE WHEN {is_readable(x)} THEN {redact_numbers(stripped)} ELSE {lit(UNREDACTABLE)} END"
-    return f"trim(regexp_replace(regexp_replace(lower({text}), {lit(r'\s+')}, ' '), {lit(r';\s*$')}, ''))"
+    return f"trim(regexp_replace(regexp_replace(lower({text}), {lit(r'\s{2,}+|[\t\n\r\f\x0b]')}, ' '), {lit(r';\s*$')}, ''))"
 
 
 def fingerprint(x: str, salt: str = "ledgerlens") -> str:
@@ -173,7 +176,7 @@ def preview(redacted: str, **caps) -> str:
 
 
 def trimmed(x: str) -> str:
-    return f"regexp_replace({x}, {lit(r'^[\s\u00A0\uFEFF]+|[\s\u00A0\uFEFF]+$')}, '')"
+    return f"trim(BOTH {lit(BLANKS)} FROM {x})"
 
 
 def statement_hash(statements: str) -> str:

@@ -4,31 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from ledgerlens.functions.redaction import trimmed
 from ledgerlens.functions.sqltext import lit, replace_all
 
 # `\b` next to a word character, spelled out so that word means ASCII on every Java version.
 _B = r"(?<![A-Za-z0-9_])"
 _E = r"(?![A-Za-z0-9_])"
 
-# The ordered scrub rules (pattern, replacement).
+# The ordered scrub rules (pattern, replacement), each with a cheap necessary
+# condition; a text without it is passed on untouched and never reaches the pattern.
 TOPOLOGY_RULES = [
-    (rf"(?i){_B}[a-z][a-z0-9+.-]*://[^\s'\")]+", "<url>"),
-    (rf"(?i){_B}(password|passfile|sslpassword)\s*=\s*(\"[^\"]*\"|'[^']*'|\S+)", "$1=<redacted>"),
+    (rf"(?i){_B}[a-z][a-z0-9+.-]*://[^\s'\")]+", "<url>", "contains(t, '://')"),
+    (rf"(?i){_B}(password|passfile|sslpassword)\s*=\s*(\"[^\"]*\"|'[^']*'|\S+)", "$1=<redacted>", "contains(t, '=')"),
     (
         rf"(?i){_B}(user|username|role|database|dbname|host|hostaddr|address|application_name)"
         r"\s*[:=]\s*(\"[^\"]*\"|'[^']*'|\S+)",
         "$1=<redacted>",
+        "contains(t, '=') OR contains(t, ':')",
     ),
-    (rf"(?i){_B}(user|username|role|database|dbname|host|hostname|address)\s+(\"[^\"]*\"|'[^']*')", "$1 <redacted>"),
-    (rf"(?i){_B}(for|by|on)\s+(user|role|database|dbname)\s+(\"[^\"]*\"|'[^']*'|[^\s,;]+)", "$1 $2 <redacted>"),
-    (r"\[\s*[0-9A-Fa-f:.]+\s*\](?::\d{1,5})?", "<host>"),
-    (rf"{_B}\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?::\d{{1,5}})?{_E}", "<host>"),
-    (rf":\d{{2,5}}{_E}", ":<port>"),
-    (r"(^|[\s\"'(=:])(?:/[A-Za-z0-9._+-]+){2,}", "$1<path>"),
-    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<email>"),
-    (rf"{_B}[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z][A-Za-z0-9-]*:\d{{1,5}}{_E}", "<host>"),
+    (
+        rf"(?i){_B}(user|username|role|database|dbname|host|hostname|address)\s+(\"[^\"]*\"|'[^']*')",
+        "$1 <redacted>",
+        f"contains(t, '\"') OR contains(t, {lit(chr(39))})",
+    ),
+    (
+        rf"(?i){_B}(for|by|on)\s+(user|role|database|dbname)\s+(\"[^\"]*\"|'[^']*'|[^\s,;]+)",
+        "$1 $2 <redacted>",
+        f"t RLIKE {lit('[uUrRdD](?:(?i)ser|ole|atabase|bname)')}",
+    ),
+    (r"\[\s*[0-9A-Fa-f:.]+\s*\](?::\d{1,5})?", "<host>", "contains(t, '[')"),
+    (
+        rf"\d(?<![A-Za-z0-9_]\d)\d{{0,2}}(?:\.\d{{1,3}}){{3}}(?::\d{{1,5}})?{_E}",
+        "<host>",
+        f"t RLIKE {lit(r'[0-9][.][0-9]')}",
+    ),
+    (rf":\d{{2,5}}{_E}", ":<port>", "contains(t, ':')"),
+    (r"(^|[\s\"'(=:])(?:/[A-Za-z0-9._+-]+){2,}", "$1<path>", "contains(t, '/')"),
+    (
+        r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "<email>",
+        "contains(t, '@')",
+    ),
+    (rf"{_B}[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z][A-Za-z0-9-]*:\d{{1,5}}{_E}", "<host>", f"t RLIKE {lit(':[0-9]')}"),
+    (r"[ \t]{2,}", " ", "contains(t, '  ') OR contains(t, '\t')"),
 ]
-_COLLAPSE = [(r"[ \t]{2,}", " "), (r"^[\s\u00A0\uFEFF]+|[\s\u00A0\uFEFF]+$", "")]
 
 #: Exact terms shorter than this would match inside ordinary words.
 MIN_TERM = 3
@@ -40,10 +59,21 @@ def replace_terms(x: str, terms: Sequence[str], replacement: str) -> str:
     return x
 
 
+def scrub_steps(x: str, terms: Sequence[str] = ()) -> list[str]:
+    """The scrub as a list of expressions: the first over ``x``, every other over ``t``, the result
+    of the one before."""
+    exact = sorted((term for term in terms if len(term) >= MIN_TERM), key=len, reverse=True)
+    steps = [f"coalesce({replace_terms(x, exact, '<redacted>')}, '')"]
+    for pattern, replacement, needed in TOPOLOGY_RULES:
+        steps.append(f"CASE WHEN {needed} THEN regexp_replace(t, {lit(pattern)}, {lit(replacement)}) ELSE t END")
+    return [*steps, trimmed("t")]
+
+
 def scrub(x: str, terms: Sequence[str] = ()) -> str:
-    """Exact terms, longest first, then the ordered rules, then blanks collapsed."""
-    exact = sorted((t for t in terms if len(t) >= MIN_TERM), key=len, reverse=True)
-    return f"coalesce({replace_all(replace_terms(x, exact, '<redacted>'), TOPOLOGY_RULES + _COLLAPSE)}, '')"
+    """Exact terms, longest first, then the ordered rules, then blanks collapsed, as one expression."""
+    first, *steps = scrub_steps(x, terms)
+    arms = " ".join(f"WHEN {i} THEN {step}" for i, step in enumerate(steps))
+    return f"aggregate(sequence(0, {len(steps) - 1}), {first}, (t, i) -> CASE i {arms} END)"
 
 
 def mask_credentials(x: str, secrets: Sequence[str] = ()) -> str:

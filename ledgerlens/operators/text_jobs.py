@@ -34,7 +34,15 @@ def preview_statements(df: DataFrame, sql: str = "sql", to: str = "preview", **c
 
 
 def scrub_text(df: DataFrame, text: str = "text", to: str = "scrubbed", exact_terms: Sequence[str] = ()) -> DataFrame:
-    return df.withColumn(to, F.expr(scrubbing.scrub(_col(text), exact_terms)))
+    """Every rule is its own projection, so the chain stays in generated code and each step reads
+    the text once."""
+    first, *steps = scrubbing.scrub_steps(_col(text), exact_terms)
+    if "t" in df.columns:
+        return df.withColumn(to, F.expr(scrubbing.scrub(_col(text), exact_terms)))
+    df = df.withColumn("t", F.expr(first))
+    for step in steps:
+        df = df.withColumn("t", F.expr(step))
+    return df.withColumn(to, F.col("t")).drop("t")
 
 
 def scrub_errors(
@@ -146,16 +154,18 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
     readable = redaction.is_readable(_col(sql))
     df = df.withColumn("_clean", F.expr(f"CASE WHEN {readable} THEN {classes.cleaned(_col(sql))} END"))
     df = df.withColumn("_parts", F.expr(classes.statements_of("_clean")))
-    df = df.withColumn(
-        "_parts",
-        F.expr(f"transform(_parts, (s, i) -> named_struct('s', s, 'm', {classes.main_text('s')}, 'i', i))"),
-    )
-    one = (
-        f"named_struct('i', p.i, 'base', {classes.class_of('p.s', 'p.m')}, 'verb', {classes.verb_of('p.s', 'p.m')}, "
-        f"'flags', {classes.violations_of('p.s', 'p.m')}, 'explain', {classes.is_explain('p.s')}, "
-        f"'analyze', {classes.is_explain_analyze('p.s')})"
+    layers = (
+        f"transform(_parts, (s, i) -> named_struct('s', s, 'm', {classes.main_text('s')}, 'i', i))",
+        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', {classes.first_word('p.m')}))",
+        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', p.w, 'base', {classes.class_of('p.m', 'p.w')}, "
+        f"'verb', {classes.verb_of('p.m', 'p.w')}))",
+        f"transform(_parts, p -> named_struct('i', p.i, 'base', p.base, 'verb', p.verb, "
+        f"'flags', {classes.violations_of('p.s', 'p.m', 'p.w', 'p.base', 'p.verb')}, "
+        f"'explain', {classes.is_explain('p.s')}, 'analyze', {classes.is_explain_analyze('p.s')}))",
     )
-    df = df.withColumn("_seen", F.expr(f"transform(_parts, p -> {one})"))
+    for layer in layers:
+        df = df.withColumn("_parts", F.expr(layer))
+    df = df.withColumnRenamed("_parts", "_seen")
     # an escaped SELECT counts as a write; EXPLAIN of a clean read is a read of its own
     kind = "CASE WHEN p.base = 'read' AND size(p.flags) > 0 THEN 'write' ELSE p.base END"
     verb = "CASE WHEN p.explain AND p.base = 'read' AND size(p.flags) = 0 THEN 'EXPLAIN' ELSE p.verb END"
@@ -170,8 +180,8 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
     rank = "CASE p.kind " + " ".join(f"WHEN '{name}' THEN {rank}" for name, rank in C.CLASS_RANK.items()) + " END"
     worst = f"array_max(transform(_seen, p -> named_struct('rank', {rank}, 'first', -p.i, 'kind', p.kind, 'verb', p.verb)))"
     df = df.withColumn("_worst", F.expr(worst))
-    count = F.coalesce(F.size("_parts"), F.lit(0))
-    failed = F.col("_clean").isNull() | (F.size("_parts") == 0)
+    count = F.coalesce(F.size("_seen"), F.lit(0))
+    failed = F.col("_clean").isNull() | (F.size("_seen") == 0)
     return df.withColumns(
         {
             "parse_ok": F.col("_clean").isNotNull(),
@@ -188,7 +198,7 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
             ),
             "functions": F.expr(classes.called_functions("_clean")),
         }
-    ).drop("_clean", "_parts", "_seen", "_worst")
+    ).drop("_clean", "_seen", "_worst")
 
 
 def non_transactional(df: DataFrame, sql: str = "sql") -> DataFrame:
@@ -196,16 +206,17 @@ def non_transactional(df: DataFrame, sql: str = "sql") -> DataFrame:
     the label of what cannot run in a transaction."""
     df = df.withColumn("_clean", F.expr(f"CASE WHEN {redaction.is_readable(_col(sql))} THEN {classes.cleaned(_col(sql))} END"))
     df = df.withColumn("_count", F.size(F.expr(classes.statements_of("_clean"))))
-    label = F.when(F.col("_count") == 1, F.expr(classes.non_transactional_label("_clean")))
+    df = df.withColumn("_word", F.expr(classes.first_word("_clean")))
+    label = F.when(F.col("_count") == 1, F.expr(classes.non_transactional_label("_clean", "_word")))
     df = df.withColumn("non_tx_label", label)
     status = (
         F.when(F.col("_clean").isNull(), "unparseable")
         .when(F.col("_count") != 1, "ambiguous")
         .when(F.col("non_tx_label").isNotNull(), "non_transactional")
-        .when(F.expr(classes.is_unproven("_clean")), "ambiguous")
+        .when(F.expr(classes.is_unproven("_clean", "_word")), "ambiguous")
         .otherwise("transactional")
     )
-    return df.withColumn("tx_status", status).drop("_clean", "_count")
+    return df.withColumn("tx_status", status).drop("_clean", "_count", "_word")
 
 
 def plan_transactionality(df: DataFrame, plan: str = "plan_id", idx: str = "idx", sql: str = "sql") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.session import read_table
 
 #: epoch milliseconds of a zone-less timestamp, per engine
-_MS = {
+MILLIS = {
     "spark": "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)",
     "oracle": "(epoch_us(ts) // 1000)",
 }
@@ -97,7 +97,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return read_table(spark, sf_dir, name)
     text, reads = VIEWS[name]
     sources = {source: view(spark, sf_dir, source) for source in reads}
-    text = text.replace("[ms]", _MS["spark"])
+    text = text.replace("[ms]", MILLIS["spark"])
     text = text.replace("{", "{{").replace("}", "}}")
     for source in reads:
         text = text.replace(f"[{source}]", f"{{{source}}}")
@@ -116,7 +116,7 @@ def with_views(*names: str, recursive: bool = False) -> str:
     """``WITH ...`` text defining the views (and what they read) for the oracle."""
     parts = []
     for name in _closure(names, []):
-        text = VIEWS[name][0].replace("[ms]", _MS["oracle"])
+        text = VIEWS[name][0].replace("[ms]", MILLIS["oracle"])
         for source in VIEWS[name][1]:
             text = text.replace(f"[{source}]", source)
         parts.append(f"{name} AS ({text})")

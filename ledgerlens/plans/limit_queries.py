@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import admission, limits
-from ledgerlens.plans.fixtures import define_view, view, with_views
+from ledgerlens.operators import admission, filters, limits
+from ledgerlens.plans.fixtures import MILLIS, REQUEST_LOG, define_view, view, with_views
+from ledgerlens.plans.policy_queries import APPROVAL_REQ, APPROVAL_RESP
 from ledgerlens.plans.registry import query
-from ledgerlens.session import read_table
+from ledgerlens.session import read_table, scratch_dir
+from ledgerlens.sources import segments
 from ledgerlens.streaming import jobs
 
 BURST, REFILL, PER_MS = 3, 1, 1_500_000
@@ -163,11 +165,9 @@ def drop_replays(spark, sf_dir):
 
 def _request_stream(spark, sf_dir):
     """request_log as a stream, with a real timestamp."""
-    from ledgerlens.plans.fixtures import REQUEST_LOG, _MS
-
     schema = read_table(spark, sf_dir, "events").schema
     events = jobs.table_stream(spark, sf_dir, "events", schema)
-    text = REQUEST_LOG.replace("[ms]", _MS["spark"]).replace("{", "{{").replace("}", "}}").replace("[events]", "{events}")
+    text = REQUEST_LOG.replace("[ms]", MILLIS["spark"]).replace("{", "{{").replace("}", "}}").replace("[events]", "{events}")
     return spark.sql(text, events=events).withColumn("ts", jobs.event_time("ts"))
 
 
@@ -209,3 +209,49 @@ def token_bucket_stream(spark, sf_dir):
     stream = _request_stream(spark, sf_dir).select("seq_id", "db_alias", "ts")
     done = jobs.token_bucket_stream(stream, ["db_alias"], "ts", "seq_id", BURST, REFILL, PER_MS, idle_ms=86_400_000 * 60)
     return jobs.run_to_table(done, "token-bucket")
+
+
+@query(
+    "replay_stream",
+    f"""{with_views('envelopes')} SELECT DISTINCT nonce FROM envelopes WHERE abs(arrived_ms - ts_ms) <= 120000""",
+)
+def replay_stream(spark, sf_dir):
+    """Two uses of a nonce lie at most a few minutes apart here, so the two-window horizon sees both."""
+    envelopes = spark.sql(
+        _ENVELOPES.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir)
+    ).select("row_id", "nonce", F.timestamp_millis("ts_ms").alias("ts"), F.timestamp_millis("arrived_ms").alias("arrived_at"))
+    return jobs.run_to_table(jobs.drop_replays(envelopes, horizon_ms=120_000), "replays").select("nonce").distinct()
+
+
+@query(
+    "approval_stream",
+    f"""{with_views('approval_requests', 'approval_responses')}, m AS (SELECT max(ts_ms) - 5000 AS mark FROM approval_requests),
+p AS (SELECT q.request_id, q.ts_ms AS asked, r.ts_ms, r.approved FROM approval_requests q LEFT JOIN approval_responses r ON r.request_id = q.request_id AND r.user_id = q.user_id
+  AND r.nonce = q.nonce AND r.role IN ('admin', 'developer') AND r.ts_ms >= q.ts_ms AND r.ts_ms <= q.ts_ms + 60000)
+SELECT request_id, CASE WHEN approved IS NULL THEN 'expired' WHEN approved THEN 'approved' ELSE 'rejected' END AS decision, ts_ms AS decided_ms
+FROM p, m WHERE approved IS NOT NULL OR asked + 60000 < mark""",
+)
+def approval_stream(spark, sf_dir):
+    asked = spark.sql(APPROVAL_REQ.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir))
+    said = spark.sql(APPROVAL_RESP.replace("[approval_requests]", "{asked}"), asked=asked)
+    timed = [df.withColumn("ts", F.timestamp_millis("ts_ms")) for df in (asked, said)]
+    done = jobs.run_to_table(jobs.approval_timeouts(*timed), "approvals")
+    return done.select("request_id", "decision", F.unix_millis("decided_at").alias("decided_ms"))
+
+
+@query(
+    "follow_segments",
+    f"""{with_views('request_log')} SELECT concat('r', seq_id) AS id, action, project FROM request_log
+WHERE k % 23 <> 0 AND lower(outcome) = 'error' AND ts_ms >= 1704412800000""",
+)
+def follow_segments(spark, sf_dir):
+    """Write the log as segments, then follow the folder as a stream with the viewer's filter."""
+    log = view(spark, sf_dir, "request_log").withColumns({"id": F.concat(F.lit("r"), "seq_id"), "seq": F.col("seq_id") + 1})
+    line = F.to_json(F.struct("action", "id", "outcome", "project", "seq", "ts_ms"))
+    log = log.withColumn("line", line)
+    log = log.withColumn("line", F.when(F.col("k") % 23 == 0, F.left("line", F.lit(20))).otherwise(F.col("line")))
+    path = scratch_dir(spark, "followed")
+    segments.write_segments(log, path, [], 1000, keep=None, raw="line")
+    followed = segments.follow_segments(spark, path, max_files=4)
+    wanted = filters.audit_filter(followed, outcome="ERROR", since=1704412800000, time_column="ts_ms")
+    return jobs.run_to_table(wanted.select("id", "action", "project"), "follow")

@@ -227,12 +227,12 @@ def authorise_cancels(spark, sf_dir):
     return policy.authorise_cancels(cancels, requests).select("cancel_id", "code", "target_user_id")
 
 
-_APPROVAL_REQ = """SELECT seq_id AS request_id, user_id, ts_ms, concat('n', CAST(k AS VARCHAR(4))) AS nonce, role, k FROM [request_log] WHERE action = 'migration_run'"""
-_APPROVAL_RESP = """SELECT request_id, CASE WHEN k % 13 = 0 THEN user_id + 1 ELSE user_id END AS user_id, ts_ms + k * 1000 AS ts_ms,
+APPROVAL_REQ = """SELECT seq_id AS request_id, user_id, ts_ms, concat('n', CAST(k AS VARCHAR(4))) AS nonce, role, k FROM [request_log] WHERE action = 'migration_run'"""
+APPROVAL_RESP = """SELECT request_id, CASE WHEN k % 13 = 0 THEN user_id + 1 ELSE user_id END AS user_id, ts_ms + k * 1000 AS ts_ms,
   CASE WHEN k % 11 = 0 THEN 'wrong' ELSE nonce END AS nonce, k % 5 <> 0 AS approved, role FROM [approval_requests] WHERE k % 7 <> 0
 UNION ALL SELECT request_id, user_id, ts_ms + 40000 AS ts_ms, nonce, k % 2 = 0 AS approved, role FROM [approval_requests] WHERE k % 3 = 0"""
-define_view("approval_requests", _APPROVAL_REQ, ("request_log",))
-define_view("approval_responses", _APPROVAL_RESP, ("approval_requests",))
+define_view("approval_requests", APPROVAL_REQ, ("request_log",))
+define_view("approval_responses", APPROVAL_RESP, ("approval_requests",))
 
 APPROVALS_SQL = f"""{with_views("approval_requests", "approval_responses")},
 v AS (SELECT q.request_id, r.ts_ms, r.approved, row_number() OVER (PARTITION BY q.request_id ORDER BY r.ts_ms, NOT r.approved) AS pos
