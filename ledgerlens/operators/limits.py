@@ -164,7 +164,8 @@ def churn_budget(
     ts_ms: str = "ts_ms",
 ) -> DataFrame:
     """Add ``attempts, allowed, reason``. Every attempt, admitted or not, counts in the window; an
-    attempt within the cooldown of the last *admitted* one is refused too.
+    attempt within the cooldown of the last *admitted* one is refused too, as long as that one is still in
+    the window.
 
     The count is a window. The cooldown is a fold over bursts: after a pause of the cooldown's
     length the past cannot matter.
@@ -173,13 +174,14 @@ def churn_budget(
     marked = counted.withColumns(
         {
             "_over": F.col("attempts") >= max_in_window,
-            "_starts": F.col("_gap").isNull() | (F.col("_gap") >= cooldown_ms),
+            "_starts": F.col("_gap").isNull() | (F.col("_gap") >= cooldown_ms) | (F.col("_gap") > window_ms),
         }
     ).drop("_gap")
 
     def step(row: tuple, last: tuple | None) -> tuple[tuple, tuple]:
         ts, over = row
-        waiting = last is not None and last[0] is not None and ts - last[0] < cooldown_ms
+        since = ts - last[0] if last is not None and last[0] is not None else None
+        waiting = since is not None and since < cooldown_ms and since <= window_ms
         allowed = not over and not waiting
         return (allowed,), ((ts,) if allowed else (last or (None,)))
 
