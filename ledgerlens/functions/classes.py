@@ -84,13 +84,6 @@ _WRITABLE_CTE = r"(?:^\s*+with\b|,|\(\s*+with\b)[\s\S]*?\bas\s*+(?:(?:not\s+)?ma
 _LOCKING = r"\bfor\s+(?:no\s+key\s+update|update|share|key\s+share)\b"
 _INTO = r"^\s*+(?:with\b[\s\S]*\)\s*+)?select\b(?:(?!\bfrom\b)[\s\S])*\binto\s"
 
-_DENIED = (
-    r"(?<![a-z0-9_$])(?:"
-    + "|".join(C.DENIED_FUNCTIONS)
-    + "|(?:" + "|".join(C.DENIED_PREFIXES) + r")[a-z0-9_$]*+"
-    + r"|[a-z_][a-z0-9_$]*(?:" + "|".join(C.DENIED_SUFFIXES) + r"))\s*+\("
-)
-
 # Leading words of statements that cannot run in a transaction, with their label.
 NON_TRANSACTIONAL = [
     ("alter", r"\s+database\b[\s\S]*\bset\s+tablespace\b", "ALTER DATABASE ... SET TABLESPACE"),
@@ -150,18 +143,18 @@ def cleaned(x: str) -> str:
 
 def statements_of(clean: str) -> str:
     """Array of the non-blank statements of cleaned text."""
-    return f"filter(split({clean}, ';'), s -> trim(regexp_replace(s, {lit(r'\s+')}, ' ')) <> '')"
+    return f"filter(split({clean}, ';'), s -> s RLIKE {lit(r'\S')})"
 
 
 def main_text(s: str) -> str:
     """The statement that is classified: an EXPLAIN is unwrapped, and of a WITH statement the part
     after its common table expressions is taken by unfolding parentheses from the inside."""
-    body = f"regexp_replace({s}, {lit(_EXPLAIN)}, '')"
+    body = f"CASE WHEN contains({s}, 'explain') THEN regexp_replace({s}, {lit(_EXPLAIN)}, '') ELSE {s} END"
     flat = body
     for _ in range(NESTING):
         flat = f"regexp_replace({flat}, {lit(r'\([^()]*+\)')}, ' ')"
     main = f"regexp_extract({flat}, {lit(r'\b(?:select|values|table|insert|update|delete|merge)\b[\s\S]*+')}, 0)"
-    return f"CASE WHEN {body} RLIKE {lit(r'^\s*+with\b')} THEN {main} ELSE {body} END"
+    return f"CASE WHEN contains({s}, 'with') AND {body} RLIKE {lit(r'^\s*+with\b')} THEN {main} ELSE {body} END"
 
 
 def class_of(m: str, w: str) -> str:
@@ -178,7 +171,15 @@ def verb_of(m: str, w: str) -> str:
     return f"CASE WHEN {w} = 'copy' THEN 'COPY' ELSE {known} END"
 
 
-def violations_of(s: str, m: str, w: str, kind: str, verb: str) -> str:
+def is_denied(f: str) -> str:
+    """True for a called function that a read may not use, by its bare name."""
+    bare = f"substring_index({f}, '.', -1)"
+    names = ", ".join(lit(n) for n in C.DENIED_FUNCTIONS)
+    edges = [f"startswith({bare}, {lit(p)})" for p in C.DENIED_PREFIXES] + [f"endswith({bare}, {lit(x)})" for x in C.DENIED_SUFFIXES]
+    return f"({bare} IN ({names}) OR {' OR '.join(edges)})"
+
+
+def violations_of(s: str, m: str, w: str, kind: str, verb: str, calls: str) -> str:
     """Flags of one statement ``s``, found by pattern once literals are gone."""
     is_select = f"{w} IN ('select', 'values', 'table')"
     executable = (
@@ -190,17 +191,17 @@ def violations_of(s: str, m: str, w: str, kind: str, verb: str) -> str:
         f"CASE WHEN {is_select} AND contains({s}, 'into') AND {s} RLIKE {lit(_INTO)} THEN 'selects_into' END, "
         f"CASE WHEN {is_select} AND contains({s}, 'for') AND {s} RLIKE {lit(_LOCKING)} THEN 'row_locking' END, "
         f"CASE WHEN {is_select} AND contains({s}, 'with') AND {s} RLIKE {lit(_WRITABLE_CTE)} THEN 'writable_cte' END, "
-        f"CASE WHEN {is_select} AND contains({s}, '(') AND {s} RLIKE {lit(_DENIED)} THEN 'denied_function' END, "
+        f"CASE WHEN {is_select} AND exists({calls}, f -> {is_denied('f')}) THEN 'denied_function' END, "
         f"CASE WHEN {executable} THEN 'executable_block' END), v -> v IS NOT NULL)"
     )
 
 
 def is_explain(s: str) -> str:
-    return f"{s} RLIKE {lit(r'^\s*+explain\b')}"
+    return f"(contains({s}, 'explain') AND {s} RLIKE {lit(r'^\s*+explain\b')})"
 
 
 def is_explain_analyze(s: str) -> str:
-    return f"{s} RLIKE {lit(_EXPLAIN_ANALYZE)}"
+    return f"(contains({s}, 'explain') AND {s} RLIKE {lit(_EXPLAIN_ANALYZE)})"
 
 
 def non_transactional_label(s: str, w: str) -> str:
@@ -232,9 +233,10 @@ _COLUMN_LIST = (
 
 def called_functions(s: str) -> str:
     """Distinct function names called in cleaned text, dotted when qualified."""
-    calls = f"CASE WHEN contains({s}, '(') THEN regexp_replace({s}, {lit(_COLUMN_LIST)}, ' ( ') ELSE '' END"
+    calls = f"regexp_replace({s}, {lit(_COLUMN_LIST)}, ' ( ')"
     found = f"regexp_extract_all({calls}, {lit(r'(?<![a-z0-9_$.])([a-z_][a-z0-9_$]*+(?:\.[a-z_][a-z0-9_$]*+)?+)\s*+\(')}, 1)"
     words = ", ".join(f"'{w}'" for w in _NOT_CALLS)
-    return f"array_distinct(filter({found}, f -> f NOT IN ({words})))"
+    named = f"array_distinct(filter({found}, f -> f NOT IN ({words})))"
+    return f"CASE WHEN contains({s}, '(') THEN {named} ELSE CAST(array() AS array<string>) END"
 
 

@@ -44,11 +44,11 @@ _DOLLAR_OPEN = r"\$(?:[A-Za-z_][A-Za-z0-9_]*+)?\$"
 _AFTER_E = r"(?<![A-Za-z0-9_$])[Ee]"
 _AFTER_U = r"(?<![A-Za-z0-9_$])[Uu]&"
 _LITERALS = [
-    (rf"(?<={_AFTER_E})'", _quoted("'", True), "'"),
-    (rf"(?<={_AFTER_U})'", _quoted("'", True), "'"),
-    (rf"(?<!{_AFTER_E})(?<!{_AFTER_U})'", _quoted("'", False), "'"),
-    (rf"(?<={_AFTER_U})\"", _quoted('"', True), '"'),
-    (rf"(?<!{_AFTER_U})\"", _quoted('"', False), '"'),
+    (rf"'(?<={_AFTER_E}')", _quoted("'", True), "'"),
+    (rf"'(?<={_AFTER_U}')", _quoted("'", True), "'"),
+    (rf"'(?<!{_AFTER_E}')(?<!{_AFTER_U}')", _quoted("'", False), "'"),
+    (rf"\"(?<={_AFTER_U}\")", _quoted('"', True), '"'),
+    (rf"\"(?<!{_AFTER_U}\")", _quoted('"', False), '"'),
 ]
 
 
@@ -59,7 +59,8 @@ def _token_pattern() -> str:
         parts.append(rf"({opening}){body}({close})")
     dollar = 2 * len(_LITERALS) + 1
     parts.append(rf"({_DOLLAR_OPEN})[\s\S]*?(\{dollar})")
-    return "|".join(parts)
+    # one look at the character rules out every alternative at most positions
+    return rf"(?=[-/'\"$])(?:{'|'.join(parts)})"
 
 
 _TOKEN = _token_pattern()

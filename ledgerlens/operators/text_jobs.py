@@ -156,11 +156,12 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
     df = df.withColumn("_parts", F.expr(classes.statements_of("_clean")))
     layers = (
         f"transform(_parts, (s, i) -> named_struct('s', s, 'm', {classes.main_text('s')}, 'i', i))",
-        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', {classes.first_word('p.m')}))",
-        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', p.w, 'base', {classes.class_of('p.m', 'p.w')}, "
-        f"'verb', {classes.verb_of('p.m', 'p.w')}))",
-        f"transform(_parts, p -> named_struct('i', p.i, 'base', p.base, 'verb', p.verb, "
-        f"'flags', {classes.violations_of('p.s', 'p.m', 'p.w', 'p.base', 'p.verb')}, "
+        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', {classes.first_word('p.m')}, "
+        f"'calls', {classes.called_functions('p.s')}))",
+        f"transform(_parts, p -> named_struct('s', p.s, 'm', p.m, 'i', p.i, 'w', p.w, 'calls', p.calls, "
+        f"'base', {classes.class_of('p.m', 'p.w')}, 'verb', {classes.verb_of('p.m', 'p.w')}))",
+        f"transform(_parts, p -> named_struct('i', p.i, 'base', p.base, 'verb', p.verb, 'calls', p.calls, "
+        f"'flags', {classes.violations_of('p.s', 'p.m', 'p.w', 'p.base', 'p.verb', 'p.calls')}, "
         f"'explain', {classes.is_explain('p.s')}, 'analyze', {classes.is_explain_analyze('p.s')}))",
     )
     for layer in layers:
@@ -175,7 +176,7 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
     )
     df = df.withColumn(
         "_seen",
-        F.expr(f"transform(_seen, p -> named_struct('i', p.i, 'kind', {kind}, 'verb', {verb}, 'flags', {flags}))"),
+        F.expr(f"transform(_seen, p -> named_struct('i', p.i, 'kind', {kind}, 'verb', {verb}, 'flags', {flags}, 'calls', p.calls))"),
     )
     rank = "CASE p.kind " + " ".join(f"WHEN '{name}' THEN {rank}" for name, rank in C.CLASS_RANK.items()) + " END"
     worst = f"array_max(transform(_seen, p -> named_struct('rank', {rank}, 'first', -p.i, 'kind', p.kind, 'verb', p.verb)))"
@@ -196,7 +197,7 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
                     )
                 )
             ),
-            "functions": F.expr(classes.called_functions("_clean")),
+            "functions": F.array_distinct(F.flatten(F.col("_seen.calls"))),
         }
     ).drop("_clean", "_seen", "_worst")
 
