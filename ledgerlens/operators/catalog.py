@@ -30,19 +30,47 @@ def index_columns(indexdef: str = "indexdef", indexname: str = "indexname") -> d
     }
 
 
-def nest(parents: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = RELATION) -> DataFrame:
+#: children of one parent that go into one array
+PART_ROWS = 100_000
+
+
+def _sized_parts(child: DataFrame, keys: Sequence[str], part_rows: int) -> DataFrame:
+    """Parents with more children than one array holds, and in how many parts they come."""
+    sizes = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows)
+    return sizes.select(*keys, F.ceil(F.col("_n") / part_rows).alias("_parts"))
+
+
+def _arrays(child: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, part_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Ordered arrays per ``keys`` and ``part``, and the parents that need several parts."""
+    parts = _sized_parts(child, keys, part_rows)
+    part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*columns), "_parts")).otherwise(0)
+    placed = child.join(parts, list(keys), "left").withColumn("part", part.cast("bigint"))
+    grouped = placed.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+    return grouped, parts
+
+
+def nest(
+    parents: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = RELATION, part_rows: int = PART_ROWS
+) -> DataFrame:
     """Attach each child table to its parent as an ordered array named by the mapping's key.
 
     ``children[name]`` is a frame and the columns of one element, ordering columns first. A child
-    without a parent is dropped, a parent without children gets an empty array. The elements are
-    combined per key before the shuffle; one array holds one relation's children.
+    without a parent is dropped, a parent without children gets an empty array.
+
+    One array is one value in one task, so it is bounded: a parent with more than ``part_rows``
+    children of a kind comes as several rows numbered by ``part``, which together hold all of
+    them. Every other parent is one row with ``part`` 0.
     """
-    df = parents
-    for name, (child, columns) in children.items():
-        element = F.struct(*columns)
-        grouped = child.groupBy(*keys).agg(F.array_sort(F.collect_list(element)).alias(name))
+    built = {name: _arrays(child, keys, columns, name, part_rows) for name, (child, columns) in children.items()}
+    large = None
+    for _, parts in built.values():
+        large = parts if large is None else large.unionByName(parts)
+    large = large.groupBy(*keys).agg(F.max("_parts").alias("_parts"))
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    df = parents.join(large, list(keys), "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_parts")
+    for name, (grouped, _) in built.items():
         kind = grouped.schema[name].dataType
-        df = df.join(grouped, list(keys), "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
+        df = df.join(grouped, [*keys, "part"], "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
     return df
 
 
@@ -115,14 +143,14 @@ def foreign_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame
     )
 
 
-def partition_children(inherits: DataFrame, classes: DataFrame) -> DataFrame:
-    """Parent relations with the list of their partitions and bounds."""
+def partition_children(inherits: DataFrame, classes: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """Parent relations with the list of their partitions and bounds, in parts like :func:`nest`."""
     parent = classes.select(F.col("oid").alias("parent_oid"), F.col("schema").alias("parent_schema"), F.col("name").alias("parent_table"))
     child = classes.select(F.col("oid").alias("child_oid"), F.col("name").alias("child_table"), "bound")
     pairs = inherits.join(parent, "parent_oid").join(child, "child_oid").where(~F.col("parent_schema").like("pg_%"))
-    return pairs.groupBy("parent_schema", "parent_table").agg(
-        F.array_sort(F.collect_list(F.struct("child_table", F.coalesce("bound", F.lit("")).alias("bound")))).alias("partitions")
-    )
+    pairs = pairs.withColumn("bound", F.coalesce("bound", F.lit("")))
+    grouped, _ = _arrays(pairs, ["parent_schema", "parent_table"], ["child_table", "bound"], "partitions", part_rows)
+    return grouped
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:

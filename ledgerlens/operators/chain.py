@@ -22,6 +22,8 @@ from ledgerlens.operators.ordered import number_rows, with_previous
 _HEX64 = "^[0-9a-f]{64}$"
 #: columns of the link itself; the rest of a record is its content
 LINK = ("chain_id", "seq", "prev_hash")
+#: records of one link of a chain, unless told otherwise
+LINK_RECORDS = 1_000_000
 
 
 def _sealer(key: bytes):
@@ -54,13 +56,13 @@ def build_chain(
     block: str,
     order: Sequence[str],
     record: Sequence[str],
-    link_records: int | None = None,
+    link_records: int | None = LINK_RECORDS,
 ) -> DataFrame:
     """Add ``chain_id, seq, prev_hash, mac, hash`` to every row.
 
     ``record`` names the content columns the MAC covers. A chain is cut into links of
     ``link_records`` rows, each a chain of its own starting from genesis, so a key with a third of
-    all rows still spreads over many tasks. Rows stream through the fold in sorted order: memory
+    all rows still spreads over many tasks; ``None`` keeps one chain per key. Rows stream through the fold in sorted order: memory
     is one Arrow batch.
     """
     numbered = number_rows(df, [chain], block, order, "_n")

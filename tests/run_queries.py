@@ -1,4 +1,4 @@
-"""Compare registered queries with their oracles: ``python tests/run_queries.py [sf] [name ...]``."""
+"""Compare registered queries with their oracles: ``python tests/run_queries.py [sf or folder] [name ...]``."""
 
 import sys
 from pathlib import Path
@@ -13,7 +13,7 @@ from ledgerlens.session import build_session
 
 
 def main(sf: str, names: list[str]) -> int:
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark = build_session(
         "compare", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",

@@ -21,7 +21,7 @@ def built(spark):
         "concat('log', id % 2) AS log", "id AS n", "CAST(floor(id / 7) AS BIGINT) AS part",
         "CASE WHEN id % 3 = 0 THEN 'query' ELSE 'cancel' END AS action", "CASE WHEN id % 4 = 0 THEN 'né' END AS note", "concat('u', id) AS user_id",
     )
-    df = chain.build_chain(rows, KEY, "log", "part", ["n"], RECORD)
+    df = chain.build_chain(rows, KEY, "log", "part", ["n"], RECORD, link_records=None)
     return spark.createDataFrame(df.collect(), df.schema)
 
 

@@ -256,3 +256,19 @@ def test_mask_and_roles(spark):
     assert filters.mask_by_role(df, "role", only_full=F.col("kind") == "x").count() == 1
     asked = spark.createDataFrame([(["viewer", "root", "admin", "developer"],), ([],), (None,)], "a array<string>")
     assert [r.accepted for r in asked.select(policy.negotiated_roles("a")).collect()] == [["developer", "viewer"], [], []]
+
+
+def test_large_parents_come_in_parts(spark):
+    parents = spark.createDataFrame([("s", "hot"), ("s", "small"), ("s", "none")], "table_schema string, table_name string")
+    columns = spark.range(1003).selectExpr("'s' AS table_schema", "CASE WHEN id < 1000 THEN 'hot' ELSE 'small' END AS table_name", "CAST(id AS INT) AS ordinal", "concat('c', id) AS column_name")
+    orphan = spark.createDataFrame([("s", "gone", 1, "x")], columns.schema)
+    indexes = spark.createDataFrame([("s", "hot", "i_pkey", 'CREATE UNIQUE INDEX i ON hot (a, "b")')], "table_schema string, table_name string, indexname string, indexdef string")
+    children = {"columns": (columns.union(orphan), ["ordinal", "column_name"]), "indexes": (indexes.withColumns(catalog.index_columns()), ["indexname", "columns", "is_unique", "is_primary"])}
+    rows = catalog.nest(parents, children, part_rows=100).collect()
+    hot = [r for r in rows if r.table_name == "hot"]
+    assert sorted(r.part for r in hot) == list(range(10))
+    assert sorted(c.ordinal for r in hot for c in r.columns) == list(range(1000))
+    assert all([c.ordinal for c in r.columns] == sorted(c.ordinal for c in r.columns) for r in hot)
+    assert [(i.indexname, i.columns, i.is_unique, i.is_primary) for r in hot for i in r.indexes] == [("i_pkey", ["a", "b"], True, True)]
+    rest = {r.table_name: (r.part, [c.ordinal for c in r.columns], r.indexes) for r in rows if r.table_name != "hot"}
+    assert rest == {"small": (0, [1000, 1001, 1002], []), "none": (0, [], [])}
