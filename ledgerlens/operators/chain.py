@@ -229,6 +229,44 @@ def _conclude(seen: DataFrame, keys: Sequence[str], anchors: DataFrame | None) -
     )
 
 
+def verify_segments(
+    log: DataFrame,
+    key: bytes,
+    record: Sequence[str],
+    segment: str = "file_ord",
+    order: Sequence[str] = ("line_no",),
+    cached: DataFrame | None = None,
+    first: DataFrame | None = None,
+    raw: str | None = None,
+) -> DataFrame:
+    """Verify a log segment by segment: one row per segment that had to be read.
+
+    Segments are numbered without holes. ``cached`` holds the trusted ends ``(segment, chain_id,
+    seq, last_hash)`` of segments that need no reading; ``first`` the retention floor of the oldest
+    one ``(segment, retained_from_seq)``. A segment must continue where the one before it ends,
+    whether that end is trusted or read now, so the log is intact exactly when every row is. Ends
+    meet by an equi-join on the segment number.
+    """
+    rows = log if cached is None else log.join(cached.select(segment).distinct(), [segment], "left_anti")
+    along = F.struct(*order)
+    ends = rows.groupBy(segment).agg(F.max_by(F.struct("chain_id", "seq", F.col("mac").alias("last_hash")), along).alias("_end"))
+    read = ends.select(segment)
+    ends = ends.select(segment, "_end.*")
+    if cached is not None:
+        ends = ends.unionByName(cached.select(segment, "chain_id", "seq", "last_hash"))
+    starts = ends.select(
+        (F.col(segment) + 1).alias(segment),
+        F.col("chain_id").alias("anchor_chain_id"),
+        (F.col("seq") + 1).alias("retained_from_seq"),
+        F.col("last_hash").alias("expected_prev_hash"),
+    )
+    if first is not None:
+        starts = starts.unionByName(first.select(segment, "retained_from_seq"), allowMissingColumns=True)
+    starts = starts.join(read, [segment], "left_semi")
+    blocked = rows.withColumn("_block", F.lit(0))
+    return verify_chain(blocked, key, record, [segment], "_block", order, starts, raw)
+
+
 def verify_by_join(df: DataFrame, key: bytes, record: Sequence[str], keys: Sequence[str] = ("chain_id",)) -> DataFrame:
     """Verification in *sequence* order by an equi-join with the record numbered one less.
 

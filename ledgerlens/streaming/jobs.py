@@ -138,8 +138,7 @@ def run_to_table(stream: DataFrame, label: str, timeout_sec: int = 600) -> DataF
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType, max_files: int = 16) -> DataFrame:
-    """A driver table as a file stream."""
+    """A driver table as a file stream. The path is a pattern, which serves a single file as well as
+    a folder of files."""
     reader = prepare(spark).readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-
-
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")

@@ -176,6 +176,30 @@ def test_incremental_equals_full(spark, built):
         assert (full.reason, full.broken_seq, full.broken_at) == (part.reason, part.broken_seq, part.broken_at + 10)
 
 
+def test_segment_wise_equals_full(spark, built):
+    """Trusted segments are skipped; any damage in what is read, or a broken join, still shows."""
+    clean = built.where("log = 'log0'").withColumns({"pos": F.col("n"), "line_no": F.col("n"), "file_ord": F.floor((F.col("seq") - 1) / 8)})
+    ends = clean.groupBy("file_ord").agg(
+        F.max("seq").alias("seq"), F.max_by("mac", "seq").alias("last_hash"), F.max_by("chain_id", "seq").alias("chain_id")
+    )
+    def reasons(df, trusted=None, first=None):
+        cached = ends.where(F.col("file_ord").isin(trusted)) if trusted else None
+        got = chain.verify_segments(df, KEY, RECORD, cached=cached, first=first).collect()
+        return {r.file_ord: r.reason for r in got}
+    assert reasons(clean) == {0: None, 1: None, 2: None, 3: None}
+    assert reasons(clean, [0, 2]) == {1: None, 3: None}
+    for change in (at(12, "note", "x"), at(17, "prev_hash", "a" * 64), at(9, "seq", 7), at(16, "mac", "c" * 64)):
+        damaged = change(clean)
+        full = chain.verify_chain(damaged.withColumn("b", F.lit(0)), KEY, RECORD, ["log"], "b", ["pos"]).first()
+        split = {k: v for k, v in reasons(damaged, [0]).items() if v}
+        assert full.reason == split[min(split)]
+    kept = clean.where("file_ord > 0")
+    floor = spark.createDataFrame([(1, 9)], "file_ord long, retained_from_seq long")
+    assert reasons(kept, first=floor) == {1: None, 2: None, 3: None}
+    assert reasons(kept)[1] == "seq_gap"
+    assert reasons(clean.where("file_ord <> 2"))[3] == "seq_gap"
+
+
 def test_resolve_anchor(spark):
     schema = "log_id string, ord int, chain_id string, seq long, last_hash string, retained_from_seq long"
     rows = [

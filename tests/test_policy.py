@@ -272,3 +272,23 @@ def test_large_parents_come_in_parts(spark):
     assert [(i.indexname, i.columns, i.is_unique, i.is_primary) for r in hot for i in r.indexes] == [("i_pkey", ["a", "b"], True, True)]
     rest = {r.table_name: (r.part, [c.ordinal for c in r.columns], r.indexes) for r in rows if r.table_name != "hot"}
     assert rest == {"small": (0, [1000, 1001, 1002], []), "none": (0, [], [])}
+
+
+def test_payload_rules(spark):
+    ok = dict(id="m", type="query", project="p", user_id="u", role="admin", db_alias="d", ts=5, nonce=None, mac=None)
+    changes = [{}, {"id": ""}, {"type": "x"}, {"project": "p" * 65}, {"user_id": None}, {"role": "root"}, {"db_alias": None}, {"ts": 0}, {"nonce": "short"}, {"mac": "A" * 64}]
+    schema = "id string, type string, project string, user_id string, role string, db_alias string, ts long, nonce string, mac string"
+    df = spark.createDataFrame([tuple((ok | c).values()) + (i,) for i, c in enumerate(changes)], schema + ", row_id int")
+    bad = validity.validity_report(df, "row_id", validity.envelope_rules()).where("NOT ok").collect()
+    assert sorted((r.row_id, r.rule) for r in bad) == [(i, next(iter(c))) for i, c in enumerate(changes) if c]
+    plans = spark.createDataFrame(
+        [(0, "p", ["a"], "single_tx", None, True), (1, "", [], "both", 0, None), (2, "p", ["a", " "], "per_statement", 5, False)],
+        "row_id int, plan_id string, statements array<string>, strategy string, timeout_ms int, dry_run boolean",
+    )
+    bad = validity.validity_report(plans, "row_id", validity.plan_rules()).where("NOT ok").collect()
+    assert sorted((r.row_id, r.rule) for r in bad) == [(1, "dry_run"), (1, "plan_id"), (1, "statements"), (1, "strategy"), (1, "timeout_ms"), (2, "statement_text")]
+    results = spark.createDataFrame([(0, "p", "partial", ["failed"], 1), (1, "p", "done", ["odd"], -1)], "row_id int, plan_id string, status string, statement_statuses array<string>, total_ms long")
+    bad = validity.validity_report(results, "row_id", validity.result_rules()).where("NOT ok").collect()
+    assert sorted(r.rule for r in bad) == ["statement_status", "status", "total_ms"]
+    twice = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "row_id int, db_alias string")
+    assert sorted((r.row_id, r.ok) for r in validity.duplicate_report(twice, "row_id", ["db_alias"]).collect()) == [(1, True), (2, True), (3, False)]
