@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
 from ledgerlens.functions import redaction, scrubbing
+from ledgerlens.operators.text_jobs import scrub_text
 
 
 def code_table(spark: SparkSession) -> DataFrame:
@@ -20,6 +21,25 @@ def code_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "code string, curated string, hint string, show_detail boolean, retryable boolean")
 
 
+def request_code_table(spark: SparkSession) -> DataFrame:
+    """The rule table of request errors ``(code, message, fatal, retryable, hint)``."""
+    rows = [(code, *entry) for code, entry in C.REQUEST_ERRORS.items()]
+    return spark.createDataFrame(rows, "code string, message string, fatal boolean, retryable boolean, hint string")
+
+
+def describe_codes(df: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:
+    """Add ``message, fatal, retryable, hint`` to rows with a request error code; an unlisted code
+    gets the generic text and is neither fatal nor retryable."""
+    rules = codes.select(F.col("code").alias("_code"), "message", "fatal", "retryable", "hint")
+    return df.join(rules, F.col(code) == F.col("_code"), "left").select(
+        *df.columns,
+        F.coalesce("message", F.lit(C.GENERIC_ERROR)).alias("message"),
+        F.coalesce("fatal", F.lit(False)).alias("fatal"),
+        F.coalesce("retryable", F.lit(False)).alias("retryable"),
+        "hint",
+    )
+
+
 def normalised_severity(column: str) -> Column:
     upper = F.upper(column)
     return F.when(upper.isin(list(C.SEVERITIES)), upper).otherwise("ERROR")
@@ -37,9 +57,9 @@ def safe_reason(column: str) -> Column:
 def _cleaned(df: DataFrame, column: str, to: str, terms: Sequence[str]) -> DataFrame:
     """Redacted, then scrubbed text; null when nothing may be shown."""
     df = df.withColumn("_r", F.expr(redaction.redact(f"`{column}`")))
-    scrubbed = F.expr(scrubbing.scrub("_r", terms))
-    shown = F.when((F.col("_r") != redaction.UNREDACTABLE) & (scrubbed != ""), scrubbed)
-    return df.withColumn(to, shown).drop("_r")
+    df = scrub_text(df, "_r", "_s", terms)
+    shown = F.when((F.col("_r") != redaction.UNREDACTABLE) & (F.col("_s") != ""), F.col("_s"))
+    return df.withColumn(to, shown).drop("_r", "_s")
 
 
 def explain_errors(

@@ -230,6 +230,27 @@ def explain_errors(spark, sf_dir):
     return errors.explain_errors(view(spark, sf_dir, "failures"), errors.code_table(spark), pool="pool").drop("pool")
 
 
+_CODED = """SELECT seq_id, CASE WHEN denial_reason = 'role_denied' THEN 'role_insufficient' WHEN denial_reason IS NOT NULL THEN denial_reason
+  WHEN outcome = 'cancelled' THEN 'query_cancelled' WHEN k % 4 = 0 THEN 'approval_timeout' ELSE 'internal_error' END AS code
+FROM [request_log] WHERE outcome <> 'success'"""
+define_view("coded", _CODED, ("request_log",))
+_CODE_ROWS = ", ".join(
+    "('{}', '{}', {}, {}, {})".format(c, e[0], e[1], e[2], f"'{e[3]}'" if e[3] else "NULL")
+    for c, e in C.REQUEST_ERRORS.items()
+    if c in ("role_insufficient", "query_cancelled", "approval_timeout", "internal_error")
+)
+
+
+@query(
+    "describe_codes",
+    f"""{with_views('coded')}, t(code, message, fatal, retryable, hint) AS (VALUES {_CODE_ROWS})
+SELECT seq_id, c.code, coalesce(t.message, '{C.GENERIC_ERROR}') AS message, coalesce(fatal, false) AS fatal, coalesce(retryable, false) AS retryable, hint
+FROM coded c LEFT JOIN t ON t.code = c.code""",
+)
+def describe_codes(spark, sf_dir):
+    return errors.describe_codes(view(spark, sf_dir, "coded"), errors.request_code_table(spark))
+
+
 _ENTRIES = """SELECT seq_id AS row_id, CASE WHEN k % 5 = 0 THEN 'bad name' WHEN k % 5 = 1 THEN NULL ELSE project END AS project_name,
   concat('db', CAST(CAST(floor(seq_id / 3) AS BIGINT) + k % 2 AS VARCHAR(20))) AS db_alias,
   CASE k % 8 WHEN 0 THEN 'db.internal' WHEN 1 THEN concat('10.0.', CAST(k * 3 AS VARCHAR(4)), '.7') WHEN 2 THEN '2001:db8::1' WHEN 3 THEN '-bad-.host' WHEN 4 THEN 'ho st'
