@@ -225,13 +225,17 @@ def replay_stream(spark, sf_dir):
 
 @query(
     "approval_stream",
-    f"""{with_views('approval_requests', 'approval_responses')}, m AS (SELECT max(ts_ms) - 5000 AS mark FROM approval_requests),
+    f"""{with_views('approval_requests', 'approval_responses')}, m AS (SELECT least((SELECT max(ts_ms) FROM approval_requests),
+  (SELECT max(ts_ms) FROM approval_responses WHERE role IN ('admin', 'developer'))) - 5000 AS mark),
 p AS (SELECT q.request_id, q.ts_ms AS asked, r.ts_ms, r.approved FROM approval_requests q LEFT JOIN approval_responses r ON r.request_id = q.request_id AND r.user_id = q.user_id
   AND r.nonce = q.nonce AND r.role IN ('admin', 'developer') AND r.ts_ms >= q.ts_ms AND r.ts_ms <= q.ts_ms + 60000)
 SELECT request_id, CASE WHEN approved IS NULL THEN 'expired' WHEN approved THEN 'approved' ELSE 'rejected' END AS decision, ts_ms AS decided_ms
 FROM p, m WHERE approved IS NOT NULL OR asked + 60000 < mark""",
 )
 def approval_stream(spark, sf_dir):
+    """A request expires once both streams have moved past its window, so the watermark that counts
+    is that of the slower stream."""
+
     asked = spark.sql(APPROVAL_REQ.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir))
     said = spark.sql(APPROVAL_RESP.replace("[approval_requests]", "{asked}"), asked=asked)
     timed = [df.withColumn("ts", F.timestamp_millis("ts_ms")) for df in (asked, said)]
@@ -252,6 +256,6 @@ def follow_segments(spark, sf_dir):
     log = log.withColumn("line", F.when(F.col("k") % 23 == 0, F.left("line", F.lit(20))).otherwise(F.col("line")))
     path = scratch_dir(spark, "followed")
     segments.write_segments(log, path, [], 1000, keep=None, raw="line")
-    followed = segments.follow_segments(spark, path, max_files=4)
+    followed = segments.follow_segments(spark, path)
     wanted = filters.audit_filter(followed, outcome="ERROR", since=1704412800000, time_column="ts_ms")
     return jobs.run_to_table(wanted.select("id", "action", "project"), "follow")
