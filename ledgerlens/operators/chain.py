@@ -29,14 +29,16 @@ LINK_RECORDS = 1_000_000
 def _sealer(key: bytes):
     """Fold over rows sorted by chain and position; holds one MAC, whatever the chain's length."""
 
+    genesis = C.GENESIS
+
     def seal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain, last = None, C.GENESIS
+        chain, last = None, genesis
         for batch in batches:
             before, macs = [], []
             columns = (batch.column(c).to_pylist() for c in ("chain_id", "_head", "_tail"))
             for this, head, tail in zip(*columns):
                 if this != chain:
-                    chain, last = this, C.GENESIS
+                    chain, last = this, genesis
                 before.append(last)
                 text = f'{head},"prev_hash":"{last}"{tail}{last}'
                 last = hmac.digest(key, text.encode(), "sha256").hex()

@@ -26,7 +26,9 @@ BLOCK_MS = 60_000
 Fold = Callable[[tuple, tuple | None], tuple[tuple, tuple]]
 
 
-def spend(tokens: int, elapsed_ms: int, burst: int, refill: int, per_ms: int) -> tuple[int, bool, int]:
+def spend(
+    tokens: int, elapsed_ms: int, burst: int, refill: int, per_ms: int, no_retry_ms: int = C.NO_RETRY_MS
+) -> tuple[int, bool, int]:
     """One request against a bucket: ``(tokens, allowed, retry_after_ms)``.
 
     Amounts are whole numbers in units of ``1 / per_ms`` token, so no rounding can turn an
@@ -36,7 +38,7 @@ def spend(tokens: int, elapsed_ms: int, burst: int, refill: int, per_ms: int) ->
     if tokens >= per_ms:
         return tokens - per_ms, True, 0
     if refill <= 0:
-        return tokens, False, C.NO_RETRY_MS
+        return tokens, False, no_retry_ms
     return tokens, False, max(1, -(-(per_ms - tokens) // refill))
 
 

@@ -57,6 +57,7 @@ def token_bucket_stream(
     output = T.StructType(
         [*key_fields, stream.schema[row_id], T.StructField("allowed", T.BooleanType()), T.StructField("retry_after_ms", T.LongType())]
     )
+    spend = limits.spend
     state_type = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("updated_ms", T.LongType())])
 
     def step(key: tuple, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -67,7 +68,7 @@ def token_bucket_stream(
         tokens, last = state.get if state.exists else (burst * per_ms, int(rows["_ms"].iloc[0]))
         allowed, retry = [], []
         for now in rows["_ms"]:
-            tokens, ok, wait = limits.spend(tokens, int(now) - last, burst, refill, per_ms)
+            tokens, ok, wait = spend(tokens, int(now) - last, burst, refill, per_ms)
             last = max(last, int(now))
             allowed.append(ok)
             retry.append(wait)
