@@ -41,10 +41,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, one machine) is a local folder used instead.
+    Only a session on one machine may leave that setting out; it then gets a temporary folder. On a
+    cluster the executors would each write to a disk of their own, so its absence is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.path.join(tempfile.gettempdir(), "ledgerlens-scratch")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
