@@ -6,10 +6,12 @@ on all rows of a band share a bucket. Inside a bucket only the edges from its sm
 the others are candidates, so a bucket of m members gives m - 1 pairs. Every candidate is
 confirmed on the two full sets.
 
-A star can miss a link between two members that are both too far from the hub. Members that are
-still in another component than their hub go on to a second star of their own; what is then still
-apart but shares two bands is compared pair by pair. At the required similarity two sets share two
-of the 24 bands with a probability above 0.9999, and unrelated ones practically never do.
+A star can miss a link between two members that are both too far from the hub. Members in another
+component than their hub get a second star of their own. A member x that is then still apart
+can only be linked to a member y whose difference from the hub overlaps its own: |x ^ y| is the size of
+(x ^ hub) ^ (y ^ hub), and it must stay below the bound that x ^ hub exceeds. So the differences are
+joined on their necessary prefixes (shingles that the hub lacks come first, as they are rare),
+which finds every remaining link of a bucket without forming its pairs.
 
 Equal sets are folded into one class first, so copies never meet in a bucket.
 
@@ -180,7 +182,7 @@ def near_duplicates(
         return pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
 
     def stars(members: DataFrame) -> DataFrame:
-        hubs = members.select(F.col("rep").alias("hub"), F.col("n_shingles").alias("n_a")).where("true").distinct()
+        hubs = members.where("rep = hub").select("hub", F.col("n_shingles").alias("n_a")).distinct()
         return by_size(
             members.where("rep <> hub").join(hubs, "hub")
             .select(F.col("hub").alias("a"), F.col("rep").alias("b"), "n_a", F.col("n_shingles").alias("n_b"))
@@ -204,21 +206,39 @@ def near_duplicates(
     links = saved(links.union(confirmed(stars(apart))).distinct(), "links")
     found = components(links)
 
-    # buckets that still hold several components: pairs that share two of them
-    here = placed(members, found)
-    split = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    open_ = here.join(split, "bucket", "left_semi").groupBy("rep", "n_shingles", "component").agg(F.sort_array(F.collect_set("bucket")).alias("all"))
-    fine = open_.where(F.size("all") > 1).select(
-        "rep", "n_shingles", "component", F.posexplode("all").alias("i", "first"), "all"
-    ).select("rep", "n_shingles", "component", "first", F.explode(F.expr("slice(all, i + 2, size(all))")).alias("second"))
-    several = fine.groupBy("first", "second").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").drop("low", "high")
-    fine = saved(fine.join(several, ["first", "second"], "left_semi"), "fine")
-    other = fine.select("first", "second", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("of_b"))
-    pairs = (
-        fine.select("first", "second", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("of_a"))
-        .join(other, ["first", "second"]).where("a < b and of_a <> of_b")
+    # members still apart: the links that remain show in the differences from the hub
+    here = placed(members.select("hub", "rep", "n_shingles").distinct(), found)
+    split = here.where("component <> of_hub").select("hub").distinct()
+    here = saved(here.join(split, "hub", "left_semi").where("rep <> hub"), "here")
+    own = sets.select("rep", "set")
+    base = sets.select(F.col("rep").alias("hub"), F.col("set").alias("of_all"))
+    c = f"({100 - percent} / {100 + percent})"
+    away = (
+        here.join(own, "rep").join(base, "hub")
+        .withColumn("far", F.concat(F.array_except("set", "of_all"), F.array_except("of_all", "set")))
+        .withColumn("d", F.size("far")).withColumn("n_hub", F.size("of_all"))
+        # the overlap that a member needs with one that is apart; and that one which is apart needs with any
+        .withColumn("need", F.expr(f"greatest(1, ceil((d + {c} * (n_hub - n_shingles)) / 2 - 1e-9))"))
+        .withColumn("need_apart", F.expr(f"greatest(1, ceil((d - {c} * (n_shingles + least(n_hub, n_shingles * 100 / {percent}))) / 2 - 1e-9))"))
+        .withColumn("apart", F.col("component") != F.col("of_hub"))
     )
-    more = saved(confirmed(by_size(pairs)), "links")
+    away = saved(
+        away.select(
+            "hub", "rep", "n_shingles", "component", "apart",
+            F.expr("slice(far, 1, cast(greatest(0, d - need + 1) as int))").alias("prefix"),
+            F.expr("case when apart then slice(far, 1, cast(greatest(0, d - need_apart + 1) as int)) end").alias("prefix_apart"),
+        ),
+        "away",
+    )
+    ones = away.where("apart").select(
+        "hub", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("of_a"), F.explode("prefix_apart").alias("shingle")
+    )
+    others = away.select(
+        "hub", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("of_b"), F.explode("prefix").alias("shingle")
+    )
+    pairs = ones.join(others, ["hub", "shingle"]).where(f"of_a <> of_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = saved(confirmed(pairs), "links")
     if not more.isEmpty():
         found = components(links.union(more))
 
