@@ -34,16 +34,21 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 CHUNK = 200_000
 
 
-def rolling(h: np.ndarray, width: int, salt: int) -> np.ndarray:
-    """A hash of each run of ``width`` word hashes."""
+def rolling(h: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
+    """A hash of each run of ``width`` word hashes, put together from runs of doubling width."""
+    if len(h) < width:
+        return np.empty(0, np.uint64)
+    count = len(h) - width + 1
     with np.errstate(over="ignore"):
-        h = mixed(h + np.uint64(salt)) if salt else h
-        total = np.zeros(max(0, len(h) - width + 1), np.uint64)
-        factor = GOLDEN
-        for k in range(width if len(total) else 0):
-            total += h[k : k + len(total)] * factor
-            factor = factor * GOLDEN + np.uint64(2)
-        return mixed(total)
+        total, at, run, span = np.full(count, salt, np.uint64), 0, h, 1
+        while True:
+            if width & span:
+                total = mixed((total ^ run[at : at + count]) * GOLDEN + np.uint64(span))
+                at += span
+            if at == width:
+                return total
+            run = mixed(run[:-span] * GOLDEN + run[span:])
+            span *= 2
 
 
 def _digest(words: list[bytes]) -> str:
