@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import near_dedup, substring_dedup
+from ledgerlens.llm import decontaminate, mixing, near_dedup, nearest, quality, secret_scan, sharding, substring_dedup, url_filter
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,70 @@ FROM w LEFT JOIN k ON k.doc_id = w.doc_id""")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents table, windows of 50 words."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"), window=50)
+
+
+#: (host, path, verdict)
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+
+@query("op6_url_filter", f"""
+WITH r(rhost, rpath, verdict) AS (VALUES {_RULES}),
+p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, {_LOWER.format(text="regexp_extract(rest, '^[^/?#]*', 0)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+m AS (SELECT h.*, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+      FROM h LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id, host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m""")
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole pages table, five rules."""
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULES} AS rules(host, path, verdict)")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op7_mixing")
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table, weights 1, 2, 3 in turn, at most three repeats."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_sharding")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table, 40 shards of near equal bytes."""
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query("op1_decontaminate", rf"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex({_LOWER.format(text="coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex({_LOWER.format(text="coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+v AS (SELECT item_id, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i, w FROM b WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i+n-1], ' ') AS s FROM v),
+p AS (SELECT d.doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n),
+o AS (SELECT p.doc_id, p.i, p.n, q.item_id FROM p JOIN q ON q.n = p.n AND q.s = array_to_string(p.w[p.i:p.i+p.n-1], ' ')),
+h AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM o, range(0, 10) r(k) WHERE k < n GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM o) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+  sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table against the whole benchmark, windows of ten words."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+@query("op5_secret_scan")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table; the models are learnt from its sample."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table, learnt from the labels that are not held out."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_nearest")
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector against all vectors, twenty nearest."""
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
