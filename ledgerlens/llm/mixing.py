@@ -121,3 +121,27 @@ def mix(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS, seed: int =
     return placed.withColumn("taken", taken.cast("long")).select(
         "doc_id", "source", "text_key", "size", "source_size", "target", "quota", "taken"
     )
+
+
+def whole_documents(mixed: DataFrame) -> DataFrame:
+    """(doc_id, source, text_key, copies) from the rows of ``mix``: the words taken, as whole copies of documents.
+
+    In each source the documents are sorted by size, and the running sum of ``taken / size`` is rounded
+    down; a document gets the steps that fall on it. So its copies are ``taken / size`` rounded down
+    or up, and as neighbours are of like size the words of a source stay near those taken. Rows that are equal in
+    doc_id, source and text count as one line of their own each; they get the copies of the first.
+    """
+    unit = 1 << 20
+    line = (
+        mixed.groupBy("doc_id", "source", "text_key").agg(F.max("size").alias("size"), F.first("taken").alias("taken"))
+        .withColumn("name", F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit(""))))
+        # longest first, cut into ranges of like size
+        .withColumn("piece", -F.floor(F.log2(F.greatest(F.lit(1), F.col("size"))) * 8))
+        .withColumn("share", F.when(F.col("size") > 0, F.expr(f"taken * {unit} div size")).otherwise(F.lit(unit)).cast("long"))
+        .withColumn("down", -F.col("size"))
+    )
+    line = ordered.running(line, ["name"], "piece", ["down", "doc_id", "text_key"], F.col("share"), "sum", "upto")
+    half = unit // 2
+    return line.select(
+        "doc_id", "source", "text_key", F.expr(f"cast((upto + {half}) div {unit} - (upto - share + {half}) div {unit} as int)").alias("copies")
+    )

@@ -1,7 +1,7 @@
 """Document quality by supervised subword embeddings.
 
 Every word and every character 4-gram (over the bytes, words joined by one space) is hashed into a
-table of vectors. A document is the average of the vectors of all its words and 4-grams, and a softmax layer on
+table of vectors; a word that only repeats the word before it has one row of its own. A document is the average of the vectors of all its words and 4-grams, and a softmax layer on
 it gives the classes. Vectors and layer are trained together by stochastic gradient descent in numpy, on
 a bounded sample: at most ``PER_CLASS`` labelled documents of each class, those with the smallest
 hashes of their doc_id, whole texts. The sample's class weights restore the label frequencies.
@@ -26,6 +26,8 @@ from ledgerlens.llm.common import WordHashes, utf8
 BITS, DIM = 16, 16
 PER_CLASS, EPOCHS, RATE, SEED = 1500, 6, 4.0, 5
 THRESHOLD = 0.3
+#: the table row of every word that equals the word before it
+REPEAT = 0
 _P = [np.uint32(p) for p in (2654435761, 2246822519, 3266489917, 668265263)]
 
 
@@ -34,7 +36,9 @@ def features(text: str | None, hashes: WordHashes) -> np.ndarray:
     words = utf8(text).split()
     if not words:
         return np.empty(0, np.int64)
-    own = (hashes.of(words) >> np.uint64(64 - BITS)).astype(np.int64)
+    h = hashes.of(words)
+    own = (h >> np.uint64(64 - BITS)).astype(np.int64)
+    own[1:][h[1:] == h[:-1]] = REPEAT
     b = np.frombuffer(b" " + b" ".join(words) + b"  ", np.uint8).astype(np.uint32)
     with np.errstate(over="ignore"):
         grams = b[:-3] * _P[0] + b[1:-2] * _P[1] + b[2:-1] * _P[2] + b[3:] * _P[3]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, mixing, near_dedup, nearest, quality, secret_scan, sharding, substring_dedup, url_filter
+from ledgerlens.llm import decontaminate, html_text, mixing, near_dedup, nearest, quality, secret_scan, sharding, substring_dedup, url_filter
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every twentieth vector against all vectors, twenty nearest."""
     return nearest.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query("op2_html_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole pages table."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
