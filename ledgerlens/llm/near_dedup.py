@@ -224,19 +224,24 @@ def near_duplicates(
     )
     away = saved(
         away.select(
-            "hub", "rep", "n_shingles", "component", "apart",
+            "hub", "rep", "n_shingles", "component", "apart", "d",
             F.expr("slice(far, 1, cast(greatest(0, d - need + 1) as int))").alias("prefix"),
             F.expr("case when apart then slice(far, 1, cast(greatest(0, d - need_apart + 1) as int)) end").alias("prefix_apart"),
         ),
         "away",
     )
-    ones = away.where("apart").select(
-        "hub", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("of_a"), F.explode("prefix_apart").alias("shingle")
-    )
-    others = away.select(
-        "hub", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("of_b"), F.explode("prefix").alias("shingle")
+
+    def side(rows: DataFrame, name: str, prefix: str) -> DataFrame:
+        return rows.select(
+            "hub", F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("component").alias(f"of_{name}"),
+            F.col("d").alias(f"d_{name}"), F.posexplode(prefix).alias(f"i_{name}", "shingle"),
+        )
+
+    # the overlap that two differences of these sizes need bounds the places of their first common shingle
+    overlap = f"greatest(1, ceil((d_a + d_b - {c} * (n_a + n_b)) / 2 - 1e-9))"
+    pairs = side(away.where("apart"), "a", "prefix_apart").join(side(away, "b", "prefix"), ["hub", "shingle"]).where(
+        f"of_a <> of_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and least(d_a - i_a, d_b - i_b) >= {overlap}"
     )
-    pairs = ones.join(others, ["hub", "shingle"]).where(f"of_a <> of_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = saved(confirmed(pairs), "links")
     if not more.isEmpty():
