@@ -7,7 +7,7 @@ The models are first-order character chains of random strings and of ordinary id
 alphabet of tokens. They are trained from labelled samples: random strings are digests in
 several encodings; ordinary identifiers are words of ``SAMPLE_DOCS`` documents (those with the smallest hashes of
 their doc_id), alone and joined in the usual ways. A token of ``TOKEN`` characters or more is a secret if
-the log-likelihood ratio of its transitions is above ``EVIDENCE`` and it holds both letters and digits or
+the log-likelihood ratio of its transitions is above ``EVIDENCE`` on average and it holds both letters and digits or
 both cases. Such spans are added where no base span overlaps them.
 
 A null text is empty. Rows that repeat a doc_id are judged each on its own text. Without documents to
@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_VALUE, ACCESS_LENGTH = 8, 16
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-TOKEN, EVIDENCE = 20, 20.0
+TOKEN, EVIDENCE, BACKING = 20, 1.5, 20.0
 LONG_TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{TOKEN},}}"
 SAMPLE_DOCS, SAMPLE_STRINGS = 400, 4000
 NO_DOC = -(1 << 63)
@@ -61,14 +61,17 @@ def ratios(labelled: DataFrame) -> list[float]:
         .where("length(pair) = 2").groupBy("random", "pair").count().collect()  # at most two alphabets squared
     )
     size, place = len(ALPHABET), {c: i for i, c in enumerate(ALPHABET)}
-    seen = {side: [[1.0] * size for _ in range(size)] for side in (True, False)}
-    for r in pairs:
-        if r["pair"][0] in place and r["pair"][1] in place:
-            seen[r["random"]][place[r["pair"][0]]][place[r["pair"][1]]] += r["count"]
-    return [
-        math.log(seen[True][i][j] / sum(seen[True][i])) - math.log(seen[False][i][j] / sum(seen[False][i]))
-        for i in range(size) for j in range(size)
-    ]
+    chains = {}
+    for side in (True, False):
+        counts = [[0.0] * size for _ in range(size)]
+        for r in pairs:
+            if r["random"] == side and r["pair"][0] in place and r["pair"][1] in place:
+                counts[place[r["pair"][0]]][place[r["pair"][1]]] = float(r["count"])
+        # rows seen seldom lean on the frequencies of single characters
+        single = [sum(row[j] for row in counts) + 0.5 for j in range(size)]
+        share = [x / sum(single) for x in single]
+        chains[side] = [[(n + BACKING * share[j]) / (sum(row) + BACKING) for j, n in enumerate(row)] for row in counts]
+    return [math.log(a) - math.log(b) for one, other in zip(chains[True], chains[False]) for a, b in zip(one, other)]
 
 
 def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
@@ -112,7 +115,7 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
             F.when(F.col("kind") == "assign", F.char_length("value") >= ASSIGN_VALUE)
             .when(F.col("kind") == "access", F.char_length("match") >= ACCESS_LENGTH)
             .when(F.col("kind") == "hex", F.lit(True))
-            .otherwise(mixed & (score > EVIDENCE))
+            .otherwise(mixed & (score > EVIDENCE * (F.char_length("match") - 1)))
         )
     )
     base = F.col("kind") != "markov"
