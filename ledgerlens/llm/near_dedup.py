@@ -234,13 +234,13 @@ def near_duplicates(
     def side(rows: DataFrame, name: str, prefix: str) -> DataFrame:
         return rows.select(
             "hub", F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("component").alias(f"of_{name}"),
-            F.col("d").alias(f"d_{name}"), F.posexplode(prefix).alias(f"i_{name}", "shingle"),
+            F.col("d").alias(f"d_{name}"), F.col("apart").alias(f"apart_{name}"), F.posexplode(prefix).alias(f"i_{name}", "shingle"),
         )
 
     # the overlap that two differences of these sizes need bounds the places of their first common shingle
     overlap = f"greatest(1, ceil((d_a + d_b - {c} * (n_a + n_b)) / 2 - 1e-9))"
     pairs = side(away.where("apart"), "a", "prefix_apart").join(side(away, "b", "prefix"), ["hub", "shingle"]).where(
-        f"of_a <> of_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and least(d_a - i_a, d_b - i_b) >= {overlap}"
+        f"of_a <> of_b and (a < b or not apart_b) and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and least(d_a - i_a, d_b - i_b) >= {overlap}"
     )
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = saved(confirmed(pairs), "links")
