@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import WordHashes, utf8
 
 BITS, DIM = 16, 16
-PER_CLASS, EPOCHS, RATE, SEED = 1500, 6, 4.0, 5
+PER_CLASS, EPOCHS, RATE, SEED = 1000, 6, 4.0, 5
 THRESHOLD = 0.3
 #: the table row of every word that equals the word before it
 REPEAT = 0
@@ -47,7 +47,7 @@ def features(text: str | None, hashes: WordHashes) -> np.ndarray:
 
 
 def train(samples: list[tuple[int, float, np.ndarray, np.ndarray]], prior: float) -> tuple[np.ndarray, float]:
-    """``samples``: (class, loss weight, table rows, their shares). Returns the log-odds of each table row and the bias."""
+    """``samples``: (class, loss weight, table rows, their counts). Returns the log-odds of each table row and the bias."""
     rng = np.random.default_rng(SEED)
     table = rng.uniform(-1 / DIM, 1 / DIM, (2 << BITS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, 2), np.float32), np.array([0.0, np.log(prior / (1 - prior))], np.float32)
@@ -55,11 +55,12 @@ def train(samples: list[tuple[int, float, np.ndarray, np.ndarray]], prior: float
         steps, done = EPOCHS * len(samples), 0
         for _ in range(EPOCHS):
             for i in rng.permutation(len(samples)):
-                cls, weight, rows, share = samples[i]
+                cls, weight, rows, counts = samples[i]
                 rate = RATE * weight * (1 - done / steps)
                 done += 1
                 if not len(rows):
                     continue
+                share = (counts / counts.sum()).astype(np.float32)
                 vectors = table[rows]
                 mean = share @ vectors
                 logits = mean @ layer + bias
@@ -77,7 +78,7 @@ def _features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = [np.unique(features(t, hashes), return_counts=True) for t in frame["text"]]
         yield pd.DataFrame({
             "doc_id": frame["doc_id"], "quality": frame["quality"], "rows": [r.astype(np.int32) for r, _ in found],
-            "shares": [(n / max(1, n.sum())).astype(np.float32) for _, n in found],
+            "counts": [n.astype(np.int32) for _, n in found],
         })
 
 
@@ -98,14 +99,22 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tup
         chosen = part if chosen is None else chosen.union(part)
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .mapInPandas(_features, "doc_id long, quality int, rows array<int>, shares array<float>").toPandas()
+        .mapInPandas(_features, "doc_id long, quality int, rows array<int>, counts array<int>").toArrow().combine_chunks()
     )
-    rows = rows.sort_values("doc_id", kind="stable")
-    got = rows["quality"].value_counts().to_dict()
+    # views of one flat copy of all table rows and counts
+    classes, ids = rows["quality"].to_numpy(), rows["doc_id"].to_numpy()
+    flat = {c: rows[c].combine_chunks() for c in ("rows", "counts")}
+    at = flat["rows"].offsets.to_numpy()
+    values, seen = (flat[c].values.to_numpy() for c in ("rows", "counts"))
+    got = {int(c): int((classes == c).sum()) for c in np.unique(classes)}
     total = sum(counts.get(c, 0) for c in got) or 1
-    weight = {c: counts[c] / total * len(rows) / n for c, n in got.items()}
+    weight = {c: counts[c] / total * len(classes) / n for c, n in got.items()}
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    return train([(int(q), weight[q], np.asarray(r), np.asarray(s)) for q, r, s in zip(rows["quality"], rows["rows"], rows["shares"])], prior)
+    samples = []
+    for i in np.argsort(ids, kind="stable"):
+        part = slice(at[i], at[i + 1])
+        samples.append((int(classes[i]), weight[int(classes[i])], values[part], seen[part]))
+    return train(samples, prior)
 
 
 def scorer(model: tuple[np.ndarray, float]):
