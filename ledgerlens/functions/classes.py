@@ -11,8 +11,6 @@ from ledgerlens import constants as C
 from ledgerlens.functions.redaction import strip_literals
 from ledgerlens.functions.sqltext import lit
 
-#: parentheses are unfolded to this depth when the main verb of a WITH statement is looked for
-NESTING = 8
 
 # Fixed values: (first words, rest of the leading words, class, verb). The first match counts.
 VERBS = [
@@ -148,11 +146,15 @@ def statements_of(clean: str) -> str:
 
 def main_text(s: str) -> str:
     """The statement that is classified: an EXPLAIN is unwrapped, and of a WITH statement the part
-    after its common table expressions is taken by unfolding parentheses from the inside."""
+    after its common table expressions is taken by leaving out all parentheses, at any depth."""
     body = f"CASE WHEN contains({s}, 'explain') THEN regexp_replace({s}, {lit(_EXPLAIN)}, '') ELSE {s} END"
-    flat = body
-    for _ in range(NESTING):
-        flat = f"regexp_replace({flat}, {lit(r'\([^()]*+\)')}, ' ')"
+    # text outside of all parentheses, one blank for each outermost pair; an unclosed one hides the rest
+    flat = (
+        f"aggregate(regexp_extract_all({body}, {lit('[()]|[^()]++')}, 0), named_struct('depth', 0, 'text', ''), (a, x) -> CASE "
+        "WHEN x = '(' THEN named_struct('depth', a.depth + 1, 'text', a.text) "
+        "WHEN x = ')' THEN named_struct('depth', greatest(a.depth - 1, 0), 'text', IF(a.depth <= 1, concat(a.text, ' '), a.text)) "
+        "WHEN a.depth = 0 THEN named_struct('depth', a.depth, 'text', concat(a.text, x)) ELSE a END, a -> a.text)"
+    )
     main = f"regexp_extract({flat}, {lit(r'\b(?:select|values|table|insert|update|delete|merge)\b[\s\S]*+')}, 0)"
     return f"CASE WHEN contains({s}, 'with') AND {body} RLIKE {lit(r'^\s*+with\b')} THEN {main} ELSE {body} END"
 

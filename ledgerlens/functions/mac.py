@@ -29,11 +29,12 @@ def canonical_json(columns: Iterable[str]) -> str:
 
 
 def canonical_line(raw: str) -> str:
-    """Canonical text of a stored JSON line without its ``mac`` and ``hash`` keys.
+    """Canonical text of a stored JSON line without its own ``mac`` and ``hash`` keys.
 
     The variant type keeps object keys sorted, number spelling of integers, explicit nulls and
-    array positions, so unknown fields of a record are covered by its MAC too.
+    array positions, so unknown fields of a record are covered by its MAC too, and so are keys of these
+    names inside of them.
     """
-    text = f"to_json(try_parse_json({raw}))"
-    middle = f"""regexp_replace({text}, '"(?:hash|mac)":"[^"]*",', '')"""
-    return f"""regexp_replace({middle}, ',?"(?:hash|mac)":"[^"]*"(?=[}}])', '')"""
+    line = f"try_parse_json({raw})"
+    entries = f"try_variant_get({line}, '$', 'map<string, variant>')"
+    return f"coalesce(to_json(map_filter({entries}, (k, v) -> k NOT IN ('hash', 'mac'))), to_json({line}))"

@@ -130,7 +130,7 @@ def write_segments(
     path: str,
     columns: Sequence[str],
     max_rows: int,
-    keep: int | None = C.KEEP_ARCHIVES + 1,
+    keep: int | None = None,
     seq: str = "seq",
     raw: str | None = None,
 ) -> DataFrame:
@@ -138,14 +138,15 @@ def write_segments(
     floor as a one-row frame ``(segments, first_segment, retained_from_seq)``.
 
     The segment is arithmetic on ``seq``, so no global order is needed; each segment is one task
-    and one file, sorted inside. Only the newest ``keep`` segments are written. ``raw`` names a
+    and one file, sorted inside. All segments are written unless ``keep`` asks for the newest ones only.
+    Rows without a sequence number come first in the first segment written. ``raw`` names a
     ready-made line column to write instead of ``columns``.
     """
     line = F.col(raw) if raw else F.to_json(F.struct(*sorted(columns)))
     segmented = df.withColumn("segment", F.floor((F.col(seq) - 1) / max_rows).cast("bigint"))
     last = segmented.agg(F.max("segment").alias("last")).first()["last"]
     first = max(0, last - keep + 1) if (keep is not None and last is not None) else 0
-    kept = segmented.where(F.col("segment") >= first)
+    kept = segmented.withColumn("segment", F.coalesce("segment", F.lit(first).cast("bigint"))).where(F.col("segment") >= first)
     (
         kept.select("segment", seq, line.alias("value"))
         .repartition("segment")

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import mac
 from ledgerlens.operators import chain
 from ledgerlens.sources import segments
 
@@ -259,11 +260,24 @@ def test_write_verify_and_retain(spark, built, tmp_path):
         assert row.intact and row.events == ROWS - 14
 
 
+def test_all_segments_are_written_unless_told(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "x") for i in range(1, 41)] + [(None, "y")], "seq long, note string")
+    floor = segments.write_segments(rows, str(tmp_path / "all"), ["seq", "note"], max_rows=2).first()
+    assert (floor.segments, floor.retained_from_seq) == (20, 1)
+    assert spark.read.text(str(tmp_path / "all")).count() == 41
+
+
+def test_nested_keys_named_like_the_mac_are_covered(spark):
+    lines = [json.dumps({"seq": 1, "mac": "m", "x": {"mac": v, "hash": "h"}}) for v in ("a", "b")]
+    got = spark.createDataFrame([(x,) for x in lines], "raw string").selectExpr(f"{mac.canonical_line('raw')} AS c").distinct()
+    assert {r.c for r in got.collect()} == {'{"seq":1,"x":{"hash":"h","mac":"%s"}}' % v for v in "ab"}
+
+
 def test_raw_verification_covers_unknown_fields(spark):
     record = {"chain_id": "c", "seq": 1, "prev_hash": "0" * 64, "extra": {"b": 1, "a": [1.5, None]}, "t": "é"}
     text = json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=False) + record["prev_hash"]
-    mac = py_hmac.new(KEY, text.encode(), hashlib.sha256).hexdigest()
-    line = json.dumps(record | {"mac": mac, "hash": mac}, ensure_ascii=False)
+    seal = py_hmac.new(KEY, text.encode(), hashlib.sha256).hexdigest()
+    line = json.dumps(record | {"mac": seal, "hash": seal}, ensure_ascii=False)
     schema = "chain_id string, seq long, prev_hash string, mac string, hash string"
     for raw, reason in ((line, None), (line.replace("1.5", "1.6"), "mac_mismatch")):
         df = segments.parse_lines(spark.createDataFrame([(raw,)], "raw string"), spark.createDataFrame([], schema).schema)

@@ -6,7 +6,7 @@ import hmac as py_hmac
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import mac, redaction, scrubbing
+from ledgerlens.functions import classes, mac, redaction, scrubbing
 from ledgerlens.functions.register import register
 from ledgerlens.operators import text_jobs
 
@@ -208,6 +208,12 @@ def test_classes(spark):
     assert not wrong
 
 
+def test_main_verb_behind_deep_parentheses(spark):
+    deep = f"WITH d AS (SELECT {'(' * 30}1{')' * 30}) DELETE FROM t"
+    got = spark.createDataFrame([(deep.lower(),), ("with d as (select 1 delete from t",)], "s string").selectExpr(f"{classes.main_text('s')} AS m")
+    assert [r.m for r in got.collect()] == ["delete from t", ""]
+
+
 def test_called_functions(spark):
     df = spark.createDataFrame([("SELECT count(*), app.f (x) FROM g(1) WHERE a IN (1) AND lower(b) = upper(lower(c))",), ("INSERT INTO t (a) VALUES (now())",)], "sql string")
     got = [sorted(r.functions) for r in text_jobs.classify_statements(df).collect()]
