@@ -10,8 +10,8 @@ A star can miss a link between two members that are both too far from the hub. M
 component than their hub get a second star of their own. A member x that is then still apart
 can only be linked to a member y whose difference from the hub overlaps its own: |x ^ y| is the size of
 (x ^ hub) ^ (y ^ hub), and it must stay below the bound that x ^ hub exceeds. So the differences are
-joined on their necessary prefixes (shingles that the hub lacks come first, as they are rare),
-which finds every remaining link of a bucket without forming its pairs.
+joined on their necessary prefixes, in the order of how many of the hub's members have a shingle, rarest
+first. This finds every remaining link of a bucket without forming its pairs.
 
 Equal sets are folded into one class first, so copies never meet in a bucket.
 
@@ -222,8 +222,15 @@ def near_duplicates(
         .withColumn("need_apart", F.expr(f"greatest(1, ceil((d - {c} * (n_shingles + least(n_hub, n_shingles * 100 / {percent}))) / 2 - 1e-9))"))
         .withColumn("apart", F.col("component") != F.col("of_hub"))
     )
+    away = saved(away.select("hub", "rep", "n_shingles", "component", "apart", "d", "need", "need_apart", "far"), "differences")
+    # the rarest of a hub's differences come first; most are found in one member only
+    each = away.select("hub", "rep", F.explode("far").alias("shingle"))
+    common = each.groupBy("hub", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+    rarest = each.join(common, ["hub", "shingle"], "left").groupBy("hub", "rep").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle")))["shingle"].alias("far")
+    )
     away = saved(
-        away.select(
+        away.drop("far").join(rarest, ["hub", "rep"]).select(
             "hub", "rep", "n_shingles", "component", "apart", "d",
             F.expr("slice(far, 1, cast(greatest(0, d - need + 1) as int))").alias("prefix"),
             F.expr("case when apart then slice(far, 1, cast(greatest(0, d - need_apart + 1) as int)) end").alias("prefix_apart"),
