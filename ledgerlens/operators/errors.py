@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens import constants as C
 from ledgerlens.functions import redaction, scrubbing
 from ledgerlens.operators.text_jobs import scrub_text
+from ledgerlens.session import fixed_table
 
 
 def code_table(spark: SparkSession) -> DataFrame:
@@ -18,13 +19,13 @@ def code_table(spark: SparkSession) -> DataFrame:
     rows = [
         (c, C.CURATED_MESSAGES.get(c), C.CURATED_HINTS.get(c), c in C.DETAIL_CODES, c in C.RETRYABLE_CODES) for c in codes
     ]
-    return spark.createDataFrame(rows, "code string, curated string, hint string, show_detail boolean, retryable boolean")
+    return fixed_table(spark, rows, "code string, curated string, hint string, show_detail boolean, retryable boolean")
 
 
 def request_code_table(spark: SparkSession) -> DataFrame:
     """The rule table of request errors ``(code, message, fatal, retryable, hint)``."""
     rows = [(code, *entry) for code, entry in C.REQUEST_ERRORS.items()]
-    return spark.createDataFrame(rows, "code string, message string, fatal boolean, retryable boolean, hint string")
+    return fixed_table(spark, rows, "code string, message string, fatal boolean, retryable boolean, hint string")
 
 
 def describe_codes(df: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.operators.ordered import number_rows, running, with_previous
+from ledgerlens.operators.ordered import PLACE, across, before, inside, number_rows, placed, running, with_previous
 from ledgerlens.session import cut_lineage
 
 #: Default width of a time block. A minute keeps both the rows of a hot key inside one block and
@@ -102,24 +102,22 @@ def token_bucket(
     that is where ``x`` does not exceed any earlier ``x``. Busy periods between such points are
     independent; a key that is over its rate without pause is one period, streamed in order.
     """
-    df = df.withColumns(policy).withColumn("_block", F.floor(F.col(ts_ms) / block_ms))
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    x = (F.row_number().over(inside) - 1) * F.col("per_ms") - F.col("refill") * F.col(ts_ms)
+    df = placed(df.withColumns(policy).withColumn("_block", F.floor(F.col(ts_ms) / block_ms)), keys, "_block")
+    x = (F.row_number().over(inside(order)) - 1) * F.col("per_ms") - F.col("refill") * F.col(ts_ms)
     local = df.withColumn("_x", x)
-    across = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_block")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = before(across(keys, "_block"))
     blocks = (
-        local.groupBy(*keys, "_block")
+        local.groupBy(PLACE)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"), F.first("per_ms").alias("_unit"))
-        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) * F.col("_unit"))
-        .withColumn("_carry", F.min(F.col("_low") + F.col("_shift")).over(before))
-        .select(*keys, "_block", "_shift", "_carry")
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) * F.col("_unit"))
+        .withColumn("_carry", F.min(F.col("_low") + F.col("_shift")).over(earlier))
+        .select(PLACE, "_shift", "_carry")
     )
-    near = F.min("_x").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    marked = local.withColumn("_near", near).join(blocks, [*keys, "_block"], "left")
+    near = F.min("_x").over(before(inside(order)))
+    marked = local.withColumn("_near", near).join(blocks, PLACE, "left")
     lowest = F.least(F.col("_carry"), F.col("_near") + F.col("_shift"))
     starts = lowest.isNull() | (F.col("_x") + F.col("_shift") <= lowest)
-    marked = marked.withColumn("_starts", starts).drop("_x", "_near", "_shift", "_carry")
+    marked = marked.withColumn("_starts", starts).drop(PLACE, "_x", "_near", "_shift", "_carry")
     outputs = T.StructType([T.StructField("allowed", T.BooleanType()), T.StructField("retry_after_ms", T.LongType())])
     folded = fold_marked(marked, keys, order, [ts_ms, "burst", "refill", "per_ms"], _bucket, outputs, "bucket")
     return folded.drop(*policy)
@@ -145,15 +143,25 @@ def attempts_in_window(
     the previous row, null when that is longer ago than a window).
 
     Rows are copied into the following block of one window length, so every trailing window lies
-    inside one ``(key, block)`` group.
+    inside one ``(key, block)`` group. A row leaves the window just after it is ``window_ms`` old; that moment
+    is a row of its own in the following block. The count is then a running sum of rows
+    come and gone, linear in the rows however many lie in one window.
     """
     block = F.floor(F.col(ts_ms) / window_ms)
-    halo = df.withColumn("_block", F.explode(F.array(block, block + 1)))
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    ranked = halo.withColumns({"_rn": F.row_number().over(inside), "_gap": F.col(ts_ms) - F.lag(ts_ms).over(inside)})
-    trailing = Window.partitionBy(*keys, "_block").orderBy(ts_ms).rangeBetween(-window_ms, 0)
-    counted = ranked.withColumn("attempts", F.col("_rn") - F.min("_rn").over(trailing))
-    return counted.where(F.col("_block") == block).drop("_rn")
+    moments = F.array(
+        F.struct(block.alias("_block"), F.col(ts_ms).alias("_at"), F.lit(1).alias("_step")),
+        F.struct((block + 1).alias("_block"), F.col(ts_ms).alias("_at"), F.lit(1).alias("_step")),
+        F.struct((block + 1).alias("_block"), (F.col(ts_ms) + window_ms + 1).alias("_at"), F.lit(-1).alias("_step")),
+    )
+    halo = df.select("*", F.inline(moments))
+    earlier = before(Window.partitionBy(*keys, "_block").orderBy("_at", "_step", *order))
+    counted = halo.withColumns(
+        {
+            "attempts": F.coalesce(F.sum("_step").over(earlier), F.lit(0)),
+            "_gap": F.col(ts_ms) - F.max(F.when(F.col("_step") == 1, F.col("_at"))).over(earlier),
+        }
+    )
+    return counted.where((F.col("_step") == 1) & (F.col("_block") == block)).drop("_at", "_step")
 
 
 def churn_budget(

@@ -6,7 +6,9 @@ range of sequence numbers). Rows are only ever ordered inside one ``(key, block)
 crosses a block border is carried by a one-row-per-block summary, which is the only thing that is
 ordered by key alone. The main data is shuffled once, on ``keys + block``.
 
-``block`` must be non-decreasing along ``order`` within a key, and keys must not be null.
+``block`` must be non-decreasing along ``order`` within a key. Null keys are one key like any other: rows
+and summaries meet on a struct of keys and block, whose null fields are equal to each other, so that the
+windows, the summary and the join all use the same partitioning.
 """
 
 from __future__ import annotations
@@ -17,15 +19,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _inside(keys: Sequence[str], block: str, order: Sequence[str]):
-    return Window.partitionBy(*keys, block).orderBy(*order)
+#: the struct of keys and block while a helper works
+PLACE = "_place"
 
 
-def _across(keys: Sequence[str], block: str):
-    return (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(block)
+def placed(df: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
+    return df.withColumn(PLACE, F.struct(*keys, block))
 
 
-def _before(window):
+def inside(order: Sequence[str]):
+    return Window.partitionBy(PLACE).orderBy(*order)
+
+
+def across(keys: Sequence[str], block: str):
+    key = [F.col(PLACE)[k] for k in keys] or [F.lit(0)]
+    return Window.partitionBy(*key).orderBy(F.col(PLACE)[block])
+
+
+def before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
@@ -37,17 +48,18 @@ def number_rows(
     df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], name: str = "rn"
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, block by block."""
+    df = placed(df, keys, block)
     sizes = (
-        df.groupBy(*keys, block)
+        df.groupBy(PLACE)
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_skip", F.coalesce(F.sum("_size").over(_before(_across(keys, block))), F.lit(0)))
+        .withColumn("_skip", F.coalesce(F.sum("_size").over(before(across(keys, block))), F.lit(0)))
         .drop("_size")
     )
     return (
-        df.withColumn("_local", F.row_number().over(_inside(keys, block, order)))
-        .join(sizes, [*keys, block], "left")
+        df.withColumn("_local", F.row_number().over(inside(order)))
+        .join(sizes, PLACE, "left")
         .withColumn(name, F.col("_skip") + F.col("_local"))
-        .drop("_skip", "_local")
+        .drop(PLACE, "_skip", "_local")
     )
 
 
@@ -63,21 +75,20 @@ def running(
 ) -> DataFrame:
     """Running ``sum``, ``min`` or ``max`` of ``value`` along the order of each key."""
     fold = {"sum": F.sum, "min": F.min, "max": F.max}[how]
-    df = df.withColumn("_value", value)
+    df = placed(df, keys, block).withColumn("_value", value)
     totals = (
-        df.groupBy(*keys, block)
+        df.groupBy(PLACE)
         .agg(fold("_value").alias("_total"))
-        .withColumn("_carry", fold("_total").over(_before(_across(keys, block))))
+        .withColumn("_carry", fold("_total").over(before(across(keys, block))))
         .drop("_total")
     )
-    inside = _inside(keys, block, order)
-    frame = _upto(inside) if inclusive else _before(inside)
-    local = df.withColumn("_local", fold("_value").over(frame)).join(totals, [*keys, block], "left")
+    frame = _upto(inside(order)) if inclusive else before(inside(order))
+    local = df.withColumn("_local", fold("_value").over(frame)).join(totals, PLACE, "left")
     if how == "sum":
         merged = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
     else:
         merged = {"min": F.least, "max": F.greatest}[how]("_carry", "_local")
-    return local.withColumn(name, merged).drop("_value", "_carry", "_local")
+    return local.withColumn(name, merged).drop(PLACE, "_value", "_carry", "_local")
 
 
 def with_previous(
@@ -93,20 +104,20 @@ def with_previous(
     1-based position of every row within its key."""
     packed = F.struct(*[F.col(c) for c in carry])
     along = F.struct(*[F.col(c) for c in order])
-    across = _across(keys, block)
+    df = placed(df, keys, block)
+    blocks = across(keys, block)
     tails = (
-        df.groupBy(*keys, block)
+        df.groupBy(PLACE)
         .agg(F.max_by(packed, along).alias("_tail"), F.count(F.lit(1)).alias("_size"))
-        .withColumn("_carried", F.lag("_tail").over(across))
-        .withColumn("_skip", F.coalesce(F.sum("_size").over(_before(across)), F.lit(0)))
+        .withColumn("_carried", F.lag("_tail").over(blocks))
+        .withColumn("_skip", F.coalesce(F.sum("_size").over(before(blocks)), F.lit(0)))
         .drop("_tail", "_size")
     )
-    inside = _inside(keys, block, order)
     return (
-        df.withColumn("_near", F.lag(packed).over(inside))
-        .withColumn("_local", F.row_number().over(inside))
-        .join(tails, [*keys, block], "left")
+        df.withColumn("_near", F.lag(packed).over(inside(order)))
+        .withColumn("_local", F.row_number().over(inside(order)))
+        .join(tails, PLACE, "left")
         .withColumn(name, F.coalesce("_near", "_carried"))
         .withColumn(position, F.col("_skip") + F.col("_local"))
-        .drop("_near", "_local", "_carried", "_skip")
+        .drop(PLACE, "_near", "_local", "_carried", "_skip")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
 from ledgerlens.functions.sqltext import lit
+from ledgerlens.session import fixed_table
 
 
 def _ranked(column: Column, ranks: Mapping[str, int]) -> Column:
@@ -47,7 +48,7 @@ def has_capability(role: Column, capability: Column) -> Column:
 def role_capabilities(spark: SparkSession) -> DataFrame:
     """The fixed role model as a rule table ``(role, capability)``."""
     rows = [(role, cap) for role, caps in C.ROLE_CAPABILITIES.items() for cap in caps]
-    return spark.createDataFrame(rows, "role string, capability string")
+    return fixed_table(spark, rows, "role string, capability string")
 
 
 # --- function effects --------------------------------------------------------------------------
@@ -431,7 +432,8 @@ def authorise_plans(runs: DataFrame, plans: DataFrame) -> DataFrame:
     after_use = F.col("_consumed").isNotNull() & (moment > F.col("_consumed"))
     removed = F.col("_consumed").isNull() & F.col("_expired").isNotNull() & (moment > F.col("_expired"))
     code = F.when(after_use, "plan_already_consumed").when(removed, "plan_not_registered").otherwise(F.col("_refusal"))
-    return df.join(ends, ["plan_id"]).withColumn("code", code).select(
+    # a run without a plan id meets no end and stays refused
+    return df.join(ends, ["plan_id"], "left").withColumn("code", code).select(
         *runs.columns, F.col("code").isNull().alias("ok"), "code"
     )
 

@@ -66,17 +66,24 @@ def mask_credentials(df: DataFrame, text: str = "text", to: str = "masked", secr
 
 def acceptable_plans(df: DataFrame, plan: str = "plan_id", most: int = C.MAX_PLAN_STATEMENTS) -> DataFrame:
     """Rows of the plans that can exist: the payload rules refuse one of more than ``most``
-    statements, so lists per plan are bounded whatever the table holds."""
+    statements, so lists per plan are bounded whatever the table holds. See :func:`plan_status`."""
     sizes = df.groupBy(F.col(plan).alias("_plan")).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") <= most)
     return df.join(sizes, F.col(plan) == F.col("_plan"), "left_semi")
 
 
+def plan_status(df: DataFrame, plan: str = "plan_id", most: int = C.MAX_PLAN_STATEMENTS) -> DataFrame:
+    """Every plan with ``plan_status``: accepted, too_many_statements or no_plan_id."""
+    status = F.when(F.col(plan).isNull(), "no_plan_id").when(F.count(F.lit(1)) > most, "too_many_statements").otherwise("accepted")
+    return df.groupBy(plan).agg(status.alias("plan_status"))
+
+
 def plan_hash(df: DataFrame, plan: str = "plan_id", idx: str = "idx", sql: str = "sql") -> DataFrame:
-    """One hash per acceptable plan over its statements in order."""
+    """One row per plan: the hash over its statements in order, null unless ``plan_status`` is accepted."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(idx, sql))), lambda s: s[sql])
-    return acceptable_plans(df, plan).groupBy(plan).agg(ordered.alias("_list")).select(
+    hashed = acceptable_plans(df, plan).groupBy(plan).agg(ordered.alias("_list")).select(
         plan, F.expr(redaction.statement_hash("_list")).alias("statements_hash")
     )
+    return plan_status(df, plan).join(hashed, plan, "left").select(plan, "statements_hash", "plan_status")
 
 
 def _text_size(field: T.StructField) -> str | None:
@@ -221,7 +228,8 @@ def non_transactional(df: DataFrame, sql: str = "sql") -> DataFrame:
 
 
 def plan_transactionality(df: DataFrame, plan: str = "plan_id", idx: str = "idx", sql: str = "sql") -> DataFrame:
-    """Per acceptable plan: the indices that stop it from running in one transaction."""
+    """Per plan: the indices that stop it from running in one transaction. A plan whose ``plan_status`` is
+    not accepted has null lists and counts as one that cannot."""
     rows = non_transactional(acceptable_plans(df, plan), sql)
 
     def where(status: str):
@@ -233,4 +241,7 @@ def plan_transactionality(df: DataFrame, plan: str = "plan_id", idx: str = "idx"
         where("ambiguous").alias("ambiguous_indices"),
     )
     lists = ("non_tx_indices", "unparseable_indices", "ambiguous_indices")
-    return grouped.withColumn("has_non_transactional", reduce(lambda a, b: a | b, [F.size(c) > 0 for c in lists]))
+    found = grouped.withColumn("has_non_transactional", reduce(lambda a, b: a | b, [F.size(c) > 0 for c in lists]))
+    return plan_status(df, plan).join(found, plan, "left").select(
+        plan, *lists, F.coalesce("has_non_transactional", F.lit(True)).alias("has_non_transactional"), "plan_status"
+    )

@@ -133,9 +133,10 @@ def duplicate_report(df: DataFrame, row_id: str, keys: Sequence[str], rule: str
     """``ok`` is true for the first row (by ``row_id``) of each key and false for later ones.
 
     One aggregate per key joined back; a key on a third of all rows is one small row on the other
-    side of the join, which adaptive execution can split.
+    side of the join, which adaptive execution can split. Null keys equal each other.
     """
-    first = df.groupBy(*keys).agg(F.min(row_id).alias("_first"))
-    return df.select(row_id, *keys).join(first, list(keys)).select(
+    keyed = df.select(row_id, F.struct(*keys).alias("_key"))
+    first = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"))
+    return keyed.join(first, "_key").select(
         row_id, F.lit(rule).alias("rule"), (F.col(row_id) == F.col("_first")).alias("ok")
     )

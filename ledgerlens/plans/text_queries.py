@@ -196,7 +196,8 @@ def canonical_json(spark, sf_dir):
     "plan_hash",
     rf"""{with_views('statements')},
 f AS (SELECT plan_id, idx, lower(regexp_replace(trim(sql), '\s+', ' ', 'g')) AS s FROM statements)
-SELECT plan_id, sha256(string_agg(length(s) || ':' || s, '|' ORDER BY idx)) AS statements_hash FROM f GROUP BY plan_id""",
+SELECT plan_id, CASE WHEN count(*) <= 500 THEN sha256(string_agg(length(s) || ':' || s, '|' ORDER BY idx)) END AS statements_hash,
+  CASE WHEN count(*) <= 500 THEN 'accepted' ELSE 'too_many_statements' END AS plan_status FROM f GROUP BY plan_id""",
 )
 def plan_hash(spark, sf_dir):
     return text_jobs.plan_hash(view(spark, sf_dir, "statements"))

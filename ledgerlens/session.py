@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(app: str = "ledgerlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,6 +60,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of fixed values. It is built from Arrow, so Spark knows its size when it plans a join and a
+    large other side is not shuffled on a rule's key."""
+    fields = T.StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return spark.createDataFrame(pa.table([list(c) for c in columns], schema=to_arrow_schema(fields)), fields)
+
+
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a table written to the shared scratch folder.
 

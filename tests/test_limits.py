@@ -22,6 +22,10 @@ def traffic(seed, n=1500, hot=0.4, keys=6, span=400_000):
     return rows
 
 
+def with_null_key(rows):
+    return [(i, None if key == "k0" else key, ts) for i, key, ts in rows]
+
+
 def in_order(rows):
     by_key = defaultdict(list)
     for i, key, ts in rows:
@@ -49,7 +53,7 @@ def bucket_by_hand(rows, burst, refill, per_ms):
 
 @pytest.mark.parametrize(("seed", "burst", "refill", "per_ms", "block"), [(1, 5, 1, 900, 60_000), (2, 1, 3, 4000, 1000), (3, 50, 1, 400, 10_000), (4, 3, 2, 100, 7), (5, 2, 1, 10_000, 400_000)])
 def test_token_bucket(spark, seed, burst, refill, per_ms, block):
-    rows = traffic(seed)
+    rows = with_null_key(traffic(seed))
     rule = {k: F.lit(v).cast("bigint") for k, v in (("burst", burst), ("refill", refill), ("per_ms", per_ms))}
     got = limits.token_bucket(frame(spark, rows), ["key"], ["ts_ms", "id"], rule, block_ms=block).collect()
     assert {r.id: (r.allowed, r.retry_after_ms) for r in got} == bucket_by_hand(rows, burst, refill, per_ms)
@@ -86,9 +90,30 @@ def churn_by_hand(rows, most, window, cooldown):
     return out
 
 
+def test_ordered_helpers_take_null_keys_as_one_key(spark):
+    rows = with_null_key(traffic(9, n=400))
+    df = frame(spark, rows).withColumn("block", F.floor(F.col("ts_ms") / 50_000))
+    order = ["ts_ms", "id"]
+    numbered = {r.id: r.rn for r in ordered.number_rows(df, ["key"], "block", order).collect()}
+    near = {r.id: (r.position, r.previous and r.previous.id) for r in ordered.with_previous(df, ["key"], "block", order, ["id"]).collect()}
+    total = {r.id: r.n for r in ordered.running(df, ["key"], "block", order, F.col("id"), "sum", "n").collect()}
+    for seq in in_order(rows).values():
+        held = 0
+        for at, (_, i) in enumerate(seq):
+            held += i
+            assert numbered[i] == at + 1 and near[i] == (at + 1, seq[at - 1][1] if at else None) and total[i] == held
+    assert len(numbered) == len(near) == len(total) == len(rows)
+
+
+def test_attempts_of_one_key_in_one_window_are_counted_in_linear_time(spark):
+    df = spark.range(60_000).select("id", F.lit("hot").alias("key"), F.floor(F.col("id") / 6).alias("ts_ms"))
+    counted = limits.attempts_in_window(df, ["key"], ["ts_ms", "id"], 60_000)
+    assert counted.where(F.col("attempts") == F.col("id")).count() == 60_000
+
+
 @pytest.mark.parametrize(("seed", "most", "window", "cooldown"), [(1, 8, 5_000, 700), (2, 100, 300_000, 2_000), (3, 3, 900, 2_000), (4, 40, 20_000, 1)])
 def test_churn_budget(spark, seed, most, window, cooldown):
-    rows = traffic(seed)
+    rows = with_null_key(traffic(seed))
     got = limits.churn_budget(frame(spark, rows), ["key"], ["ts_ms", "id"], most, window, cooldown).collect()
     assert {r.id: (r.attempts, r.allowed, r.reason) for r in got} == churn_by_hand(rows, most, window, cooldown)
     assert len(got) == len(rows)

@@ -233,12 +233,15 @@ def test_non_transactional(spark):
     assert [got[i] for i in range(len(rows))] == [want for _, want in rows]
 
 
-def test_oversized_plans_have_no_hash(spark):
+def test_plans_that_are_refused_keep_a_row(spark):
     df = spark.range(501).selectExpr("1 AS plan_id", "CAST(id AS INT) AS idx", "'x' AS sql").union(
-        spark.createDataFrame([(2, 1, " B  c "), (2, 0, "A")], "plan_id int, idx int, sql string")
+        spark.createDataFrame([(2, 1, " B  c "), (2, 0, "A"), (None, 0, "A")], "plan_id int, idx int, sql string")
     )
-    rows = {r.plan_id: r.statements_hash for r in text_jobs.plan_hash(df).collect()}
-    assert rows == {2: hashlib.sha256(b"1:a|3:b c").hexdigest()}
+    rows = {r.plan_id: (r.statements_hash, r.plan_status) for r in text_jobs.plan_hash(df).collect()}
+    accepted = (hashlib.sha256(b"1:a|3:b c").hexdigest(), "accepted")
+    assert rows == {1: (None, "too_many_statements"), 2: accepted, None: (None, "no_plan_id")}
+    rows = {r.plan_id: (r.ambiguous_indices, r.has_non_transactional) for r in text_jobs.plan_transactionality(df).collect()}
+    assert rows == {1: (None, True), 2: ([0, 1], True), None: (None, True)}
 
 
 def test_cells_and_row_sizes(spark):
