@@ -64,7 +64,8 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFr
 def _listing(spark: SparkSession, path: str) -> DataFrame:
     """Path and length of every segment; contents are pruned away."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "modificationTime").where(_is_segment(F.col("path")))
+    named = files.select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("file_path"))
+    return named.where(_is_segment(F.col("path")))
 
 
 def _lines_of_small_files(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +112,8 @@ def read_segments(
 def follow_segments(
     spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, max_files: int = 64
 ) -> DataFrame:
-    """Streaming read of a log's new segment files. Unreadable lines are dropped.
+    """Streaming read of a log's new segment files; other files of the folder are passed over. Unreadable
+    lines are dropped.
 
     The source's checkpoint takes the place of byte offsets. Files must appear complete: a
     growing file is not tailed, so writers roll small files (see :func:`write_segments`).
@@ -119,6 +121,7 @@ def follow_segments(
     prepare(spark)
     lines = (
         spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).text(path)
+        .where(_is_segment(F.col("_metadata.file_path")))
         .select(F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"))
         .where(~F.col("raw").rlike(_BLANKS))
     )
@@ -167,10 +170,27 @@ IDENTITY = ("length", "mtime_ns", "ctime_ns")
 STATE = ("first_seq", "first_prev_hash", "chain_id", "key_fingerprint")
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Identity of every segment file: path, length and modification time in nanoseconds."""
+def manifest(spark: SparkSession, path: str, key_fingerprint: str) -> DataFrame:
+    """Identity and starting point of every segment file: path, length and modification time in nanoseconds,
+    the sequence number, link and chain of its first record (null for a file without one), and the
+    fingerprint of the key in use.
+
+    The first line of a file is in its first split; of each split only its least line is shuffled.
+    """
     ns = F.unix_micros("modificationTime") * 1000
-    return _listing(spark, path).select("path", "length", ns.alias("mtime_ns"), ns.alias("ctime_ns"))
+    files = _listing(spark, path).select("path", "length", ns.alias("mtime_ns"), ns.alias("ctime_ns"), "file_path")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"),
+            F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")).alias("place"),
+        )
+        .where(_is_segment(F.col("file_path")) & ~F.col("raw").rlike(_BLANKS))
+    )
+    first = parse_lines(lines.groupBy("file_path").agg(F.min_by("raw", "place").alias("raw"))).select(
+        "file_path", F.col("seq").alias("first_seq"), F.col("prev_hash").alias("first_prev_hash"), "chain_id"
+    )
+    return files.join(first, "file_path", "left").drop("file_path").withColumn("key_fingerprint", F.lit(key_fingerprint))
 
 
 def reusable(previous: DataFrame) -> DataFrame:

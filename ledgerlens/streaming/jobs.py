@@ -52,7 +52,9 @@ def token_bucket_stream(
     watermark: str = "0 seconds", idle_ms: int = C.RATE_IDLE_MS,
 ) -> DataFrame:
     """``keys, row_id, allowed, retry_after_ms`` with one bucket of state per key, forgotten when
-    idle for ``idle_ms`` of event time (by then it is full again, or it starts full as a new one)."""
+    idle for ``idle_ms`` of event time (by then it must be full again, as it starts full as a new one)."""
+    if burst * per_ms > idle_ms * refill:
+        raise ValueError("a bucket that is forgotten before it is full again would admit too much: raise idle_ms")
     key_fields = [stream.schema[k] for k in keys]
     output = T.StructType(
         [*key_fields, stream.schema[row_id], T.StructField("allowed", T.BooleanType()), T.StructField("retry_after_ms", T.LongType())]

@@ -3,6 +3,7 @@
 import hashlib
 import hmac as py_hmac
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,6 +286,40 @@ def test_raw_verification_covers_unknown_fields(spark):
 
 
 def test_manifest_of_files(spark, folder):
-    paths = {r.path.rsplit("/", 1)[1]: r.length for r in segments.manifest(spark, folder).collect()}
+    paths = {r.path.rsplit("/", 1)[1]: r.length for r in segments.manifest(spark, folder, "k").collect()}
     assert set(paths) == {"audit-10.jsonl", "audit-2.jsonl", "audit-1.jsonl", "audit.jsonl"}
     assert paths["audit-10.jsonl"] == 22
+
+
+def test_only_changed_segments_are_verified_again(spark, built, tmp_path):
+    path = tmp_path / "log"
+    one = built.where("log = 'log0'")
+    segments.write_segments(one, str(tmp_path / "written"), [*RECORD, *chain.LINK, "mac", "hash"], max_rows=7)
+    files = {}
+    for written in (tmp_path / "written").glob("segment=*/*.txt"):  # copied without the checksum files, to be altered below
+        n = int(written.parent.name.split("=")[1])
+        files[n] = path / f"segment={n}" / "part.txt"
+        files[n].parent.mkdir(parents=True)
+        files[n].write_bytes(written.read_bytes())
+    for n, file in files.items():
+        os.utime(file, ns=(10**18 + n * 10**9 + 5 * 10**6,) * 2)
+    before = segments.manifest(spark, str(path), "k").withColumn("records", F.lit(7))
+    before = spark.createDataFrame(before.collect(), before.schema)
+    assert sorted(r.first_seq for r in before.collect()) == [1 + 7 * n for n in sorted(files)]
+    assert segments.changed_segments(segments.manifest(spark, str(path), "k"), before).count() == 0
+    assert segments.changed_segments(segments.manifest(spark, str(path), "other"), before).count() == len(files)
+
+    # a record of segment 1 is altered: only that file is read again, and its verdict is that of the whole log
+    lines = files[1].read_text().splitlines(keepends=True)
+    files[1].write_text("".join([lines[0].replace('"seq":8', '"seq":8,"note":"forged"', 1), *lines[1:]]))
+    os.utime(files[1], ns=(10**18 + 77 * 10**9 + 5 * 10**6,) * 2)
+    changed = segments.changed_segments(segments.manifest(spark, str(path), "k"), before).collect()
+    assert [r.path.rsplit("/", 2)[1] for r in changed] == ["segment=1"]
+    schema = "action string, note string, user_id string, chain_id string, seq long, prev_hash string, mac string, hash string"
+    read = segments.read_segments(spark, str(path), spark.createDataFrame([], schema).schema)
+    ends = read.groupBy("file_ord").agg(F.max_by(F.struct("chain_id", "seq", F.col("mac").alias("last_hash")), "line_no").alias("e"))
+    cached = ends.where("file_ord <> 1").select("file_ord", "e.*")
+    got = chain.verify_segments(read, KEY, RECORD, cached=cached, raw="raw").collect()
+    assert [(r.file_ord, r.reason) for r in got] == [(1, "mac_mismatch")]
+    whole = chain.verify_chain(read.withColumn("log", F.lit("l")), KEY, RECORD, ["log"], "file_ord", ["file_ord", "line_no"], raw="raw").first()
+    assert (whole.reason, whole.broken_seq) == (got[0].reason, got[0].broken_seq)
