@@ -43,8 +43,16 @@ BLOCKS = frozenset(
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: their content is not text
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea title select option button datalist video audio head".split())
+#: their content is not text; it ends at the literal closing tag, whatever stands in it
+RAW = frozenset("script style noscript template iframe object svg math canvas textarea title select option button datalist video audio".split())
+_OWN_TAG = {name: re.compile(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*+>?", re.I) for name in RAW}
+#: raw elements that may hold one of their own kind
+NESTED = frozenset(("object", "svg", "template"))
+#: without a closing tag these hold the rest of the page; of the others only the tag is left out
+ENDLESS = frozenset(("script", "style"))
+#: what a head may hold; anything else ends it
+IN_HEAD = frozenset("head html base basefont bgsound link meta noscript script style template title".split())
+_HEAD_END = re.compile(r"</head(?=[\s/>])", re.I)
 DROPPED = frozenset("nav footer aside form menu dialog".split())
 #: words in class or id that mark the parts to leave out
 MARKS = frozenset(
@@ -80,12 +88,26 @@ def _role(name: str, attributes: str, in_article: bool) -> str:
     return ""
 
 
+def _end_of(page: str, name: str, start: int) -> int:
+    """Where the content of the raw element ``name`` that begins at ``start`` ends, its closing tag included; -1 if it is never closed."""
+    depth, end = 1, -1
+    for m in _OWN_TAG[name].finditer(page, start):
+        if m[1]:
+            depth, end = depth - 1, m.end()
+        elif name in NESTED and not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            break
+    return end
+
+
 def lines_of(page: str | None) -> list[tuple[str, str]]:
     """(part, line) in page order; part is ``in`` an article, ``out`` in a part to leave out, or empty."""
     found: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []  # open elements that are blocks or have a role
     buffer: list[str] = []
-    skip = None
+    unclosed: set[str] = set()
+    head = False
     out = inside = 0
 
     def flush() -> None:
@@ -95,26 +117,30 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
             if line:
                 found.append(("out" if out else "in" if inside else "", line))
 
-    for m in _PIECE.finditer(page or ""):
+    page = page or ""
+    pieces = _PIECE.finditer(page)
+    while (m := next(pieces, None)) is not None:
         name = m[2]
         if name is None:
             piece = m[0]
-            if skip is None and (piece == "<" or not piece.startswith("<")):
+            if not head and (piece == "<" or not piece.startswith("<")):
                 buffer.append(piece)
             continue
         name, closing = name.lower(), m[1] == "/"
-        if skip is not None:
-            if closing and name == skip:
-                skip = None
-            elif skip == "head" and name == "body":
-                skip = None
-            else:
-                continue
-            if closing:
-                continue
+        if name == "head":
+            # a head that is never closed ends by itself
+            head = not closing and _HEAD_END.search(page, m.end()) is not None
+            continue
+        head = head and name in IN_HEAD
         if name in RAW and not closing:
-            if not m[3].endswith("/"):
-                skip = name
+            if not m[3].endswith("/") and name not in unclosed:
+                at = _end_of(page, name, m.end())
+                if at >= 0:
+                    pieces = _PIECE.finditer(page, at)
+                elif name in ENDLESS:
+                    break
+                else:
+                    unclosed.add(name)
             continue
         if name == "br":
             buffer.append(" ")

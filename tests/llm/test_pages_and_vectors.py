@@ -81,3 +81,18 @@ def test_nearest_brute_force(spark):
     assert hit / total >= 0.95
     assert got[got["query_id"] == 6000]["vec_id"].tolist() == [6001] and set(got["query_id"]) == {*range(0, 3000, 20), 6000}
     assert nearest.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_raw_elements_end_at_their_closing_tag():
+    body = "<article><p>Whole text</p></article>"
+    for raw in (
+        "<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b)c='</p>'</Script >", "<style>/* <b */</style>", "<textarea>x<y</textarea>", "<svg><title>a<b</title></svg>",
+        "<svg><svg></svg><text>no</text></svg>", "<script>a<b</script><script>'<c'</script>", "<script>'</scripts>'<x</script>", "<select><option>A<option>B</select>", "<option>", "<svg>",
+    ):
+        assert [t for _, t in html_text.lines_of(raw + body)] == ["Whole text"], raw
+    assert html_text.lines_of("<p>A</p><script>a<b") == [("", "A")]
+    for page in ("<html><head><title>T</title><p>A</p>", "<head><meta charset=u><title>T</title>A", "<head><title>T</title>no</head><body>A", "<head>no<div>A</div></head>", "<head>no<body>A"):
+        assert [t for _, t in html_text.lines_of(page)][-1:] == ["A"], page
+    assert html_text.lines_of("<head>no<title>T</title></head>") == []
+    many = "<svg>" * 20_000 + "<p>A" + "<option>" * 20_000
+    assert html_text.lines_of(many) == [("", "A")]
