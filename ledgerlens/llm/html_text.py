@@ -6,7 +6,7 @@ lines of the two are aligned by longest common subsequence, and shared lines are
 template repeats from page to page, an article does not. Two facts about markup bound this: lines
 inside a declared article (``article``, ``main``) are never deleted, as pages of one host may
 quote the same passage; and lines in a menu, header, footer, sidebar, notice, advert, form or reader
-comments go even where the neighbour words them differently, as does everything outside the article where
+comments (but no wrapper around the article) go even where the neighbour words them differently, as does everything outside the article where
 there is one. A page that would lose every line (a copy of its neighbour) keeps them.
 
 Only line hashes are shuffled to find neighbours: pages are cut into ranges of (host, path), so one
@@ -35,8 +35,12 @@ from ledgerlens.operators import ordered
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)|[^<]++|<", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_MARK = re.compile(r"[a-z0-9]+")
+#: attributes one after the other, so that no name is found inside a value
+_ATTRIBUTE = re.compile(r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAMED = re.compile(r"class|id|role|hidden", re.I)
+_MAIN = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
+_PART = re.compile(r"[-_]+")
+_NUMBER = re.compile(r"\d+(?:x\d+)?")
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -54,31 +58,49 @@ ENDLESS = frozenset(("script", "style"))
 IN_HEAD = frozenset("head html base basefont bgsound link meta noscript script style template title".split())
 _HEAD_END = re.compile(r"</head(?=[\s/>])", re.I)
 DROPPED = frozenset("nav footer aside form menu dialog".split())
-#: words in class or id that mark the parts to leave out
+#: whole words of class or id that mark the parts to leave out
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert sidebar "
     "nav navbar navigation menu breadcrumb breadcrumbs footer comment comments disqus related recommended share sharing social newsletter "
     "subscribe signup login popup modal pagination pager".split()
 )
 HEADER_MARKS = frozenset("header masthead topbar".split())
+#: a word of several parts marks if one of them does and the others are of these: site-footer does, has-sidebar and comments-open do not
+NEUTRAL = frozenset(
+    "area bar block bottom box btn button buttons container entry form global icons inner item items left links list main outer post posts primary "
+    "right secondary section site top widget widgets wrap wrapper".split()
+)
 ROLES = frozenset("navigation contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 ARTICLE = frozenset(("article", "main"))
 
 
+def _marks(words: str) -> set[str]:
+    """The marks among the whole words of a class or id."""
+    found = set()
+    for word in words.split():
+        parts = set(_PART.split(word))
+        if len(parts) > 1 and all(p in MARKS or p in HEADER_MARKS or p in NEUTRAL or not p or _NUMBER.fullmatch(p) for p in parts):
+            # post-header and the like are headings
+            found |= parts & MARKS if parts & {"entry", "post"} else parts
+        else:
+            found.add(word)
+    return found
+
+
 def _role(name: str, attributes: str, in_article: bool) -> str:
     """``out`` for a part to leave out, ``in`` for an article, else empty."""
     if name in DROPPED or (name == "header" and not in_article):
         return "out"
     marks, role = set(), ""
-    if attributes:
+    if attributes and _NAMED.search(attributes):
+        own: dict[str, str] = {}
         for key, *values in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), "".join(values).lower()
-            if key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return "out"
-            if key == "role":
-                role = value
-            elif key in ("class", "id") and name not in ("body", "html"):
-                marks.update(_MARK.findall(value))
+            own.setdefault(key.lower(), "".join(values).lower())
+        if "hidden" in own or own.get("aria-hidden") == "true":
+            return "out"
+        role = own.get("role", "").strip()
+        if name not in ("body", "html"):
+            marks = _marks(own.get("class", "") + " " + own.get("id", ""))
     if role in ROLES or (role == "banner" and not in_article):
         return "out"
     if name in ARTICLE or role in ARTICLE:
@@ -88,6 +110,17 @@ def _role(name: str, attributes: str, in_article: bool) -> str:
     return ""
 
 
+def _enclosing(articles: list[tuple[str, tuple[int, ...], list[int]]], plain: int) -> set[int]:
+    """The parts to leave out that enclose the page's ``main``, or its longest article where no article stands outside
+    of such parts and it is longer than the ``plain`` text outside: they are wrappers."""
+    full = [a for a in articles if a[2][0]]
+    found = {i for name, parts, _ in full if name == "main" for i in parts}
+    if not found and full and all(parts for _, parts, _ in full):
+        _, parts, n = max(full, key=lambda a: a[2][0])
+        found = set(parts) if n[0] > plain else found
+    return found
+
+
 def _end_of(page: str, name: str, start: int) -> int:
     """Where the content of the raw element ``name`` that begins at ``start`` ends, its closing tag included; -1 if it is never closed."""
     depth, end = 1, -1
@@ -103,19 +136,24 @@ def _end_of(page: str, name: str, start: int) -> int:
 
 def lines_of(page: str | None) -> list[tuple[str, str]]:
     """(part, line) in page order; part is ``in`` an article, ``out`` in a part to leave out, or empty."""
-    found: list[tuple[str, str]] = []
+    found: list[tuple[tuple[int, ...], bool, str]] = []
     stack: list[tuple[str, str]] = []  # open elements that are blocks or have a role
+    outs: tuple[int, ...] = ()  # open parts to leave out, as numbers into forms
+    forms: list[bool] = []
+    articles: list[tuple[str, tuple[int, ...], list[int]]] = []  # name, parts to leave out around it, characters of its own
+    opened: list[tuple[str, tuple[int, ...], list[int]]] = []
     buffer: list[str] = []
     unclosed: set[str] = set()
     head = False
-    out = inside = 0
 
     def flush() -> None:
         if buffer:
             line = " ".join(html.unescape("".join(buffer)).split())
             buffer.clear()
             if line:
-                found.append(("out" if out else "in" if inside else "", line))
+                found.append((outs, bool(opened), line))
+                for _, parts, n in opened:
+                    n[0] += len(line) if parts == outs else 0
 
     page = page or ""
     pieces = _PIECE.finditer(page)
@@ -152,24 +190,34 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
         if not closing:
             if name in VOID or m[3].endswith("/"):
                 continue
-            role = _role(name, m[3], inside > 0)
+            role = _role(name, m[3], bool(opened))
             if name in BLOCKS or role:
                 if role and name not in BLOCKS:
                     flush()
                 stack.append((name, role))
-                out += role == "out"
-                inside += role == "in"
+                if role == "out":
+                    outs += (len(forms),)
+                    forms.append(name == "form")
+                elif role == "in":
+                    opened.append((name if name == "main" or not _MAIN.search(m[3]) else "main", outs, [0]))
+                    articles.append(opened[-1])
         elif any(n == name for n, _ in stack):
             while stack:
                 last, role = stack.pop()
                 if role and last not in BLOCKS:
                     flush()
-                out -= role == "out"
-                inside -= role == "in"
+                if role == "out":
+                    outs = outs[:-1]
+                elif role == "in":
+                    opened.pop()
                 if last == name:
                     break
     flush()
-    return found
+    wrappers = _enclosing(articles, sum(len(t) for parts, inside, t in found if not parts and not inside))
+    if all(set(parts) - wrappers for parts, _, _ in found):
+        # nothing would be left: the text stands in forms
+        wrappers |= {i for i, form in enumerate(forms) if form}
+    return [("out" if any(i not in wrappers for i in parts) else "in" if inside else "", t) for parts, inside, t in found]
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -96,3 +96,32 @@ def test_raw_elements_end_at_their_closing_tag():
     assert html_text.lines_of("<head>no<title>T</title></head>") == []
     many = "<svg>" * 20_000 + "<p>A" + "<option>" * 20_000
     assert html_text.lines_of(many) == [("", "A")]
+
+
+def kept(page):
+    return [t for part, t in html_text.lines_of(page) if part != "out"]
+
+
+def test_parts_to_leave_out():
+    for tag in (
+        "<div style='overflow:hidden'>", "<div data-hidden=false>", "<div title='a hidden id=menu class=ad'>", "<div data-id='menu'>", "<div class='content has-sidebar'>", "<div class=no-comments>",
+        "<div class='no-sidebar x'>", "<div id=comments-open>", "<div aria-hidden=false>",
+    ):
+        assert kept(f"{tag}<p>Text</p></div>") == ["Text"], tag
+    for tag in ("<article style='overflow: hidden'>", "<article class='post comments-open'>", "<main class=has-sidebar>"):
+        assert kept(f"<p>B</p>{tag}<p>Text</p>") == ["B", "Text"], tag
+    for tag in (
+        "<div hidden>", "<div HIDDEN=''>", "<div aria-hidden='true'>", "<div class='x sidebar'>", "<div class=site-footer>", "<div id='cookie-notice'>", "<div class=ad-300x250>", "<div class='nav__menu'>",
+        "<div role=navigation>", "<article class=comment>", "<div title=x id=menu-3>",
+    ):
+        assert kept(f"{tag}<p>Text</p></div></article><p>B</p>") == ["B"], tag
+
+
+def test_wrappers_of_the_article_stay():
+    body = "<article><p>Body of the page</p><form><p>Mail</p></form></article>"
+    for tag, end in (("<form>", "</form>"), ("<div class=sidebar>", "</div>"), ("<div hidden><form>", "</form></div>")):
+        assert kept(f"<nav>Menu</nav>{tag}<nav>Menu</nav>{body}<footer>Foot</footer>{end}") == ["Body of the page"], tag
+    assert kept("<form><div role='main'>Body</div></form><article>Teaser that is longer</article>") == ["Body", "Teaser that is longer"]
+    assert kept("<form><nav>Menu</nav><div>Body</div></form>") == ["Body"]
+    assert kept(f"{body}<div class=comments><article>A comment that is longer than the body</article></div>") == ["Body of the page"]
+    assert kept("<div>Body in divs</div><aside><article>Teaser</article></aside>") == ["Body in divs"]
