@@ -1,13 +1,15 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
 A page becomes its text lines (one per block), each with the part of the page it stands in. Pages
-of a host are sorted by URL path and paired with the neighbour that shares the longer path prefix. The
-lines of the two are aligned by longest common subsequence, and shared lines are deleted: a
-template repeats from page to page, an article does not. Two facts about markup bound this: lines
-inside a declared article (``article``, ``main``) are never deleted, as pages of one host may
+of a host are sorted by URL path and compared with the neighbour, among two before and two after, that shares the longest path
+prefix. Their lines outside of the parts to leave out are aligned by longest common subsequence, and shared lines are deleted: a
+template repeats from page to page, a text does not. A neighbour that shares most of the page's
+lines and characters, or four fifths of its characters, is a near copy (a print or ?page= version) and tells nothing; the next is
+asked, and without any other nothing is deleted. Two facts about markup are evidence of their own: a line
+inside a declared article (``article``, ``main``) stays though it is shared, as pages of one host may
 quote the same passage; and lines in a menu, header, footer, sidebar, notice, advert, form or reader
-comments (but no wrapper around the article) go even where the neighbour words them differently, as does everything outside the article where
-there is one. A page that would lose every line (a copy of its neighbour) keeps them.
+comments (but no wrapper around the article) go even where the neighbour words them differently. All other lines are decided by
+the comparison, whether or not the page has an article.
 
 Only line hashes are shuffled to find neighbours: pages are cut into ranges of (host, path), so one
 host may hold any share of them. The texts themselves move once, compressed.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import saved, signed
@@ -252,14 +254,19 @@ def _hashes(lines: list[tuple[str, str]]) -> np.ndarray:
     return signed(np.fromiter((xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for _, t in lines), np.uint64, len(lines)))
 
 
+def _asked(page: str | None) -> list[tuple[str, str]]:
+    """The lines that are not in a part to leave out."""
+    return [x for x in lines_of(page) if x[0] != "out"]
+
+
 def _outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        yield pd.DataFrame({"key": frame["key"], "host": frame["host"], "path": frame["path"], "lines": [_hashes(lines_of(h)) for h in frame["html"]]})
+        yield pd.DataFrame({"key": frame["key"], "host": frame["host"], "path": frame["path"], "lines": [_hashes(_asked(h)) for h in frame["html"]]})
 
 
 def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        packed = [zlib.compress("\n".join(p + "\t" + t for p, t in lines_of(h)).encode("utf-8", "surrogatepass"), 1) for h in frame["html"]]
+        packed = [zlib.compress("\n".join(p + "\t" + t for p, t in _asked(h)).encode("utf-8", "surrogatepass"), 4) for h in frame["html"]]
         yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"], "key": frame["key"], "packed": packed})
 
 
@@ -272,24 +279,46 @@ def _prefix(a: str, b: str) -> int:
     return n
 
 
+def _repeats(lines: list[tuple[str, str]], path: str, near: list[dict]) -> np.ndarray:
+    """Marks the lines that repeat in the neighbour of the longest path prefix (then the nearest, then the one before) that is no near copy."""
+    size = np.fromiter((len(t) for _, t in lines), np.int64, len(lines))
+    own = _hashes(lines)
+    for x in sorted(near, key=lambda x: (-_prefix(path, x["path"]), abs(x["step"]), x["step"])):
+        shared = shared_lines(own, np.asarray(x["lines"], np.int64))
+        most_text, most_lines = size[shared].sum() / size.sum(), shared.mean()
+        if most_text <= 0.8 and (most_text <= 0.5 or most_lines <= 0.5):
+            return shared
+    return np.zeros(len(lines), bool)
+
+
 def _difference(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts = []
-        for packed, path, *near in zip(*(frame[c] for c in ("packed", "path", "path_before", "before", "path_after", "after"))):
+        for packed, path, near in zip(frame["packed"], frame["path"], frame["near"]):
             raw = zlib.decompress(packed).decode("utf-8", "surrogatepass")
             lines = [tuple(x.split("\t", 1)) for x in raw.split("\n")] if raw else []
-            neighbours = [(p, h) for p, h in ((near[0], near[1]), (near[2], near[3])) if h is not None]
-            gone = np.zeros(len(lines), bool)
-            if neighbours and lines:
-                best = max(neighbours, key=lambda x: _prefix(path, x[0]))  # the one before wins a tie
-                gone = shared_lines(_hashes(lines), np.asarray(best[1], np.int64))
-            article = any(p == "in" for p, _ in lines)
-            candidates = [(t, g and not article) for (p, t), g in zip(lines, gone) if (p == "in" if article else p == "")]
-            kept = [t for t, g in candidates if not g] or [t for t, _ in candidates]
-            texts.append("\n".join(kept))
+            gone = _repeats(lines, path, near if near is not None else []) if lines else []
+            texts.append("\n".join(t for (p, t), g in zip(lines, gone) if p == "in" or not g))
         yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
 
+def _neighbours(chained: DataFrame) -> DataFrame:
+    """(key, near): the up to two pages before and two after each page, from (key, path, lines, previous)."""
+
+    def seen(step: int, page: str) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.col(page + "path").alias("path"), F.col(page + "lines").alias("lines"))
+
+    one = chained.where("previous is not null")
+    two = one.select(F.col("previous.key").alias("middle"), "key", "path", "lines").join(
+        one.select(F.col("key").alias("middle"), "previous"), "middle"
+    )
+    pairs = None
+    for step, rows in ((1, one), (2, two)):
+        both = rows.select("key", seen(-step, "previous.").alias("page")).union(rows.select("previous.key", seen(step, "").alias("page")))
+        pairs = both if pairs is None else pairs.union(both)
+    return pairs.groupBy("key").agg(F.collect_list("page").alias("near"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of ``pages`` (page_id, url, html, any more columns)."""
     spark = pages.sparkSession
@@ -301,12 +330,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     outline = saved(outline.repartitionByRange(ranges, "host", "path", "key").withColumn("range", F.spark_partition_id()), "outline")
     chained = ordered.with_previous(outline, ["host"], "range", ["path", "key"], ["key", "path", "lines"], "previous")
     chained = saved(chained.select("key", "path", "lines", "previous"), "chained")
-    before = chained.select("key", "path", F.col("previous.path").alias("path_before"), F.col("previous.lines").alias("before"))
-    after = chained.where("previous is not null").select(
-        F.col("previous.key").alias("key"), F.col("path").alias("path_after"), F.col("lines").alias("after")
-    )
     packed = keyed.select("page_id", "url", "key", "html").mapInPandas(_pack, "page_id long, url string, key string, packed binary")
     return (
-        packed.join(before.join(after, "key", "left"), "key")
+        packed.join(chained.select("key", "path").join(_neighbours(chained), "key", "left"), "key")
         .mapInPandas(_difference, "page_id long, url string, text string, n_chars long")
     )

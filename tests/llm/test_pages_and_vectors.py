@@ -125,3 +125,19 @@ def test_wrappers_of_the_article_stay():
     assert kept("<form><nav>Menu</nav><div>Body</div></form>") == ["Body"]
     assert kept(f"{body}<div class=comments><article>A comment that is longer than the body</article></div>") == ["Body of the page"]
     assert kept("<div>Body in divs</div><aside><article>Teaser</article></aside>") == ["Body in divs"]
+
+
+def test_lines_outside_of_articles_are_compared(spark):
+    page = "<div>Top line of the site</div><div>Body {0} begins here</div><div>Body {0} ends here</div><article>Teaser {0}</article><article>Quoted</article><div>Bottom line</div>"
+    rows = [(i, f"http://host/dir/{i}", page.format(i)) for i in range(1, 5)]
+    got = texts(html_text.main_text(spark.createDataFrame(rows, PAGES)))
+    assert got == {i: f"Body {i} begins here\nBody {i} ends here\nTeaser {i}\nQuoted" for i in range(1, 5)}
+
+
+def test_near_copies_tell_nothing(spark):
+    page = "<div>Top line</div>" + "<p>{0} one of the body</p><p>{0} two of the body</p><p>{0} three of the body</p>" + "<div>{1}</div><div>Bottom line</div>"
+    rows = [(1, "http://a/x", page.format("x", "Read")), (2, "http://a/x/print", page.format("x", "Print")), (3, "http://a/y", page.format("y", "Other")), (4, "http://b/x", page.format("x", "Read")), (5, "http://b/x2", page.format("x", "Print"))]
+    got = texts(html_text.main_text(spark.createDataFrame(rows, PAGES)))
+    body = "{0} one of the body\n{0} two of the body\n{0} three of the body\n{1}"
+    assert [got[1], got[2], got[3]] == [body.format("x", "Read"), body.format("x", "Print"), body.format("y", "Other")]
+    assert got[4] == "Top line\n" + body.format("x", "Read") + "\nBottom line" and got[5].count("body") == 3
