@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontaminate, mixing, near_dedup, quality, sharding
 from ledgerlens.llm.common import saved, table
+from ledgerlens.operators import ordered
 
 #: the classifier has no SQL form; tests compare the stages with brute-force versions
 ORACLE_SQL = None
 
 
+def _text_key(docs: DataFrame) -> DataFrame:
+    """``docs`` and the key of each row's text, a number also for a null text (as in the operators)."""
+    return docs.withColumn("_key", F.xxhash64("text"))
+
+
 def _same_row(docs: DataFrame, decided: DataFrame, wanted: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id ``decided`` marks; null doc_ids match each other."""
-    ids = decided.where(wanted).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+    """Rows of ``docs`` whose doc_id and text ``decided`` (doc_id, text_key) marks; null doc_ids match each other."""
+    chosen = decided.where(wanted).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    keyed = _text_key(docs)
+    return keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_text"]), "left_semi").drop("_key")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +37,33 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def fold_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each near-duplicate group (five words, 0.8); rows that repeat its doc_id stay with it."""
-    return _same_row(docs, near_dedup.near_duplicates(docs, words=5, percent=80), "kept")
+    """Keeps one text of each near-duplicate group (five words, 0.8): of the smallest doc_id, then of the smallest key of the text.
+
+    Groups are of (doc_id, text): texts that share a doc_id are judged each by itself, and rows equal in both are one.
+    Rows without a doc_id are linked with nothing, as in the operator.
+    """
+    named, without = _text_key(docs.where("doc_id is not null")), _text_key(docs.where("doc_id is null"))
+    pairs = saved(named.select("doc_id", "_key").distinct(), "pairs")
+    if pairs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = near_dedup.near_duplicates(docs, words=5, percent=80).where("kept")
+        chosen = pairs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    else:
+        # one number for each (doc_id, text), in the order of doc_id
+        ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        pairs = saved(pairs.repartitionByRange(ranges, "doc_id", "_key").withColumn("_range", F.spark_partition_id()), "ranges")
+        numbered = saved(ordered.number_rows(pairs, [], "_range", ["doc_id", "_key"], "_number").select("doc_id", "_key", "_number"), "numbered")
+        texts = named.select("doc_id", "_key", "text").join(numbered, ["doc_id", "_key"]).select(F.col("_number").cast("long").alias("doc_id"), "text")
+        kept = near_dedup.near_duplicates(saved(texts, "numbered-texts"), words=5, percent=80).where("kept")
+        chosen = numbered.join(kept.select(F.col("doc_id").alias("_number")), "_number", "left_semi").select("doc_id", "_key")
+    # rows that are equal in doc_id and text are one document
+    rest = [c for c in docs.columns if c != "doc_id"]
+    one = [r.groupBy("doc_id", "_key").agg(F.min(F.struct(*rest)).alias("_row")) for r in (named.join(chosen, ["doc_id", "_key"], "left_semi"), without)]
+    return one[0].unionByName(one[1]).select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
-    return _same_row(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
+    """Drops the rows whose text holds a window of a benchmark item."""
+    return _same_row(docs, decontaminate.judged(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,11 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of ``docs`` (doc_id, text, any more columns)."""
+    return judged(docs, benchmark, window).drop("text_key")
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The columns of ``contamination`` and text_key, the xxhash64 of the text each row was judged on."""
     items = saved(item_windows(benchmark, window), "items")
     windows = items.select("window", "width").distinct().withColumn("k", F.least(F.lit(SHINGLE), F.col("width")))
     parts = saved(
@@ -74,7 +79,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     n_hit = F.coalesce("n_hit", F.lit(0))
     return base.join(found, ["doc", "text_key"], "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "text_key",
     )
 
 

@@ -93,3 +93,25 @@ def test_odd_documents(spark, sf_dir, odd, none):
         for name, stage in corpus_pipeline.STAGES:
             docs = saved(stage(spark, docs, sf_dir), "odd")
         assert docs.count() >= 0
+
+
+def test_rows_are_judged_by_doc_id_and_text(spark, tmp_path):
+    passage = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"so {passage} it goes"), (1, "a clean text"), (1, "a clean text"), (None, passage), (None, "clean without a name"), (None, None), (2, None), (3, passage)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([rows[1], rows[2], rows[4], rows[5], rows[6]], key=str) and got.columns == docs.columns
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_one_row_of_each_group_stays(spark, repeated):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, a), (2, f"{a} more"), (4, c), (4, c), (None, a), (None, a), (None, None), (7, None), (7, None), (8, "")]
+    kept = [(1, a), (4, c), (None, a), (None, None), (7, None), (8, "")]
+    if repeated:
+        rows += [(2, b), (5, b), (4, f"{b} more")]
+        kept += [(2, b)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.fold_near_duplicates(spark, docs, "")
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(kept, key=str) and got.columns == docs.columns
