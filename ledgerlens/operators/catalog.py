@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import ordered
+from ledgerlens.session import cut_lineage
+
 RELATION = ("table_schema", "table_name")
 
 
@@ -34,19 +37,22 @@ def index_columns(indexdef: str = "indexdef", indexname: str = "indexname") -> d
 PART_ROWS = 100_000
 
 
-def _sized_parts(child: DataFrame, keys: Sequence[str], part_rows: int) -> DataFrame:
-    """Parents with more children than one array holds, and in how many parts they come."""
-    sizes = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows)
-    return sizes.select(*keys, F.ceil(F.col("_n") / part_rows).alias("_parts"))
-
-
-def _arrays(child: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, part_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Ordered arrays per ``keys`` and ``part``, and the parents that need several parts."""
-    parts = _sized_parts(child, keys, part_rows)
-    part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*columns), "_parts")).otherwise(0)
-    placed = child.join(parts, list(keys), "left").withColumn("part", part.cast("bigint"))
-    grouped = placed.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
-    return grouped, parts
+def _arrays(child: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, part_rows: int) -> DataFrame:
+    """Ordered arrays per ``keys`` and ``part``: the children are numbered along ``columns`` and cut every ``part_rows``,
+    so the parts of a parent, one after the other, are its ordered list. The ranges they are numbered in run across parents, so no
+    parent is one task."""
+    ranges = max(8, int(child.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # equal children are one row with their number, as any order among them gives the same list
+    alike = child.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_copies"))
+    alike = cut_lineage(alike.repartitionByRange(ranges, *keys, *columns).withColumn("_range", F.spark_partition_id()), "children")
+    placed = ordered.running(alike, list(keys), "_range", list(columns), F.col("_copies"), "sum", "_upto")
+    first, last = F.floor((F.col("_upto") - F.col("_copies")) / part_rows), F.floor((F.col("_upto") - 1) / part_rows)
+    pieces = placed.withColumn("part", F.explode(F.sequence(first, last))).withColumn(
+        "_copies", F.least("_upto", (F.col("part") + 1) * part_rows) - F.greatest(F.col("_upto") - F.col("_copies"), F.col("part") * part_rows)
+    )
+    child_row = F.struct(*columns)
+    listed = F.flatten(F.array_sort(F.collect_list(F.struct(child_row.alias("child"), F.array_repeat(child_row, F.col("_copies").cast("int")).alias("rows"))))["rows"])
+    return pieces.groupBy(*keys, "part").agg(listed.alias(name))
 
 
 def nest(
@@ -57,18 +63,20 @@ def nest(
     ``children[name]`` is a frame and the columns of one element, ordering columns first. A child
     without a parent is dropped, a parent without children gets an empty array.
 
-    One array is one value in one task, so it is bounded: a parent with more than ``part_rows``
-    children of a kind comes as several rows numbered by ``part``, which together hold all of
-    them. Every other parent is one row with ``part`` 0.
+    One array is one value in one task, so it is bounded: the ordered children of a kind are cut
+    every ``part_rows``, and a parent comes as the rows ``part`` 0, 1, ...; its arrays, one after the other
+    by ``part``, are the ordered lists. A parent with no more children than that is one row, by the same rule.
     """
     built = {name: _arrays(child, keys, columns, name, part_rows) for name, (child, columns) in children.items()}
-    large = None
-    for _, parts in built.values():
-        large = parts if large is None else large.unionByName(parts)
-    large = large.groupBy(*keys).agg(F.max("_parts").alias("_parts"))
-    last = F.coalesce("_parts", F.lit(1)) - 1
-    df = parents.join(large, list(keys), "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_parts")
-    for name, (grouped, _) in built.items():
+    # each parent's part 0, and the parts that any kind has beyond it
+    more = None
+    for grouped in built.values():
+        beyond = grouped.where("part > 0").select(*keys, "part")
+        more = beyond if more is None else more.unionByName(beyond)
+    df = parents.withColumn("part", F.lit(0).cast("bigint"))
+    if more is not None:
+        df = df.unionByName(parents.join(more.distinct(), list(keys)).select(*parents.columns, "part"))
+    for name, grouped in built.items():
         kind = grouped.schema[name].dataType
         df = df.join(grouped, [*keys, "part"], "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
     return df
@@ -149,8 +157,7 @@ def partition_children(inherits: DataFrame, classes: DataFrame, part_rows: int =
     child = classes.select(F.col("oid").alias("child_oid"), F.col("name").alias("child_table"), "bound")
     pairs = inherits.join(parent, "parent_oid").join(child, "child_oid").where(~F.col("parent_schema").like("pg_%"))
     pairs = pairs.withColumn("bound", F.coalesce("bound", F.lit("")))
-    grouped, _ = _arrays(pairs, ["parent_schema", "parent_table"], ["child_table", "bound"], "partitions", part_rows)
-    return grouped
+    return _arrays(pairs, ["parent_schema", "parent_table"], ["child_table", "bound"], "partitions", part_rows)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -292,3 +292,15 @@ def test_payload_rules(spark):
     assert sorted(r.rule for r in bad) == ["statement_status", "status", "total_ms"]
     twice = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "row_id int, db_alias string")
     assert sorted((r.row_id, r.ok) for r in validity.duplicate_report(twice, "row_id", ["db_alias"]).collect()) == [(1, True), (2, True), (3, False)]
+
+
+def test_parts_are_ranges_of_the_ordered_list(spark):
+    parents = spark.createDataFrame([("s", "hot"), ("s", "none")], "table_schema string, table_name string")
+    columns = spark.range(1000).selectExpr("'s' AS table_schema", "'hot' AS table_name", "CAST((id * 7 % 1000) div 250 * 10 AS INT) AS ordinal", "CASE WHEN id % 2 = 0 THEN 'c' END AS column_name")
+    rows = catalog.nest(parents, {"columns": (columns, ["ordinal", "column_name"])}, part_rows=100).collect()
+    hot = sorted((r for r in rows if r.table_name == "hot"), key=lambda r: r.part)
+    assert [r.part for r in hot] == list(range(10)) and all(len(r.columns) == 100 for r in hot)
+    wanted = sorted(((r.ordinal, r.column_name) for r in columns.collect()), key=lambda c: (c[0], c[1] is not None))
+    assert sorted(((c.ordinal, c.column_name) for r in hot for c in r.columns), key=str) == sorted(wanted, key=str)
+    listed = [c.ordinal for r in hot for c in r.columns]
+    assert listed == sorted(listed) and [(r.part, r.columns) for r in rows if r.table_name == "none"] == [(0, [])]
