@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +76,7 @@ def _anchors(window: int):
                 if len(words) < window:
                     continue
                 at = np.flatnonzero(on[np.arange(len(words) - width + 1) % PERIOD])
-                text_id = int.from_bytes(hashlib.sha256(b" ".join(words)).digest()[:8], "big", signed=True)
+                text_id = xxhash.xxh3_128_intdigest(b" ".join(words)) & ((1 << 63) - 1)
                 parts.append((signed(rolling(hashes.of(words), width, 0)[at]), np.full(len(at), doc, np.int64), np.full(len(at), text_id, np.int64), at.astype(np.int32)))
                 rows += len(at)
                 if rows > CHUNK:
@@ -154,7 +155,8 @@ def repeated_passages(docs: DataFrame, window: int = 50, texts: bool = False) ->
     leaders = firsts.select(F.col("first").alias("doc_id")).distinct()
     hits = anchors.select("anchor", "doc_id", "at").join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
     open_ = saved(own.withColumn("text_key", F.xxhash64("text")).join(hits.join(leaders, "doc_id", "left_semi"), "doc_id"), "open")
-    windows = open_.mapInPandas(_windows(window), "k1 long, k2 int, doc_id long, text_key long, at int")
+    # the windows are read twice; written once, their texts are hashed once
+    windows = saved(open_.mapInPandas(_windows(window), "k1 long, k2 int, doc_id long, text_key long, at int"), "windows")
     least = (
         windows.select("k1", "k2", "doc_id").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last").drop("last")
