@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, html_text, mixing, near_dedup, nearest, quality, secret_scan, sharding, substring_dedup, url_filter
-from ledgerlens.llm.common import table
+from ledgerlens.llm import (
+    decontaminate, exact_dedup, html_text, merkle, mixing, near_dedup, nearest, quality, ranked_search, secret_scan, sharding, substring_dedup, url_filter,
+)
+from ledgerlens.llm.common import ascii_lower, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +136,73 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole pages table."""
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+_TERMS = r"list_filter(string_split_regex({text}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')".format(text=_LOWER.format(text="coalesce(text, '')"))
+
+
+@query("op11_ranked_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ws FROM documents), e AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS t FROM d),
+tf AS (SELECT doc_id, any_value(n) AS n, t, count(*) AS tf FROM e GROUP BY doc_id, t), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+s AS (SELECT count(*) AS docs, sum(len(ws)) AS words FROM d WHERE len(ws) > 0),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, s),
+b AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+r AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+      FROM b JOIN w USING (t) JOIN tf USING (t), s GROUP BY item_id, doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10""")
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item against the whole documents table, ten best."""
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def _leaf_sql(text: str) -> str:
+    values = [f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(values)})"
+
+
+def _tree_sql(name: str, leaves: str, tree: str) -> str:
+    """Nodes of all trees and what stands left and right of each in its run; ``leaves`` gives tree, pos, d and n, the tree's number of leaves."""
+    run = f"PARTITION BY {tree}, level, pos // 8 ORDER BY pos ROWS BETWEEN"
+    return f"""{name}({tree}, level, pos, d, n) AS ({leaves} UNION ALL
+  SELECT {tree}, level + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM {name} WHERE n > 1 GROUP BY {tree}, level, pos // 8),
+{name}_sides AS (SELECT *, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name} WHERE n > 1)"""
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE crc(t) AS (SELECT list(list_reduce([i] || range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) FROM range(256) q(i)),
+leaves AS (SELECT doc_id, lang, {_leaf_sql("text")} AS leaf, {_leaf_sql(_LOWER.format(text="text"))} AS lower_leaf,
+  xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS c,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM documents, crc),
+{_tree_sql("nodes", "SELECT lang, 0, pos, leaf, n FROM leaves", "lang")},
+subroots AS (SELECT lang, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, 0 AS one FROM nodes WHERE n = 1),
+{_tree_sql("tops", "SELECT one, 0, pos, subroot, n FROM subroots", "one")},
+f(doc_id, lang, level, pos, acc, proof) AS (SELECT doc_id, lang, 0, pos, CASE WHEN c % 3 = 0 THEN lower_leaf ELSE leaf END, '' FROM leaves UNION ALL
+  SELECT doc_id, f.lang, f.level + 1, f.pos // 8, sha256(l || acc || r), proof || l || r FROM f JOIN nodes_sides s ON s.lang IS NOT DISTINCT FROM f.lang AND s.level = f.level AND s.pos = f.pos),
+u AS (SELECT doc_id, lang, max_by(acc, level) AS acc, max_by(proof, level) AS proof FROM f GROUP BY doc_id, lang),
+g(doc_id, level, pos, acc, proof) AS (SELECT doc_id, 0, s.pos, acc, proof FROM u JOIN subroots s ON s.lang IS NOT DISTINCT FROM u.lang UNION ALL
+  SELECT doc_id, g.level + 1, g.pos // 8, sha256(l || acc || r), proof || l || r FROM g JOIN tops_sides s ON s.level = g.level AND s.pos = g.pos),
+h AS (SELECT doc_id, max_by(acc, level) AS folded_root, max_by(proof, level) AS proof FROM g GROUP BY doc_id),
+t AS (SELECT d AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN h USING (doc_id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang, t""")
+def witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table, a tree per language; every third row's text is lower-cased to show that its witness then fails."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(f) if f != "text" else ascii_lower(F.col("text")) for f in merkle.FIELDS]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf(fields))
+    rows = merkle.manifest(docs, carry={"changed": changed})
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("witness")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("changed", "leaf"), F.col("witness")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_exact_dedup", f"""
+WITH n AS (SELECT doc_id, {_LOWER.format(text="coalesce(text, '')")} AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY norm)""")
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents table, streamed from its files."""
+    return exact_dedup.duplicates(spark, f"{sf_dir}/documents.parquet").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
