@@ -1,30 +1,27 @@
 """Rate, churn, concurrency, chunk and session computations over ordered requests.
 
-The recurrences here are serial in principle. Each is cut where its state provably does not
-depend on the past, and the pieces run in parallel. What remains inside a piece is folded over
-rows in sorted order with a state of a few numbers, so memory does not grow with the data.
+The recurrences here are serial in principle. Each block of rows is a small map from the state before it to the
+state after it, so the blocks of one key run in parallel; see ``recurrences.py``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.operators.ordered import PLACE, across, before, inside, number_rows, placed, running, with_previous
+from ledgerlens.operators.ordered import number_rows, ranged, running, with_previous
+from ledgerlens.operators.recurrences import Rule, chain_ends, fold, held_after, request_map, then
 from ledgerlens.session import cut_lineage
 
 #: Default width of a time block. A minute keeps both the rows of a hot key inside one block and
 #: the blocks of one key (43,200 a month) small enough for a task.
 BLOCK_MS = 60_000
 
-#: a fold takes one row of inputs and a state (None at the start of a piece)
-Fold = Callable[[tuple, tuple | None], tuple[tuple, tuple]]
-
 
 def spend(
     tokens: int, elapsed_ms: int, burst: int, refill: int, per_ms: int, no_retry_ms: int = C.NO_RETRY_MS
@@ -42,41 +39,6 @@ def spend(
     return tokens, False, max(1, -(-(per_ms - tokens) // refill))
 
 
-def _bucket(row: tuple, state: tuple | None) -> tuple[tuple, tuple]:
-    ts, burst, refill, per_ms = row
-    tokens, last = state if state is not None else (burst * per_ms, ts)
-    tokens, allowed, retry = spend(tokens, ts - last, burst, refill, per_ms)
-    return (allowed, retry), (tokens, max(ts, last))
-
-
-def fold_pieces(
-    df: DataFrame, pieces: Sequence[str], order: Sequence[str], inputs: Sequence[str], fold: Fold, outputs: T.StructType
-) -> DataFrame:
-    """Append ``outputs`` by folding rows in order within each piece.
-
-    Rows are shuffled by piece, sorted, and streamed through Arrow batches.
-    """
-    schema = T.StructType([*df.schema.fields, *outputs.fields])
-    kinds = [pa.bool_() if isinstance(f.dataType, T.BooleanType) else pa.int64() for f in outputs.fields]
-    names = [f.name for f in outputs.fields]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, state = None, None
-        for batch in batches:
-            produced = []
-            columns = {name: batch.column(name).to_pylist() for name in {*pieces, *inputs}}
-            for at in range(batch.num_rows):
-                this = tuple(columns[p][at] for p in pieces)
-                if this != piece:
-                    piece, state = this, None
-                out, state = fold(tuple(columns[i][at] for i in inputs), state)
-                produced.append(out)
-            added = [pa.array([row[i] for row in produced], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *names])
-
-    return df.repartition(*pieces).sortWithinPartitions(*pieces, *order).mapInArrow(run, schema)
-
-
 def policy_columns(action: str, policies: dict[str, tuple[int, int]] = C.RATE_POLICIES) -> dict[str, Column]:
     """``burst, refill, per_ms`` of each row from its action; an unlisted action is ``other``."""
     burst, refill = F.lit(policies["other"][0]), F.lit(policies["other"][1])
@@ -86,82 +48,112 @@ def policy_columns(action: str, policies: dict[str, tuple[int, int]] = C.RATE_PO
     return {"burst": burst.cast("bigint"), "refill": refill.cast("bigint"), "per_ms": F.lit(1000).cast("bigint")}
 
 
+def _bucket_rule(row: tuple, state: tuple | None) -> tuple[tuple, tuple]:
+    ts, burst, refill, per_ms, tokens, last = row
+    if state is not None:
+        tokens, last = state
+    elif tokens is None:
+        tokens, last = burst * per_ms, ts
+    tokens, allowed, retry = spend(tokens, ts - last, burst, refill, per_ms)
+    last = max(ts, last)
+    return (allowed, retry, tokens, last), (tokens, last)
+
+
+def _bucket_summary(columns: list[np.ndarray]) -> tuple:
+    times, burst, refill, per_ms = columns[0].tolist(), *(int(c[0]) for c in columns[1:4])
+    before = [None if c[0] is None or c[0] != c[0] else int(c[0]) for c in columns[4:]]
+    change = request_map(0, burst * per_ms, per_ms)
+    for earlier, now in zip(times, times[1:]):
+        change = then(change, request_map((now - earlier) * refill, burst * per_ms, per_ms), per_ms)
+    *terms, via = change
+    return times[0], times[-1], burst, refill, per_ms, *before, *terms, [c for c, _ in via], [k for _, k in via]
+
+
+def _bucket_advance(state: tuple | None, summary: tuple) -> tuple:
+    first, last, burst, refill, per_ms, tokens, since, *terms, c, k = summary
+    if state is not None:
+        tokens, since = state
+    elif tokens is None:
+        tokens, since = burst * per_ms, first
+    tokens = min(burst * per_ms, tokens + max(0, first - since) * refill)
+    return held_after(tokens, (*terms, list(zip(c, k))), per_ms), max(last, since)
+
+
+BUCKET = Rule(
+    _bucket_rule, _bucket_summary, _bucket_advance,
+    outputs="allowed boolean, retry_after_ms long, tokens long, updated_ms long",
+    state="tokens long, updated_ms long",
+    summary="first_ms long, last_ms long, burst long, refill long, per_ms long, tokens long, updated_ms long,"
+    " spent_spent long, spent_total long, total_spent long, total_total long, via_c array<long>, via_k array<long>",
+)
+
+
 def token_bucket(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     policy: dict[str, Column],
     ts_ms: str = "ts_ms",
-    block_ms: int = BLOCK_MS,
+    before: tuple[Column, Column] | None = None,
+    state: bool = False,
 ) -> DataFrame:
     """Add ``allowed, retry_after_ms``: a token bucket per key. ``order`` starts with the time.
 
-    ``policy`` gives ``burst`` and ``refill`` tokens per ``per_ms`` milliseconds, constant per key.
-    A key's requests are cut wherever the bucket is full for certain: where it would be full even
-    if every earlier request had spent a token. With ``x = (rank - 1) * per_ms - refill * time``
-    that is where ``x`` does not exceed any earlier ``x``. Busy periods between such points are
-    independent; a key that is over its rate without pause is one period, streamed in order.
+    ``policy`` gives ``burst`` and ``refill`` tokens per ``per_ms`` milliseconds, constant per key. A key's bucket starts full, or with
+    ``before``: the tokens (in units of ``1 / per_ms``) and the time of its last request, not later than any row; null where there was none.
+    With ``state`` the tokens left and the time are added as ``tokens, updated_ms``.
+
+    A block of requests changes a bucket by a map of a few numbers (``recurrences``), so a key's blocks are worked
+    out in parallel, however many rows the key has and whether or not its bucket is ever full.
     """
-    df = placed(df.withColumns(policy).withColumn("_block", F.floor(F.col(ts_ms) / block_ms)), keys, "_block")
-    x = (F.row_number().over(inside(order)) - 1) * F.col("per_ms") - F.col("refill") * F.col(ts_ms)
-    local = df.withColumn("_x", x)
-    earlier = before(across(keys, "_block"))
-    blocks = (
-        local.groupBy(PLACE)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"), F.first("per_ms").alias("_unit"))
-        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) * F.col("_unit"))
-        .withColumn("_carry", F.min(F.col("_low") + F.col("_shift")).over(earlier))
-        .select(PLACE, "_shift", "_carry")
-    )
-    near = F.min("_x").over(before(inside(order)))
-    marked = local.withColumn("_near", near).join(blocks, PLACE, "left")
-    lowest = F.least(F.col("_carry"), F.col("_near") + F.col("_shift"))
-    starts = lowest.isNull() | (F.col("_x") + F.col("_shift") <= lowest)
-    marked = marked.withColumn("_starts", starts).drop(PLACE, "_x", "_near", "_shift", "_carry")
-    outputs = T.StructType([T.StructField("allowed", T.BooleanType()), T.StructField("retry_after_ms", T.LongType())])
-    folded = fold_marked(marked, keys, order, [ts_ms, "burst", "refill", "per_ms"], _bucket, outputs, "bucket")
-    return folded.drop(*policy)
-
-
-def fold_marked(
-    marked: DataFrame, keys: Sequence[str], order: Sequence[str], inputs: Sequence[str], fold: Fold, outputs: T.StructType, label: str
-) -> DataFrame:
-    """Fold the pieces that begin at rows flagged ``_starts``. The flags are written out once,
-    because numbering the pieces reads them twice."""
-    marked = cut_lineage(marked, label)
-    place = F.struct(*order)
-    pieces = running(marked, keys, "_block", order, F.when(F.col("_starts"), place), "max", "_piece")
-    names = [f"_piece{i}" for i in range(len(order))]
-    pieces = pieces.withColumns({n: F.col("_piece")[c] for n, c in zip(names, order)}).drop("_piece", "_starts")
-    return fold_pieces(pieces, [*keys, *names], order, inputs, fold, outputs).drop("_block", *names)
+    tokens, updated = before or (F.lit(None), F.lit(None))
+    ready = df.withColumns({**policy, "_tokens": tokens.cast("bigint"), "_updated": updated.cast("bigint")})
+    done = fold(ready, keys, order, [ts_ms, "burst", "refill", "per_ms", "_tokens", "_updated"], BUCKET, "bucket").drop(*policy, "_tokens", "_updated")
+    return done if state else done.drop("tokens", "updated_ms")
 
 
 def attempts_in_window(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], window_ms: int, ts_ms: str = "ts_ms"
 ) -> DataFrame:
-    """Add ``attempts`` (earlier rows of the key at most ``window_ms`` old) and ``_gap`` (time since
-    the previous row, null when that is longer ago than a window).
+    """Add ``attempts``: earlier rows of the key at most ``window_ms`` old.
 
-    Rows are copied into the following block of one window length, so every trailing window lies
-    inside one ``(key, block)`` group. A row leaves the window just after it is ``window_ms`` old; that moment
-    is a row of its own in the following block. The count is then a running sum of rows
-    come and gone, linear in the rows however many lie in one window.
+    A row leaves the window just after it is ``window_ms`` old; that moment is a row of its own. The count is then a running
+    sum of rows come and gone. It is linear in the rows however many lie in one window, and runs over ranges of the order, so one crowded window is many tasks.
     """
-    block = F.floor(F.col(ts_ms) / window_ms)
     moments = F.array(
-        F.struct(block.alias("_block"), F.col(ts_ms).alias("_at"), F.lit(1).alias("_step")),
-        F.struct((block + 1).alias("_block"), F.col(ts_ms).alias("_at"), F.lit(1).alias("_step")),
-        F.struct((block + 1).alias("_block"), (F.col(ts_ms) + window_ms + 1).alias("_at"), F.lit(-1).alias("_step")),
+        F.struct(F.col(ts_ms).alias("_at"), F.lit(1).alias("_step")), F.struct((F.col(ts_ms) + window_ms + 1).alias("_at"), F.lit(-1).alias("_step"))
     )
-    halo = df.select("*", F.inline(moments))
-    earlier = before(Window.partitionBy(*keys, "_block").orderBy("_at", "_step", *order))
-    counted = halo.withColumns(
-        {
-            "attempts": F.coalesce(F.sum("_step").over(earlier), F.lit(0)),
-            "_gap": F.col(ts_ms) - F.max(F.when(F.col("_step") == 1, F.col("_at"))).over(earlier),
-        }
-    )
-    return counted.where((F.col("_step") == 1) & (F.col("_block") == block)).drop("_at", "_step")
+    along = ["_at", "_step", *order]
+    dealt = ranged(df.select("*", F.inline(moments)), keys, along, "attempts", "_block")
+    counted = running(dealt, keys, "_block", along, F.col("_step"), "sum", "attempts", inclusive=False)
+    return counted.where("_step = 1").drop("_at", "_step", "_block")
+
+
+def _cooldown(wait_ms: int) -> Rule:
+    """Admits a row that is not over its limit ``wait_ms`` after the last one admitted.
+
+    A block's first admission lies among its open rows of the first ``wait_ms`` or is the one after them. Each of these leads to one last
+    admission, found by doubling the pointers from a row to the next one that it lets in.
+    """
+
+    def step(row: tuple, last: tuple | None) -> tuple[tuple, tuple | None]:
+        ts, over = row
+        allowed = not over and (last is None or ts - last[0] >= wait_ms)
+        return (allowed,), ((ts,) if allowed else last)
+
+    def summarise(columns: list[np.ndarray]) -> tuple:
+        times = columns[0][~columns[1].astype(bool)]
+        after = np.maximum(np.searchsorted(times, times + wait_ms), np.arange(len(times)) + 1)
+        ends, _ = chain_ends(np.where(after < len(times), after, np.arange(len(times))))
+        entries = np.searchsorted(times, columns[0][0] + wait_ms) + 1
+        return times[:entries].tolist(), times[ends[:entries]].tolist()
+
+    def advance(last: tuple | None, summary: tuple) -> tuple | None:
+        entries, ends = summary
+        at = 0 if last is None else bisect_left(entries, last[0] + wait_ms)
+        return (ends[at],) if at < len(entries) else last
+
+    return Rule(step, summarise, advance, "allowed boolean", "last_ms long", "entries array<long>, ends array<long>")
 
 
 def churn_budget(
@@ -177,26 +169,10 @@ def churn_budget(
     attempt within the cooldown of the last *admitted* one is refused too, as long as that one is still in
     the window.
 
-    The count is a window. The cooldown is a fold over bursts: after a pause of the cooldown's
-    length the past cannot matter.
+    The count is a running sum, the cooldown a recurrence whose blocks are mapped in parallel.
     """
-    counted = attempts_in_window(df, keys, order, window_ms, ts_ms)
-    marked = counted.withColumns(
-        {
-            "_over": F.col("attempts") >= max_in_window,
-            "_starts": F.col("_gap").isNull() | (F.col("_gap") >= cooldown_ms) | (F.col("_gap") > window_ms),
-        }
-    ).drop("_gap")
-
-    def step(row: tuple, last: tuple | None) -> tuple[tuple, tuple]:
-        ts, over = row
-        since = ts - last[0] if last is not None and last[0] is not None else None
-        waiting = since is not None and since < cooldown_ms and since <= window_ms
-        allowed = not over and not waiting
-        return (allowed,), ((ts,) if allowed else (last or (None,)))
-
-    outputs = T.StructType([T.StructField("allowed", T.BooleanType())])
-    folded = fold_marked(marked, keys, order, [ts_ms, "_over"], step, outputs, "churn")
+    counted = attempts_in_window(df, keys, order, window_ms, ts_ms).withColumn("_over", F.col("attempts") >= max_in_window)
+    folded = fold(counted, keys, order, [ts_ms, "_over"], _cooldown(min(cooldown_ms, window_ms + 1)), "churn")
     reason = F.when(F.col("_over"), "churn_limit").when(~F.col("allowed"), "cooldown")
     return folded.withColumn("reason", reason).drop("_over")
 
@@ -232,23 +208,54 @@ def chunk_by_rows(
     return numbered.withColumn("chunk_index", F.floor((F.col("_n") - 1) / rows)).drop("_n")
 
 
-def chunk_by_size(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, rows: int = C.CHUNK_ROWS, max_bytes: int = C.CHUNK_BYTES
-) -> DataFrame:
-    """Add ``chunk_index``: a chunk closes once it holds ``rows`` rows or ``max_bytes`` bytes.
+def _chunks(rows: int, max_bytes: int) -> Rule:
+    """Closes a chunk once it holds ``rows`` rows or ``max_bytes`` bytes.
 
-    Where a chunk ends depends on all before it, so each stream is folded in order. A stream is
-    bounded: one result may carry a million rows (see ``pages.capped``).
+    A chunk that is open when a block begins closes within its first ``rows`` rows or not at all. From each of these places the chunks
+    that follow are fixed; pointers from a chunk's start to the next, found in the running sizes, are doubled to the block's end.
     """
 
     def step(row: tuple, state: tuple | None) -> tuple[tuple, tuple]:
         index, held, weight = state or (0, 0, 0)
-        held, weight = held + 1, weight + (row[0] or 0)
+        held, weight = held + 1, weight + row[0]
         full = held >= rows or weight >= max_bytes
         return (index,), ((index + 1, 0, 0) if full else (index, held, weight))
 
-    outputs = T.StructType([T.StructField("chunk_index", T.LongType())])
-    return fold_pieces(df, keys, order, [size], step, outputs)
+    def summarise(columns: list[np.ndarray]) -> tuple:
+        upto = np.concatenate([[0], np.cumsum(columns[0].astype(np.int64))])
+        count, places = len(upto) - 1, np.arange(len(upto))
+        after = np.minimum(places + rows, np.maximum(np.searchsorted(upto, upto + max_bytes), places + 1))
+        ends, closed = chain_ends(np.where(after <= count, after, places))
+        entries = slice(0, min(rows, count) + 1)
+        return upto[entries].tolist(), count, int(upto[-1]), closed[entries].tolist(), (count - ends[entries]).tolist(), (upto[-1] - upto[ends[entries]]).tolist()
+
+    def advance(state: tuple | None, summary: tuple) -> tuple:
+        head, count, total, closed, held_after, weight_after = summary
+        index, held, weight = state or (0, 0, 0)
+        entry = 0
+        if held:
+            entry = min(rows - held, max(1, bisect_left(head, max_bytes - weight)))
+            if entry > count:
+                return index, held + count, weight + total
+            index += 1
+        return index + closed[entry], held_after[entry], weight_after[entry]
+
+    return Rule(
+        step, summarise, advance, "chunk_index long", "index long, held long, weight long",
+        "head array<long>, count long, total long, closed array<long>, held array<long>, weight array<long>",
+    )
+
+
+def chunk_by_size(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, rows: int = C.CHUNK_ROWS, max_bytes: int = C.CHUNK_BYTES
+) -> DataFrame:
+    """Add ``chunk_index``: a chunk closes once it holds ``rows`` rows or ``max_bytes`` bytes.
+
+    Where a chunk ends depends on all before it, but on each block of a stream only through the chunk that is open when
+    it begins, so a stream of any length is worked out in parallel. A null size is none; sizes are not negative.
+    """
+    sized = df.withColumn("_size", F.coalesce(F.col(size).cast("bigint"), F.lit(0)))
+    return fold(sized, keys, order, ["_size"], _chunks(rows, max_bytes), "chunks").drop("_size")
 
 
 def latest_state(

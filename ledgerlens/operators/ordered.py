@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import cut_lineage
 
 #: the struct of keys and block while a helper works
 PLACE = "_place"
@@ -27,6 +28,13 @@ def placed(df: DataFrame, keys: Sequence[str], block: str) -> DataFrame:
     return df.withColumn(PLACE, F.struct(*keys, block))
 
 
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], label: str, block: str) -> DataFrame:
+    """``df`` with a ``block`` along (keys, order) that no hot key or crowded time can make large: the number of the
+    range that a row falls into. Ranges are found by sampling, so the rows are written out with their number once."""
+    ranges = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(df.repartitionByRange(ranges, *keys, *order).withColumn(block, F.spark_partition_id()), label)
+
+
 def inside(order: Sequence[str]):
     return Window.partitionBy(PLACE).orderBy(*order)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlens import constants as C
 from ledgerlens.operators import admission, filters, limits
 from ledgerlens.plans.fixtures import MILLIS, REQUEST_LOG, define_view, view, with_views
 from ledgerlens.plans.policy_queries import APPROVAL_REQ, APPROVAL_RESP
@@ -30,18 +31,47 @@ def token_bucket(spark, sf_dir):
     return limits.token_bucket(log, ["db_alias"], ["ts_ms", "seq_id"], policy).drop("ts_ms")
 
 
+def _bucket_sql(source: str, key: str, order: str, burst: str, refill: str, per_ms: str) -> str:
+    """The serial recurrence over the rows of ``source``, row by row."""
+    full = f"({burst}) * {per_ms}"
+    return f"""n AS (SELECT *, {full} AS full_, {refill} AS refill_, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn, CONCAT_WS('/', {key}) AS key_ FROM {source}),
+b AS (SELECT key_, rn, seq_id, ts_ms, CAST(full_ - {per_ms} AS BIGINT) AS tokens, true AS allowed FROM n WHERE rn = 1
+  UNION ALL SELECT n.key_, n.rn, n.seq_id, n.ts_ms, CAST(CASE WHEN f.now_ >= {per_ms} THEN f.now_ - {per_ms} ELSE f.now_ END AS BIGINT) AS tokens, f.now_ >= {per_ms} AS allowed
+  FROM b JOIN n ON n.key_ = b.key_ AND n.rn = b.rn + 1, LATERAL (SELECT least(n.full_, b.tokens + (n.ts_ms - b.ts_ms) * n.refill_) AS now_) f)"""
+
+
+#: milliseconds into which a day of the log is pressed, so that the default budgets are exceeded
+_RUSH = 86_400_000 // 400
+define_view("rush", f"SELECT seq_id, agent_id, action, CAST(floor(ts_ms / {_RUSH}) AS BIGINT) AS ts_ms FROM [request_log]", ("request_log",))
+
+
 @query(
     "rate_policies",
-    f"{with_views('request_log')} SELECT seq_id, true AS allowed FROM request_log",
+    f"""{with_views('rush', recursive=True)}, {_bucket_sql(
+        'rush', 'agent_id, action', 'ts_ms, seq_id',
+        'CASE action ' + ' '.join(f"WHEN '{a}' THEN {size}" for a, (size, _) in C.RATE_POLICIES.items()) + f" ELSE {C.RATE_POLICIES['other'][0]} END",
+        'CASE action ' + ' '.join(f"WHEN '{a}' THEN {rate}" for a, (_, rate) in C.RATE_POLICIES.items()) + f" ELSE {C.RATE_POLICIES['other'][1]} END", '1000')}
+SELECT seq_id, allowed FROM b""",
 )
 def rate_policies(spark, sf_dir):
-    """The default per-action budgets per agent, user, database and action."""
-    log = view(spark, sf_dir, "request_log").select("seq_id", "agent_id", "user_id", "db_alias", "action", "ts_ms")
-    keys = ["agent_id", "user_id", "db_alias", "action"]
-    done = limits.token_bucket(log, keys, ["ts_ms", "seq_id"], limits.policy_columns("action"))
+    """The default per-action budgets per agent and action, in a rush that exceeds them."""
+    log = view(spark, sf_dir, "rush")
+    done = limits.token_bucket(log, ["agent_id", "action"], ["ts_ms", "seq_id"], limits.policy_columns("action"))
     return done.select("seq_id", "allowed")
 
 
+@query(
+    "token_bucket_one_key",
+    f"""{with_views('request_log', recursive=True)}, o AS (SELECT seq_id, ts_ms, 'all' AS everyone FROM request_log),
+{_bucket_sql('o', 'everyone', 'ts_ms, seq_id', '40', '1', '1000000')} SELECT seq_id, allowed FROM b""",
+)
+def token_bucket_one_key(spark, sf_dir):
+    """The whole log against one bucket that every request shares."""
+    log = view(spark, sf_dir, "request_log").select("seq_id", "ts_ms")
+    policy = {n: F.lit(v).cast("bigint") for n, v in (("burst", 40), ("refill", 1), ("per_ms", 1_000_000))}
+    return limits.token_bucket(log, [], ["ts_ms", "seq_id"], policy).select("seq_id", "allowed")
+
+
 WINDOW, COOLDOWN, MOST = 7_200_000, 600_000, 9
 
 
@@ -103,6 +133,38 @@ def assign_chunks_by_size(spark, sf_dir):
     return limits.chunk_by_size(docs, ["stream"], ["doc_id"], "size", rows=20).drop("size")
 
 
+@query(
+    "assign_chunks_one_stream",
+    """WITH RECURSIVE n AS (SELECT conv_id, turn, strlen(text) AS size, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM conversations),
+c AS (SELECT conv_id, turn, rn, CAST(0 AS BIGINT) AS chunk_index, 1 AS held, size AS weight FROM n WHERE rn = 1
+  UNION ALL SELECT n.conv_id, n.turn, n.rn, CASE WHEN c.held >= 100 OR c.weight >= 4096 THEN c.chunk_index + 1 ELSE c.chunk_index END AS chunk_index,
+    CASE WHEN c.held >= 100 OR c.weight >= 4096 THEN 1 ELSE c.held + 1 END AS held, CASE WHEN c.held >= 100 OR c.weight >= 4096 THEN n.size ELSE c.weight + n.size END AS weight
+  FROM c JOIN n ON n.rn = c.rn + 1)
+SELECT conv_id, turn, chunk_index FROM c""",
+)
+def assign_chunks_one_stream(spark, sf_dir):
+    """All conversation turns as one stream of results, in chunks of at most 100 rows that close at 4 KiB."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.octet_length("text").cast("bigint").alias("size"))
+    return limits.chunk_by_size(turns, [], ["conv_id", "turn"], "size", rows=100, max_bytes=4096).drop("size")
+
+
+@query(
+    "churn_budget_one_key",
+    f"""{with_views('request_log', recursive=True)},
+n AS (SELECT seq_id, ts_ms, row_number() OVER (ORDER BY ts_ms, seq_id) AS rn, count(*) OVER (ORDER BY ts_ms RANGE BETWEEN {WINDOW} PRECEDING AND CURRENT ROW)
+    - count(*) OVER (PARTITION BY ts_ms) + row_number() OVER (PARTITION BY ts_ms ORDER BY seq_id) - 1 AS attempts FROM request_log),
+b AS (SELECT seq_id, ts_ms, rn, attempts, attempts < 32 AS allowed, CASE WHEN attempts < 32 THEN ts_ms ELSE -1000000000000 END AS last_ FROM n WHERE rn = 1
+  UNION ALL SELECT n.seq_id, n.ts_ms, n.rn, n.attempts, n.attempts < 32 AND n.ts_ms - b.last_ >= {COOLDOWN} AS allowed,
+    CASE WHEN n.attempts < 32 AND n.ts_ms - b.last_ >= {COOLDOWN} THEN n.ts_ms ELSE b.last_ END AS last_ FROM b JOIN n ON n.rn = b.rn + 1)
+SELECT seq_id, attempts, allowed, CASE WHEN attempts >= 32 THEN 'churn_limit' WHEN NOT allowed THEN 'cooldown' END AS reason FROM b""",
+)
+def churn_budget_one_key(spark, sf_dir):
+    """The whole log as the attempts of one key."""
+    log = view(spark, sf_dir, "request_log").select("seq_id", "ts_ms")
+    done = limits.churn_budget(log, [], ["ts_ms", "seq_id"], 32, WINDOW, COOLDOWN)
+    return done.select("seq_id", F.col("attempts").cast("bigint").alias("attempts"), "allowed", "reason")
+
+
 _PROCESSES = """SELECT concat('a', CAST(user_id AS VARCHAR(20))) AS agent_id, CAST(max(k) AS BIGINT) AS pid, max(k) % 5 <> 0 AS alive FROM [request_log] GROUP BY user_id"""
 _BEATS = """SELECT concat('a', CAST(user_id AS VARCHAR(20))) AS agent_id, CAST(k + CASE WHEN user_id % 6 = 0 THEN 100 ELSE 0 END AS BIGINT) AS pid, ts_ms FROM [request_log] WHERE user_id % 9 <> 0"""
 define_view("processes", _PROCESSES, ("request_log",))
@@ -207,8 +269,7 @@ def admit_stream(spark, sf_dir):
 @query("token_bucket_stream", TOKEN_SQL)
 def token_bucket_stream(spark, sf_dir):
     stream = _request_stream(spark, sf_dir).select("seq_id", "db_alias", "ts")
-    done = jobs.token_bucket_stream(stream, ["db_alias"], "ts", "seq_id", BURST, REFILL, PER_MS, idle_ms=86_400_000 * 60)
-    return jobs.run_to_table(done, "token-bucket")
+    return jobs.token_bucket_stream(stream, ["db_alias"], "ts", "seq_id", BURST, REFILL, PER_MS, idle_ms=86_400_000 * 60)
 
 
 @query(

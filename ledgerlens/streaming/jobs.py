@@ -6,9 +6,8 @@ Driver files carry zone-less timestamps, and a watermark needs a real one, so ev
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,39 +48,49 @@ def drop_replays(
 
 def token_bucket_stream(
     stream: DataFrame, keys: Sequence[str], ts: str, row_id: str, burst: int, refill: int, per_ms: int,
-    watermark: str = "0 seconds", idle_ms: int = C.RATE_IDLE_MS,
+    idle_ms: int = C.RATE_IDLE_MS, label: str = "token-bucket", timeout_sec: int = 600,
 ) -> DataFrame:
-    """``keys, row_id, allowed, retry_after_ms`` with one bucket of state per key, forgotten when
-    idle for ``idle_ms`` of event time (by then it must be full again, as it starts full as a new one)."""
+    """``keys, row_id, allowed, retry_after_ms``: runs a stream over everything available now into a written table.
+
+    Each micro-batch is worked out by the batch operator, which splits a hot key's rows over many tasks; the state between batches
+    is a table of one bucket per key, one version a batch. A batch that is repeated after a failure starts from the version before it and
+    replaces what it has written. A bucket is forgotten when idle for ``idle_ms`` of event time (by then it must be full
+    again, as it starts full as a new one). A row older than its key's last one counts at that one's time.
+    """
     if burst * per_ms > idle_ms * refill:
         raise ValueError("a bucket that is forgotten before it is full again would admit too much: raise idle_ms")
-    key_fields = [stream.schema[k] for k in keys]
-    output = T.StructType(
-        [*key_fields, stream.schema[row_id], T.StructField("allowed", T.BooleanType()), T.StructField("retry_after_ms", T.LongType())]
-    )
-    spend = limits.spend
-    state_type = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("updated_ms", T.LongType())])
-
-    def step(key: tuple, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames)).sort_values(["_ms", row_id])
-        tokens, last = state.get if state.exists else (burst * per_ms, int(rows["_ms"].iloc[0]))
-        allowed, retry = [], []
-        for now in rows["_ms"]:
-            tokens, ok, wait = spend(tokens, int(now) - last, burst, refill, per_ms)
-            last = max(last, int(now))
-            allowed.append(ok)
-            retry.append(wait)
-        state.update((tokens, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + idle_ms)
-        yield pd.DataFrame(
-            {k: [v] * len(rows) for k, v in zip(keys, key)} | {row_id: rows[row_id].tolist(), "allowed": allowed, "retry_after_ms": retry}
-        )
-
-    timed = stream.withWatermark(ts, watermark).withColumn("_ms", F.unix_millis(ts))
-    return timed.groupBy(*keys).applyInPandasWithState(step, output, state_type, "append", "EventTimeTimeout")
+    spark = prepare(stream.sparkSession)
+    root = scratch_dir(spark, label)
+    policy = {n: F.lit(v).cast("bigint") for n, v in (("burst", burst), ("refill", refill), ("per_ms", per_ms))}
+    key = F.struct(*keys).alias("_key")
+
+    def each(rows: DataFrame, number: int) -> None:
+        # written first: the work below then runs on the caller's session, with adaptive execution
+        rows.select(*keys, row_id, F.unix_millis(ts).alias("_ms")).write.mode("overwrite").parquet(f"{root}/rows/{number}")
+        now = spark.read.parquet(f"{root}/rows/{number}")
+        known = None
+        if number:
+            known = spark.read.parquet(f"{root}/state/{number - 1}")
+            now = now.withColumn("_key", key).join(known.select(key, F.col("tokens").alias("_held"), F.col("updated_ms").alias("_since")), "_key", "left").drop("_key")
+        else:
+            now = now.withColumns({"_held": F.lit(None).cast("bigint"), "_since": F.lit(None).cast("bigint")})
+        now = now.withColumn("_ms", F.greatest("_ms", "_since"))
+        done = limits.token_bucket(now, keys, ["_ms", row_id], policy, "_ms", (F.col("_held"), F.col("_since")), state=True)
+        done.drop("_held", "_since").write.mode("overwrite").parquet(f"{root}/data/batch={number}")
+        done = spark.read.parquet(f"{root}/data/batch={number}")
+        last = F.max_by(F.struct("tokens", "updated_ms"), F.struct("_ms", row_id)).alias("last")
+        states = done.groupBy(*keys).agg(last).select(*keys, "last.*")
+        if known is not None:
+            newest = done.agg(F.max("_ms").alias("_now"))
+            idle = known.withColumn("_key", key).join(states.select(key), "_key", "left_anti").drop("_key").crossJoin(F.broadcast(newest))
+            states = states.unionByName(idle.where(F.col("_now").isNull() | (F.col("updated_ms") + idle_ms >= F.col("_now"))).drop("_now"))
+        states.write.mode("overwrite").parquet(f"{root}/state/{number}")
+
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    if not query.awaitTermination(timeout_sec):
+        query.stop()
+        raise TimeoutError(f"stream {label!r} did not finish in {timeout_sec} s")
+    return spark.read.parquet(f"{root}/data").select(*keys, row_id, "allowed", "retry_after_ms")
 
 
 def approval_timeouts(requests: DataFrame, responses: DataFrame, window_ms: int = C.APPROVAL_MS, late: str = "5 seconds") -> DataFrame:

@@ -4,11 +4,14 @@ import bisect
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.operators import admission, limits, ordered, policy
+from ledgerlens.operators import admission, limits, ordered, policy, recurrences
 from ledgerlens.streaming import jobs
 
 
@@ -47,31 +50,109 @@ def bucket_by_hand(rows, burst, refill, per_ms):
                 tokens -= per_ms
                 out[i] = (True, 0)
             else:
-                out[i] = (False, max(1, -(-(per_ms - tokens) // refill)))
+                out[i] = (False, max(1, -(-(per_ms - tokens) // refill)) if refill else C.NO_RETRY_MS)
     return out
 
 
-@pytest.mark.parametrize(("seed", "burst", "refill", "per_ms", "block"), [(1, 5, 1, 900, 60_000), (2, 1, 3, 4000, 1000), (3, 50, 1, 400, 10_000), (4, 3, 2, 100, 7), (5, 2, 1, 10_000, 400_000)])
-def test_token_bucket(spark, seed, burst, refill, per_ms, block):
+RULES = [(1, 5, 1, 900), (2, 1, 3, 4000), (3, 50, 1, 400), (4, 3, 2, 100), (5, 2, 1, 10_000), (6, 0, 1, 100), (7, 3, 0, 10)]
+
+
+def policy_of(burst, refill, per_ms):
+    return {k: F.lit(v).cast("bigint") for k, v in (("burst", burst), ("refill", refill), ("per_ms", per_ms))}
+
+
+@pytest.mark.parametrize(("seed", "burst", "refill", "per_ms"), RULES)
+def test_token_bucket(spark, seed, burst, refill, per_ms):
     rows = with_null_key(traffic(seed))
-    rule = {k: F.lit(v).cast("bigint") for k, v in (("burst", burst), ("refill", refill), ("per_ms", per_ms))}
-    got = limits.token_bucket(frame(spark, rows), ["key"], ["ts_ms", "id"], rule, block_ms=block).collect()
+    got = limits.token_bucket(frame(spark, rows), ["key"], ["ts_ms", "id"], policy_of(burst, refill, per_ms)).collect()
     assert {r.id: (r.allowed, r.retry_after_ms) for r in got} == bucket_by_hand(rows, burst, refill, per_ms)
     assert len(got) == len(rows)
 
 
-def test_token_bucket_pieces_are_short_under_light_load(spark):
-    """Busy periods, not keys, are what a task folds."""
-    rows = [(i, "hot", i * 1000) for i in range(500)]
-    rule = {k: F.lit(v).cast("bigint") for k, v in (("burst", 10), ("refill", 2), ("per_ms", 1000))}
-    seen = []
-    original = limits.fold_marked
-    try:
-        limits.fold_marked = lambda marked, *a: seen.append(marked.where("_starts").count()) or original(marked, *a)
-        limits.token_bucket(frame(spark, rows), ["key"], ["ts_ms", "id"], rule).count()
-    finally:
-        limits.fold_marked = original
-    assert seen == [500]
+@pytest.mark.parametrize(("seed", "burst", "refill", "per_ms"), RULES)
+def test_one_key_with_all_rows_is_many_blocks(spark, seed, burst, refill, per_ms):
+    rows = [(i, "hot", ts) for i, _, ts in traffic(seed, n=3000, span=100_000)]
+    got = limits.token_bucket(frame(spark, rows), ["key"], ["ts_ms", "id"], policy_of(burst, refill, per_ms)).collect()
+    assert {r.id: (r.allowed, r.retry_after_ms) for r in got} == bucket_by_hand(rows, burst, refill, per_ms)
+    dealt = ordered.ranged(frame(spark, rows), ["key"], ["ts_ms", "id"], "dealt", "block")
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < len(rows) / 4
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.integers(1, 6), st.integers(0, 5), st.integers(1, 40), st.lists(st.lists(st.integers(0, 120), min_size=1, max_size=30), min_size=1, max_size=4), st.data()
+)
+def test_a_chain_of_bucket_maps_is_the_serial_bucket(burst, refill, unit, blocks, data):
+    full = burst * unit
+    start = data.draw(st.integers(0, full))
+    maps, tokens = [], start
+    for steps in blocks:
+        change = None
+        for wait in steps:
+            one = recurrences.request_map(wait * refill, full, unit)
+            change = one if change is None else recurrences.then(change, one, unit)
+            tokens = limits.spend(tokens, wait, burst, refill, unit)[0]
+        maps.append(change)
+    held = start
+    for change in maps:
+        held = recurrences.held_after(held, change, unit)
+    assert held == tokens
+    whole = maps[0]
+    for change in maps[1:]:
+        whole = recurrences.then(whole, change, unit)
+    assert recurrences.held_after(start, whole, unit) == tokens
+
+
+def test_bucket_maps_stay_small():
+    rng = random.Random(1)
+    for unit, wait in ((1000, 30), (1000, 300), (7, 3), (1000, 1000)):
+        change = recurrences.request_map(0, 20 * unit, unit)
+        for _ in range(3000):
+            change = recurrences.then(change, recurrences.request_map(rng.randrange(wait), 20 * unit, unit), unit)
+            assert len(change[4]) < 25
+
+
+def rule_by_blocks(rule, rows, cuts):
+    """The outputs when every block starts from the state that the summaries of those before give."""
+    outputs, state = [], None
+    for first, last in zip([0, *cuts], [*cuts, len(rows)]):
+        block = rows[first:last]
+        if not block:
+            continue
+        here = state
+        for row in block:
+            out, here = rule.step(row, here)
+            outputs.append(out)
+        state = rule.advance(state, rule.summarise([np.array(c) for c in zip(*block)]))
+    return outputs
+
+
+def serially(rule, rows):
+    outputs, state = [], None
+    for row in rows:
+        out, state = rule.step(row, state)
+        outputs.append(out)
+    return outputs
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 50), min_size=1, max_size=80), st.integers(1, 12), st.integers(1, 90), st.lists(st.integers(0, 80), max_size=5))
+def test_chunk_blocks_equal_the_serial_fold(sizes, rows, most, cuts):
+    rule = limits._chunks(rows, most)
+    rows = [(s,) for s in sizes]
+    assert rule_by_blocks(rule, rows, sorted(min(c, len(rows)) for c in cuts)) == serially(rule, rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 8), st.booleans()), min_size=1, max_size=80), st.integers(0, 25), st.lists(st.integers(0, 80), max_size=5))
+def test_cooldown_blocks_equal_the_serial_fold(steps, wait, cuts):
+    rows, at = [], 0
+    for gap, over in steps:
+        at += gap
+        rows.append((at, over))
+    rule = limits._cooldown(wait)
+    assert rule_by_blocks(rule, rows, sorted(min(c, len(rows)) for c in cuts)) == serially(rule, rows)
 
 
 def churn_by_hand(rows, most, window, cooldown):
@@ -109,6 +190,9 @@ def test_attempts_of_one_key_in_one_window_are_counted_in_linear_time(spark):
     df = spark.range(60_000).select("id", F.lit("hot").alias("key"), F.floor(F.col("id") / 6).alias("ts_ms"))
     counted = limits.attempts_in_window(df, ["key"], ["ts_ms", "id"], 60_000)
     assert counted.where(F.col("attempts") == F.col("id")).count() == 60_000
+    churned = limits.churn_budget(df, ["key"], ["ts_ms", "id"], 50_000, 60_000, 100)
+    # the first of each 100 ms, until there have been too many
+    assert churned.where("allowed").agg(F.count("*"), F.max("id")).first() == (84, 49_800)
 
 
 @pytest.mark.parametrize(("seed", "most", "window", "cooldown"), [(1, 8, 5_000, 700), (2, 100, 300_000, 2_000), (3, 3, 900, 2_000), (4, 40, 20_000, 1)])
@@ -191,6 +275,15 @@ def test_chunks_by_size(spark):
                 index, held, weight = index + 1, 0, 0
 
 
+def test_chunks_of_one_stream(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, 0, 5, 60, 400])) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, size long")
+    got = {r.id: r.chunk_index for r in limits.chunk_by_size(df, [], ["id"], "size", 30, 900).collect()}
+    want = serially(limits._chunks(30, 900), [(s or 0,) for _, s in rows])
+    assert [got[i] for i in range(5000)] == [c for (c,) in want]
+
+
 def test_latest_state(spark):
     beats = spark.createDataFrame([("a", 1, 10), ("a", 1, 95_000), ("b", 1, 5_000), ("c", 2, 99_000), ("d", 1, 99_000)], "agent_id string, pid long, ts_ms long")
     procs = spark.createDataFrame([("a", 1, True), ("b", 1, True), ("c", 1, True), ("d", 1, False), ("e", 1, True)], "agent_id string, pid long, alive boolean")
@@ -241,10 +334,21 @@ def test_token_bucket_stream_equals_batch(spark, as_stream):
     rule = {k: F.lit(v).cast("bigint") for k, v in (("burst", 4), ("refill", 1), ("per_ms", 2000))}
     batch = {r.id: (r.allowed, r.retry_after_ms) for r in limits.token_bucket(df, ["key"], ["ts_ms", "id"], rule).collect()}
     stream = as_stream(df.withColumn("ts", F.timestamp_millis("ts_ms")), "ts_ms")
-    live = jobs.run_to_table(jobs.token_bucket_stream(stream, ["key"], "ts", "id", 4, 1, 2000), "tb")
+    live = jobs.token_bucket_stream(stream, ["key"], "ts", "id", 4, 1, 2000)
     assert {r.id: (r.allowed, r.retry_after_ms) for r in live.collect()} == batch
 
 
+def test_token_bucket_stream_takes_late_rows_and_null_keys(spark, tmp_path):
+    """A row older than its key's last one counts at that one's time; a bucket idle long enough is forgotten."""
+    batches = [[(0, None, 0), (1, None, 10), (2, "a", 5)], [(3, None, 4), (4, "a", 40)], [(5, None, 100_000), (6, "b", 100_001)], [(7, "a", 100_002)]]
+    for n, rows in enumerate(batches):
+        frame(spark, rows).withColumn("ts", F.timestamp_millis("ts_ms")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = "id long, key string, ts_ms long, ts timestamp"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = {r.id: r.allowed for r in jobs.token_bucket_stream(stream, ["key"], "ts", "id", 2, 1, 50, idle_ms=1000).collect()}
+    assert got == {0: True, 1: True, 2: True, 3: False, 4: True, 5: True, 6: True, 7: True}
+
+
 def test_sessions_stream_equals_batch(spark, as_stream):
     df = frame(spark, traffic(8, n=400))
     batch = limits.activity_sessions(df, ["key"], ["ts_ms", "id"], 60_000)
