@@ -28,8 +28,11 @@ from ledgerlens.session import prepare, scratch_dir
 
 #: files of a micro-batch
 BATCH_FILES = 10_000
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: state on disk; many stores need no space set aside in advance
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: str = "text") -> Column:
@@ -68,8 +71,9 @@ def stream_state(spark: SparkSession, path: str, root: str, digest: Callable[[Co
         # written whole for each batch, so a batch that is repeated after a failure replaces itself
         changed.write.mode("overwrite").parquet(f"{root}/state/batch={batch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STORE}
+    for name, value in STORE.items():
+        spark.conf.set(name, value)
     try:
         running = (
             kept.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
@@ -77,10 +81,11 @@ def stream_state(spark: SparkSession, path: str, root: str, digest: Callable[[Co
         )
         running.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     try:
         changes = spark.read.parquet(f"{root}/state")
     except AnalysisException as none:
