@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens import constants as C
 from ledgerlens.operators import admission, filters, limits
 from ledgerlens.plans.fixtures import MILLIS, REQUEST_LOG, define_view, view, with_views
-from ledgerlens.plans.policy_queries import APPROVAL_REQ, APPROVAL_RESP
+from ledgerlens.plans.policy_queries import APPROVALS_SQL
 from ledgerlens.plans.registry import query
 from ledgerlens.session import read_table, scratch_dir
 from ledgerlens.sources import segments
@@ -233,9 +233,23 @@ def _request_stream(spark, sf_dir):
     return spark.sql(text, events=events).withColumn("ts", jobs.event_time("ts"))
 
 
+def _by_phases(spark, tables, time: str, build, label: str, phases: int = 4):
+    """Runs the stream that ``build`` makes of ``tables`` as they grow: a part of each, cut at the same times, arrives, then
+    the stream takes it as one micro-batch and stops; the next run goes on from its state."""
+    folders, root = [scratch_dir(spark, label) for _ in tables], scratch_dir(spark, label)
+    cuts = tables[0].approxQuantile(time, [i / phases for i in range(1, phases)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        for table, folder in zip(tables, folders):
+            part = table if low is None else table.where(F.col(time) > low)
+            (part if high is None else part.where(F.col(time) <= high)).write.mode("append").parquet(folder)
+        streams = [spark.readStream.schema(table.schema).parquet(folder) for table, folder in zip(tables, folders)]
+        done = jobs.run_to_table(build(*streams), label, root=root)
+    return done
+
+
 @query(
     "live_counters",
-    f"""{with_views('request_log')}, m AS (SELECT max(ts_ms) - 600000 AS mark FROM request_log)
+    f"""{with_views('request_log')}
 SELECT ts_ms - ts_ms % 3600000 AS start_ms,
   count(*) FILTER (decision = 'allow' AND outcome <> 'n/a' AND action = 'query') AS queries_served,
   count(*) FILTER (decision = 'allow' AND outcome <> 'n/a' AND action = 'stream_query') AS streams_served,
@@ -243,27 +257,51 @@ SELECT ts_ms - ts_ms % 3600000 AS start_ms,
   count(*) FILTER (decision = 'allow' AND outcome <> 'n/a' AND action = 'cancel') AS cancellations,
   count(*) FILTER (decision = 'deny' AND coalesce(denial_reason, '') = 'buffer_overflow') AS buffer_overflows,
   count(*) FILTER (decision = 'deny' AND coalesce(denial_reason, '') <> 'buffer_overflow') AS permission_denies
-FROM request_log, m GROUP BY start_ms, mark HAVING start_ms + 3600000 <= mark""",
+FROM request_log GROUP BY start_ms""",
 )
 def live_counters(spark, sf_dir):
-    return jobs.run_to_table(jobs.live_counters(_request_stream(spark, sf_dir), "ts"), "live-counters")
+    """The stream's buckets, and those that were still open at its end."""
+    closed = jobs.run_to_table(jobs.live_counters(_request_stream(spark, sf_dir), "ts"), "live-counters")
+    log = view(spark, sf_dir, "request_log").withColumn("ts", jobs.event_time("ts"))
+    return closed.unionByName(jobs.counters_left(closed, log, "ts"))
 
 
-@query(
-    "session_stream",
-    f"{SESSIONS_SQL}, (SELECT max(ts_ms) - 60000 AS mark FROM request_log) m WHERE end_ms <= mark".replace("SELECT * FROM a,", "SELECT a.* FROM a,"),
-)
+@query("session_stream", SESSIONS_SQL)
 def session_stream(spark, sf_dir):
+    """The stream's sessions, and those that were still open at its end."""
     stream = jobs.activity_sessions(_request_stream(spark, sf_dir), ["db_alias"], "ts", "600 seconds")
-    return jobs.run_to_table(stream, "sessions")
+    closed = jobs.run_to_table(stream, "sessions")
+    log = view(spark, sf_dir, "request_log").select("db_alias", "ts_ms", "seq_id")
+    return closed.unionByName(jobs.sessions_left(closed, log, ["db_alias"], ["ts_ms", "seq_id"], GAP))
+
+
+#: arrivals 20 s apart, some ids again after up to 15 minutes; a connection each seven ids
+_STREAM_WAKES = """SELECT *, queued_at_ AS queued_at, 'tok' AS token, arrived_ms + (k - 5) * 3000 AS token_expires_at FROM (
+  SELECT *, arrived_ms - (k - 10) * 1500 AS queued_at_ FROM (SELECT seq_id AS row_id, k, concat('c', CAST(CAST(floor(seq_id / 3) AS BIGINT) % 7 AS VARCHAR(4))) AS connection,
+  CASE WHEN k % 41 = 0 THEN '' ELSE concat('w', CAST(CAST(floor(seq_id / 3) AS BIGINT) AS VARCHAR(20))) END AS wake_id,
+  CASE k % 6 WHEN 0 THEN 'browser_request' WHEN 1 THEN 'ping' WHEN 2 THEN 'config_sync' WHEN 3 THEN 'gossip' ELSE 'migration_queued' END AS reason,
+  1704067200000 + seq_id * 20000 + CASE WHEN seq_id % 3 = 2 THEN k * 9000 ELSE 0 END AS arrived_ms FROM [request_log]) a) b"""
+define_view("stream_wakes", _STREAM_WAKES, ("request_log",))
+
+
+def _memory_sql(fresh: str, id_: str, horizon: int) -> str:
+    """Rows of ``fresh`` and whether the id was used within the horizon of its last accepted use."""
+    return f"""n AS (SELECT *, row_number() OVER (PARTITION BY connection, {id_} ORDER BY arrived_ms, row_id) AS rn FROM {fresh}),
+b AS (SELECT connection, {id_} AS id, rn, row_id, arrived_ms AS used, true AS fresh FROM n WHERE rn = 1
+  UNION ALL SELECT n.connection, n.{id_}, n.rn, n.row_id, CASE WHEN n.arrived_ms > b.used + {horizon} THEN n.arrived_ms ELSE b.used END, n.arrived_ms > b.used + {horizon}
+  FROM b JOIN n ON n.connection = b.connection AND n.{id_} = b.id AND n.rn = b.rn + 1)
+SELECT row_id, CASE WHEN NOT fresh THEN 'replayed' END AS refusal FROM b"""
 
 
-@query("admit_stream", f"{_ADMIT_SQL} SELECT wake_id FROM f WHERE why IS NULL AND pos = 1")
+@query(
+    "admit_stream",
+    f"""{with_views('stream_wakes', recursive=True)}, f AS (SELECT * FROM stream_wakes WHERE wake_id <> '' AND reason <> 'gossip' AND token_expires_at - 35000 > arrived_ms
+  AND arrived_ms - queued_at <= 150000 AND arrived_ms - queued_at >= -30000), {_memory_sql('f', 'wake_id', 600_000)}""",
+)
 def admit_stream(spark, sf_dir):
-    wakes = spark.sql(
-        _WAKES.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir)
-    ).withColumnRenamed("ts", "arrived_at")
-    return jobs.run_to_table(jobs.admit_events(wakes, horizon="60 days"), "admit").select("wake_id")
+    """Wake events in several micro-batches, with a replay memory of ten minutes for each connection."""
+    wakes = view(spark, sf_dir, "stream_wakes").drop("queued_at_").withColumn("arrived_at", F.timestamp_millis("arrived_ms"))
+    return _by_phases(spark, [wakes], "arrived_ms", lambda stream: jobs.admit_events(stream, "connection"), "admit")
 
 
 @query("token_bucket_stream", TOKEN_SQL)
@@ -272,36 +310,29 @@ def token_bucket_stream(spark, sf_dir):
     return jobs.token_bucket_stream(stream, ["db_alias"], "ts", "seq_id", BURST, REFILL, PER_MS, idle_ms=86_400_000 * 60)
 
 
+_STREAM_ENVELOPES = """SELECT row_id, nonce, connection, arrived_ms, arrived_ms - (k - 50) * 3000 AS sent_ms FROM (SELECT seq_id AS row_id, k,
+  concat('n', CAST(CAST(floor(seq_id / 2) AS BIGINT) AS VARCHAR(20))) AS nonce, concat('c', CAST(CAST(floor(seq_id / 2) AS BIGINT) % 5 AS VARCHAR(4))) AS connection,
+  1704067200000 + seq_id * 20000 + CASE WHEN seq_id % 2 = 1 THEN k * 4000 ELSE 0 END AS arrived_ms FROM [request_log]) a"""
+define_view("stream_envelopes", _STREAM_ENVELOPES, ("request_log",))
+
+
 @query(
     "replay_stream",
-    f"""{with_views('envelopes')} SELECT DISTINCT nonce FROM envelopes WHERE abs(arrived_ms - ts_ms) <= 120000""",
+    f"""{with_views('stream_envelopes', recursive=True)}, f AS (SELECT * FROM stream_envelopes WHERE abs(arrived_ms - sent_ms) <= 120000), {_memory_sql('f', 'nonce', 240_000)}""",
 )
 def replay_stream(spark, sf_dir):
-    """Two uses of a nonce lie at most a few minutes apart here, so the two-window horizon sees both."""
-    envelopes = spark.sql(
-        _ENVELOPES.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir)
-    ).select("row_id", "nonce", F.timestamp_millis("ts_ms").alias("ts"), F.timestamp_millis("arrived_ms").alias("arrived_at"))
-    return jobs.run_to_table(jobs.drop_replays(envelopes, horizon_ms=120_000), "replays").select("nonce").distinct()
+    """Envelopes in several micro-batches, with a nonce memory of two freshness windows for each connection."""
+    frames = view(spark, sf_dir, "stream_envelopes").withColumns({"ts": F.timestamp_millis("sent_ms"), "arrived_at": F.timestamp_millis("arrived_ms")})
+    return _by_phases(spark, [frames], "arrived_ms", lambda stream: jobs.drop_replays(stream, "connection"), "replays")
 
 
-@query(
-    "approval_stream",
-    f"""{with_views('approval_requests', 'approval_responses')}, m AS (SELECT least((SELECT max(ts_ms) FROM approval_requests),
-  (SELECT max(ts_ms) FROM approval_responses WHERE role IN ('admin', 'developer'))) - 5000 AS mark),
-p AS (SELECT q.request_id, q.ts_ms AS asked, r.ts_ms, r.approved FROM approval_requests q LEFT JOIN approval_responses r ON r.request_id = q.request_id AND r.user_id = q.user_id
-  AND r.nonce = q.nonce AND r.role IN ('admin', 'developer') AND r.ts_ms >= q.ts_ms AND r.ts_ms <= q.ts_ms + 60000)
-SELECT request_id, CASE WHEN approved IS NULL THEN 'expired' WHEN approved THEN 'approved' ELSE 'rejected' END AS decision, ts_ms AS decided_ms
-FROM p, m WHERE approved IS NOT NULL OR asked + 60000 < mark""",
-)
+@query("approval_stream", APPROVALS_SQL)
 def approval_stream(spark, sf_dir):
-    """A request expires once both streams have moved past its window, so the watermark that counts
-    is that of the slower stream."""
-
-    asked = spark.sql(APPROVAL_REQ.replace("[request_log]", "{log}"), log=_request_stream(spark, sf_dir))
-    said = spark.sql(APPROVAL_RESP.replace("[approval_requests]", "{asked}"), asked=asked)
+    """One decision a request from the stream, and by the closing step those that it had left open."""
+    asked, said = view(spark, sf_dir, "approval_requests"), view(spark, sf_dir, "approval_responses")
     timed = [df.withColumn("ts", F.timestamp_millis("ts_ms")) for df in (asked, said)]
-    done = jobs.run_to_table(jobs.approval_timeouts(*timed), "approvals")
-    return done.select("request_id", "decision", F.unix_millis("decided_at").alias("decided_ms"))
+    done = _by_phases(spark, timed, "ts_ms", jobs.approval_decisions, "approvals")
+    return done.unionByName(jobs.approvals_left(done, asked, said))
 
 
 @query(
@@ -310,13 +341,25 @@ def approval_stream(spark, sf_dir):
 WHERE k % 23 <> 0 AND lower(outcome) = 'error' AND ts_ms >= 1704412800000""",
 )
 def follow_segments(spark, sf_dir):
-    """Write the log as segments, then follow the folder as a stream with the viewer's filter."""
-    log = view(spark, sf_dir, "request_log").withColumns({"id": F.concat(F.lit("r"), "seq_id"), "seq": F.col("seq_id") + 1})
-    line = F.to_json(F.struct("action", "id", "outcome", "project", "seq", "ts_ms"))
-    log = log.withColumn("line", line)
-    log = log.withColumn("line", F.when(F.col("k") % 23 == 0, F.left("line", F.lit(20))).otherwise(F.col("line")))
-    path = scratch_dir(spark, "followed")
-    segments.write_segments(log, path, [], 1000, keep=None, raw="line")
-    followed = segments.follow_segments(spark, path)
-    wanted = filters.audit_filter(followed, outcome="ERROR", since=1704412800000, time_column="ts_ms")
-    return jobs.run_to_table(wanted.select("id", "action", "project"), "follow")
+    """Follow a folder of log files, a file for each database and day, while they grow.
+
+    Between the two runs of the stream all files grow, those of one database are renamed as well, and those of another are cut
+    and begin anew. Every line is to come once.
+    """
+    number = F.substring("db_alias", 3, 1).cast("bigint") * 100_000 + F.floor(F.col("ts_ms") / 86_400_000)
+    log = view(spark, sf_dir, "request_log").withColumns({"id": F.concat(F.lit("r"), "seq_id"), "n": number})
+    line = F.when(F.col("k") % 23 == 0, F.expr("left(_line, char_length(_line) - 3)")).otherwise(F.col("_line"))
+    lines = log.withColumn("_line", F.to_json(F.struct("action", "id", "outcome", "project", "seq_id", "ts_ms"))).select(
+        "db_alias", "n", (F.col("k") >= 60).alias("later"), "seq_id", line.alias("value")
+    )
+    folder, root = scratch_dir(spark, "growing"), scratch_dir(spark, "follow")
+    wanted = filters.audit_filter(segments.follow_segments(spark, folder, range_bytes=4096), outcome="ERROR", since=1704412800000, time_column="ts_ms")
+    wanted = wanted.select("id", "action", "project")
+    order = ["later", "seq_id"]
+    segments.publish_files(lines.where("not later"), folder, F.format_string("audit-%d.jsonl", "n"), order)
+    jobs.run_to_table(wanted, "follow", root=root)
+    moved = lines.where("db_alias = 'db2'")
+    segments.publish_files(moved, folder, F.format_string("audit-%d.jsonl", F.col("n") + 1_000_000), order)
+    segments.remove_files(folder, moved.select(F.format_string("audit-%d.jsonl", "n").alias("name")).distinct())
+    segments.publish_files(lines.where("db_alias not in ('db2', 'db4') or (db_alias = 'db4' and later)"), folder, F.format_string("audit-%d.jsonl", "n"), order)
+    return jobs.run_to_table(wanted, "follow", root=root)

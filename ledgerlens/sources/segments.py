@@ -6,15 +6,19 @@ A log is a folder of ``audit-N.jsonl`` archives (a larger N is older) and the ac
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
 from ledgerlens.operators.ordered import number_rows
-from ledgerlens.session import prepare
+from ledgerlens.session import prepare, scratch_dir
+from ledgerlens.sources.tail import RANGE_BYTES, GrowingLines, open_folder
 
 _TEXT_FIELDS = (
     "id", "ts", "agent_id", "project", "db_alias", "db_alias_asserted", "resolved_db_alias", "resolved_database", "user_id",
@@ -29,8 +33,8 @@ EVENT_SCHEMA = T.StructType(
     + [T.StructField(name, T.LongType()) for name in _NUMBER_FIELDS]
 )
 
-#: a whole segment is read as one value only up to this size; larger ones are split by lines
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+#: what a segment's path contains
+SEGMENT_PATTERN = r"(?:/audit(?:-\d+)?\.jsonl|/segment=\d+/[^/]+)$"
 _BLANKS = r"^[\s﻿]*$"
 
 
@@ -42,7 +46,7 @@ def _file_order(path: Column) -> Column:
 
 
 def _is_segment(path: Column) -> Column:
-    return path.rlike(r"(?:/audit(?:-\d+)?\.jsonl|/segment=\d+/[^/]+)$")
+    return path.rlike(SEGMENT_PATTERN)
 
 
 def is_object(raw: str) -> Column:
@@ -68,14 +72,7 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return named.where(_is_segment(F.col("path")))
 
 
-def _lines_of_small_files(spark: SparkSession, path: str) -> DataFrame:
-    texts = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return texts.select(F.col("_metadata.file_path").alias("_path"), "value").where(_is_segment(F.col("_path"))).select(
-        "_path", F.posexplode(F.split("value", "\n")).alias("_at", "raw")
-    )
-
-
-def _lines_of_any_files(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -87,19 +84,15 @@ def _lines_of_any_files(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("_path", (F.col("_n") - 1).cast("int").alias("_at"), "raw")
 
 
-def read_segments(
-    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
+def read_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """``event.*, raw, file, file_ord, line_no, malformed`` for every non-blank line of a log.
 
     ``(file_ord, line_no)`` is the log order. Blank lines are skipped, a byte-order mark before the
-    first line is dropped, and a line that is not one JSON object is marked, not fatal. Segments
-    up to ``whole_file_bytes`` are read whole; if any is larger, all are split by lines.
+    first line is dropped, and a line that is not one JSON object is marked, not fatal. Segments of any size
+    are split by lines.
     """
     prepare(spark)
-    largest = _listing(spark, path).agg(F.max("length")).first()[0] or 0
-    lines = (_lines_of_small_files if largest <= whole_file_bytes else _lines_of_any_files)(spark, path)
-    lines = lines.where(~F.col("raw").rlike(_BLANKS))
+    lines = _lines(spark, path).where(~F.col("raw").rlike(_BLANKS))
     lines = lines.select(
         F.regexp_replace("raw", r"^﻿|\r$", "").alias("raw"),
         F.regexp_extract("_path", r"[^/]+(?:/[^/]+)?$", 0).alias("file"),
@@ -109,23 +102,33 @@ def read_segments(
     return parse_lines(lines, schema)
 
 
-def follow_segments(
-    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, max_files: int = 64
-) -> DataFrame:
-    """Streaming read of a log's new segment files; other files of the folder are passed over. Unreadable
-    lines are dropped.
+def _events(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    clean = lines.withColumn("raw", F.regexp_replace("raw", r"^﻿|\r$", "")).where(~F.col("raw").rlike(_BLANKS))
+    return parse_lines(clean, schema).where(~F.col("malformed")).drop("malformed")
+
+
+def follow_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, begin: str = "start", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Streaming read of a log as it grows: ``event.*, raw, file_ord, at`` of every complete line once.
 
-    The source's checkpoint takes the place of byte offsets. Files must appear complete: a
-    growing file is not tailed, so writers roll small files (see :func:`write_segments`).
+    Lines appended to a file are read when they are complete; a file that was cut short or replaced is read anew, a renamed one
+    goes on where it was. ``begin="end"`` passes over what is there when the stream first starts. Unreadable lines are dropped, other files of the
+    folder are passed over.
     """
+    prepare(spark).dataSource.register(GrowingLines)
+    lines = spark.readStream.format("growing_lines").option("path", path).option("pattern", SEGMENT_PATTERN).option("from", begin).option("rangeBytes", range_bytes).load()
+    return _events(lines.select("raw", _file_order(F.col("path")).alias("file_ord"), "at"), schema)
+
+
+def follow_new_segments(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, max_files: int = 64
+) -> DataFrame:
+    """Streaming read of segment files that appear complete, in any store that Spark reads; a file is read once, as it is when it is found."""
     prepare(spark)
     lines = (
         spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).text(path)
-        .where(_is_segment(F.col("_metadata.file_path")))
-        .select(F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"))
-        .where(~F.col("raw").rlike(_BLANKS))
+        .where(_is_segment(F.col("_metadata.file_path"))).select(F.col("value").alias("raw"))
     )
-    return parse_lines(lines, schema).where(~F.col("malformed")).drop("malformed")
+    return _events(lines, schema)
 
 
 def write_segments(
@@ -141,29 +144,69 @@ def write_segments(
     floor as a one-row frame ``(segments, first_segment, retained_from_seq)``.
 
     The segment is arithmetic on ``seq``, so no global order is needed; each segment is one task
-    and one file, sorted inside. All segments are written unless ``keep`` asks for the newest ones only.
+    and one file, sorted inside. Segments are staged and published together when all are written: a run that is repeated leaves one copy, one that
+    fails leaves none. A segment that is written again replaces the earlier one, so a log goes on with whole segments.
+
+    ``keep`` writes the newest segments only and removes older ones from the folder once they are published.
     Rows without a sequence number come first in the first segment written. ``raw`` names a
-    ready-made line column to write instead of ``columns``.
+    ready-made line column to write instead of ``columns``. The input is evaluated once, and once more with ``keep``.
     """
     line = F.col(raw) if raw else F.to_json(F.struct(*sorted(columns)))
     segmented = df.withColumn("segment", F.floor((F.col(seq) - 1) / max_rows).cast("bigint"))
-    last = segmented.agg(F.max("segment").alias("last")).first()["last"]
-    first = max(0, last - keep + 1) if (keep is not None and last is not None) else 0
-    kept = segmented.withColumn("segment", F.coalesce("segment", F.lit(first).cast("bigint"))).where(F.col("segment") >= first)
+    first = 0
+    if keep is not None:
+        newest = segmented.agg(F.max("segment")).first()[0]
+        first = max(0, newest - keep + 1) if newest is not None else 0
+    kept = segmented.withColumn("_own", F.coalesce("segment", F.lit(first).cast("bigint"))).where(F.col("_own") >= first)
+    seen = Observation()
     (
-        kept.select("segment", seq, line.alias("value"))
+        kept.observe(seen, F.max("segment").alias("last"), F.min(seq).alias("from_seq"))
+        .select(F.col("_own").alias("segment"), seq, line.alias("value"))
         .repartition("segment")
         .sortWithinPartitions("segment", seq)
         .select("segment", "value")
         .write.partitionBy("segment")
-        .mode("append")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
         .text(path)
     )
-    return kept.agg(
-        F.lit((last if last is not None else -1) - first + 1).cast("bigint").alias("segments"),
-        F.lit(first).cast("bigint").alias("first_segment"),
-        F.min(seq).alias("retained_from_seq"),
+    if keep is not None:
+        store, root = open_folder(path)
+        for info in store.get_file_info(pyarrow.fs.FileSelector(root)):
+            number = re.search(r"/segment=(\d+)$", info.path)
+            if number and int(number[1]) < first:
+                store.delete_dir(info.path)
+    last = seen.get["last"]
+    row = ((last if last is not None else -1) - first + 1, first, seen.get["from_seq"])
+    return df.sparkSession.createDataFrame([row], "segments bigint, first_segment bigint, retained_from_seq bigint")
+
+
+def publish_files(lines: DataFrame, folder: str, name: Column, order: Sequence[str]) -> None:
+    """Write the ``value`` lines of each ``name`` as one file of that name in ``folder``, in the given order.
+
+    The files are staged beside the folder and then renamed, so a reader sees a file as it was before or as it is
+    after. Only names pass through the driver.
+    """
+    staged = scratch_dir(lines.sparkSession, "staged")
+    (
+        lines.withColumn("_name", name).repartition("_name").sortWithinPartitions("_name", *order)
+        .select("_name", "value").write.partitionBy("_name").text(staged)
     )
+    store, root = open_folder(staged)
+    _, target = open_folder(folder)
+    store.create_dir(target)
+    for info in store.get_file_info(pyarrow.fs.FileSelector(root, recursive=True)):
+        own = re.search(r"/_name=([^/]+)/part-[^/]+$", info.path)
+        if own:
+            store.move(info.path, f"{target}/{unquote(own[1])}")
+
+
+def remove_files(folder: str, names: DataFrame) -> None:
+    """Remove the files of the given ``name`` from ``folder``."""
+    store, root = open_folder(folder)
+    for row in names.select("name").toLocalIterator():
+        if store.get_file_info(f"{root}/{row[0]}").is_file:
+            store.delete_file(f"{root}/{row[0]}")
 
 
 IDENTITY = ("length", "mtime_ns", "ctime_ns")

@@ -6,7 +6,8 @@ Driver files carry zone-less timestamps, and a watermark needs a real one, so ev
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +15,34 @@ from pyspark.sql import types as T
 
 from ledgerlens import constants as C
 from ledgerlens.operators import admission, aggregates, limits
-from ledgerlens.operators.policy import approval_window, has_capability
+from ledgerlens.operators.policy import approval_window, has_capability, match_approvals
 from ledgerlens.session import prepare, scratch_dir
+from ledgerlens.streaming.stateful import ANSWERED, ASKED, Decisions, Memory
+
+#: state in RocksDB; the stores of many partitions set no space aside in advance
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def event_time(ts: str) -> Column:
     return F.col(ts).cast("timestamp")
 
 
-def admit_events(stream: DataFrame, arrived: str = "arrived_at", horizon: str = "10 minutes") -> DataFrame:
-    """Accepted wake events. Stateless refusals are filtered first; replays within the horizon are
-    dropped by the state store, which forgets an id after it (the horizon takes the place of a
-    bound on entries)."""
+def _remembered(fresh: DataFrame, id_: str, connection: str, arrived: str, row_id: str, memory: Memory, late: str) -> DataFrame:
+    rows = fresh.select(F.col(connection).alias("connection"), F.col(id_).alias("id"), F.unix_millis(arrived).alias("at_ms"), F.col(row_id).alias("row_id"), F.col(arrived).alias("_arrived"))
+    return rows.withWatermark("_arrived", late).groupBy("connection").transformWithState(memory, Memory.OUTPUT, "append", "EventTime")
+
+
+def admit_events(
+    stream: DataFrame, connection: str, arrived: str = "arrived_at", row_id: str = "row_id", horizon_ms: int = 600_000,
+    entries: int = C.WAKE_CACHE_ENTRIES, late: str = "10 seconds",
+) -> DataFrame:
+    """``row_id, refusal`` of wake events that pass the stateless checks: null when accepted, ``replayed`` within the horizon of
+    an id's first use on its connection, ``cache_full`` while a connection's memory holds ``entries`` ids."""
     fresh = stream.where(admission.wake_refusal(F.unix_millis(arrived)).isNull())
-    return fresh.withWatermark(arrived, horizon).dropDuplicatesWithinWatermark(["wake_id"])
+    return _remembered(fresh, "wake_id", connection, arrived, row_id, Memory(horizon_ms, entries, refuse=True), late)
 
 
 def refused_events(stream: DataFrame, arrived: str = "arrived_at") -> DataFrame:
@@ -37,13 +52,17 @@ def refused_events(stream: DataFrame, arrived: str = "arrived_at") -> DataFrame:
 
 
 def drop_replays(
-    stream: DataFrame, nonce: str = "nonce", ts: str = "ts", arrived: str = "arrived_at", horizon_ms: int = C.ENVELOPE_SKEW_MS
+    stream: DataFrame, connection: str, nonce: str = "nonce", ts: str = "ts", arrived: str = "arrived_at", row_id: str = "row_id",
+    horizon_ms: int = C.ENVELOPE_SKEW_MS, entries: int = C.REPLAY_CACHE_ENTRIES, late: str = "10 seconds",
 ) -> DataFrame:
-    """Fresh envelopes with an unused nonce. A frame older than the freshness window is refused
-    anyway, so the state needs to remember a nonce for two windows only."""
+    """``row_id, refusal`` of fresh envelopes: null for an unused nonce, ``replayed`` for one in memory.
+
+    A frame older than the freshness window is refused anyway, so a nonce is remembered for two windows. A full memory forgets
+    the oldest nonce of its connection.
+    """
     age = F.unix_millis(arrived) - F.unix_millis(ts)
     fresh = stream.where(F.abs(age) <= horizon_ms)
-    return fresh.withWatermark(arrived, f"{2 * horizon_ms} milliseconds").dropDuplicatesWithinWatermark([nonce])
+    return _remembered(fresh, nonce, connection, arrived, row_id, Memory(2 * horizon_ms, entries, refuse=False), late)
 
 
 def token_bucket_stream(
@@ -93,28 +112,25 @@ def token_bucket_stream(
     return spark.read.parquet(f"{root}/data").select(*keys, row_id, "allowed", "retry_after_ms")
 
 
-def approval_timeouts(requests: DataFrame, responses: DataFrame, window_ms: int = C.APPROVAL_MS, late: str = "5 seconds") -> DataFrame:
-    """Requests with their first decisive answers, or ``expired`` once the window (and the reaper's
-    delay) has passed. A request answered twice in its window yields both answers, in order of
-    arrival; the first is the decision."""
-    window = approval_window(window_ms)
-    asked = requests.select("request_id", "user_id", "nonce", "ts").withWatermark("ts", late)
-    said = (
-        responses.where(has_capability(F.col("role"), F.lit("approve_ddl")))
-        .select(
-            F.col("request_id").alias("r_request_id"), F.col("user_id").alias("r_user_id"), F.col("nonce").alias("r_nonce"),
-            F.col("ts").alias("r_ts"), "approved",
-        )
-        .withWatermark("r_ts", late)
-    )
-    joined = asked.join(
-        said,
-        (F.col("request_id") == F.col("r_request_id")) & (F.col("user_id") == F.col("r_user_id")) & (F.col("nonce") == F.col("r_nonce"))
-        & (F.col("r_ts") >= F.col("ts")) & (F.col("r_ts") <= F.col("ts") + F.expr(f"INTERVAL {window} MILLISECONDS")),
-        "left_outer",
-    )
-    decision = F.when(F.col("approved").isNull(), "expired").when(F.col("approved"), "approved").otherwise("rejected")
-    return joined.select("request_id", decision.alias("decision"), F.col("r_ts").alias("decided_at"))
+def approval_decisions(requests: DataFrame, responses: DataFrame, window_ms: int = C.APPROVAL_MS, late: str = "5 seconds") -> DataFrame:
+    """``request_id, decision, decided_ms``: one row a request, when its first valid answer or its end lies behind the watermark.
+
+    The rules are those of ``policy.match_approvals``; a request that is not decided when a finite stream ends is
+    left to ``approvals_left``.
+    """
+    key = ["request_id", "user_id", "nonce"]
+    asked = requests.select(*key, "ts", F.lit(ASKED).alias("what"), F.lit(None).cast("boolean").alias("approved"))
+    said = responses.where(has_capability(F.col("role"), F.lit("approve_ddl"))).select(*key, "ts", F.lit(ANSWERED).alias("what"), "approved")
+    # an answer with a null in its key answers nothing
+    said = said.where(" and ".join(f"{k} is not null" for k in key) + " and ts is not null")
+    rows = asked.withWatermark("ts", late).union(said.withWatermark("ts", late)).withColumn("ts_ms", F.unix_millis("ts"))
+    return rows.groupBy(*key).transformWithState(Decisions(approval_window(window_ms)), Decisions.OUTPUT, "append", "EventTime")
+
+
+def approvals_left(decided: DataFrame, requests: DataFrame, responses: DataFrame, window_ms: int = C.APPROVAL_MS) -> DataFrame:
+    """The closing step of ``approval_decisions`` over a finite log: the requests it has not decided, by the batch rules."""
+    left = requests.join(decided.select("request_id"), "request_id", "left_anti")
+    return match_approvals(left.select("request_id", "user_id", "ts_ms", "nonce"), responses, window_ms).select("request_id", "decision", "decided_ms")
 
 
 def activity_sessions(stream: DataFrame, keys: Sequence[str], ts: str, gap: str = "60 seconds", watermark: str = "60 seconds") -> DataFrame:
@@ -132,17 +148,52 @@ def live_counters(stream: DataFrame, ts: str, width: str = "1 hour", watermark:
     return counted.select(F.unix_millis("w.start").alias("start_ms"), *by, *aggregates.counter_columns())
 
 
-def run_to_table(stream: DataFrame, label: str, timeout_sec: int = 600) -> DataFrame:
+def sessions_left(closed: DataFrame, events: DataFrame, keys: Sequence[str], order: Sequence[str], gap_ms: int, ts_ms: str = "ts_ms") -> DataFrame:
+    """The closing step of ``activity_sessions`` over a finite log: the sessions that no watermark has ended.
+
+    A key's sessions end in order, so what is left of it are the events from the end of its last one on.
+    """
+    last = closed.groupBy(F.struct(*keys).alias("_key")).agg(F.max("end_ms").alias("_end"))
+    rest = events.withColumn("_key", F.struct(*keys)).join(last, "_key", "left").where(F.col("_end").isNull() | (F.col(ts_ms) >= F.col("_end")))
+    return limits.activity_sessions(rest.select(*keys, *order), keys, order, gap_ms, ts_ms).select(*closed.columns)
+
+
+def counters_left(closed: DataFrame, events: DataFrame, ts: str, width: str = "1 hour", by: Sequence[str] = ()) -> DataFrame:
+    """The closing step of ``live_counters`` over a finite log: the buckets that no watermark has ended."""
+    end = closed.agg(F.max("start_ms").alias("_last"))
+    rest = events.crossJoin(F.broadcast(end)).where(F.col("_last").isNull() | (F.unix_millis(F.window(ts, width)["start"]) > F.col("_last")))
+    counted = rest.groupBy(F.window(ts, width).alias("w"), *by).agg(*[F.count_if(c).alias(n) for n, c in aggregates.counter_columns().items()])
+    return counted.select(F.unix_millis("w.start").alias("start_ms"), *by, *aggregates.counter_columns())
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started here keep their state in RocksDB, so it is not bounded by the executors' memory."""
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def run_to_table(stream: DataFrame, label: str, timeout_sec: int = 600, root: str | None = None) -> DataFrame:
     """Run a stream over everything available now into a written table and return that table.
 
-    State and offsets are checkpointed in the shared folder, next to the table.
+    State and offsets are checkpointed in the shared folder, next to the table. With the ``root`` of an earlier run the stream goes on from there.
     """
     spark: SparkSession = prepare(stream.sparkSession)
-    root = scratch_dir(spark, label)
-    query = (
-        stream.writeStream.format("parquet").option("path", f"{root}/data").option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+    root = root or scratch_dir(spark, label)
+    with state_on_disk(spark):
+        query = (
+            stream.writeStream.format("parquet").option("path", f"{root}/data").option("checkpointLocation", f"{root}/checkpoint")
+            .outputMode("append").trigger(availableNow=True).start()
+        )
     if not query.awaitTermination(timeout_sec):
         query.stop()
         raise TimeoutError(f"stream {label!r} did not finish in {timeout_sec} s")

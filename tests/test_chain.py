@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import mac
 from ledgerlens.operators import chain
-from ledgerlens.sources import segments
+from ledgerlens.sources import segments, tail
+from ledgerlens.streaming import jobs
 
 KEY = b"test key"
 RECORD = ["action", "note", "user_id"]
@@ -227,9 +228,8 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("whole_file_bytes", [segments.WHOLE_FILE_BYTES, 0])
-def test_read_segments_in_log_order(spark, folder, whole_file_bytes):
-    rows = segments.read_segments(spark, folder, whole_file_bytes=whole_file_bytes).orderBy("file_ord", "line_no").collect()
+def test_read_segments_in_log_order(spark, folder):
+    rows = segments.read_segments(spark, folder).orderBy("file_ord", "line_no").collect()
     assert [(r.file_ord, r.id, r.malformed) for r in rows] == [
         (-10, "old", False), (-2, "a", False), (-2, "b", False),
         (-1, None, True), (-1, None, True), (-1, None, True), (-1, None, True), (-1, None, True), (-1, "e", False), (0, "f", False),
@@ -242,7 +242,7 @@ def test_split_reading_equals_whole_reading(spark, tmp_path):
     (tmp_path / "audit.jsonl").write_text("\n".join(lines))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        split = segments.read_segments(spark, str(tmp_path), whole_file_bytes=0).select("line_no", "id").collect()
+        split = segments.read_segments(spark, str(tmp_path)).select("line_no", "id").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted((r.line_no, r.id) for r in split) == sorted((i, f"r{i}") for i in range(5000))
@@ -323,3 +323,66 @@ def test_only_changed_segments_are_verified_again(spark, built, tmp_path):
     assert [(r.file_ord, r.reason) for r in got] == [(1, "mac_mismatch")]
     whole = chain.verify_chain(read.withColumn("log", F.lit("l")), KEY, RECORD, ["log"], "file_ord", ["file_ord", "line_no"], raw="raw").first()
     assert (whole.reason, whole.broken_seq) == (got[0].reason, got[0].broken_seq)
+
+
+def test_a_repeated_or_failed_write_leaves_one_copy(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(i, "x") for i in range(1, 41)], "seq long, note string")
+    for _ in range(2):
+        segments.write_segments(rows, path, ["seq", "note"], max_rows=10)
+    assert spark.read.text(path).count() == 40
+    broken = rows.withColumn("note", F.when(F.col("seq") == 35, F.raise_error(F.lit("broken"))).otherwise("y"))
+    with pytest.raises(Exception, match="broken"):
+        segments.write_segments(broken, path, ["seq", "note"], max_rows=10)
+    assert spark.read.text(path).where("value like '%x%'").count() == 40
+    # whole segments go on and replace; retention removes what is older
+    more = spark.createDataFrame([(i, "z") for i in range(31, 61)], "seq long, note string")
+    floor = segments.write_segments(more, path, ["seq", "note"], max_rows=10, keep=3).first()
+    assert tuple(floor) == (3, 3, 31)
+    assert sorted(p.name for p in (tmp_path / "log").glob("segment=*")) == ["segment=3", "segment=4", "segment=5"]
+    assert spark.read.text(path).where("value like '%z%'").count() == spark.read.text(path).count() == 30
+
+
+def test_bytes_between_offsets():
+    before = {"a": [10, "A"], "b": [20, "B"], "c": [30, "C"], "d": [5, "D"], "e": [7, "D"]}
+    now = {"a": [15, "A"], "b": [8, "B"], "c": [4, "X"], "c.1": [33, "C"], "f": [9, "D"], "new": [3, "N"]}
+    assert tail.added(before, now) == [("a", 10, 15), ("b", 0, 8), ("c", 0, 4), ("c.1", 30, 33), ("f", 0, 9), ("new", 0, 3)]
+    assert tail.added(now, now) == []
+
+
+@pytest.mark.parametrize("range_bytes", [7, 1000])
+def test_a_growing_file_is_followed(spark, tmp_path, range_bytes):
+    folder, root = tmp_path / "log", str(tmp_path / "stream")
+    folder.mkdir()
+    active = folder / "audit.jsonl"
+
+    def seen():
+        stream = segments.follow_segments(spark, str(folder), range_bytes=range_bytes).select("id")
+        return sorted(r.id for r in jobs.run_to_table(stream, "tail", root=root).collect())
+
+    active.write_text('﻿{"id":"é1"}\r\n{"id":"2"}\n{"id":"3"', encoding="utf-8")
+    (folder / "notes.txt").write_text('{"id":"never"}\n')
+    assert seen() == ["2", "é1"]
+    with active.open("a") as file:  # the open line ends, another is broken, a last one is not ended
+        file.write('}\nnot json\n\n{"id":"4"}\n{"id"')
+    assert seen() == ["2", "3", "4", "é1"]
+    active.rename(folder / "audit-1.jsonl")  # rotated, and the archive still grows
+    with (folder / "audit-1.jsonl").open("a") as file:
+        file.write(':"5"}\n')
+    active.write_text('{"id":"6"}\n')
+    assert seen() == ["2", "3", "4", "5", "6", "é1"]
+    active.write_text('{"id":"7"}\n{"id":"8"}\n')  # replaced
+    assert seen() == ["2", "3", "4", "5", "6", "7", "8", "é1"]
+    active.write_text('{"id":"7"}\n')  # cut short: from its start again
+    assert seen() == ["2", "3", "4", "5", "6", "7", "7", "8", "é1"]
+
+
+def test_following_may_begin_at_the_end(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "audit.jsonl").write_text('{"id":"1"}\n')
+    def seen():
+        return [r.id for r in jobs.run_to_table(segments.follow_segments(spark, str(tmp_path / "log"), begin="end").select("id"), "tail", root=str(tmp_path / "s")).collect()]
+    assert seen() == []
+    with (tmp_path / "log" / "audit.jsonl").open("a") as file:
+        file.write('{"id":"2"}\n')
+    assert seen() == ["2"]

@@ -355,46 +355,102 @@ def test_sessions_stream_equals_batch(spark, as_stream):
     stream = as_stream(df.withColumn("ts", F.timestamp_millis("ts_ms")), "ts_ms")
     live = jobs.run_to_table(jobs.activity_sessions(stream, ["key"], "ts", "60 seconds", "0 seconds"), "ss")
     last = df.agg(F.max("ts_ms")).first()[0]
-    want = sorted(tuple(r) for r in batch.where(F.col("end_ms") <= last).select("key", "start_ms", "end_ms", "events").collect())
+    columns = ["key", "start_ms", "end_ms", "events"]
+    want = sorted(tuple(r) for r in batch.where(F.col("end_ms") <= last).select(*columns).collect())
     assert sorted(tuple(r) for r in live.collect()) == want
+    whole = live.unionByName(jobs.sessions_left(live, df, ["key"], ["ts_ms", "id"], 60_000))
+    assert sorted(tuple(r) for r in whole.select(*columns).collect()) == sorted(tuple(r) for r in batch.select(*columns).collect())
 
 
-def test_admission_and_replays_on_a_stream(spark, as_stream):
+def test_stateless_refusals_on_a_stream(spark, as_stream):
     rng = random.Random(4)
     rows = []
     for i in range(400):
         now = 10_000_000 + i * 500
         rows.append((i, f"w{rng.randrange(250)}", rng.choice(["ping", "ping", "bad"]), now - rng.randrange(200_000), "t", now + rng.randrange(80_000), now))
     df = spark.createDataFrame(rows, WAKE)
-    batch = {r.row_id for r in admission.admit_events(df).where("refusal IS NULL").collect()}
     stream = as_stream(df.withColumn("arrived_at", F.timestamp_millis("arrived_ms")), "arrived_ms")
-    assert {r.row_id for r in jobs.run_to_table(jobs.admit_events(stream), "ad").collect()} == batch
     refused = {r.row_id: r.refusal for r in jobs.run_to_table(jobs.refused_events(stream), "rf").collect()}
     want = {r.row_id: r.refusal for r in admission.admit_events(df).where("refusal IS NOT NULL AND refusal <> 'replayed'").collect()}
     assert refused == want
 
+
+def remembered_by_hand(rows, horizon, entries, refuse):
+    """rows: (row_id, connection, id, at) in order."""
+    memories, out = defaultdict(dict), {}
+    for row_id, connection, id_, at in rows:
+        memory = memories[connection]
+        for old in [x for x, since in memory.items() if since + horizon < at]:
+            del memory[old]
+        out[row_id] = None
+        if id_ in memory:
+            out[row_id] = "replayed"
+        elif len(memory) >= entries and refuse:
+            out[row_id] = "cache_full"
+        else:
+            if len(memory) >= entries:
+                del memory[next(iter(memory))]
+            memory[id_] = at
+    return out
+
+
+@pytest.mark.parametrize(("horizon", "entries", "refuse"), [(60_000, 1000, True), (60_000, 12, True), (60_000, 12, False), (10**9, 5, False)])
+def test_memory_has_a_horizon_and_a_bound(spark, as_stream, horizon, entries, refuse):
+    rng = random.Random(7)
+    rows = [(i, rng.choice("aab"), f"n{rng.randrange(60)}", 10_000_000 + i * 2_000) for i in range(300)]
+    df = spark.createDataFrame([(i, c, x, at, at) for i, c, x, at in rows], "row_id long, connection string, nonce string, ts_ms long, arrived_ms long")
+    stream = as_stream(df.withColumns({"arrived_at": F.timestamp_millis("arrived_ms")}), "arrived_ms", name="memory")
+    memory = jobs.Memory(horizon, entries, refuse)
+    live = jobs.run_to_table(jobs._remembered(stream, "nonce", "connection", "arrived_at", "row_id", memory, "0 seconds"), "memory")
+    want = remembered_by_hand(rows, horizon, entries, refuse)
+    assert {r.row_id: r.refusal for r in live.collect()} == want
+    assert set(want.values()) >= {None, "replayed"} and (entries == 1000 or not refuse or "cache_full" in want.values())
+
+
+def test_replays_on_a_stream_equal_batch(spark, as_stream):
+    """Frames of a nonce lie within two windows of each other, so no memory is needed beyond them."""
+    rng = random.Random(4)
     frames = [(i, f"n{rng.randrange(200)}", 10_000_000 + i * 200 - rng.randrange(200_000), 10_000_000 + i * 200) for i in range(400)]
     df = spark.createDataFrame(frames, "row_id long, nonce string, ts_ms long, arrived_ms long")
     batch = {r.row_id for r in admission.drop_replays(df).collect()}
-    timed = df.withColumns({"ts": F.timestamp_millis("ts_ms"), "arrived_at": F.timestamp_millis("arrived_ms")})
-    live = jobs.run_to_table(jobs.drop_replays(as_stream(timed, "arrived_ms", name="nonces")), "rp")
-    assert {r.row_id for r in live.collect()} == batch
+    timed = df.withColumns({"ts": F.timestamp_millis("ts_ms"), "arrived_at": F.timestamp_millis("arrived_ms"), "connection": F.lit("c")})
+    live = jobs.run_to_table(jobs.drop_replays(as_stream(timed, "arrived_ms", name="nonces"), "connection"), "rp")
+    assert {r.row_id for r in live.where("refusal is null").collect()} == batch
 
 
-def test_approvals_stream_equals_batch(spark, as_stream):
-    requests = spark.createDataFrame([(i, "u", 1_000_000 + i * 10_000, "n") for i in range(40)], "request_id long, user_id string, ts_ms long, nonce string")
-    answers = [(i, "u" if i % 5 else "v", 1_000_000 + i * 10_000 + i * 2_000, "n", i % 3 > 0, "admin" if i % 7 else "viewer") for i in range(40)]
+def test_admission_on_a_stream_equals_batch(spark, as_stream):
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        now = 10_000_000 + i * 500
+        rows.append((i, f"w{rng.randrange(250)}", rng.choice(["ping", "ping", "bad"]), now - rng.randrange(200_000), "t", now + rng.randrange(80_000), now))
+    df = spark.createDataFrame(rows, WAKE).withColumns({"arrived_at": F.timestamp_millis("arrived_ms"), "connection": F.lit("c")})
+    live = jobs.run_to_table(jobs.admit_events(as_stream(df, "arrived_ms", name="wakes"), "connection"), "ad")
+    batch = admission.admit_events(df).where("refusal is null or refusal = 'replayed'")
+    assert {r.row_id: r.refusal for r in live.collect()} == {r.row_id: r.refusal for r in batch.collect()}
+
+
+def test_one_decision_a_request(spark, as_stream):
+    """Several answers, early ones, ties and answers that come before their request in another batch; the rest by the closing step."""
+    rng = random.Random(3)
+    requests = [(i, "u", 1_000_000 + i * 10_000, "n" if i % 9 else None) for i in range(60)]
+    answers = []
+    for i in range(60):
+        for _ in range(rng.randrange(4)):
+            at = 1_000_000 + i * 10_000 + rng.choice([-500, 0, 3_000, 3_000, 20_000, 60_000, 60_001, 90_000])
+            answers.append((i, rng.choice(["u", "u", "u", "v"]), at, "n", rng.random() < 0.6, rng.choice(["admin", "admin", "viewer"])))
+    requests = spark.createDataFrame(requests, "request_id long, user_id string, ts_ms long, nonce string")
     responses = spark.createDataFrame(answers, "request_id long, user_id string, ts_ms long, nonce string, approved boolean, role string")
-    batch = {r.request_id: r.decision for r in policy.match_approvals(requests, responses).collect()}
-    # one late row on each side moves both watermarks past every window
-    end = spark.createDataFrame([(999, "u", 10**7, "n")], requests.schema)
-    end_answer = spark.createDataFrame([(998, "u", 10**7, "n", True, "admin")], responses.schema)
+    batch = {r.request_id: (r.decision, r.decided_ms) for r in policy.match_approvals(requests, responses).collect()}
     def timed(df):
         return df.withColumn("ts", F.timestamp_millis("ts_ms"))
-    asked = as_stream(timed(requests.union(end)), "ts_ms", 3, "asked")
-    said = as_stream(timed(responses.union(end_answer)), "ts_ms", 3, "said")
-    live = jobs.run_to_table(jobs.approval_timeouts(asked, said), "ap").where("request_id < 999")
-    assert {r.request_id: r.decision for r in live.collect()} == batch
+    asked, said = as_stream(timed(requests), "ts_ms", 6, "asked"), as_stream(timed(responses), "ts_ms", 6, "said")
+    live = jobs.run_to_table(jobs.approval_decisions(asked, said, late="120 seconds"), "ap")
+    decided = live.collect()
+    assert len({r.request_id for r in decided}) == len(decided) >= 25
+    assert {r.request_id: (r.decision, r.decided_ms) for r in decided}.items() <= batch.items()
+    whole = live.unionByName(jobs.approvals_left(live, requests, responses)).collect()
+    assert len(whole) == 60 and {r.request_id: (r.decision, r.decided_ms) for r in whole} == batch
 
 
 def test_rate_policies(spark):
