@@ -135,18 +135,48 @@ def plan_outcome(df: DataFrame) -> DataFrame:
     )
 
 
-def statement_rollup(df: DataFrame, sql: str = "sql_text", salt: str = "ledgerlens") -> DataFrame:
-    """Traffic per statement shape: the fingerprint is computed before the shuffle, so only
-    16 characters and partial sums move."""
-    return (
-        df.withColumn("fingerprint", F.expr(redaction.fingerprint(sql, salt)))
-        .groupBy("fingerprint")
-        .agg(
-            F.count(F.lit(1)).alias("calls"),
-            F.count_if(F.col("outcome") == "error").alias("errors"),
-            F.sum("duration_ms").alias("total_ms"),
-            F.max("duration_ms").alias("max_ms"),
-            F.min("ts_ms").alias("first_ms"),
-            F.max("ts_ms").alias("last_ms"),
-        )
+#: size of a latency sketch: exact up to so many values, and a rank error of about 1.7 / size beyond
+SKETCH_SIZE = 4096
+PERCENTILES = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+def _traffic(sketch: Column) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("calls"),
+        F.count_if(F.col("outcome") == "error").alias("errors"),
+        F.sum("duration_ms").alias("total_ms"),
+        F.max("duration_ms").alias("max_ms"),
+        F.min("ts_ms").alias("first_ms"),
+        F.max("ts_ms").alias("last_ms"),
+        sketch.alias("latency"),
+    ]
+
+
+def _percentiles(rolled: DataFrame) -> DataFrame:
+    """``latency`` replaced by its percentiles; null where there was no duration."""
+    found = {name: F.when(F.kll_sketch_get_n_bigint("latency") > 0, F.kll_sketch_get_quantile_bigint("latency", F.lit(rank))) for name, rank in PERCENTILES.items()}
+    return rolled.withColumns(found).drop("latency")
+
+
+def statement_traffic(df: DataFrame, by: Sequence[str] = (), sql: str = "sql_text", salt: str = "ledgerlens", size: int = SKETCH_SIZE) -> DataFrame:
+    """Traffic per ``by`` and statement shape, with ``latency``, a quantile sketch of the durations. Sketches merge, so
+    the result may be kept and rolled up further (``merge_traffic``) without the log.
+
+    The fingerprint is computed before the shuffle, so only 16 characters, partial sums and sketches of bounded size move.
+    """
+    shaped = df.withColumn("fingerprint", F.expr(redaction.fingerprint(sql, salt))).withColumn("duration_ms", F.col("duration_ms").cast("bigint"))
+    return shaped.groupBy(*by, "fingerprint").agg(*_traffic(F.kll_sketch_agg_bigint("duration_ms", F.lit(size))))
+
+
+def merge_traffic(parts: DataFrame, by: Sequence[str] = (), percentiles: bool = True) -> DataFrame:
+    """Traffic per ``by`` and statement shape from finer ``statement_traffic`` rows: what the log itself would give."""
+    merged = parts.groupBy(*by, "fingerprint").agg(
+        F.sum("calls").alias("calls"), F.sum("errors").alias("errors"), F.sum("total_ms").alias("total_ms"), F.max("max_ms").alias("max_ms"),
+        F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"), F.kll_merge_agg_bigint("latency").alias("latency"),
     )
+    return _percentiles(merged) if percentiles else merged
+
+
+def statement_rollup(df: DataFrame, sql: str = "sql_text", salt: str = "ledgerlens") -> DataFrame:
+    """Traffic per statement shape with latency percentiles: the smallest duration that at least that share of the calls do not exceed."""
+    return _percentiles(statement_traffic(df, (), sql, salt))

@@ -55,6 +55,16 @@ def _arrays(child: DataFrame, keys: Sequence[str], columns: Sequence[str], name:
     return pieces.groupBy(*keys, "part").agg(listed.alias(name))
 
 
+def _listed(child: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, part_rows: int, large: DataFrame | None) -> DataFrame:
+    """Ordered arrays per ``keys`` and ``part``. Children of ``large`` parents are numbered in ranges; the other parents' arrays
+    are part 0 by the same rule, and need no numbers."""
+    few = child if large is None else child.join(large, list(keys), "left_anti")
+    whole = few.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name)).withColumn("part", F.lit(0).cast("bigint"))
+    if large is None:
+        return whole
+    return whole.unionByName(_arrays(child.join(large, list(keys), "left_semi"), keys, columns, name, part_rows))
+
+
 def nest(
     parents: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = RELATION, part_rows: int = PART_ROWS
 ) -> DataFrame:
@@ -67,16 +77,20 @@ def nest(
     every ``part_rows``, and a parent comes as the rows ``part`` 0, 1, ...; its arrays, one after the other
     by ``part``, are the ordered lists. A parent with no more children than that is one row, by the same rule.
     """
-    built = {name: _arrays(child, keys, columns, name, part_rows) for name, (child, columns) in children.items()}
-    # each parent's part 0, and the parts that any kind has beyond it
-    more = None
-    for grouped in built.values():
-        beyond = grouped.where("part > 0").select(*keys, "part")
-        more = beyond if more is None else more.unionByName(beyond)
+    # parents with more children than one array takes: fewer than there are arrays to fill
+    sizes = None
+    for name, (child, _) in children.items():
+        own = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows).select(F.lit(name).alias("_kind"), *keys, "_n")
+        sizes = own if sizes is None else sizes.unionByName(own)
+    large = cut_lineage(sizes, "large") if sizes is not None else None
     df = parents.withColumn("part", F.lit(0).cast("bigint"))
-    if more is not None:
-        df = df.unionByName(parents.join(more.distinct(), list(keys)).select(*parents.columns, "part"))
-    for name, grouped in built.items():
+    split = large is not None and not large.isEmpty()
+    if split:
+        beyond = large.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), F.floor((F.col("_n") - 1) / part_rows))).alias("part")).distinct()
+        df = df.unionByName(parents.join(beyond, list(keys)).select(*parents.columns, "part"))
+    for name, (child, columns) in children.items():
+        many = large.where(F.col("_kind") == name).select(*keys) if split else None
+        grouped = _listed(child, keys, columns, name, part_rows, many)
         kind = grouped.schema[name].dataType
         df = df.join(grouped, [*keys, "part"], "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
     return df
@@ -106,20 +120,19 @@ def snapshot_size(relations: DataFrame) -> DataFrame:
 
 
 def key_columns(constraints: DataFrame, usage: DataFrame) -> DataFrame:
-    """Members of every PRIMARY KEY and UNIQUE constraint as one comma list in key order."""
+    """Members of every PRIMARY KEY and UNIQUE constraint in key order, as an array (``members``) and a comma list (``columns``)."""
     wanted = constraints.where(F.col("constraint_type").isin("PRIMARY KEY", "UNIQUE"))
     joined = wanted.join(usage.select("table_schema", "constraint_name", "column_name", "ordinal_position"), ["table_schema", "constraint_name"])
+    members = F.transform(F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name"))), lambda m: m["column_name"])
     return joined.groupBy("table_schema", "table_name", "constraint_name", "constraint_type").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name"))), lambda m: m["column_name"]), ","
-        ).alias("columns")
+        members.alias("members"), F.array_join(members, ",").alias("columns")
     )
 
 
 def key_flags(columns: DataFrame, keys: DataFrame) -> DataFrame:
     """Mark columns that belong to a key; every member of a multi-column UNIQUE is marked."""
     members = keys.select(
-        "table_schema", "table_name", "constraint_type", F.explode(F.split("columns", ",")).alias("column_name")
+        "table_schema", "table_name", "constraint_type", F.explode("members").alias("column_name")
     ).groupBy("table_schema", "table_name", "column_name").agg(
         F.bool_or(F.col("constraint_type") == "PRIMARY KEY").alias("is_primary_key"),
         F.bool_or(F.col("constraint_type") == "UNIQUE").alias("is_unique"),

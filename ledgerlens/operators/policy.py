@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
 from ledgerlens.functions.sqltext import lit
-from ledgerlens.session import fixed_table
+from ledgerlens.session import cut_lineage, fixed_table
 
 
 def _ranked(column: Column, ranks: Mapping[str, int]) -> Column:
@@ -158,6 +158,8 @@ def function_effects(
         .alias("side_effects"),
         (known | assumed).alias("resolved"),
     )
+    # one row a distinct name: written out, its size is known and decides whether the references are shuffled
+    verdicts = cut_lineage(verdicts, "effects")
     return refs.join(verdicts, F.lower(refs[name]) == verdicts["_name"], "left").drop("_name")
 
 
@@ -225,19 +227,38 @@ def scope_filter(entries: DataFrame, rules: DataFrame, project: str = "project_n
     )
 
 
+#: parts of the product of projects and aliases
+PRODUCT_PARTS = 16
+
+
 def intersect_rules(a: DataFrame, b: DataFrame) -> DataFrame:
     """What both rule lists permit, as rules: every compatible pair merged to the narrower value
-    of each field. Both lists are administrators' configuration, and the result is their pairs by
-    definition."""
-    compatible = (
-        (F.col("a.project_name").isNull() | F.col("b.project_name").isNull() | (F.col("a.project_name") == F.col("b.project_name")))
-        & (F.col("a.db_alias").isNull() | F.col("b.db_alias").isNull() | (F.col("a.db_alias") == F.col("b.db_alias")))
-    )
-    merged = a.distinct().alias("a").join(b.distinct().alias("b"), compatible).select(
-        F.coalesce("a.project_name", "b.project_name").alias("project_name"),
-        F.coalesce("a.db_alias", "b.db_alias").alias("db_alias"),
-    )
-    return merged.where("project_name IS NOT NULL OR db_alias IS NOT NULL").distinct()
+    of each field.
+
+    Rules are split by the fields they set. A rule that sets all fields of the other is the merged one, so these pairs
+    are semi-joins on the fields that both set. Only a rule for projects and a rule for aliases make a new one;
+    those are all their pairs by definition, dealt out by a hash of the project.
+    """
+    fields = ["project_name", "db_alias"]
+
+    def shape(rules: DataFrame, *set_: str) -> DataFrame:
+        return rules.where(" and ".join(f"{f} is {'not ' if f in set_ else ''}null" for f in fields)).select(*fields)
+
+    a, b = a.select(*fields).distinct(), b.select(*fields).distinct()
+    found = shape(a, *fields).join(shape(b, *fields), fields, "left_semi")
+    for one, other in ((a, b), (b, a)):
+        # a rule that sets nothing permits all that the other list does
+        open_ = other.agg(F.coalesce(F.max(F.col("project_name").isNull() & F.col("db_alias").isNull()), F.lit(False)).alias("open"))
+        found = found.unionByName(one.where(open_.scalar()))
+        for f in fields:
+            found = found.unionByName(shape(one, *fields).join(shape(other, f).select(f), f, "left_semi").select(*fields))
+        projects = shape(one, "project_name").select("project_name", F.pmod(F.xxhash64("project_name"), F.lit(PRODUCT_PARTS)).alias("_part"))
+        parts = F.sequence(F.lit(0).cast("bigint"), F.lit(PRODUCT_PARTS - 1).cast("bigint"))
+        aliases = shape(other, "db_alias").select("db_alias", F.explode(parts).alias("_part"))
+        found = found.unionByName(projects.join(aliases, "_part").select(*fields))
+    for f in fields:
+        found = found.unionByName(shape(a, f).join(shape(b, f).select(f), f, "left_semi").select(*fields))
+    return found.where("project_name IS NOT NULL OR db_alias IS NOT NULL").distinct()
 
 
 # --- the decision ------------------------------------------------------------------------------

@@ -108,7 +108,7 @@ WHERE c.constraint_type IN ('PRIMARY KEY', 'UNIQUE') AND c.{_USER_SQL.split(' AN
 )
 def key_columns(spark, sf_dir):
     constraints = view(spark, sf_dir, "table_constraints").where("table_schema NOT LIKE 'pg_%'")
-    return catalog.key_columns(constraints, view(spark, sf_dir, "key_usage"))
+    return catalog.key_columns(constraints, view(spark, sf_dir, "key_usage")).drop("members")
 
 
 @query(
@@ -199,7 +199,7 @@ def constraint_check(spark, sf_dir):
 
 
 _FAILURES = """SELECT seq_id, CASE k % 8 WHEN 0 THEN '23505' WHEN 1 THEN '42P01' WHEN 2 THEN '40001' WHEN 3 THEN '22012' WHEN 4 THEN 'odd code' WHEN 5 THEN NULL
-    WHEN 6 THEN '58030' ELSE 'auth_failed' END AS code, CASE k % 3 WHEN 0 THEN 'error' WHEN 1 THEN 'loud' END AS severity, k % 8 = 7 AS pool,
+    WHEN 6 THEN '58030' ELSE 'auth_failed' END AS code, CASE k % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'loud' WHEN 2 THEN 'Fatal' WHEN 3 THEN 'WARNING' END AS severity, k % 8 = 7 AS pool,
   concat('lock wait for user "u', CAST(user_id AS VARCHAR(20)), '" on host=', db_alias, '.internal:5432 near ''', action, '''') AS message,
   CASE WHEN k % 2 = 0 THEN concat('Key (email)=(u', CAST(user_id AS VARCHAR(20)), '@corp.com) exists, see /var/lib/', project, '/x') END AS detail
 FROM [request_log] WHERE outcome = 'error'"""
@@ -222,7 +222,7 @@ _RED = r"""regexp_replace(regexp_replace(regexp_replace({}, '"[^"]*"', '"?"', 'g
     rf"""{with_views('failures')}, rules(code, curated, hint, shown, retry) AS (VALUES {_ERROR_RULES}),
 j AS (SELECT f.seq_id, coalesce(f.code, 'UNKNOWN') AS code, f.severity, f.pool, r.curated, r.hint, coalesce(r.shown, false) AS shown, coalesce(r.retry, false) AS retry,
   {scrub_sql(_RED.format('f.message'))} AS m, {scrub_sql("regexp_replace(f.detail, '=[(][^)]*[)]', '= (?)', 'g')")} AS d FROM failures f LEFT JOIN rules r ON r.code = f.code)
-SELECT seq_id, code, CASE WHEN upper(severity) = 'ERROR' THEN 'ERROR' ELSE 'ERROR' END AS severity,
+SELECT seq_id, code, CASE WHEN upper(severity) IN ({", ".join(f"'{s}'" for s in C.SEVERITIES)}) THEN upper(severity) ELSE 'ERROR' END AS severity,
   CASE WHEN pool THEN '{C.POOL_MESSAGES["auth_failed"]}' WHEN shown THEN concat_ws(' ', curated, m, d) ELSE 'Database error (' || code || '). {C.GENERIC_ERROR}' END AS message,
   CASE WHEN shown AND NOT pool THEN hint END AS hint, retry AS retryable, CASE WHEN code = 'odd code' THEN 'INTERNAL' ELSE code END AS audit_code FROM j""",
 )
@@ -298,3 +298,60 @@ SELECT row_id, r.rule AS rule, r.ok AS ok FROM a""",
 def payload_report(spark, sf_dir):
     rules = validity.query_rules() | validity.cancel_rules()
     return validity.validity_report(view(spark, sf_dir, "payloads"), "row_id", rules)
+
+
+_ENVELOPES = """SELECT seq_id AS row_id, CASE WHEN k % 17 = 0 THEN '' WHEN k % 19 = 0 THEN repeat('m', 65) ELSE concat('m', CAST(seq_id AS VARCHAR(20))) END AS id,
+  CASE WHEN k % 13 = 0 THEN 'gossip' ELSE action END AS type, CASE WHEN k % 11 = 0 THEN NULL ELSE project END AS project,
+  CASE WHEN k % 23 = 0 THEN '' ELSE CAST(user_id AS VARCHAR(20)) END AS user_id, CASE WHEN k % 7 = 0 THEN 'root' ELSE role END AS role, db_alias,
+  CASE WHEN k % 29 = 0 THEN 0 ELSE ts_ms END AS ts, CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN 'short' WHEN 2 THEN repeat('a b-', 5) ELSE repeat('nonce_-9', 2 + k % 8) END AS nonce,
+  CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN repeat('ab', 32) WHEN 2 THEN repeat('AB', 32) ELSE 'none' END AS mac FROM [request_log]"""
+define_view("message_envelopes", _ENVELOPES, ("request_log",))
+
+
+@query(
+    "envelope_report",
+    f"""{with_views('message_envelopes')}, a AS (SELECT row_id, unnest([
+  {{'rule': 'id', 'ok': length(id) BETWEEN 1 AND 64}}, {{'rule': 'type', 'ok': type IN ({", ".join(f"'{t}'" for t in C.MESSAGE_TYPES)})}},
+  {{'rule': 'project', 'ok': coalesce(length(project) BETWEEN 1 AND 64, false)}}, {{'rule': 'user_id', 'ok': user_id <> ''}}, {{'rule': 'role', 'ok': role <> 'root'}},
+  {{'rule': 'db_alias', 'ok': length(db_alias) BETWEEN 1 AND 64}}, {{'rule': 'ts', 'ok': ts > 0}},
+  {{'rule': 'nonce', 'ok': nonce IS NULL OR regexp_full_match(nonce, '[A-Za-z0-9_-]{{16,64}}')}}, {{'rule': 'mac', 'ok': mac IS NULL OR regexp_full_match(mac, '[0-9a-f]{{64}}')}}]) AS r FROM message_envelopes)
+SELECT row_id, r.rule AS rule, r.ok AS ok FROM a""",
+)
+def envelope_report(spark, sf_dir):
+    return validity.validity_report(view(spark, sf_dir, "message_envelopes"), "row_id", validity.envelope_rules())
+
+
+_PLAN_HEADS = """SELECT row_id, CASE WHEN min(k) % 9 = 0 THEN '' ELSE concat('p', CAST(row_id AS VARCHAR(20))) END AS plan_id,
+  CASE min(k) % 4 WHEN 0 THEN 'all_at_once' WHEN 1 THEN 'single_tx' ELSE 'per_statement' END AS strategy, CASE WHEN max(k) % 5 = 0 THEN NULL ELSE max(k) - 80 END AS timeout_ms,
+  CASE WHEN max(k) % 3 > 0 THEN max(k) % 2 = 0 END AS dry_run, CASE min(k) % 6 WHEN 0 THEN 'done' WHEN 1 THEN 'partial' WHEN 2 THEN NULL ELSE 'committed' END AS status,
+  min(k) - 2 AS total_ms FROM (SELECT plan_id AS row_id, k FROM [statements]) s GROUP BY row_id"""
+_PLAN_LINES = """SELECT plan_id AS row_id, CASE WHEN k % 20 = 0 THEN '  ' ELSE sql END AS sql, CASE k % 16 WHEN 0 THEN 'odd' WHEN 1 THEN 'failed' ELSE 'success' END AS status FROM [statements]"""
+define_view("plan_heads", _PLAN_HEADS, ("statements",))
+define_view("plan_lines", _PLAN_LINES, ("statements",))
+
+
+def _plan_payloads(spark, sf_dir):
+    lines = view(spark, sf_dir, "plan_lines").groupBy("row_id").agg(F.collect_list("sql").alias("statements"), F.collect_list("status").alias("statement_statuses"))
+    return view(spark, sf_dir, "plan_heads").join(lines, "row_id")
+
+
+@query(
+    "plan_report",
+    f"""{with_views('plan_heads', 'plan_lines')}, l AS (SELECT row_id, bool_and(trim(sql) <> '') AS texts, count(*) AS n FROM plan_lines GROUP BY 1),
+a AS (SELECT row_id, unnest([{{'rule': 'plan_id', 'ok': plan_id <> ''}}, {{'rule': 'statements', 'ok': n BETWEEN 1 AND {C.MAX_PLAN_STATEMENTS}}}, {{'rule': 'statement_text', 'ok': texts}},
+  {{'rule': 'strategy', 'ok': strategy <> 'all_at_once'}}, {{'rule': 'timeout_ms', 'ok': coalesce(timeout_ms > 0, true)}}, {{'rule': 'dry_run', 'ok': dry_run IS NOT NULL}}]) AS r FROM plan_heads JOIN l USING (row_id))
+SELECT row_id, r.rule AS rule, r.ok AS ok FROM a""",
+)
+def plan_report(spark, sf_dir):
+    return validity.validity_report(_plan_payloads(spark, sf_dir), "row_id", validity.plan_rules())
+
+
+@query(
+    "result_report",
+    f"""{with_views('plan_heads', 'plan_lines')}, l AS (SELECT row_id, bool_and(status <> 'odd') AS known FROM plan_lines GROUP BY 1),
+a AS (SELECT row_id, unnest([{{'rule': 'plan_id', 'ok': plan_id <> ''}}, {{'rule': 'status', 'ok': coalesce(status <> 'done', false)}}, {{'rule': 'statement_status', 'ok': known}},
+  {{'rule': 'total_ms', 'ok': total_ms >= 0}}]) AS r FROM plan_heads JOIN l USING (row_id))
+SELECT row_id, r.rule AS rule, r.ok AS ok FROM a""",
+)
+def result_report(spark, sf_dir):
+    return validity.validity_report(_plan_payloads(spark, sf_dir), "row_id", validity.result_rules())

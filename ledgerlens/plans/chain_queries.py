@@ -8,8 +8,8 @@ from ledgerlens.operators import aggregates, chain
 from ledgerlens.plans.fixtures import view, with_views
 from ledgerlens.plans.registry import query
 from ledgerlens.plans.text_queries import KEY, hmac_sql
-from ledgerlens.session import scratch_dir
-from ledgerlens.sources import segments
+from ledgerlens.session import cut_lineage, scratch_dir
+from ledgerlens.sources import segments, verdicts
 
 RECORD = ["action", "db_alias", "decision", "denial_reason", "id", "outcome", "project", "role", "ts_ms", "user_id"]
 LINK_RECORDS = 40
@@ -181,6 +181,68 @@ def segments_round_trip(spark, sf_dir):
     ).withColumn("retained_from_seq", floor.select("retained_from_seq").scalar())
 
 
+_INCREMENTAL_RECORD = ["action", "id", "outcome", "user_id"]
+_LOG_SEGMENTS = 1_000_000
+#: about half of a log, in the middle of a segment
+_HALF_SQL = f"CASE WHEN max(seq) < 600 THEN floor(max(seq) / 2) ELSE floor(floor(max(seq) / 2) / {SEGMENT_ROWS}) * {SEGMENT_ROWS} + {SEGMENT_ROWS // 2} END"
+
+
+def _numbered_log(spark, sf_dir):
+    """Five logs, one a database, each a chain of its own; the position puts their segments apart."""
+    rows = chain.build_chain(log(spark, sf_dir), KEY, "db_alias", "minute", ["ts_ms", "seq_id"], _INCREMENTAL_RECORD, None)
+    path = scratch_dir(spark, "logs")
+    database = F.substring("db_alias", 3, 1).cast("bigint")
+    line = F.to_json(F.struct(*sorted([*_INCREMENTAL_RECORD, "chain_id", "seq", "prev_hash", "mac", "hash"])))
+    rows.select("db_alias", "seq", (database * _LOG_SEGMENTS * SEGMENT_ROWS + F.col("seq")).alias("position"), line.alias("line")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _apart_from_whole_seconds(spark, rows, path):
+    """Writes ``rows``; a segment whose time falls on a whole second is never trusted, so it is written again."""
+    while True:
+        segments.write_segments(rows, path, [], SEGMENT_ROWS, seq="position", raw="line")
+        whole = segments.manifest(spark, path, "").where("mtime_ns % 1000000000 = 0").select(segments.file_order(F.col("path")).alias("segment"))
+        again = cut_lineage(rows.join(whole, F.floor((F.col("position") - 1) / SEGMENT_ROWS) == F.col("segment"), "left_semi"), "again")
+        if again.isEmpty():
+            return
+        rows = again
+
+
+@query(
+    "verify_incrementally",
+    f"""{with_views("request_log")}, n AS (SELECT db_alias, CAST(substring(db_alias, 3, 1) AS BIGINT) AS d, row_number() OVER (PARTITION BY db_alias ORDER BY ts_ms, seq_id) AS seq FROM request_log),
+t AS (SELECT d, {_HALF_SQL.replace('floor', '').replace('/', '//')} AS half FROM n GROUP BY d),
+s AS (SELECT d, seq, d * {_LOG_SEGMENTS} + (seq - 1) // {SEGMENT_ROWS} AS file_ord, half FROM n JOIN t USING (d)),
+g AS (SELECT file_ord, any_value(d) AS d, count(*) AS records, min(seq) AS low, max(seq) AS high, any_value(half) AS half FROM s GROUP BY 1)
+SELECT file_ord, records, NOT (d = 0 AND low <= 7 OR d = 1 AND low <= half AND high >= half) AS intact,
+  CASE WHEN d = 0 AND low <= 7 THEN 'mac_mismatch' WHEN d = 1 AND low <= half AND high >= half THEN 'seq_gap' END AS reason,
+  CASE WHEN d = 0 AND low <= 7 THEN 7 WHEN d = 1 AND low <= half AND high >= half THEN half + 1 END AS broken_seq,
+  (d = 0 AND low <= 7) OR (d = 1 AND low <= half AND high >= half) OR (d = 2 AND high > half) AS read
+FROM (SELECT file_ord, d, low, high, half, records - CASE WHEN d = 1 AND low <= half AND high >= half THEN 1 ELSE 0 END AS records FROM g) x""",
+)
+def verify_incrementally(spark, sf_dir):
+    """Verify written logs, change some of their segments, and verify again with what is known.
+
+    Of the first log a record is edited, of the second one is lost, the third has grown by its second half. Only the segments that this touches are read again.
+    """
+    rows = _numbered_log(spark, sf_dir)
+    half = rows.groupBy("db_alias").agg(F.expr(f"{_HALF_SQL} AS half"))
+    rows = rows.join(F.broadcast(half), "db_alias")
+    path, store = scratch_dir(spark, "logs"), scratch_dir(spark, "verdicts")
+    _apart_from_whole_seconds(spark, rows.where("db_alias <> 'db2' or seq <= half"), path)
+    verdicts.verify_incrementally(spark, path, store, KEY)
+    segment = F.floor((F.col("seq") - 1) / SEGMENT_ROWS)
+    touched = (
+        ((F.col("db_alias") == "db0") & (segment == 0)) | ((F.col("db_alias") == "db1") & (segment == F.floor((F.col("half") - 1) / SEGMENT_ROWS)))
+        | ((F.col("db_alias") == "db2") & (segment >= F.floor(F.col("half") / SEGMENT_ROWS)))
+    )
+    edited = F.when((F.col("db_alias") == "db0") & (F.col("seq") == 7), F.regexp_replace("line", '"outcome":"', '"outcome":"not ')).otherwise(F.col("line"))
+    changed = rows.where(touched & ~((F.col("db_alias") == "db1") & (F.col("seq") == F.col("half")))).withColumn("line", edited)
+    _apart_from_whole_seconds(spark, changed, path)
+    found = verdicts.verify_incrementally(spark, path, store, KEY)
+    return found.select("file_ord", "records", "intact", "reason", "broken_seq", "read")
+
+
 _MANIFEST = """SELECT concat('audit/', shard, '/', CAST(hour AS VARCHAR(20))) AS path, CAST(count(*) AS BIGINT) AS records,
   CAST(sum(k) AS BIGINT) AS length, max(ts_ms) * 1000000 + max(k) % 3 AS mtime_ns, max(ts_ms) * 1000000 + 7 AS ctime_ns,
   CAST(min(seq_id) AS BIGINT) AS first_seq, concat('h', CAST(min(seq_id) AS VARCHAR(20))) AS first_prev_hash, shard AS chain_id,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import aggregates, filters, pages, text_jobs
 from ledgerlens.plans.fixtures import view, with_views
 from ledgerlens.plans.registry import query
-from ledgerlens.session import read_table
+from ledgerlens.session import cut_lineage, read_table
 
 NOW = dt.datetime(2024, 1, 31)
 NOW_MS = 1706659200000
@@ -205,17 +205,38 @@ def error_log_stats(spark, sf_dir):
     return aggregates.error_log_stats(lines)
 
 
+#: the value at the rounded-up share of the sorted durations
+_PERCENTILES = ", ".join(
+    f"list_sort(list(duration_ms) FILTER (duration_ms IS NOT NULL))[CAST(ceil(round({p} * count(duration_ms), 6)) AS BIGINT)] AS {n}" for n, p in aggregates.PERCENTILES.items()
+)
+
+
 @query(
     "statement_rollup",
     f"""{AUDIT_SQL}
 SELECT statement_fingerprint AS fingerprint, count(*) AS calls, count(*) FILTER (outcome = 'error') AS errors,
-  CAST(sum(duration_ms) AS BIGINT) AS total_ms, max(duration_ms) AS max_ms, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms
+  CAST(sum(duration_ms) AS BIGINT) AS total_ms, max(duration_ms) AS max_ms, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, {_PERCENTILES}
 FROM audit GROUP BY 1""",
 )
 def statement_rollup(spark, sf_dir):
     return aggregates.statement_rollup(view(spark, sf_dir, "request_log"))
 
 
+@query(
+    "statement_rollup_merged",
+    f"""{AUDIT_SQL}
+SELECT CAST(ts_ms // 604800000 AS BIGINT) AS week, statement_fingerprint AS fingerprint, count(*) AS calls, count(*) FILTER (outcome = 'error') AS errors,
+  CAST(sum(duration_ms) AS BIGINT) AS total_ms, max(duration_ms) AS max_ms, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, {_PERCENTILES}
+FROM audit GROUP BY 1, 2""",
+)
+def statement_rollup_merged(spark, sf_dir):
+    """Weeks from a kept table of days, without the log."""
+    log = view(spark, sf_dir, "request_log").withColumn("day", F.floor(F.col("ts_ms") / 86_400_000))
+    days = cut_lineage(aggregates.statement_traffic(log, ["day"]), "days")
+    # weeks begin with the day 0 of the epoch
+    return aggregates.merge_traffic(days.withColumn("week", F.floor(F.col("day") / 7)), ["week"])
+
+
 _VERDICTS = """SELECT plan_id, idx, CASE k % 5 WHEN 0 THEN 'read' WHEN 1 THEN 'write' WHEN 2 THEN 'utility' WHEN 3 THEN 'ddl'
     ELSE 'unknown' END AS type, concat('V', CAST(k % 9 AS VARCHAR(4))) AS verb, k % 11 <> 0 AS transactional,
   k % 7 <> 0 AS parse_ok, 1 + k % 2 AS statement_count, k FROM [statements]"""

@@ -21,26 +21,30 @@ _REFS = """SELECT seq_id AS stmt_id, CASE k % 13 WHEN 0 THEN 'count' WHEN 1 THEN
 define_view("function_refs", _REFS, ("request_log",))
 
 
-@query(
-    "function_effects",
-    f"""{with_views("function_refs")}, cat(schema_, name, vol, def, vis) AS ({_CATALOG}),
-n AS (SELECT DISTINCT lower(name) AS name FROM function_refs),
-s AS (SELECT name, CASE WHEN regexp_matches(name, '^[^.]+\\.[^.]+$') THEN split_part(name, '.', 1) END AS q,
-  CASE WHEN regexp_matches(name, '^[^.]+\\.[^.]+$') THEN split_part(name, '.', 2) ELSE name END AS bare FROM n),
-d AS (SELECT *, CASE WHEN bare LIKE 'pg\\_sleep%' ESCAPE '\\' OR bare LIKE 'dblink%' THEN 'remote_io' WHEN bare = 'nextval' THEN 'sequence' END AS kind FROM s),
-j AS (SELECT d.*, c.schema_, c.vis, c.name AS cname, CASE WHEN c.schema_ = 'pg_catalog' AND d.kind IS NULL AND NOT c.def THEN 0
+def _effects_sql(table: str, to: str) -> str:
+    """The verdict of each distinct name under the function table ``table``, as ``to``."""
+    return rf"""{to}_n AS (SELECT DISTINCT lower(name) AS name FROM function_refs),
+{to}_s AS (SELECT name, CASE WHEN regexp_matches(name, '^[^.]+\.[^.]+$') THEN split_part(name, '.', 1) END AS q,
+  CASE WHEN regexp_matches(name, '^[^.]+\.[^.]+$') THEN split_part(name, '.', 2) ELSE name END AS bare FROM {to}_n),
+{to}_d AS (SELECT *, CASE WHEN bare LIKE 'pg\_sleep%' ESCAPE '\' OR bare LIKE 'dblink%' THEN 'remote_io' WHEN bare = 'nextval' THEN 'sequence' END AS kind FROM {to}_s),
+{to}_j AS (SELECT d.*, c.schema_, c.vis, c.name AS cname, CASE WHEN c.schema_ = 'pg_catalog' AND d.kind IS NULL AND NOT c.def THEN 0
   WHEN c.def THEN 4 WHEN c.vol = 'i' THEN 0 WHEN c.vol = 's' THEN 1 WHEN c.vol = 'v' THEN 3 ELSE 2 END AS sev
-  FROM d LEFT JOIN cat c ON c.name = d.bare AND (d.q IS NULL OR d.q = c.schema_)),
-k AS (SELECT *, max(CASE WHEN vis AND q IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY name) AS sees FROM j),
-g AS (SELECT name, q, bare, kind, max(CASE WHEN cname IS NOT NULL THEN sev END) AS sev, min(schema_) AS schema_ FROM k
+  FROM {to}_d d LEFT JOIN {table} c ON c.name = d.bare AND (d.q IS NULL OR d.q = c.schema_)),
+{to}_k AS (SELECT *, max(CASE WHEN vis AND q IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY name) AS sees FROM {to}_j),
+{to}_g AS (SELECT name, q, bare, kind, max(CASE WHEN cname IS NOT NULL THEN sev END) AS sev, min(schema_) AS schema_ FROM {to}_k
   WHERE sees = 0 OR vis GROUP BY ALL),
-v AS (SELECT name, CASE WHEN sev IS NOT NULL THEN coalesce(q, schema_) || '.' || bare WHEN q IS NULL AND kind IS NULL THEN 'pg_catalog.' || bare
+{to} AS (SELECT name, CASE WHEN sev IS NOT NULL THEN coalesce(q, schema_) || '.' || bare WHEN q IS NULL AND kind IS NULL THEN 'pg_catalog.' || bare
     WHEN q IS NOT NULL THEN name END AS qualified_name,
   CASE WHEN sev IS NULL AND q IS NULL AND kind IS NULL THEN 'immutable' WHEN sev IS NULL THEN 'unknown'
     ELSE (['immutable', 'stable', 'unknown', 'volatile', 'security_definer'])[sev + 1] END AS effect,
   concat_ws(',', CASE WHEN sev IS NOT NULL OR q IS NOT NULL OR kind IS NOT NULL THEN kind END,
     CASE WHEN sev > 0 OR (sev IS NULL AND (q IS NOT NULL OR kind IS NOT NULL)) THEN 'unknown_effect' END) AS side_effects,
-  sev IS NOT NULL OR (q IS NULL AND kind IS NULL) AS resolved FROM g)
+  sev IS NOT NULL OR (q IS NULL AND kind IS NULL) AS resolved FROM {to}_g)"""
+
+
+@query(
+    "function_effects",
+    f"""{with_views("function_refs")}, cat(schema_, name, vol, def, vis) AS ({_CATALOG}), {_effects_sql("cat", "v")}
 SELECT stmt_id, r.name, qualified_name, effect, side_effects, resolved FROM function_refs r JOIN v ON v.name = lower(r.name)""",
 )
 def function_effects(spark, sf_dir):
@@ -49,6 +53,33 @@ def function_effects(spark, sf_dir):
     return found.withColumn("side_effects", F.array_join(F.array_sort("side_effects"), ","))
 
 
+#: a site's own function table, from what its agents have seen: other verdicts for some names, none for others
+_OWN_FUNCTIONS = """SELECT DISTINCT CASE WHEN name IN ('count', 'pg_sleep', 'pg_table_size') THEN 'pg_catalog' ELSE 'app' END AS schema_,
+  CASE WHEN name LIKE 'app.%' THEN substr(name, 5) ELSE lower(name) END AS name,
+  CASE WHEN name IN ('Rate', 'tax') THEN 'i' WHEN name = 'pay' THEN 's' ELSE 'v' END AS vol, name = 'pay' AND stmt_id % 2 = 0 AS def, true AS vis
+FROM [function_refs] WHERE name NOT IN ('lower', 'nextval', 'a.b.c', 'audit.note', 'ghost.fn')"""
+define_view("own_functions", _OWN_FUNCTIONS, ("function_refs",))
+
+
+@query(
+    "function_effects_by_rules",
+    f"""{with_views("function_refs", "own_functions")}, cat(schema_, name, vol, def, vis) AS ({_CATALOG}), {_effects_sql("cat", "shipped")}, {_effects_sql("own_functions", "own")},
+nothing AS (SELECT * FROM cat WHERE false), {_effects_sql("nothing", "closed")}
+SELECT r.stmt_id, r.name, shipped.effect AS shipped_effect, own.effect AS own_effect, closed.effect AS closed_effect, own.resolved AS own_resolved, closed.resolved AS closed_resolved
+FROM function_refs r JOIN shipped ON shipped.name = lower(r.name) JOIN own ON own.name = lower(r.name) JOIN closed ON closed.name = lower(r.name)""",
+)
+def function_effects_by_rules(spark, sf_dir):
+    """The same references under the shipped function table, a site's own, and none (fail closed)."""
+    found = view(spark, sf_dir, "function_refs")
+    shipped = spark.sql(f"SELECT * FROM ({_CATALOG}) AS t(schema, name, provolatile, prosecdef, visible)")
+    own = view(spark, sf_dir, "own_functions").selectExpr("schema_ AS schema", "name", "vol AS provolatile", "def AS prosecdef", "vis AS visible")
+    verdicts = ["qualified_name", "effect", "side_effects", "resolved"]
+    for catalog, label in ((shipped, "shipped"), (own, "own"), (None, "closed")):
+        judged = policy.function_effects(found, catalog)
+        found = judged.withColumns({f"{label}_effect": F.col("effect"), f"{label}_resolved": F.col("resolved")}).drop(*verdicts)
+    return found.drop("shipped_resolved")
+
+
 # --- registry and scopes
 _REGISTRY = """VALUES ('db0', 'proj0', 'main', CAST(NULL AS VARCHAR(20)), 3), ('db1', 'proj1', 'sales', 'manual', 1),
   ('db2', CAST(NULL AS VARCHAR(20)), 'stock', 'full', 2), ('proj2', 'other', 'staff', CAST(NULL AS VARCHAR(20)), 4),

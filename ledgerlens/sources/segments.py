@@ -38,7 +38,7 @@ SEGMENT_PATTERN = r"(?:/audit(?:-\d+)?\.jsonl|/segment=\d+/[^/]+)$"
 _BLANKS = r"^[\s﻿]*$"
 
 
-def _file_order(path: Column) -> Column:
+def file_order(path: Column) -> Column:
     """Chronological rank of a segment from its path: archives count down, the active file is last."""
     written = F.regexp_extract(path, r"segment=(\d+)", 1).try_cast("bigint")
     archive = F.regexp_extract(path, r"/audit-(\d+)\.jsonl$", 1).try_cast("bigint")
@@ -72,7 +72,7 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return named.where(_is_segment(F.col("path")))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -84,19 +84,21 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("_path", (F.col("_n") - 1).cast("int").alias("_at"), "raw")
 
 
-def read_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+def read_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, files: list[str] | None = None) -> DataFrame:
     """``event.*, raw, file, file_ord, line_no, malformed`` for every non-blank line of a log.
 
     ``(file_ord, line_no)`` is the log order. Blank lines are skipped, a byte-order mark before the
     first line is dropped, and a line that is not one JSON object is marked, not fatal. Segments of any size
-    are split by lines.
+    are split by lines. With ``files`` only these are read.
     """
     prepare(spark)
-    lines = _lines(spark, path).where(~F.col("raw").rlike(_BLANKS))
+    if files is not None and not files:
+        return parse_lines(spark.createDataFrame([], "raw string, file string, file_ord long, line_no int"), schema)
+    lines = _lines(spark, path if files is None else files).where(~F.col("raw").rlike(_BLANKS))
     lines = lines.select(
         F.regexp_replace("raw", r"^﻿|\r$", "").alias("raw"),
         F.regexp_extract("_path", r"[^/]+(?:/[^/]+)?$", 0).alias("file"),
-        _file_order(F.col("_path")).alias("file_ord"),
+        file_order(F.col("_path")).alias("file_ord"),
         F.col("_at").alias("line_no"),
     )
     return parse_lines(lines, schema)
@@ -116,7 +118,7 @@ def follow_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT
     """
     prepare(spark).dataSource.register(GrowingLines)
     lines = spark.readStream.format("growing_lines").option("path", path).option("pattern", SEGMENT_PATTERN).option("from", begin).option("rangeBytes", range_bytes).load()
-    return _events(lines.select("raw", _file_order(F.col("path")).alias("file_ord"), "at"), schema)
+    return _events(lines.select("raw", file_order(F.col("path")).alias("file_ord"), "at"), schema)
 
 
 def follow_new_segments(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import mac
 from ledgerlens.operators import chain
-from ledgerlens.sources import segments, tail
+from ledgerlens.sources import segments, tail, verdicts
 from ledgerlens.streaming import jobs
 
 KEY = b"test key"
@@ -386,3 +386,40 @@ def test_following_may_begin_at_the_end(spark, tmp_path):
     with (tmp_path / "log" / "audit.jsonl").open("a") as file:
         file.write('{"id":"2"}\n')
     assert seen() == ["2"]
+
+
+def test_incremental_verification_equals_the_full_one(spark, built, tmp_path):
+    """After every change the kept verdicts are those of a verification from scratch, and only what was touched is read."""
+    path, store = str(tmp_path / "log"), str(tmp_path / "store")
+    schema = spark.createDataFrame([], "action string, note string, user_id string, chain_id string, seq long, prev_hash string, mac string, hash string").schema
+    one = built.where("log = 'log0'")
+    columns = [*RECORD, *chain.LINK, "mac", "hash"]
+
+    def write(rows):
+        segments.write_segments(rows, path, columns, max_rows=7)
+        for n, file in enumerate(sorted((tmp_path / "log").glob("segment=*/*.txt"))):  # never a whole second
+            stat = os.stat(file)
+            if stat.st_mtime_ns % 10**9 < 10**6:
+                os.utime(file, ns=(stat.st_mtime_ns + 5 * 10**6,) * 2)
+
+    def verify():
+        found = {r.file_ord: (r.reason, r.broken_seq, r.read) for r in verdicts.verify_incrementally(spark, path, store, KEY, RECORD, schema=schema).collect()}
+        whole = verdicts.verify_incrementally(spark, path, str(tmp_path / f"fresh{len(list(tmp_path.iterdir()))}"), KEY, RECORD, schema=schema).collect()
+        assert {r.file_ord: (r.reason, r.broken_seq) for r in whole} == {n: f[:2] for n, f in found.items()}
+        return {n: f[0] for n, f in found.items()}, {n for n, f in found.items() if f[2]}
+
+    write(one.where("seq <= 20"))
+    assert verify() == ({0: None, 1: None, 2: None}, {0, 1, 2})
+    assert verify() == ({0: None, 1: None, 2: None}, set())
+    write(one.where("seq > 14"))  # grows
+    assert verify() == ({n: None for n in range(5)}, {2, 3, 4})
+    write(one.where("seq between 8 and 14").withColumn("note", F.when(F.col("seq") == 9, "forged").otherwise(F.col("note"))))
+    assert verify() == ({0: None, 1: "mac_mismatch", 2: None, 3: None, 4: None}, {1})
+    assert verify()[1] == {1}  # what has failed is never trusted
+    write(one.where("seq between 8 and 14"))
+    write(one.where("seq between 15 and 20"))  # a lost record: the next segment, itself unchanged, no longer follows
+    assert verify() == ({0: None, 1: None, 2: None, 3: "seq_gap", 4: None}, {1, 2, 3})
+    assert verdicts.latest_version(store) == 6
+    for file in (tmp_path / "log" / "segment=0").iterdir():
+        file.unlink()
+    assert verify()[0] == {1: "seq_gap", 2: None, 3: "seq_gap", 4: None}

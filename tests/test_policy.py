@@ -1,6 +1,8 @@
 """Reason codes of the policy operators on hand-made rows."""
 
+import bisect
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +156,54 @@ def test_intersect_keeps_the_narrower_field(spark):
     assert sorted(map(tuple, got.collect())) == [("A", "x"), ("A", "y"), ("B", "y")]
 
 
+def test_intersect_equals_all_pairs(spark, capsys):
+    rng = random.Random(8)
+    def rules(n):
+        return [(rng.choice([None, "p", "q", "r", "s"]), rng.choice([None, "x", "y", "z"])) for _ in range(n)]
+    for sizes in ((6, 6), (1, 9), (12, 3), (0, 4)):
+        a, b = rules(sizes[0]), rules(sizes[1])
+        want = set()
+        for p, d in a:
+            for r, e in b:
+                if (p is None or r is None or p == r) and (d is None or e is None or d == e):
+                    want.add((p if p is not None else r, d if d is not None else e))
+        make = lambda rows: spark.createDataFrame(rows, "project_name string, db_alias string")
+        merged = policy.intersect_rules(make(a), make(b))
+        assert set(map(tuple, merged.collect())) == want - {(None, None)}
+    merged.explain("simple")
+    assert "NestedLoop" not in capsys.readouterr().out
+
+
+def test_percentiles_and_rolled_up_sketches(spark):
+    """Exact up to the sketch's size, within its rank error beyond, and the same from parts as from the whole."""
+    rng = random.Random(2)
+    rows = [(i % 7, f"SELECT a FROM t{i % 2} WHERE x = {i}", rng.randrange(10_000) if i % 11 else None, "error" if i % 5 == 0 else "success", i) for i in range(6000)]
+    log = spark.createDataFrame(rows, "day int, sql_text string, duration_ms long, outcome string, ts_ms long")
+    whole = {r.fingerprint: r for r in aggregates.statement_rollup(log).collect()}
+    merged = {r.fingerprint: r for r in aggregates.merge_traffic(aggregates.statement_traffic(log, ["day"])).collect()}
+    assert whole == merged and len(whole) == 2
+    for shape in (0, 1):
+        values = sorted(r[2] for r in rows if r[4] % 2 == shape and r[2] is not None)
+        found = next(r for r in whole.values() if r.first_ms == shape)
+        assert (found.calls, found.total_ms, found.max_ms) == (3000, sum(values), values[-1])
+        assert (found.p50_ms, found.p95_ms, found.p99_ms) == tuple(values[-(-len(values) * p // 100) - 1] for p in (50, 95, 99))
+    rough = aggregates.merge_traffic(aggregates.statement_traffic(log, ["day"], size=64)).collect()
+    for found in rough:
+        values = sorted(r[2] for r in rows if r[4] % 2 == found.first_ms and r[2] is not None)
+        for p, value in ((0.5, found.p50_ms), (0.95, found.p95_ms), (0.99, found.p99_ms)):
+            assert abs(bisect.bisect_right(values, value) / len(values) - p) < 0.08
+    none = aggregates.statement_rollup(log.withColumn("duration_ms", F.lit(None).cast("long"))).first()
+    assert (none.p50_ms, none.p99_ms) == (None, None)
+
+
+def test_key_members_may_hold_commas(spark):
+    constraints = spark.createDataFrame([("s", "t", "pk", "PRIMARY KEY"), ("s", "t", "uq", "UNIQUE")], "table_schema string, table_name string, constraint_name string, constraint_type string")
+    usage = spark.createDataFrame([("s", "pk", "a,b", 1), ("s", "uq", "c", 2), ("s", "uq", "a,b", 1)], "table_schema string, constraint_name string, column_name string, ordinal_position int")
+    columns = spark.createDataFrame([("s", "t", c) for c in ("a,b", "c", "a")], "table_schema string, table_name string, column_name string")
+    got = catalog.key_flags(columns, catalog.key_columns(constraints, usage)).collect()
+    assert {r.column_name: (r.is_primary_key, r.is_unique) for r in got} == {"a,b": (True, True), "c": (False, True), "a": (False, False)}
+
+
 def test_findings(spark):
     schema = "rolsuper boolean, rolcreatedb boolean, rolcreaterole boolean, rolreplication boolean, rolbypassrls boolean, can_create_temp boolean, can_create_in_public boolean, memberships array<string>, default_transaction_read_only string"
     good = (False,) * 7 + ([], "on")
