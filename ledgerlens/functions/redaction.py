@@ -8,6 +8,8 @@ of a megabyte is one pass and no stack.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from ledgerlens.functions.mac import hmac_sha256
 from ledgerlens.functions.sqltext import lit, replace_all, utf16_length
 
@@ -21,7 +23,7 @@ ELLIPSIS = "…"
 #: what trimming removes
 BLANKS = " \t\n\r\f\v\u00a0\ufeff\u2028\u2029"
 
-#: Nested block comments are followed to this depth; deeper ones give the marker.
+#: Nested block comments of this depth are matched by the patterns; deeper ones are found by a fold first.
 COMMENT_DEPTH = 8
 
 def _block_comment(depth: int) -> str:
@@ -107,6 +109,73 @@ def is_readable(x: str) -> str:
     )
 
 
+#: a special character, or a run of others
+_CHARACTERS = r"[^'\"$/*\\\-]++|[\s\S]"
+
+
+def _block_comments(x: str) -> str:
+    """Array of the (first, after) positions of the block comments of a statement, nested to any depth; null when a literal or comment does not end.
+
+    A fold over the special characters that knows where it is: in text, in a literal (``mode`` is its quote) or in a comment. What
+    is looked up in the statement itself is passed over up to ``skip``.
+    """
+    introduced = (
+        f"CASE t WHEN {lit(chr(39))} THEN rlike(substring({x}, greatest(1, s.at - 3), least(3, s.at - 1)), {lit(r'(?:^|[^A-Za-z0-9_$])(?:[Ee]|[Uu]&)$')}) "
+        f"ELSE rlike(substring({x}, greatest(1, s.at - 3), least(3, s.at - 1)), {lit(r'(?:^|[^A-Za-z0-9_$])[Uu]&$')}) END"
+    )
+    tag = f"substring({x}, s.at, locate('$', {x}, s.at + 1) - s.at + 1)"
+    tagged = f"(locate('$', {x}, s.at + 1) > 0 AND {tag} RLIKE {lit(f'^{_DOLLAR_OPEN}$')})"
+    line_end = f"CASE WHEN locate({lit(chr(10))}, {x}, s.at) > 0 THEN locate({lit(chr(10))}, {x}, s.at) ELSE char_length({x}) + 1 END"
+    # what a character does
+    does = (
+        "CASE WHEN s.at < s.skip THEN 'pass' "
+        "WHEN s.mode = 'c' THEN CASE WHEN s.prev = '/' AND t = '*' THEN 'deeper' WHEN s.prev = '*' AND t = '/' THEN 'higher' ELSE 'look' END "
+        "WHEN s.mode <> '' AND NOT (s.quote AND t <> s.mode) THEN "
+        "CASE WHEN s.quote THEN 'double' WHEN s.back THEN 'escaped' WHEN s.escapes AND t = chr(92) THEN 'back' WHEN t = s.mode THEN 'quote' ELSE 'pass' END "
+        "WHEN s.mode = '' AND s.prev = '/' AND t = '*' THEN 'comment' WHEN s.mode = '' AND s.prev = '-' AND t = '-' THEN 'line' "
+        f"WHEN t IN ({lit(chr(39))}, {lit(chr(34))}) THEN 'open' WHEN t = '$' AND {tagged} THEN 'dollar' ELSE 'text' END"
+    )
+    step = {
+        "at": "s.at + char_length(t)",
+        "mode": "CASE WHEN d = 'comment' THEN 'c' WHEN d = 'open' THEN t WHEN d IN ('line', 'dollar', 'text') OR (d = 'higher' AND s.depth = 1) THEN '' ELSE s.mode END",
+        "escapes": f"CASE WHEN d = 'open' THEN {introduced} ELSE s.escapes END",
+        "back": "d = 'back'",
+        "quote": "CASE WHEN d = 'quote' THEN true WHEN d IN ('double', 'open', 'line', 'dollar', 'text', 'comment') THEN false ELSE s.quote END",
+        "prev": "CASE WHEN d IN ('look', 'text') AND t IN ('/', '*', '-') THEN t WHEN d = 'pass' THEN s.prev ELSE '' END",
+        "depth": "CASE d WHEN 'comment' THEN 1 WHEN 'deeper' THEN s.depth + 1 WHEN 'higher' THEN s.depth - 1 ELSE s.depth END",
+        "since": "CASE WHEN d = 'comment' THEN s.at - 1 ELSE s.since END",
+        "skip": f"CASE d WHEN 'line' THEN {line_end} WHEN 'dollar' THEN locate({tag}, {x}, s.at + char_length({tag})) + char_length({tag}) ELSE s.skip END",
+        "open": f"s.open OR (d = 'dollar' AND locate({tag}, {x}, s.at + char_length({tag})) = 0)",
+        "found": "CASE WHEN d = 'higher' AND s.depth = 1 THEN concat(s.found, array(named_struct('first', s.since, 'after', s.at + 1))) ELSE s.found END",
+    }
+    begin = {
+        "at": "1", "mode": "''", "escapes": "false", "back": "false", "quote": "false", "prev": "''", "depth": "0", "since": "0", "skip": "0", "open": "false",
+        "found": "CAST(array() AS array<struct<first: int, after: int>>)",
+    }
+    start, after = (f"named_struct({', '.join(f'{lit(k)}, {v}' for k, v in fields.items())})" for fields in (begin, step))
+    return (
+        f"aggregate(regexp_extract_all({x}, {lit(_CHARACTERS)}, 0), {start}, (s, t) -> transform(array({does}), d -> {after})[0], "
+        "s -> CASE WHEN NOT s.open AND (s.mode = '' OR s.quote) THEN s.found END)"
+    )
+
+
+def _flat(x: str) -> str:
+    """The statement with an empty comment in place of each block comment; null when a literal or comment does not end."""
+    piece = (
+        f"substring({x}, CASE WHEN i = 0 THEN 1 ELSE r[i - 1].after END, CASE WHEN i = size(r) THEN char_length({x}) + 1 ELSE r[i].first END - "
+        "CASE WHEN i = 0 THEN 1 ELSE r[i - 1].after END)"
+    )
+    return f"transform(array({_block_comments(x)}), r -> array_join(transform(sequence(0, size(r)), i -> {piece}), '/**/'))[0]"
+
+
+def of_readable(x: str, text: Callable[[str], str], otherwise: str = lit(UNREDACTABLE)) -> str:
+    """``text`` of a readable statement, ``otherwise`` of any other. A statement that the patterns cannot read may hold comments nested
+    deeper than they go; these are emptied first."""
+    deep = f"transform(array({_flat(x)}), f -> CASE WHEN {is_readable('f')} THEN {text('f')} ELSE {otherwise} END)[0]"
+    scanned = f"coalesce(contains({x}, '/*') AND octet_length({x}) <= {MAX_SCAN_BYTES}, false)"
+    return f"CASE WHEN {is_readable(x)} THEN {text(x)} WHEN {scanned} THEN {deep} ELSE {otherwise} END"
+
+
 def strip_literals(x: str) -> str:
     """Comments removed and literal bodies replaced by ``?``; delimiters stay."""
     marked = f"regexp_replace({x}, {lit(_TOKEN)}, {lit(_GROUPS[0] + _MARK + _GROUPS[1] + _MARK * 2)})"
@@ -120,8 +189,7 @@ def redact_numbers(x: str) -> str:
 
 def redact(x: str) -> str:
     """Statement text with every data-bearing part replaced, or the fixed marker."""
-    body = replace_all(redact_numbers(strip_literals(x)), [_KEY_DETAIL])
-    return f"CASE WHEN {is_readable(x)} THEN {body} ELSE {lit(UNREDACTABLE)} END"
+    return of_readable(x, lambda t: replace_all(redact_numbers(strip_literals(t)), [_KEY_DETAIL]))
 
 
 def _keep_identifiers(x: str, salt: str) -> str:
@@ -143,8 +211,10 @@ def _keep_identifiers(x: str, salt: str) -> str:
 
 def normalise(x: str, salt: str) -> str:
     """The text a fingerprint is taken of."""
-    stripped = f"CASE WHEN instr({x}, '\"') > 0 THEN {_keep_identifiers(x, salt)} ELSE {strip_literals(x)} END"
-    text = f"CASE WHEN {is_readable(x)} THEN {redact_numbers(stripped)} ELSE {lit(UNREDACTABLE)} END"
+    def stripped(t: str) -> str:
+        return redact_numbers(f"CASE WHEN instr({t}, '\"') > 0 THEN {_keep_identifiers(t, salt)} ELSE {strip_literals(t)} END")
+
+    text = of_readable(x, stripped)
     return f"trim(regexp_replace(regexp_replace(lower({text}), {lit(r'\s{2,}+|[\t\n\r\f\x0b]')}, ' '), {lit(r';\s*$')}, ''))"
 
 

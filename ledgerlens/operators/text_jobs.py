@@ -158,8 +158,7 @@ def with_hmac(df: DataFrame, text: str, key: bytes, to: str = "mac") -> DataFram
 def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
     """Statement count, class, verb and flags of each text, classified by its most dangerous
     statement so that a leading SELECT never hides what follows it."""
-    readable = redaction.is_readable(_col(sql))
-    df = df.withColumn("_clean", F.expr(f"CASE WHEN {readable} THEN {classes.cleaned(_col(sql))} END"))
+    df = df.withColumn("_clean", F.expr(redaction.of_readable(_col(sql), classes.cleaned, "NULL")))
     df = df.withColumn("_parts", F.expr(classes.statements_of("_clean")))
     layers = (
         f"transform(_parts, (s, i) -> named_struct('s', s, 'm', {classes.main_text('s')}, 'i', i))",
@@ -212,7 +211,7 @@ def classify_statements(df: DataFrame, sql: str = "sql") -> DataFrame:
 def non_transactional(df: DataFrame, sql: str = "sql") -> DataFrame:
     """Per statement: ``tx_status`` (transactional, non_transactional, ambiguous, unparseable) and
     the label of what cannot run in a transaction."""
-    df = df.withColumn("_clean", F.expr(f"CASE WHEN {redaction.is_readable(_col(sql))} THEN {classes.cleaned(_col(sql))} END"))
+    df = df.withColumn("_clean", F.expr(redaction.of_readable(_col(sql), classes.cleaned, "NULL")))
     df = df.withColumn("_count", F.size(F.expr(classes.statements_of("_clean"))))
     df = df.withColumn("_word", F.expr(classes.first_word("_clean")))
     label = F.when(F.col("_count") == 1, F.expr(classes.non_transactional_label("_clean", "_word")))

@@ -2,6 +2,8 @@
 
 import hashlib
 import hmac as py_hmac
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ REDACTED = [
     ("'" + "''" * 300_000 + "'", "'?'"),
     ("-- " + "e" * 500_000 + "\nE'x'", "\nE'?'"),
     ("/*" * 8 + "*/" * 8 + "a", "a"),
-    ("/*" * 9 + "*/" * 9 + "a", MARK),
+    ("/*" * 9 + "*/" * 9 + "a", "a"),
     ("nul \0 here", MARK),
 ]
 
@@ -251,3 +253,77 @@ def test_cells_and_row_sizes(spark):
     assert small.s.value == "é" and not small.has_truncated_cells
     assert sorted(r.row_bytes for r in text_jobs.row_bytes(df).collect()) == [2 + 4 + 4 + 8, 30 + 5 + 1 + 4]
     assert text_jobs.within_budget(df, 57).first().allowed is False
+
+
+# --- comments of any depth ----------------------------------------------------------------------
+
+
+def comments_by_hand(sql):
+    """Positions of the block comments, or None where something does not end; one character after the other."""
+    found, i, n = [], 0, len(sql)
+    while i < n:
+        if sql.startswith("--", i):
+            end = sql.find("\n", i)
+            i = n if end < 0 else end
+        elif sql.startswith("/*", i):
+            depth, at = 1, i + 2
+            while depth and at < n:
+                if sql.startswith("/*", at) or sql.startswith("*/", at):
+                    depth += 1 if sql[at] == "/" else -1
+                    at += 2
+                else:
+                    at += 1
+            if depth:
+                return None
+            found.append((i + 1, at + 1))
+            i = at
+        elif sql[i] in "'\"":
+            before = sql[max(0, i - 3) : i]
+            escapes = re.search(r"(?:^|[^A-Za-z0-9_$])[Uu]&$" if sql[i] == '"' else r"(?:^|[^A-Za-z0-9_$])(?:[Ee]|[Uu]&)$", before)
+            quote, at = sql[i], i + 1
+            while at < n:
+                if escapes and sql[at] == "\\":
+                    at += 2
+                elif sql[at] == quote and sql[at + 1 : at + 2] == quote:
+                    at += 2
+                elif sql[at] == quote:
+                    break
+                else:
+                    at += 1
+            if at >= n:
+                return None
+            i = at + 1
+        elif tag := re.match(r"\$(?:[A-Za-z_][A-Za-z0-9_]*)?\$", sql[i:]):
+            end = sql.find(tag[0], i + len(tag[0]))
+            if end < 0:
+                return None
+            i = end + len(tag[0])
+        else:
+            i += 1
+    return found
+
+
+def test_block_comments_are_found_at_any_depth(spark):
+    rng = random.Random(12)
+    pieces = ["/*", "*/", "/*", "*/", "'", '"', "\\", "--", "\n", "$", "$q$", "E'", "xE'", "U&'", 'u&"', "a", " ", "é𝒳", "*", "/", "-", "1"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 24))) for _ in range(4000)]
+    texts += ["/*" * n + " it's " + "*/" * n + "'x'" for n in (1, 8, 9, 50, 400)] + ["/*" * 50 + "*/" * 49]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, q string").select("i", F.expr(redaction._block_comments("q")).alias("c")).collect()
+    for row in got:
+        want = comments_by_hand(texts[row.i])
+        assert (None if row.c is None else [tuple(c) for c in row.c]) == want, texts[row.i]
+
+
+@pytest.mark.parametrize("depth", [8, 9, 50])
+def test_deep_comments_change_nothing(spark, depth):
+    """Redaction, fingerprint and class are those of the statement without its comments."""
+    deep = "/*" * depth + " it's \"; DROP " + "*/" * depth
+    rows = [(f"SELECT{deep} a FROM t WHERE x = 'v'{deep}", "SELECT a FROM t WHERE x = 'v'"), (f"{deep}DELETE FROM \"T\"", 'DELETE FROM "T"')]
+    df = spark.createDataFrame(rows, "q string, plain string")
+    for row in df.selectExpr(*(f"{f(c)} AS {n}_{c}" for c in ("q", "plain") for n, f in (("r", redaction.redact), ("f", lambda x: redaction.fingerprint(x, "s"))))).collect():
+        assert row.r_q == row.r_plain and row.f_q == row.f_plain
+    a, b = (text_jobs.classify_statements(df.select(F.col(c).alias("sql"))).drop("sql").collect() for c in ("q", "plain"))
+    assert a == b
+    a, b = (text_jobs.non_transactional(df.select(F.col(c).alias("sql"))).drop("sql").collect() for c in ("q", "plain"))
+    assert a == b
+    assert spark.createDataFrame([("/*" * depth + "*/" * (depth - 1),)], "q string").selectExpr(redaction.redact("q")).first()[0] == MARK
