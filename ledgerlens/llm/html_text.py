@@ -50,7 +50,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: their content is not text; it ends at the literal closing tag, whatever stands in it
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea title select option button datalist video audio".split())
+RAW = frozenset("script style noscript template iframe object svg math canvas textarea title select option datalist video audio".split())
 _OWN_TAG = {name: re.compile(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*+>?", re.I) for name in RAW}
 #: raw elements that may hold one of their own kind
 NESTED = frozenset(("object", "svg", "template"))
@@ -62,10 +62,13 @@ _HEAD_END = re.compile(r"</head(?=[\s/>])", re.I)
 DROPPED = frozenset("nav footer aside form menu dialog".split())
 #: whole words of class or id that mark the parts to leave out
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert sidebar "
+    "ad ads adsbygoogle advert adverts advertisement advertising gdpr sponsor sponsored promo promotion banner cookie cookies consent notice notices alert sidebar "
     "nav navbar navigation menu breadcrumb breadcrumbs footer comment comments disqus related recommended share sharing social newsletter "
     "subscribe signup login popup modal pagination pager".split()
 )
+#: these mark a word of which they are a part, unless another part says that it is a state of the page: user-comments does, no-comments and ad-free do not
+PART_MARKS = frozenset("ad ads advert adverts advertisement comment comments".split())
+STATES = frozenset("allow closed count disabled enabled free has hide no off on open show with without".split())
 HEADER_MARKS = frozenset("header masthead topbar".split())
 #: a word of several parts marks if one of them does and the others are of these: site-footer does, has-sidebar and comments-open do not
 NEUTRAL = frozenset(
@@ -81,6 +84,8 @@ def _marks(words: str) -> set[str]:
     found = set()
     for word in words.split():
         parts = set(_PART.split(word))
+        if len(parts) > 1 and not parts & STATES:
+            found |= parts & PART_MARKS
         if len(parts) > 1 and all(p in MARKS or p in HEADER_MARKS or p in NEUTRAL or not p or _NUMBER.fullmatch(p) for p in parts):
             # post-header and the like are headings
             found |= parts & MARKS if parts & {"entry", "post"} else parts
@@ -140,6 +145,7 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
     """(part, line) in page order; part is ``in`` an article, ``out`` in a part to leave out, or empty."""
     found: list[tuple[tuple[int, ...], bool, str]] = []
     stack: list[tuple[str, str]] = []  # open elements that are blocks or have a role
+    aside: list[list[str]] = []  # the line around each open inline part to leave out, which goes on after it
     outs: tuple[int, ...] = ()  # open parts to leave out, as numbers into forms
     forms: list[bool] = []
     articles: list[tuple[str, tuple[int, ...], list[int]]] = []  # name, parts to leave out around it, characters of its own
@@ -157,6 +163,19 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
                 for _, parts, n in opened:
                     n[0] += len(line) if parts == outs else 0
 
+    def leave() -> str:
+        nonlocal outs
+        last, role = stack.pop()
+        if role and last not in BLOCKS:
+            flush()
+        if role == "out":
+            outs = outs[:-1]
+            if last not in BLOCKS:
+                buffer[:] = aside.pop()
+        elif role == "in":
+            opened.pop()
+        return last
+
     page = page or ""
     pieces = _PIECE.finditer(page)
     while (m := next(pieces, None)) is not None:
@@ -194,7 +213,10 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
                 continue
             role = _role(name, m[3], bool(opened))
             if name in BLOCKS or role:
-                if role and name not in BLOCKS:
+                if role == "out" and name not in BLOCKS:
+                    aside.append(buffer[:])
+                    buffer.clear()
+                elif role and name not in BLOCKS:
                     flush()
                 stack.append((name, role))
                 if role == "out":
@@ -204,16 +226,13 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
                     opened.append((name if name == "main" or not _MAIN.search(m[3]) else "main", outs, [0]))
                     articles.append(opened[-1])
         elif any(n == name for n, _ in stack):
-            while stack:
-                last, role = stack.pop()
-                if role and last not in BLOCKS:
-                    flush()
-                if role == "out":
-                    outs = outs[:-1]
-                elif role == "in":
-                    opened.pop()
-                if last == name:
-                    break
+            while leave() != name:
+                pass
+            if name in BLOCKS:
+                flush()
+    while stack:
+        flush()
+        leave()
     flush()
     wrappers = _enclosing(articles, sum(len(t) for parts, inside, t in found if not parts and not inside))
     if all(set(parts) - wrappers for parts, _, _ in found):

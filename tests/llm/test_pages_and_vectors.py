@@ -141,3 +141,21 @@ def test_near_copies_tell_nothing(spark):
     body = "{0} one of the body\n{0} two of the body\n{0} three of the body\n{1}"
     assert [got[1], got[2], got[3]] == [body.format("x", "Read"), body.format("x", "Print"), body.format("y", "Other")]
     assert got[4] == "Top line\n" + body.format("x", "Read") + "\nBottom line" and got[5].count("body") == 3
+
+
+def test_marked_parts_inside_an_article():
+    """Comments, adverts and notices by any part of a word; a word that tells a state of the page marks nothing."""
+    out = ("user-comments", "comment-thread", "reader-comments", "ad-slot", "adsbygoogle", "gdpr-banner", "inline-advert")
+    for word in out:
+        for page in (f'<article><p>A</p><div class="x {word}"><p>B</p></div></article>', f'<article><p>A</p><section id="{word}">B</section></article>'):
+            assert kept(page) == ["A"], page
+    for word in ("no-comments", "comments-open", "has-ads", "ad-free", "comments-count-off", "commentary", "shadow-box", "reading-list"):
+        assert kept(f'<article class="{word}"><div class="{word}"><p>A</p></div></article>') == ["A"], word
+
+
+def test_inline_parts_do_not_break_a_line():
+    assert kept("<article><p>a<span hidden>no</span>b</p></article>") == ["ab"]
+    assert kept('<article><p>a<ins class="adsbygoogle">x<div>y</div></ins> b</p><p>c</p></article>') == ["a b", "c"]
+    assert kept("<article><p>a <span hidden>x <b>y</b></p><p>b</p></article>") == ["a", "b"]
+    assert kept("<p>a<span hidden>x") == ["a"]
+    assert kept("<article><p>Press <button>OK</button> now</p></article>") == ["Press OK now"]
