@@ -87,9 +87,13 @@ def learnt_from(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
-    """The model, from labels (doc_id, quality) of documents that are not held out."""
+    """The model, from labels (doc_id, quality) of documents that are not held out.
+
+    At most ``per_class`` documents of each label are learnt from, chosen among those that ``docs`` holds, and one text of each, however many rows
+    repeat its doc_id.
+    """
     sound = (
-        labels.where(learnt_from(F.col("doc_id")) & F.col("quality").isin(0, 1)).groupBy("doc_id")
+        labels.join(docs.select("doc_id"), "doc_id", "left_semi").where(learnt_from(F.col("doc_id")) & F.col("quality").isin(0, 1)).groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
     )
     counts = {r["quality"]: r["count"] for r in sound.groupBy("quality").count().collect()}
@@ -99,6 +103,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tup
         chosen = part if chosen is None else chosen.union(part)
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .mapInPandas(_features, "doc_id long, quality int, rows array<int>, counts array<int>").toArrow().combine_chunks()
     )
     # views of one flat copy of all table rows and counts
