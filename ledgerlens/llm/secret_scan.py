@@ -41,9 +41,11 @@ def samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_strings: int = SAMPLE_
     seeds = docs.sparkSession.range(n_strings).select(F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256).alias("x"))
     base64 = F.regexp_replace(F.base64(F.unhex("x")), "=", "")
     random = seeds.select(F.explode(F.array(F.col("x"), base64, base64, base64, F.upper("x"), F.regexp_replace(base64, "[+/]", "_"))).alias("token"))
+    # hashes choose the documents; only the texts of those chosen move
+    named = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("key"), "text")
+    chosen = named.select("doc_id", "key").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(n_docs)
     words = (
-        docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(n_docs)
+        named.join(F.broadcast(chosen), ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(F.min("text").alias("text"))
         .select(F.expr(r"regexp_extract_all(text, '[A-Za-z]{2,16}', 0)").alias("w"))
         .select(F.explode(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, size(w))").alias("b"))).alias("p")).select("p.a", "p.b").where("b is not null")
     )
