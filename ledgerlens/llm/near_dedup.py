@@ -21,6 +21,7 @@ A null or empty text has an empty set and is linked with nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +31,18 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import GOLDEN, WordHashes, mixed, saved, signed, utf8
 
-BANDS, ROWS = 24, 5
+ROWS = 5
+#: the chance, at most, that two sets which are just alike enough share no band
+MISSED = 1e-6
 #: probes of an empty bin before it takes the next filled one in order
 PROBES = 512
 
 
+def bands_for(percent: int, rows: int = ROWS, missed: float = MISSED) -> int:
+    """Bands of ``rows`` rows that two sets of this similarity all miss with a chance of ``missed`` at most."""
+    return max(1, math.ceil(math.log(missed) / math.log1p(-min(percent / 100, 0.999) ** rows)))
+
+
 def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``words`` words; a shorter text is one run."""
     h = hashes.of(utf8(text).lower().split())
@@ -141,7 +149,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, words: int = 5, percent: int = 80, bands: int | None = None, rows: int = ROWS
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs`` (doc_id, text, any more columns).
 
@@ -149,6 +157,7 @@ def near_duplicates(
     smallest doc_id reachable over links, ``kept`` marks the document that carries it.
     """
     texts = docs.select("doc_id", "text")
+    bands = bands or bands_for(percent, rows)
     # two different sets can only be linked from this size on
     least = max(2, -(-100 // (100 - percent)) - 1) if percent < 100 else 1 << 60
     marks = saved(

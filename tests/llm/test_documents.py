@@ -194,3 +194,24 @@ def test_best_fit_takes_the_tightest_bin():
         room += [7000] * (b == len(room))
         room[b] -= size
         assert place == b
+
+
+def test_training_rows_are_bounded_by_documents(spark):
+    """A labelled doc_id that repeats is learnt from once; labels of documents that are absent take no places."""
+    docs = spark.createDataFrame([(i, f"good words here {i}" if i % 2 else f"zzz qqq {i}") for i in range(200)] + [(1, f"copy {i}") for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(-500, 200)], "doc_id long, quality int")
+    seen = []
+    original = quality.train
+    try:
+        quality.train = lambda samples, prior: seen.append(len(samples)) or original(samples, prior)
+        quality.learn(docs, labels, per_class=30)
+    finally:
+        quality.train = original
+    assert seen == [60]
+
+
+def test_bands_follow_from_the_similarity():
+    assert [near_dedup.bands_for(p) for p in (100, 85, 80)] == [3, 24, 35]
+    for percent in (60, 80, 85, 95):
+        bands = near_dedup.bands_for(percent)
+        assert (1 - (percent / 100) ** near_dedup.ROWS) ** bands <= near_dedup.MISSED < (1 - (percent / 100) ** near_dedup.ROWS) ** (bands - 1)
