@@ -271,14 +271,22 @@ def verify_by_join(df: DataFrame, key: bytes, record: Sequence[str], keys: Seque
     """Verification in *sequence* order by an equi-join with the record numbered one less.
 
     An alternative for a log whose order is its sequence number; it agrees with
-    :func:`verify_chain` there. Both sides shuffle on ``keys + seq``.
+    :func:`verify_chain` there. Records of one number are folded first (a second one is ``seq_duplicate``), so a number that repeats
+    very often fans nothing out; malformed records have their reason, those without a number come first. Both sides shuffle on ``keys + seq``.
     """
-    checked = df.withColumn("_auth", _authenticity(record_mac([c for c in record if c not in LINK], key)))
-    current = checked.select(*{*keys, "chain_id", "seq", "prev_hash"}, "_auth")
-    before = df.select(*keys, (F.col("seq") + 1).alias("seq"), F.col("mac").alias("_mac"))
+    if "malformed" not in df.columns:
+        df = df.withColumn("malformed", F.lit(False))
+    checked = df.withColumns({"_shape": _shape(), "_auth": _authenticity(record_mac([c for c in record if c not in LINK], key))})
+    one = F.struct((~F.col("malformed")).alias("sound"), "mac", "prev_hash", "_shape", "_auth")
+    current = checked.groupBy(*keys, F.coalesce("seq", F.lit(0)).alias("seq")).agg(F.min(one).alias("_one"), F.count(F.lit(1)).alias("_copies")).select(
+        *keys, "seq", "_copies", "_one.mac", "_one.prev_hash", "_one._shape", "_one._auth"
+    )
+    before = current.select(*keys, (F.col("seq") + 1).alias("seq"), F.col("mac").alias("_mac"), F.lit(True).alias("_follows"))
     joined = current.join(before, [*keys, "seq"], "left")
     step = (
-        F.when((F.col("seq") > 1) & F.col("_mac").isNull(), "seq_gap")
+        F.when(F.col("_shape").isNotNull(), F.col("_shape"))
+        .when(F.col("_copies") > 1, "seq_duplicate")
+        .when((F.col("seq") > 1) & F.col("_follows").isNull(), "seq_gap")
         .when(F.col("prev_hash") != F.coalesce("_mac", F.lit(C.GENESIS)), "prev_hash_mismatch")
         .otherwise(F.col("_auth"))
     )

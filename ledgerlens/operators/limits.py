@@ -112,6 +112,23 @@ def token_bucket(
     return done if state else done.drop("tokens", "updated_ms")
 
 
+def rate_limit(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: dict[str, Column], everyone: tuple[int, int] = C.GLOBAL_POLICY, ts_ms: str = "ts_ms"
+) -> DataFrame:
+    """Add ``allowed, scope, retry_after_ms``: the bucket that all requests share, then that of the request's key.
+
+    ``everyone`` is the shared bucket's size and its tokens a second. A request that it refuses (scope ``global``) costs its key nothing; one that
+    its key refuses (``identity``) has spent a shared token.
+    """
+    shared = {n: F.lit(v).cast("bigint") for n, v in (("burst", everyone[0]), ("refill", everyone[1]), ("per_ms", 1000))}
+    first = token_bucket(df, [], order, shared, ts_ms).withColumnsRenamed({"allowed": "_passed", "retry_after_ms": "_wait"})
+    first = cut_lineage(first, "shared")
+    second = token_bucket(first.where("_passed"), keys, order, policy, ts_ms)
+    refused = first.where("not _passed").withColumns({"allowed": F.lit(False), "retry_after_ms": F.col("_wait")})
+    scope = F.when(~F.col("_passed"), "global").when(~F.col("allowed"), "identity")
+    return second.unionByName(refused).withColumn("scope", scope).drop("_passed", "_wait")
+
+
 def attempts_in_window(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], window_ms: int, ts_ms: str = "ts_ms"
 ) -> DataFrame:

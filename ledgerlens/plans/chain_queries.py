@@ -77,16 +77,18 @@ def tampered(spark, chained):
     return rows.withColumn("hash", F.when(F.col("mac") == F.col("hash_"), F.col("hash_")).otherwise(F.col("mac"))).drop("hash_")
 
 
-@query(
-    "verify_chain",
-    f"""{chain_sql()}, t AS ({_TAMPERED.replace("[chained]", "c")}),
-p AS (SELECT *, lag(seq) OVER w AS pseq, lag(mac) OVER w AS pmac, row_number() OVER w AS pos, {_mac("t", "t.prev_hash")} AS want
+_STEPS_SQL = f"""p AS (SELECT *, lag(seq) OVER w AS pseq, lag(mac) OVER w AS pmac, row_number() OVER w AS pos, {_mac("t", "t.prev_hash")} AS want
   FROM t WINDOW w AS (PARTITION BY chain_id ORDER BY place)),
 s AS (SELECT *, CASE WHEN pos = 1 AND seq > 1 THEN 'seq_gap' WHEN pos = 1 AND prev_hash <> {_GENESIS} THEN 'prev_hash_mismatch'
   WHEN seq = pseq THEN 'seq_duplicate' WHEN seq < pseq THEN 'seq_regression' WHEN seq > pseq + 1 THEN 'seq_gap'
   WHEN prev_hash <> pmac THEN 'prev_hash_mismatch' WHEN length(mac) <> 64 THEN 'malformed' WHEN mac <> want THEN 'mac_mismatch' END AS why FROM p),
 g AS (SELECT chain_id, arg_min(why, pos) FILTER (why IS NOT NULL) AS why, min(pos) FILTER (why IS NOT NULL) AS at_,
-  arg_min(seq, pos) FILTER (why IS NOT NULL) AS bseq, count(*) AS n, max(seq) AS top, arg_max(mac, pos) AS top_mac FROM s GROUP BY 1),
+  arg_min(seq, pos) FILTER (why IS NOT NULL) AS bseq, count(*) AS n, max(seq) AS top, arg_max(mac, pos) AS top_mac FROM s GROUP BY 1)"""
+
+
+@query(
+    "verify_chain",
+    f"""{chain_sql()}, t AS ({_TAMPERED.replace("[chained]", "c")}), {_STEPS_SQL},
 a AS (SELECT chain_id, max(seq) AS aseq, arg_max(mac, seq) AS amac FROM c GROUP BY 1)
 SELECT chain_id, coalesce(why, CASE WHEN aseq > top THEN 'seq_regression' WHEN aseq < top OR amac <> top_mac THEN 'head_mismatch' END) AS reason,
   at_ - 1 AS broken_at, bseq AS broken_seq, coalesce(at_, n) AS events FROM g JOIN a USING (chain_id)""",
@@ -104,14 +106,12 @@ def verify_chain(spark, sf_dir):
 
 @query(
     "verify_chain_by_join",
-    f"""{chain_sql()}, t AS (SELECT * FROM c WHERE NOT ({_FAULT} = 15 AND seq = 6)),
-b AS (SELECT chain_id, min(seq) AS broken_seq FROM t WHERE {_FAULT} = 15 AND seq > 6 GROUP BY 1)
-SELECT DISTINCT t.chain_id, b.broken_seq IS NULL AS intact, CASE WHEN b.broken_seq IS NOT NULL THEN 'seq_gap' END AS reason,
-  b.broken_seq FROM t LEFT JOIN b ON b.chain_id = t.chain_id""",
+    f"""{chain_sql()}, t AS ({_TAMPERED.replace("[chained]", "c")}), {_STEPS_SQL}
+SELECT chain_id, why IS NULL AS intact, why AS reason, bseq AS broken_seq FROM g""",
 )
 def verify_chain_by_join(spark, sf_dir):
-    rows = stored(spark, sf_dir).where(f"NOT ({_FAULT} = 15 AND seq = 6)")
-    return chain.verify_by_join(rows, KEY, RECORD)
+    """The same damaged log as ``verify_chain``, in sequence order."""
+    return chain.verify_by_join(tampered(spark, stored(spark, sf_dir)), KEY, RECORD)
 
 
 @query(

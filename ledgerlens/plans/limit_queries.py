@@ -31,13 +31,13 @@ def token_bucket(spark, sf_dir):
     return limits.token_bucket(log, ["db_alias"], ["ts_ms", "seq_id"], policy).drop("ts_ms")
 
 
-def _bucket_sql(source: str, key: str, order: str, burst: str, refill: str, per_ms: str) -> str:
+def _bucket_sql(source: str, key: str, order: str, burst: str, refill: str, per_ms: str, to: str = "") -> str:
     """The serial recurrence over the rows of ``source``, row by row."""
     full = f"({burst}) * {per_ms}"
-    return f"""n AS (SELECT *, {full} AS full_, {refill} AS refill_, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn, CONCAT_WS('/', {key}) AS key_ FROM {source}),
-b AS (SELECT key_, rn, seq_id, ts_ms, CAST(full_ - {per_ms} AS BIGINT) AS tokens, true AS allowed FROM n WHERE rn = 1
+    return f"""{to}n AS (SELECT *, {full} AS full_, {refill} AS refill_, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn, CONCAT_WS('/', {key}) AS key_ FROM {source}),
+{to}b AS (SELECT key_, rn, seq_id, ts_ms, CAST(full_ - {per_ms} AS BIGINT) AS tokens, true AS allowed FROM {to}n WHERE rn = 1
   UNION ALL SELECT n.key_, n.rn, n.seq_id, n.ts_ms, CAST(CASE WHEN f.now_ >= {per_ms} THEN f.now_ - {per_ms} ELSE f.now_ END AS BIGINT) AS tokens, f.now_ >= {per_ms} AS allowed
-  FROM b JOIN n ON n.key_ = b.key_ AND n.rn = b.rn + 1, LATERAL (SELECT least(n.full_, b.tokens + (n.ts_ms - b.ts_ms) * n.refill_) AS now_) f)"""
+  FROM {to}b b JOIN {to}n n ON n.key_ = b.key_ AND n.rn = b.rn + 1, LATERAL (SELECT least(n.full_, b.tokens + (n.ts_ms - b.ts_ms) * n.refill_) AS now_) f)"""
 
 
 #: milliseconds into which a day of the log is pressed, so that the default budgets are exceeded
@@ -60,6 +60,24 @@ def rate_policies(spark, sf_dir):
     return done.select("seq_id", "allowed")
 
 
+_RATES = [
+    "CASE action " + " ".join(f"WHEN '{a}' THEN {p[i]}" for a, p in C.RATE_POLICIES.items()) + f" ELSE {C.RATE_POLICIES['other'][i]} END" for i in (0, 1)
+]
+
+
+@query(
+    "rate_limit",
+    f"""{with_views('rush', recursive=True)}, o AS (SELECT *, 'all' AS everyone FROM rush),
+{_bucket_sql('o', 'everyone', 'ts_ms, seq_id', str(C.GLOBAL_POLICY[0]), str(C.GLOBAL_POLICY[1]), '1000', 'g')},
+p AS (SELECT rush.* FROM rush JOIN gb USING (seq_id) WHERE allowed), {_bucket_sql('p', 'agent_id, action', 'ts_ms, seq_id', *_RATES, '1000', 'k')}
+SELECT seq_id, gb.allowed AND kb.allowed AS allowed, CASE WHEN NOT gb.allowed THEN 'global' WHEN NOT kb.allowed THEN 'identity' END AS scope FROM gb LEFT JOIN kb USING (seq_id)""",
+)
+def rate_limit(spark, sf_dir):
+    """The bucket that all requests share and then those of each agent and action, in a rush that exceeds both."""
+    done = limits.rate_limit(view(spark, sf_dir, "rush"), ["agent_id", "action"], ["ts_ms", "seq_id"], limits.policy_columns("action"))
+    return done.select("seq_id", "allowed", "scope")
+
+
 @query(
     "token_bucket_one_key",
     f"""{with_views('request_log', recursive=True)}, o AS (SELECT seq_id, ts_ms, 'all' AS everyone FROM request_log),

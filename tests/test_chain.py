@@ -138,6 +138,25 @@ def test_join_form_agrees_in_sequence_order(built):
             assert sorted(map(tuple, windows.collect())) == sorted(map(tuple, joined.collect()))
 
 
+def test_join_form_knows_repeated_numbers_and_malformed_records(built):
+    """One row a chain, however often a number repeats."""
+    again = built.where("seq = 6")
+    broken = F.when(F.col("seq") == 4, "none")
+    for damaged in (
+        built.unionByName(again), built.unionByName(again).unionByName(again).unionByName(again),
+        built.withColumn("mac", F.coalesce(broken, "mac")), built.withColumn("prev_hash", F.coalesce(broken, "prev_hash")),
+        built.withColumn("malformed", F.col("seq") == 8), built.unionByName(again.withColumn("malformed", F.lit(True)), allowMissingColumns=True),
+    ):
+        windows = chain.verify_chain(damaged.fillna(False, ["malformed"]) if "malformed" in damaged.columns else damaged, KEY, RECORD)
+        joined = chain.verify_by_join(damaged.fillna(False, ["malformed"]) if "malformed" in damaged.columns else damaged, KEY, RECORD)
+        got = sorted(map(tuple, joined.collect()))
+        assert len(got) == len({r[0] for r in got}) and not any(r[1] for r in got)
+        if damaged.count() == built.count():
+            assert got == sorted(map(tuple, windows.select("chain_id", "intact", "reason", "broken_seq").collect()))
+        else:
+            assert {(r[2], r[3]) for r in got} <= {("seq_duplicate", 6), ("malformed", 6)}
+
+
 def anchors(spark, **values):
     base = {"log": "log0", "anchor_chain_id": "log0", "anchor_seq": None, "anchor_hash": None, "retained_from_seq": None, "conflict": False, "expected_prev_hash": None}
     schema = "log string, anchor_chain_id string, anchor_seq long, anchor_hash string, retained_from_seq long, conflict boolean, expected_prev_hash string"

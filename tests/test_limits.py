@@ -113,6 +113,27 @@ def test_bucket_maps_stay_small():
             assert len(change[4]) < 25
 
 
+def test_rate_limit_has_two_layers(spark):
+    """What the shared bucket refuses costs the key nothing; what the key refuses has cost a shared token."""
+    rows = with_null_key(traffic(11, n=2500, span=20_000))
+    everyone, (burst, refill, per_ms) = (30, 80), (6, 9, 1000)
+    done = limits.rate_limit(frame(spark, rows), ["key"], ["ts_ms", "id"], policy_of(burst, refill, per_ms), everyone)
+    got = {r.id: (r.allowed, r.scope, r.retry_after_ms) for r in done.collect()}
+    shared, last, own, want = everyone[0] * 1000, None, {}, {}
+    for ts, i, key in sorted((ts, i, key) for i, key, ts in rows):
+        shared, ok, wait = limits.spend(shared, 0 if last is None else ts - last, *everyone, 1000)
+        last = ts
+        if ok:
+            tokens, since = own.get(key, (burst * per_ms, ts))
+            tokens, ok, wait = limits.spend(tokens, ts - since, burst, refill, per_ms)
+            own[key] = tokens, ts
+            want[i] = (ok, None if ok else "identity", wait)
+        else:
+            want[i] = (False, "global", wait)
+    assert got == want
+    assert {s for _, s, _ in want.values()} == {None, "global", "identity"}
+
+
 def rule_by_blocks(rule, rows, cuts):
     """The outputs when every block starts from the state that the summaries of those before give."""
     outputs, state = [], None
