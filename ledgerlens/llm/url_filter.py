@@ -7,11 +7,11 @@ border carries the stack of rules active from there on. Sorting borders and urls
 carrying the last stack forward gives every url its active rules; of those whose path fits, the
 longest wins.
 
-The urls are cut into key ranges, and every range starts with the stack that is active at its first
-key, so ranges are swept independently. A salt behind the key lets a range end inside a run of
+Borders and urls are cut into ranges of the sorted keys together. Ranges are swept independently; one row a range, its last border,
+is carried on to the ranges behind it. A salt behind the key lets a range end inside a run of
 equal keys: one host may hold any share of the rows.
 
-A null url, or one without ``://``, has an empty host and path and fits no rule. Repeated rows are judged
+Of several rules of one length that fit, the one whose text is greater wins, and of one rule with two verdicts ``block``. A null url, or one without ``://``, has an empty host and path and fits no rule. Repeated rows are judged
 one by one. ``DEFAULT`` is the verdict where no rule fits.
 """
 
@@ -74,30 +74,19 @@ def borders(rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """``pages`` (page_id, url, any more columns) as page_id, host, path, rule, verdict."""
     spark = pages.sparkSession
-    edges = saved(borders(rules), "borders")
     ranges = max(RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keyed = with_parts(pages.select("page_id", "url")).drop("url").withColumn("key", host_key(F.col("host")))
-    cut = saved(
-        keyed.withColumn("salt", F.xxhash64("page_id", "path")).repartitionByRange(ranges, "key", "salt")
-        .withColumn("range", F.spark_partition_id()).drop("salt"),
-        "ranges",
-    )
-    # where each range starts; the borders inside it; and the last border before it
-    begins = cut.groupBy("range").agg(F.min("key").alias("from"), F.max("key").alias("to"))
-    inside = begins.join(edges, (F.col("key") > F.col("from")) & (F.col("key") <= F.col("to"))).select("range", "key", "stack")
-    before = (
-        begins.join(edges, F.col("key") <= F.col("from"), "left").groupBy("range", "from")
-        .agg(F.max_by("stack", "key").alias("stack")).select("range", F.col("from").alias("key"), "stack")
-    )
-    empty = F.array().cast("array<struct<length:int,rule:string,path:string,verdict:string>>")
-    marks = inside.union(before).select(
-        "range", "key", F.lit(0).alias("kind"), F.coalesce("stack", empty).alias("stack"),
-        F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"),
-    )
-    rows = cut.select("range", "key", F.lit(1).alias("kind"), F.lit(None).cast(marks.schema["stack"].dataType).alias("stack"), "page_id", "host", "path")
+    edges = borders(rules).select("key", "stack", F.lit(0).alias("kind"))
+    # a border comes before the urls of its key
+    every = keyed.withColumn("kind", F.lit(1)).unionByName(edges, allowMissingColumns=True).withColumn("salt", F.xxhash64("page_id", "path"))
+    cut = saved(every.repartitionByRange(ranges, "key", "kind", "salt").withColumn("range", F.spark_partition_id()).drop("salt"), "ranges")
+    # one row a range: the stack of the last border before it
+    last = F.max_by("stack", F.when(F.col("kind") == 0, F.col("key"))).alias("stack")
+    earlier = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy("range").agg(last).select("range", F.last("stack", ignorenulls=True).over(earlier).alias("carried"))
     along = Window.partitionBy("range").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = rows.unionByName(marks).withColumn("active", F.last("stack", ignorenulls=True).over(along)).where("kind = 1")
-    best = F.expr("array_max(filter(active, r -> startswith(path, r.path)))")
+    swept = cut.withColumn("own", F.last("stack", ignorenulls=True).over(along)).where("kind = 1").join(carried, "range")
+    best = F.expr("array_max(filter(coalesce(own, carried), r -> startswith(path, r.path)))")
     return swept.withColumn("best", best).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
     )

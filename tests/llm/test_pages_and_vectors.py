@@ -1,5 +1,7 @@
 """Operators on pages and vectors: hand-made cases, odd rows, empty tables, brute force."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -159,3 +161,22 @@ def test_inline_parts_do_not_break_a_line():
     assert kept("<article><p>a <span hidden>x <b>y</b></p><p>b</p></article>") == ["a", "b"]
     assert kept("<p>a<span hidden>x") == ["a"]
     assert kept("<article><p>Press <button>OK</button> now</p></article>") == ["Press OK now"]
+
+
+def test_url_rules_meet_without_a_nested_loop(spark, capsys):
+    """Many rules, ranges without a border of their own, one host with a third of all urls, ties and two verdicts of one rule."""
+    rng = random.Random(5)
+    names = [".".join(rng.choice("abcde") for _ in range(rng.randrange(1, 5))) for _ in range(120)]
+    rules = [(h, rng.choice(["/", "/x", "/x/y"]), rng.choice(["allow", "block"])) for h in names] + [("a.b", "/z", "allow"), ("a.b", "/z", "block")]
+    urls = [f"http://{rng.choice(names + ['hot.host'] * 60)}{rng.choice(['', '/', '/x', '/x/yz', '/z'])}" for _ in range(3000)] + ["http://a.b/z", None, "no"]
+    judged = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4), spark.createDataFrame(rules, "host string, path string, verdict string"))
+    got = {r.page_id: (r.rule, r.verdict) for r in judged.collect()}
+    for i, url in enumerate(urls):
+        rest = url.split("://")[1] if url and "://" in url else ""
+        host, _, path = rest.partition("/")
+        path = "/" + path if "/" in rest else ""
+        fits = [(len(h + p), h + p, p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=None)
+        assert got[i] == ((best[1], best[3]) if best else (None, "allow")), url
+    judged.explain("simple")
+    assert "NestedLoop" not in capsys.readouterr().out
