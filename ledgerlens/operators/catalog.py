@@ -170,7 +170,9 @@ def partition_children(inherits: DataFrame, classes: DataFrame, part_rows: int =
     child = classes.select(F.col("oid").alias("child_oid"), F.col("name").alias("child_table"), "bound")
     pairs = inherits.join(parent, "parent_oid").join(child, "child_oid").where(~F.col("parent_schema").like("pg_%"))
     pairs = pairs.withColumn("bound", F.coalesce("bound", F.lit("")))
-    return _arrays(pairs, ["parent_schema", "parent_table"], ["child_table", "bound"], "partitions", part_rows)
+    keys = ["parent_schema", "parent_table"]
+    large = cut_lineage(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows).select(*keys), "large")
+    return _listed(pairs, keys, ["child_table", "bound"], "partitions", part_rows, None if large.isEmpty() else large)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:

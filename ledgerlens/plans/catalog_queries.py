@@ -85,6 +85,33 @@ def assemble_snapshot(spark, sf_dir):
     )
 
 
+_CHECKS = """SELECT table_schema, table_name, concat('ck_', column_name) AS constraint_name, concat(column_name, ' > ', CAST(ordinal AS VARCHAR(4))) AS check_clause
+FROM [relation_columns] WHERE data_type = 'int8'"""
+_TRIGGERS = """SELECT table_schema, table_name, concat('tr', CAST(ordinal AS VARCHAR(4))) AS trigger_name, CASE WHEN ordinal % 2 = 0 THEN 'INSERT' ELSE 'UPDATE' END AS event,
+  'BEFORE' AS timing, concat('EXECUTE FUNCTION f_', column_name, '()') AS action_statement FROM [relation_columns] WHERE is_nullable = 'NO'"""
+define_view("relation_checks", _CHECKS, ("relation_columns",))
+define_view("relation_triggers", _TRIGGERS, ("relation_columns",))
+
+
+@query(
+    "snapshot_checks_and_triggers",
+    f"""{with_views('relation_checks', 'relation_triggers')},
+c AS (SELECT table_schema, table_name, string_agg(constraint_name || '=' || check_clause, ';' ORDER BY constraint_name, check_clause) AS checks FROM relation_checks GROUP BY ALL),
+t AS (SELECT table_schema, table_name, string_agg(trigger_name || ' ' || timing || ' ' || event || ' ' || action_statement, ';' ORDER BY trigger_name, event, timing, action_statement) AS triggers
+  FROM relation_triggers GROUP BY ALL)
+SELECT r.table_schema, r.table_name, coalesce(checks, '') AS checks, coalesce(triggers, '') AS triggers
+FROM relations r LEFT JOIN c USING (table_schema, table_name) LEFT JOIN t USING (table_schema, table_name) WHERE {_USER_SQL}""",
+)
+def snapshot_checks_and_triggers(spark, sf_dir):
+    relations = filters.user_objects(view(spark, sf_dir, "relations")).select("table_schema", "table_name")
+    snapshot = catalog.assemble_snapshot(
+        relations, view(spark, sf_dir, "relation_columns"), checks=view(spark, sf_dir, "relation_checks"), triggers=view(spark, sf_dir, "relation_triggers")
+    )
+    checks = F.transform("checks", lambda c: F.concat(c["constraint_name"], F.lit("="), c["check_clause"]))
+    triggers = F.transform("triggers", lambda t: F.concat_ws(" ", t["trigger_name"], t["timing"], t["event"], t["action_statement"]))
+    return snapshot.select("table_schema", "table_name", F.array_join(checks, ";").alias("checks"), F.array_join(triggers, ";").alias("triggers"))
+
+
 _CONSTRAINTS = """SELECT table_schema, table_name, concat('k', CAST(o_orderkey AS VARCHAR(20))) AS constraint_name,
   CASE o_custkey % 3 WHEN 0 THEN 'PRIMARY KEY' WHEN 1 THEN 'UNIQUE' ELSE 'FOREIGN KEY' END AS constraint_type, o_orderkey, o_custkey FROM [relations]"""
 _USAGE = """SELECT table_schema, table_name, concat('k', CAST(o_orderkey AS VARCHAR(20))) AS constraint_name, column_name,

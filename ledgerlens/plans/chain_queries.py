@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import aggregates, chain
-from ledgerlens.plans.fixtures import view, with_views
+from ledgerlens.plans.fixtures import define_view, view, with_views
 from ledgerlens.plans.registry import query
 from ledgerlens.plans.text_queries import KEY, hmac_sql
 from ledgerlens.session import cut_lineage, scratch_dir
@@ -270,3 +270,21 @@ def changed_segments(spark, sf_dir):
     again = segments.changed_segments(current, earlier).select(F.lit("read again").alias("what"), "path")
     kept = segments.prune_manifest(earlier, current).select(F.lit("kept").alias("what"), "path")
     return again.unionByName(kept)
+
+
+#: stored lines as another writer might lay them out: keys in any order, blanks, nested fields that are named like the MAC
+_STORED_LINES = """SELECT seq_id, concat('p', CAST(k AS VARCHAR(4))) AS prev_hash, concat('{"user": "u', CAST(user_id AS VARCHAR(20)), '", "seq":', CAST(seq_id AS VARCHAR(20)),
+  ',"mac":"old","x":{"mac":"', action, '","b":[1, ', CAST(k AS VARCHAR(4)), ',null,"\u00e9"],"a":{"z":', CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, ',"hash":"', outcome,
+  '"}}, "hash":"old","action":"', action, '","prev_hash":"p', CAST(k AS VARCHAR(4)), '"}') AS raw, user_id, k, action, outcome FROM [request_log]"""
+define_view("stored_lines", _STORED_LINES, ("request_log",))
+_STORED_CANONICAL = """'{"action":"' || action || '","prev_hash":"' || prev_hash || '","seq":' || seq_id || ',"user":"u' || user_id || '","x":{"a":{"hash":"' || outcome ||
+  '","z":' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END || '},"b":[1,' || k || ',null,"é"],"mac":"' || action || '"}}' || prev_hash"""
+
+
+@query(
+    "stored_line_macs",
+    f"""{with_views("stored_lines")} SELECT seq_id, {hmac_sql(f"({_STORED_CANONICAL})")} AS mac FROM stored_lines""",
+)
+def stored_line_macs(spark, sf_dir):
+    """The MAC that each stored line should carry, from the line itself."""
+    return view(spark, sf_dir, "stored_lines").select("seq_id", chain.line_mac("raw", KEY).alias("mac"))
