@@ -97,7 +97,8 @@ _QUOTED_RULES = [
 
 def _rewrite(x: str, pattern: str, probe: str, each: str) -> str:
     """Apply ``each`` (an expression over ``p``) to every match; rows without ``probe`` skip it."""
-    pieces = f"regexp_extract_all({x}, {lit(rf'{pattern}|[^/A-Za-z]++|[\s\S]')}, 0)"
+    # what lies between two matches is one piece, however long
+    pieces = f"regexp_extract_all({x}, {lit(rf'{pattern}|(?:(?!{pattern})[\s\S])++')}, 0)"
     joined = f"array_join(transform({pieces}, p -> CASE WHEN p RLIKE {lit(rf'^(?:{pattern})$')} THEN {each} ELSE p END), '')"
     return f"CASE WHEN {x} RLIKE {lit(probe)} THEN {joined} ELSE {x} END"
 
