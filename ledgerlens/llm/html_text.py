@@ -14,7 +14,8 @@ the comparison, whether or not the page has an article.
 Only line hashes are shuffled to find neighbours: pages are cut into ranges of (host, path), so one
 host may hold any share of them. The texts themselves move once, compressed.
 
-A null or empty html gives an empty text. Rows that repeat are treated alike. Null urls form a host of their own.
+A null or empty html gives an empty text, an empty table an empty result. Pages of any length are read whole. Rows that repeat are treated alike. Null urls form a host of
+their own. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ start. So what a document gives is arithmetic on its place on the line, and no b
 The line is laid in two steps (pieces of a source, then documents of a piece), so a source that
 holds a third of all rows is no group in one task.
 
-A null text has no words. Null is a source of its own, the last one. Repeated rows are documents of their own. An
+A null text has no words; words of texts of any length are all counted. Null is a source of its own, the last one. Repeated rows are documents of their own. An
 empty table, or one without words, gives zeros.
 """
 

@@ -16,7 +16,8 @@ first. This finds every remaining link of a bucket without forming its pairs.
 Equal sets are folded into one class first, so copies never meet in a bucket.
 
 Rows without a doc_id are linked with nothing. Rows that repeat a doc_id count as one document.
-A null or empty text has an empty set and is linked with nothing.
+A null or empty text has an empty set and is linked with nothing. Texts of any length are taken whole, as one set; an empty table gives an
+empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations

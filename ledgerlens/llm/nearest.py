@@ -13,7 +13,8 @@ are dealt over several tasks, so no group is unbounded.
 
 Null vectors, zero vectors, and those that hold null or non-finite components take no part, nor do rows
 without vec_id. Vectors meet those of the same length only. Rows that repeat a vec_id and vector count once; a query never
-finds its own vec_id. Ties go to the smaller vec_id.
+finds its own vec_id. Ties go to the smaller vec_id. Without vectors or queries the result is empty; with fewer than k
+candidates all are returned. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ capacity that still holds it, found in a balanced search tree (a treap). The cap
 smallest, by bisection, that needs no more than the given number of bins. Rows never leave the
 executors.
 
-A null text counts as an empty one. Repeated rows are rows of one group. Null doc_ids are numbered
+A null text counts as an empty one; texts of any length are hashed whole. Repeated rows are rows of one group. Null doc_ids are numbered
 like any other. An empty table gives an empty result.
 """
 

@@ -13,7 +13,8 @@ Documents with the same word sequence are decided by their digest alone: only th
 smallest doc_id takes part.
 
 Rows without a doc_id lose nothing and count as a source for nobody. Rows that repeat a doc_id are
-judged each on its own text, as sources they count as that doc_id. A null text has no words.
+judged each on its own text, as sources they count as that doc_id. A null text has no words. Texts of any length
+are read whole, one at a time; an empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ is carried on to the ranges behind it. A salt behind the key lets a range end in
 equal keys: one host may hold any share of the rows.
 
 Of several rules of one length that fit, the one whose text is greater wins, and of one rule with two verdicts ``block``. A null url, or one without ``://``, has an empty host and path and fits no rule. Repeated rows are judged
-one by one. ``DEFAULT`` is the verdict where no rule fits.
+one by one. ``DEFAULT`` is the verdict where no rule fits. An empty table gives an empty result, no rules fit nothing.
 """
 
 from __future__ import annotations
