@@ -117,7 +117,9 @@ def follow_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT
     folder are passed over.
     """
     prepare(spark).dataSource.register(GrowingLines)
-    lines = spark.readStream.format("growing_lines").option("path", path).option("pattern", SEGMENT_PATTERN).option("from", begin).option("rangeBytes", range_bytes).load()
+    tasks = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = spark.readStream.format("growing_lines").option("path", path).option("pattern", SEGMENT_PATTERN).option("from", begin)
+    lines = lines.option("rangeBytes", range_bytes).option("tasks", tasks).load()
     return _events(lines.select("raw", file_order(F.col("path")).alias("file_ord"), "at"), schema)
 
 

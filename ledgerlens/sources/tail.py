@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.fs
@@ -23,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 #: bytes of a range, and of one look backwards for the end of a line
 RANGE_BYTES, LOOK_BYTES = 32 * 1024 * 1024, 64 * 1024
+#: tasks that short ranges are dealt to
+TASKS = 200
 LINES = pa.schema([("path", pa.string()), ("at", pa.int64()), ("raw", pa.string())])
 
 
@@ -40,6 +43,13 @@ class ByteRange(InputPartition):
     whole: bool
 
 
+@dataclass
+class ByteRanges(InputPartition):
+    """The ranges of one task."""
+
+    ranges: list[ByteRange]
+
+
 def _first_line(file, size: int) -> bytes | None:
     held, at = b"", 0
     while at < size:
@@ -86,6 +96,7 @@ class GrowingLinesReader(DataSourceStreamReader):
         self.folder, self.pattern = options["path"], re.compile(options.get("pattern", ".*"))
         self.begin_at_end = options.get("from", "start") == "end"
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
+        self.tasks = int(options.get("tasks", TASKS))
         self.known: dict = {}
 
     def initialOffset(self) -> dict:
@@ -111,34 +122,43 @@ class GrowingLinesReader(DataSourceStreamReader):
                 files[info.path] = self.known[info.path][1]
         return files
 
-    def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+    def partitions(self, start: dict, end: dict) -> list[ByteRanges]:
+        """Ranges that follow each other, packed into tasks: as many ranges to a task as ``tasks`` tasks need, but no more bytes than
+        one range of ``RANGE_BYTES`` has, so that short ranges make neither a task each nor tasks that grow with the log."""
         ranges = []
         for path, first, stop in added(start["files"], end["files"]):
             for at in range(first, stop, self.range_bytes):
                 ranges.append(ByteRange(path, at, min(stop, at + self.range_bytes), at == first))
-        return ranges
+        most = max(1, min(-(-len(ranges) // self.tasks), RANGE_BYTES // self.range_bytes))
+        return [ByteRanges(ranges[n : n + most]) for n in range(0, len(ranges), most)]
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
         store, _ = open_folder(self.folder)
-        with store.open_input_file(partition.path) as file:
-            at, stop, size = partition.first, partition.stop, file.size()
-            held = b"" if partition.whole else file.read_at(1, at - 1)
-            skip = not partition.whole and held != b"\n"
-            data = file.read_at(stop - at, at)
-            # the last line of a range may end in the next one
-            while data and not data.endswith(b"\n") and at + len(data) < size:
-                more = file.read_at(min(LOOK_BYTES, size - at - len(data)), at + len(data))
-                end = more.find(b"\n")
-                data += more if end < 0 else more[: end + 1]
-                if end >= 0:
-                    break
+        for path, ranges in groupby(partition.ranges, key=lambda r: r.path):
+            with store.open_input_file(path) as file:
+                for own in ranges:
+                    yield self._lines(file, own)
+
+    @staticmethod
+    def _lines(file, partition: ByteRange) -> pa.RecordBatch:
+        at, stop, size = partition.first, partition.stop, file.size()
+        held = b"" if partition.whole else file.read_at(1, at - 1)
+        skip = not partition.whole and held != b"\n"
+        data = file.read_at(stop - at, at)
+        # the last line of a range may end in the next one
+        while data and not data.endswith(b"\n") and at + len(data) < size:
+            more = file.read_at(min(LOOK_BYTES, size - at - len(data)), at + len(data))
+            end = more.find(b"\n")
+            data += more if end < 0 else more[: end + 1]
+            if end >= 0:
+                break
         places, lines = [], []
         for line in data.split(b"\n")[:-1]:
             if not skip and at < stop:
                 places.append(at)
                 lines.append(line.decode("utf-8", "replace"))
             skip, at = False, at + len(line) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(lines), pa.string()), pa.array(places, pa.int64()), pa.array(lines, pa.string())], schema=LINES)
+        return pa.RecordBatch.from_arrays([pa.array([partition.path] * len(lines), pa.string()), pa.array(places, pa.int64()), pa.array(lines, pa.string())], schema=LINES)
 
     def commit(self, end: dict) -> None:
         pass
@@ -148,7 +168,7 @@ class GrowingLines(DataSource):
     """Format ``growing_lines``: ``path, at`` (byte offset) and ``raw`` of every complete line of the files of a folder.
 
     Options: ``path``; ``pattern`` that a file's path must contain; ``from`` (``start``, or ``end`` to pass over what is there already);
-    ``rangeBytes``.
+    ``rangeBytes``; ``tasks`` that short ranges are packed into.
     """
 
     @classmethod

@@ -369,6 +369,18 @@ def test_bytes_between_offsets():
     assert tail.added(now, now) == []
 
 
+def test_short_ranges_are_packed_into_few_tasks():
+    """The number of tasks does not grow with a log of short ranges, and a task has no more bytes than one long range."""
+    reader = tail.GrowingLinesReader({"path": "/nowhere", "rangebytes": "4096", "tasks": "24"})
+    for size in (10 * 4096, 24 * 4096 * 1000 + 5):
+        packed = reader.partitions({"files": {}}, {"files": {"a": [size, "A"], "b": [100, "B"]}})
+        ranges = [r for p in packed for r in p.ranges]
+        assert len(packed) <= 24 and sum(r.stop - r.first for r in ranges) == size + 100
+        assert [r.whole for r in ranges].count(True) == 2
+    large = reader.partitions({"files": {}}, {"files": {"a": [100 * tail.RANGE_BYTES, "A"]}})
+    assert len(large) == 100 and max(sum(r.stop - r.first for r in p.ranges) for p in large) == tail.RANGE_BYTES
+
+
 @pytest.mark.parametrize("range_bytes", [7, 1000])
 def test_a_growing_file_is_followed(spark, tmp_path, range_bytes):
     folder, root = tmp_path / "log", str(tmp_path / "stream")
