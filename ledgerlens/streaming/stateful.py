@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -71,8 +73,8 @@ class Memory(StatefulProcessor):
 
     Rows have ``id``, ``at_ms`` and ``row_id`` and are taken in the order of (at_ms, row_id). An id is remembered for ``horizon_ms`` from its
     first use, and is ``replayed`` until then. A full memory either forgets its oldest id or, with ``refuse``, takes no new
-    one (``cache_full``). The ids stand in a queue on disk, so a use costs the same however many are held. An idle connection's memory
-    is cleared by a timer.
+    one (``cache_full``). The ids, at most ``entries``, are one list of state, oldest first, that is read and written once a batch; a use
+    makes no call to the state store. An idle connection's memory is cleared by a timer.
     """
 
     OUTPUT = "row_id long, refusal string"
@@ -82,50 +84,45 @@ class Memory(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "id string", "at_ms long")
-        self.queue = handle.getMapState("queue", "n long", "id string, at_ms long")
-        self.span = handle.getValueState("span", "first long, next long")
+        self.held = handle.getListState("held", "id string, at_ms long")
 
-    def _forget(self, first: int) -> int:
-        self.seen.removeKey((self.queue.getValue((first,))[0],))
-        self.queue.removeKey((first,))
-        return first + 1
+    def _read(self) -> deque:
+        return deque(tuple(h) for h in self.held.get()) if self.held.exists() else deque()
 
-    def _expire(self, first: int, last: int, now: int) -> int:
-        while first < last and self.queue.getValue((first,))[1] + self.horizon_ms < now:
-            first = self._forget(first)
-        return first
+    def _write(self, queue: deque) -> None:
+        if queue:
+            self.held.put(list(queue))
+        else:
+            self.held.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first, last = self.span.get() if self.span.exists() else (0, 0)
-        out, at = [], None
-        for row in sorted(rows, key=lambda r: (r.at_ms, r.row_id)):
-            at = row.at_ms
-            first = self._expire(first, last, at)
+        queue = self._read()
+        seen = {id_ for id_, _ in queue}
+        at, out = None, []
+        for at, row_id, id_ in sorted(((at_ms, row_id, id_) for _, id_, at_ms, row_id in (row[:4] for row in rows)), key=itemgetter(0, 1)):
+            while queue and queue[0][1] + self.horizon_ms < at:
+                seen.remove(queue.popleft()[0])
             refusal = None
-            if self.seen.containsKey((row.id,)):
+            if id_ in seen:
                 refusal = "replayed"
-            elif last - first >= self.entries and self.refuse:
+            elif len(queue) >= self.entries and self.refuse:
                 refusal = "cache_full"
             else:
-                if last - first >= self.entries:
-                    first = self._forget(first)
-                self.seen.updateValue((row.id,), (at,))
-                self.queue.updateValue((last,), (row.id, at))
-                last += 1
-            out.append(Row(row_id=row.row_id, refusal=refusal))
-        self.span.update((first, last))
+                if len(queue) >= self.entries:
+                    seen.remove(queue.popleft()[0])
+                seen.add(id_)
+                queue.append((id_, at))
+            out.append((row_id, refusal))
+        self._write(queue)
         self.handle.registerTimer(at + self.horizon_ms + 1)
-        return iter(out)
+        return (Row(row_id=row_id, refusal=refusal) for row_id, refusal in out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.span.exists():
-            first, last = self.span.get()
-            first = self._expire(first, last, expiredTimerInfo.getExpiryTimeInMs())
-            if first == last:
-                self.span.clear()
-            else:
-                self.span.update((first, last))
+        queue = self._read()
+        if queue and queue[0][1] + self.horizon_ms < expiredTimerInfo.getExpiryTimeInMs():
+            while queue and queue[0][1] + self.horizon_ms < expiredTimerInfo.getExpiryTimeInMs():
+                queue.popleft()
+            self._write(queue)
         return iter(())
 
     def close(self) -> None:
