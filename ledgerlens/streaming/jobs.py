@@ -25,6 +25,9 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
+#: buckets of requests that share their state: enough for many tasks, few against the requests of a batch
+BUCKETS = 512
+
 
 def event_time(ts: str) -> Column:
     return F.col(ts).cast("timestamp")
@@ -123,8 +126,10 @@ def approval_decisions(requests: DataFrame, responses: DataFrame, window_ms: int
     said = responses.where(has_capability(F.col("role"), F.lit("approve_ddl"))).select(*key, "ts", F.lit(ANSWERED).alias("what"), "approved")
     # an answer with a null in its key answers nothing
     said = said.where(" and ".join(f"{k} is not null" for k in key) + " and ts is not null")
-    rows = asked.withWatermark("ts", late).union(said.withWatermark("ts", late)).withColumn("ts_ms", F.unix_millis("ts"))
-    return rows.groupBy(*key).transformWithState(Decisions(approval_window(window_ms)), Decisions.OUTPUT, "append", "EventTime")
+    rows = asked.withWatermark("ts", late).union(said.withWatermark("ts", late))
+    rows = rows.select(F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).alias("bucket"), *key, "what", F.unix_millis("ts").alias("ts_ms"), "approved", "ts")
+    kinds = {name: rows.schema[name].dataType.simpleString() for name in ("user_id", "nonce")}
+    return rows.groupBy("bucket").transformWithState(Decisions(approval_window(window_ms), **kinds), Decisions.OUTPUT, "append", "EventTime")
 
 
 def approvals_left(decided: DataFrame, requests: DataFrame, responses: DataFrame, window_ms: int = C.APPROVAL_MS) -> DataFrame:

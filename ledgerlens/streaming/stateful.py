@@ -13,56 +13,73 @@ ASKED, ANSWERED = "asked", "answered"
 
 
 class Decisions(StatefulProcessor):
-    """One decision for each request (the key): its first valid answer, or ``expired``.
+    """One decision for each request: its first valid answer, or ``expired``.
 
-    Rows have ``what`` (asked or answered), ``ts_ms`` and ``approved``. An answer counts from the request's time on, for ``window_ms``. It
-    decides once the watermark has passed it, as no earlier one can come then; a rejection goes before an approval of the same time. Answers that come
-    before their request are kept until the watermark passes them.
+    The key is a bucket of requests: its open requests and answers are one list of state that is read and written once a batch,
+    so a request costs no calls of its own to the state store. Rows have ``bucket, request_id, user_id, nonce``, ``what`` (asked or answered), ``ts_ms``
+    and ``approved``. An answer counts from the request's time on, for ``window_ms``. It decides once the watermark has passed it, as no earlier one can come then; a
+    rejection goes before an approval of the same time. Answers that come before their request are kept until the watermark
+    passes them.
     """
 
     OUTPUT = "request_id long, decision string, decided_ms long"
+    #: an open request (rejected null) or an answer
+    OPEN = "request_id long, user_id {user_id}, nonce {nonce}, ts_ms long, rejected boolean"
 
-    def __init__(self, window_ms: int):
-        self.window_ms = window_ms
+    def __init__(self, window_ms: int, user_id: str = "string", nonce: str = "string"):
+        self.window_ms, self.held = window_ms, self.OPEN.format(user_id=user_id, nonce=nonce)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.asked = handle.getValueState("asked", "ts_ms long")
-        self.answers = handle.getListState("answers", "ts_ms long, rejected boolean")
+        self.open = handle.getListState("open", self.held)
+
+    def _read(self) -> tuple[dict, dict]:
+        asked, answers = {}, {}
+        for *key, ts_ms, rejected in self.open.get() if self.open.exists() else ():
+            if rejected is None:
+                asked[tuple(key)] = ts_ms
+            else:
+                answers.setdefault(tuple(key), []).append((ts_ms, rejected))
+        return asked, answers
+
+    def _write(self, asked: dict, answers: dict) -> None:
+        """Keeps what is open, and one timer for the moment at which the next of it is due."""
+        rows = [(*key, ts_ms, None) for key, ts_ms in asked.items()] + [(*key, *a) for key, given in answers.items() for a in given]
+        if not rows:
+            self.open.clear()
+            return
+        self.open.put(rows)
+        due = [ts_ms + self.window_ms for ts_ms in asked.values()] + [ts_ms for given in answers.values() for ts_ms, _ in given]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(min(due) + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        asked = self.asked.get()[0] if self.asked.exists() else None
-        news = []
-        for row in rows:
-            if row.what == ASKED:
-                asked = row.ts_ms if asked is None else min(asked, row.ts_ms)
+        asked, answers = self._read()
+        for _, request_id, user_id, nonce, what, ts_ms, approved in (row[:7] for row in rows):
+            own = request_id, user_id, nonce
+            if what == ASKED:
+                asked[own] = min(ts_ms, asked.get(own, ts_ms))
             else:
-                news.append((row.ts_ms, not row.approved))
-                self.handle.registerTimer(row.ts_ms + 1)
-        if news:
-            self.answers.appendList(news)
-        if asked is not None:
-            self.asked.update((asked,))
-            self.handle.registerTimer(asked + self.window_ms + 1)
+                answers.setdefault(own, []).append((ts_ms, not approved))
+        self._write(asked, answers)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        answers = [tuple(a) for a in self.answers.get()] if self.answers.exists() else []
-        if self.asked.exists():
-            asked = self.asked.get()[0]
-            first = min((a for a in answers if asked <= a[0] <= asked + self.window_ms), default=None)
-            if (first and first[0] < now) or asked + self.window_ms < now:
-                self.asked.clear()
-                self.answers.clear()
+        # all that lies behind the watermark, as timers of their own would have told one by one
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        asked, answers = self._read()
+        done = []
+        for own, ts_ms in list(asked.items()):
+            first = min((a for a in answers.get(own, ()) if ts_ms <= a[0] <= ts_ms + self.window_ms), default=None)
+            if (first and first[0] < now) or ts_ms + self.window_ms < now:
+                del asked[own]
+                answers.pop(own, None)
                 decision = "expired" if first is None else "rejected" if first[1] else "approved"
-                yield Row(request_id=key[0], decision=decision, decided_ms=first and first[0])
-        elif answers:
-            later = [a for a in answers if a[0] >= now]
-            if later:
-                self.answers.put(later)
-            else:
-                self.answers.clear()
+                done.append(Row(request_id=own[0], decision=decision, decided_ms=first and first[0]))
+        left = {own: given if own in asked else [a for a in given if a[0] >= now] for own, given in answers.items()}
+        self._write(asked, {own: given for own, given in left.items() if given})
+        return iter(done)
 
     def close(self) -> None:
         pass

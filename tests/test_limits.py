@@ -474,6 +474,71 @@ def test_one_decision_a_request(spark, as_stream):
     assert len(whole) == 60 and {r.request_id: (r.decision, r.decided_ms) for r in whole} == batch
 
 
+class CountedState:
+    """A state store in memory that counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.lists, self.timers = 0, {}, set()
+
+    def getListState(self, name, schema):
+        handle = self
+
+        class List:
+            def exists(self):
+                handle.calls += 1
+                return bool(handle.lists.get(name))
+
+            def get(self):
+                handle.calls += 1
+                return iter(handle.lists[name])
+
+            def put(self, rows):
+                handle.calls += 1
+                handle.lists[name] = list(rows)
+
+            def clear(self):
+                handle.calls += 1
+                handle.lists.pop(name, None)
+
+        return List()
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+def test_a_row_makes_no_call_to_the_state_store():
+    for size in (10, 2000):
+        state = CountedState()
+        memory = jobs.Memory(60_000, 50, refuse=False)
+        memory.init(state)
+        rows = [("c", f"n{i % 70}", i * 10, i, None) for i in range(size)]
+        want = remembered_by_hand([(i, c, x, at) for c, x, at, i, _ in rows], 60_000, 50, False)
+        assert {r.row_id: r.refusal for r in memory.handleInputRows(("c",), iter(rows[::-1]), None)} == want
+        assert state.calls <= 5
+        state = CountedState()
+        decisions = jobs.Decisions(60_000)
+        decisions.init(state)
+        rows = [(0, i, "u", "n", what, i * 10, True, None) for i in range(size) for what in ("asked", "answered")]
+        assert list(decisions.handleInputRows((0,), iter(rows), None)) == []
+        assert state.calls <= 5 and len(state.timers) == 1 and len(state.lists["open"]) == 2 * size
+
+
+def test_blocks_of_one_key_are_summarised_apart(spark, capsys):
+    """Without keys the one task that carries the state must not make the summaries too."""
+    rule = {n: F.lit(v).cast("bigint") for n, v in (("burst", 4), ("refill", 1), ("per_ms", 2000))}
+    limits.token_bucket(frame(spark, traffic(7, n=50)), [], ["ts_ms", "id"], rule).explain()
+    assert "Coalesce 1" not in capsys.readouterr().out
+
+
 def test_rate_policies(spark):
     df = spark.createDataFrame([("query",), ("strange",)], "action string").withColumns(limits.policy_columns("action"))
     assert [(r.burst, r.refill) for r in df.collect()] == [C.RATE_POLICIES["query"], C.RATE_POLICIES["other"]]
