@@ -126,7 +126,8 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], inputs: Seque
     summaries = rows.repartition(*where).sortWithinPartitions(*where, *order).mapInArrow(_summaries(rule, where, inputs, summed), summed)
 
     state = T.StructType([*place, T.StructField("_start", T.StructType.fromDDL(rule.state))])
-    along = summaries.repartition(*keys) if keys else summaries.coalesce(1)
+    # a shuffle also without keys: without it the one task would summarise all blocks as well
+    along = summaries.repartition(*keys) if keys else summaries.repartition(1)
     starts = along.sortWithinPartitions(*where).mapInArrow(_starts(rule, keys, summed.names[len(place):], state), state)
 
     added = T.StructType.fromDDL(rule.outputs)
