@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import ordered
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import cut_lineage, spread
 
 RELATION = ("table_schema", "table_name")
 
@@ -119,29 +119,32 @@ def snapshot_size(relations: DataFrame) -> DataFrame:
     )
 
 
-def key_columns(constraints: DataFrame, usage: DataFrame) -> DataFrame:
-    """Members of every PRIMARY KEY and UNIQUE constraint in key order, as an array (``members``) and a comma list (``columns``)."""
+def key_columns(constraints: DataFrame, usage: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Members of every PRIMARY KEY and UNIQUE constraint in key order, as an array (``members``) and a comma list (``columns``).
+
+    ``tasks`` here and below: the partitions that large inputs are dealt to (``session.join_tasks``)."""
     wanted = constraints.where(F.col("constraint_type").isin("PRIMARY KEY", "UNIQUE"))
-    joined = wanted.join(usage.select("table_schema", "constraint_name", "column_name", "ordinal_position"), ["table_schema", "constraint_name"])
+    members_of = spread(usage.select("table_schema", "constraint_name", "column_name", "ordinal_position"), tasks, "table_schema", "constraint_name")
+    joined = spread(wanted, tasks, "table_schema", "constraint_name").join(members_of, ["table_schema", "constraint_name"])
     members = F.transform(F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name"))), lambda m: m["column_name"])
     return joined.groupBy("table_schema", "table_name", "constraint_name", "constraint_type").agg(
         members.alias("members"), F.array_join(members, ",").alias("columns")
     )
 
 
-def key_flags(columns: DataFrame, keys: DataFrame) -> DataFrame:
+def key_flags(columns: DataFrame, keys: DataFrame, tasks: int | None = None) -> DataFrame:
     """Mark columns that belong to a key; every member of a multi-column UNIQUE is marked."""
-    members = keys.select(
-        "table_schema", "table_name", "constraint_type", F.explode("members").alias("column_name")
-    ).groupBy("table_schema", "table_name", "column_name").agg(
+    column = ["table_schema", "table_name", "column_name"]
+    listed = keys.select("table_schema", "table_name", "constraint_type", F.explode("members").alias("column_name"))
+    members = spread(listed, tasks, *column).groupBy(*column).agg(
         F.bool_or(F.col("constraint_type") == "PRIMARY KEY").alias("is_primary_key"),
         F.bool_or(F.col("constraint_type") == "UNIQUE").alias("is_unique"),
     )
-    marked = columns.join(members, ["table_schema", "table_name", "column_name"], "left")
+    marked = spread(columns, tasks, *column).join(members, column, "left")
     return marked.fillna(False, ["is_primary_key", "is_unique"])
 
 
-def foreign_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame, targets: DataFrame) -> DataFrame:
+def foreign_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame, targets: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per foreign-key column and the column it refers to.
 
     Constraints are matched on schema *and* name, and columns of a composite key are paired by
@@ -153,10 +156,12 @@ def foreign_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame
         F.col("table_schema").alias("references_schema"), F.col("table_name").alias("references_table"),
         F.col("column_name").alias("references_column"), "ordinal_position",
     )
+    own, referred = ["table_schema", "constraint_name"], ["unique_constraint_schema", "unique_constraint_name", "ordinal_position"]
+    members = spread(usage.select(*own, "column_name", "ordinal_position"), tasks, *own)
+    pairs = spread(fk, tasks, *own).join(members, own).join(spread(references, tasks, *own), own)
     return (
-        fk.join(usage.select("table_schema", "constraint_name", "column_name", "ordinal_position"), ["table_schema", "constraint_name"])
-        .join(references, ["table_schema", "constraint_name"])
-        .join(target, ["unique_constraint_schema", "unique_constraint_name", "ordinal_position"])
+        spread(pairs, tasks, *referred)
+        .join(spread(target, tasks, *referred), referred)
         .select(
             "table_schema", "table_name", "constraint_name", "column_name", "references_schema", "references_table",
             "references_column", "on_delete", "on_update",

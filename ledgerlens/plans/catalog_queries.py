@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
 from ledgerlens.operators import catalog, errors, filters, validity
-from ledgerlens.plans.fixtures import define_view, view, with_views
+from ledgerlens.plans.fixtures import column_tasks, define_view, view, with_views
 from ledgerlens.plans.registry import query
 from ledgerlens.plans.text_queries import scrub_sql
 from ledgerlens.session import read_table
@@ -135,7 +135,7 @@ WHERE c.constraint_type IN ('PRIMARY KEY', 'UNIQUE') AND c.{_USER_SQL.split(' AN
 )
 def key_columns(spark, sf_dir):
     constraints = view(spark, sf_dir, "table_constraints").where("table_schema NOT LIKE 'pg_%'")
-    return catalog.key_columns(constraints, view(spark, sf_dir, "key_usage")).drop("members")
+    return catalog.key_columns(constraints, view(spark, sf_dir, "key_usage"), column_tasks(spark, sf_dir)).drop("members")
 
 
 @query(
@@ -147,9 +147,10 @@ SELECT r.table_schema, r.table_name, r.column_name, coalesce(pk, false) AS is_pr
 FROM relation_columns r LEFT JOIN m USING (table_schema, table_name, column_name)""",
 )
 def key_flags(spark, sf_dir):
-    keys = catalog.key_columns(view(spark, sf_dir, "table_constraints"), view(spark, sf_dir, "key_usage"))
+    tasks = column_tasks(spark, sf_dir)
+    keys = catalog.key_columns(view(spark, sf_dir, "table_constraints"), view(spark, sf_dir, "key_usage"), tasks)
     columns = view(spark, sf_dir, "relation_columns").select("table_schema", "table_name", "column_name")
-    return catalog.key_flags(columns, keys)
+    return catalog.key_flags(columns, keys, tasks)
 
 
 @query(
@@ -163,7 +164,8 @@ WHERE c.constraint_type = 'FOREIGN KEY'""",
 )
 def foreign_keys(spark, sf_dir):
     usage = view(spark, sf_dir, "key_usage")
-    return catalog.foreign_keys(view(spark, sf_dir, "table_constraints"), usage, view(spark, sf_dir, "referential"), usage)
+    tables = view(spark, sf_dir, "table_constraints")
+    return catalog.foreign_keys(tables, usage, view(spark, sf_dir, "referential"), usage, column_tasks(spark, sf_dir))
 
 
 _CLASSES = """SELECT o_orderkey AS oid, table_schema AS schema, table_name AS name, CASE WHEN o_custkey % 4 > 0 THEN concat('IN (', CAST(o_custkey AS VARCHAR(20)), ')') END AS bound FROM [relations]"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.session import read_table
+from ledgerlens.session import join_tasks, read_table, spread
 
 #: epoch milliseconds of a zone-less timestamp, per engine
 MILLIS = {
@@ -87,6 +87,18 @@ VIEWS = {
 }
 
 
+#: views that join or group large tables: their sources with the keys they are dealt by
+SPREAD = {
+    "relation_columns": {"lineitem": ("l_orderkey",), "relations": ("o_orderkey",)},
+    "key_usage": {"relation_columns": ("table_schema", "table_name")},
+}
+
+
+def column_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions for joins over all columns; their number is in the footers of the table."""
+    return join_tasks(spark, read_table(spark, sf_dir, "lineitem").count())
+
+
 def define_view(name: str, text: str, reads: tuple[str, ...]) -> None:
     VIEWS[name] = (text, reads)
 
@@ -97,6 +109,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return read_table(spark, sf_dir, name)
     text, reads = VIEWS[name]
     sources = {source: view(spark, sf_dir, source) for source in reads}
+    if name in SPREAD:
+        tasks = column_tasks(spark, sf_dir)
+        sources |= {source: spread(sources[source], tasks, *keys) for source, keys in SPREAD[name].items()}
     text = text.replace("[ms]", MILLIS["spark"])
     text = text.replace("{", "{{").replace("}", "}}")
     for source in reads:

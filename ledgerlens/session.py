@@ -77,3 +77,18 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: rows that one task of a large join sorts and groups
+TASK_ROWS = 500_000
+
+
+def join_tasks(spark: SparkSession, rows: int) -> int | None:
+    """Partitions for joins over ``rows`` rows, so that a task holds about ``TASK_ROWS`` of them however large the tables are; None
+    while they would fill no more than one task, which is left to Spark."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)) if rows > TASK_ROWS else None
+
+
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to so many tasks, or as it is."""
+    return df.repartition(tasks, *keys) if tasks else df

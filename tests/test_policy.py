@@ -7,7 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens import session
 from ledgerlens.operators import aggregates, catalog, errors, filters, pages, policy, validity
+from ledgerlens.plans import all_queries, fixtures, registry
 
 REQUEST = (
     "role string, permission_level string, intent string, message_type string, type string, verb string, parse_ok boolean, statement_count int, "
@@ -204,6 +206,20 @@ def test_key_members_may_hold_commas(spark):
     assert {r.column_name: (r.is_primary_key, r.is_unique) for r in got} == {"a,b": (True, True), "c": (False, True), "a": (False, False)}
 
 
+def test_large_catalogs_are_dealt_by_their_size(spark, sf_dir, monkeypatch):
+    """Joins over many columns get as many tasks as the rows need, and give the same rows."""
+    all_queries.load()
+    names = ("key_columns", "key_flags", "foreign_keys")
+    plain = {n: sorted(map(tuple, registry.QUERIES[n](spark, sf_dir).collect()), key=str) for n in names}
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    tasks = fixtures.column_tasks(spark, sf_dir)
+    assert tasks == -(-session.read_table(spark, sf_dir, "lineitem").count() // 500) > 8
+    for name in names:
+        found = registry.QUERIES[name](spark, sf_dir)
+        assert found.rdd.getNumPartitions() == tasks, name
+        assert sorted(map(tuple, found.collect()), key=str) == plain[name]
+
+
 def test_findings(spark):
     schema = "rolsuper boolean, rolcreatedb boolean, rolcreaterole boolean, rolreplication boolean, rolbypassrls boolean, can_create_temp boolean, can_create_in_public boolean, memberships array<string>, default_transaction_read_only string"
     good = (False,) * 7 + ([], "on")
