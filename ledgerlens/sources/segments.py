@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ledgerlens import constants as C
 from ledgerlens.operators.ordered import number_rows
-from ledgerlens.session import prepare, scratch_dir
+from ledgerlens.session import cut_lineage, prepare, scratch_dir
+from ledgerlens.sources import folders
 from ledgerlens.sources.tail import RANGE_BYTES, GrowingLines, open_folder
 
 _TEXT_FIELDS = (
@@ -36,6 +37,8 @@ EVENT_SCHEMA = T.StructType(
 #: what a segment's path contains
 SEGMENT_PATTERN = r"(?:/audit(?:-\d+)?\.jsonl|/segment=\d+/[^/]+)$"
 _BLANKS = r"^[\s﻿]*$"
+#: names of files that Spark's readers unpack
+_PACKED = r"\.(?:gz|bz2|zst|zstd|lz4|snappy|deflate)$"
 
 
 def file_order(path: Column) -> Column:
@@ -65,36 +68,59 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFr
     return parsed.withColumn("_event", event).select("_event.*", "raw", *others, "malformed")
 
 
+class _Files:
+    """The segment files of a log, in a table (path, length, mtime_ns) that is listed once and never gathered, or those of ``files``. ``dealt`` says
+    that tasks may read them by themselves: not where only Spark reaches the store, nor with packed files."""
+
+    def __init__(self, spark: SparkSession, path: str, files: DataFrame | None = None):
+        self.folder, self.dealt = folders.reached(spark, path), False
+        if self.folder:
+            self.table = cut_lineage(folders.list_files(spark, self.folder).where(_is_segment(F.col("path"))), "listed") if files is None else files
+            self.number, self.size, packed = self.table.agg(F.count("path"), F.coalesce(F.sum("length"), F.lit(0)), F.count_if(F.col("path").rlike(_PACKED))).first()
+            self.dealt = not packed
+
+
 def _listing(spark: SparkSession, path: str) -> DataFrame:
-    """Path and length of every segment; contents are pruned away."""
+    """Path and length of every segment by Spark's reader; contents are pruned away."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     named = files.select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("file_path"))
     return named.where(_is_segment(F.col("path")))
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path).select(
+def _lines(spark: SparkSession, path: str, files: list[str] | DataFrame | None) -> DataFrame:
+    own = _Files(spark, path, files) if not isinstance(files, list) else None
+    if own and own.dealt:
+        lines = folders.read_lines(spark, own.folder, own.table, own.number, own.size)
+        return _numbered(lines, "_at")
+    if isinstance(files, DataFrame):
+        files = [r["path"] for r in files.select("path").toLocalIterator()]
+    if files == []:
+        return spark.createDataFrame([], "_path string, _at int, raw string")
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path if files is None else files).select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_in_split"),
         F.col("value").alias("raw"),
     )
+    return _numbered(lines, "_in_split")
+
+
+def _numbered(lines: DataFrame, along: str) -> DataFrame:
     # a split is read in order, so (split start, place in the split) is the order of the file
-    numbered = number_rows(lines.where(_is_segment(F.col("_path"))), ["_path"], "_start", ["_in_split"], "_n")
+    numbered = number_rows(lines.where(_is_segment(F.col("_path"))), ["_path"], "_start", [along], "_n")
     return numbered.select("_path", (F.col("_n") - 1).cast("int").alias("_at"), "raw")
 
 
-def read_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, files: list[str] | None = None) -> DataFrame:
+def read_segments(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, files: list[str] | DataFrame | None = None) -> DataFrame:
     """``event.*, raw, file, file_ord, line_no, malformed`` for every non-blank line of a log.
 
     ``(file_ord, line_no)`` is the log order. Blank lines are skipped, a byte-order mark before the
     first line is dropped, and a line that is not one JSON object is marked, not fatal. Segments of any size
-    are split by lines. With ``files`` only these are read.
+    are split by lines. With ``files`` only these are read: names, or rows ``path, length`` of the log's ``manifest``, which never pass through the
+    driver where Arrow reaches the folder.
     """
     prepare(spark)
-    if files is not None and not files:
-        return parse_lines(spark.createDataFrame([], "raw string, file string, file_ord long, line_no int"), schema)
-    lines = _lines(spark, path if files is None else files).where(~F.col("raw").rlike(_BLANKS))
+    lines = _lines(spark, path, files).where(~F.col("raw").rlike(_BLANKS))
     lines = lines.select(
         F.regexp_replace("raw", r"^﻿|\r$", "").alias("raw"),
         F.regexp_extract("_path", r"[^/]+(?:/[^/]+)?$", 0).alias("file"),
@@ -222,22 +248,27 @@ def manifest(spark: SparkSession, path: str, key_fingerprint: str) -> DataFrame:
     the sequence number, link and chain of its first record (null for a file without one), and the
     fingerprint of the key in use.
 
-    The first line of a file is in its first split; of each split only its least line is shuffled.
+    Tasks list the folder and read each file up to its first line that is not blank. Where Spark alone reaches the store, its reader lists and
+    reads: the first line of a file is in its first split, and of each split only its least line is shuffled.
     """
-    ns = F.unix_micros("modificationTime") * 1000
-    files = _listing(spark, path).select("path", "length", ns.alias("mtime_ns"), ns.alias("ctime_ns"), "file_path")
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"),
-            F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")).alias("place"),
+    own = _Files(spark, path)
+    if own.dealt:
+        found = folders.first_lines(spark, own.folder, own.table, own.number).withColumn("raw", F.regexp_replace("raw", r"^﻿|\r$", ""))
+    else:
+        files = _listing(spark, path).select("path", "length", (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"), "file_path")
+        lines = (
+            spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+            .select(
+                F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", r"^﻿|\r$", "").alias("raw"),
+                F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")).alias("place"),
+            )
+            .where(_is_segment(F.col("file_path")) & ~F.col("raw").rlike(_BLANKS))
         )
-        .where(_is_segment(F.col("file_path")) & ~F.col("raw").rlike(_BLANKS))
-    )
-    first = parse_lines(lines.groupBy("file_path").agg(F.min_by("raw", "place").alias("raw"))).select(
-        "file_path", F.col("seq").alias("first_seq"), F.col("prev_hash").alias("first_prev_hash"), "chain_id"
+        found = files.join(lines.groupBy("file_path").agg(F.min_by("raw", "place").alias("raw")), "file_path", "left")
+    return parse_lines(found).select(
+        "path", "length", "mtime_ns", F.col("mtime_ns").alias("ctime_ns"), F.col("seq").alias("first_seq"), F.col("prev_hash").alias("first_prev_hash"), "chain_id",
+        F.lit(key_fingerprint).alias("key_fingerprint"),
     )
-    return files.join(first, "file_path", "left").drop("file_path").withColumn("key_fingerprint", F.lit(key_fingerprint))
 
 
 def reusable(previous: DataFrame) -> DataFrame:

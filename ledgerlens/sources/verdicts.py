@@ -51,9 +51,8 @@ def _ends(known: DataFrame) -> DataFrame:
 def _judged(
     spark: SparkSession, path: str, which: DataFrame, trusted: DataFrame, key: bytes, record: Sequence[str], raw: str | None, schema: T.StructType, first: DataFrame | None,
 ) -> DataFrame:
-    """Verdicts, ends and numbers of records of the segments ``which`` (path, file_ord), whose files alone are read."""
-    files = [r["path"] for r in which.select("path").toLocalIterator()]
-    log = segments.read_segments(spark, path, schema, files)
+    """Verdicts, ends and numbers of records of the segments ``which`` (path, length, file_ord), whose files alone are read."""
+    log = segments.read_segments(spark, path, schema, which.select("path", "length"))
     ends = log.groupBy("file_ord").agg(
         F.count(F.lit(1)).alias("records"), F.max_by(F.struct(F.col("chain_id").alias("end_chain_id"), F.col("seq").alias("end_seq"), F.col("mac").alias("end_hash")), "line_no").alias("end")
     )
@@ -74,7 +73,7 @@ def verify_incrementally(
     """``file_ord, path, records, intact, reason, broken_seq, read`` of every segment, and a new version in ``store``.
 
     Equal to the verdicts of a full verification; ``read`` tells which segments were read for it. ``first`` is the retention floor, as in ``chain.verify_segments``. The names
-    of the files to be read pass through the driver, as those of any files that Spark reads.
+    and states of the files stay in tables; where Spark alone reaches the log's store, they pass through the driver, as those of any files that Spark reads.
     """
     prepare(spark)
     number = latest_version(store)
@@ -93,7 +92,7 @@ def verify_incrementally(
     if first is not None:
         opening = opening | (F.col("_seq").isNull() & F.col("_floor").eqNullSafe(F.col("first_seq")))
         ends = ends.join(first.select("file_ord", F.col("retained_from_seq").alias("_floor")), "file_ord", "full_outer")
-    loose = trusted.join(ends, "file_ord", "left").where(~F.coalesce(linked | opening, F.lit(False))).select("path", "file_ord")
+    loose = trusted.join(ends, "file_ord", "left").where(~F.coalesce(linked | opening, F.lit(False))).select("path", "length", "file_ord")
     loose = cut_lineage(loose, "loose")
     if not loose.isEmpty():
         trusted = trusted.join(loose.select("path"), "path", "left_anti")

@@ -1,5 +1,6 @@
 """Chains: building, every failure reason, anchors, segments and incremental verification."""
 
+import gzip
 import hashlib
 import hmac as py_hmac
 import json
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import mac
 from ledgerlens.operators import chain
-from ledgerlens.sources import segments, tail, verdicts
+from ledgerlens.sources import folders, segments, tail, verdicts
 from ledgerlens.streaming import jobs
 
 KEY = b"test key"
@@ -454,3 +455,65 @@ def test_incremental_verification_equals_the_full_one(spark, built, tmp_path):
     for file in (tmp_path / "log" / "segment=0").iterdir():
         file.unlink()
     assert verify()[0] == {1: "seq_gap", 2: None, 3: "seq_gap", 4: None}
+
+
+def test_listings_of_segments_stay_off_the_driver(spark, tmp_path):
+    """No job has a task a segment, which each send names and states to the driver; hidden, empty and oddly named files are treated as by Spark's readers."""
+    log = tmp_path / "my log"
+    for n in range(60):
+        folder = log / f"segment={n}"
+        folder.mkdir(parents=True)
+        (folder / "part 1.txt").write_text("" if n == 7 else f'\ufeff\r\n \t\n{{"id":"{n}","seq":{n + 1},"chain_id":"c","prev_hash":"h"}}\r\n{{"id":"last"}}', encoding="utf-8")
+        (folder / "_SUCCESS").write_text("x")
+        (folder / ".part 1.txt.crc").write_text("x")
+    group = "listings"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        files = segments.manifest(spark, str(log), "k")
+        found = {r.path: (r.length, r.mtime_ns, r.first_seq, r.first_prev_hash, r.chain_id) for r in files.collect()}
+        some = files.where("first_seq > 50 or length = 0")
+        lines = [segments.read_segments(spark, str(log), files=kept).select("id", "file", "file_ord", "line_no", "malformed").collect() for kept in (None, some, files.where("false"))]
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(s.numTasks for s in stages if s) < 60
+    for n in range(60):
+        file = log / f"segment={n}" / "part 1.txt"
+        state = file.stat()
+        first = (None, None, None) if n == 7 else (n + 1, "h", "c")
+        assert found.pop(f"file:{file}") == (state.st_size, state.st_mtime_ns // 10**6 * 10**6, *first)
+    assert not found
+
+    def expected(kept):
+        return sorted((i, f"segment={n}/part%201.txt", n, at, False) for n in kept if n != 7 for i, at in ((str(n), 2), ("last", 3)))
+
+    assert [sorted(map(tuple, x)) for x in lines] == [expected(range(60)), expected(range(50, 60)), []]
+
+
+@pytest.mark.parametrize("most", [1, 7, 64, 10**6])
+def test_ranges_of_bytes_have_each_line_once(spark, tmp_path, most, monkeypatch):
+    """Whatever the ranges and reads, the lines are those of Spark's reader."""
+    monkeypatch.setattr(folders, "READ_BYTES", 5)
+    texts = ["", "\n", "a", "a\n", "\n\nb", "x" * 40 + "\n" + "é" * 9 + "\r\n\n", "one\ntwo\nthree"]
+    for n, text in enumerate(texts):
+        (tmp_path / f"audit-{n + 1}.jsonl").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(most))
+    try:
+        found = sorted((r.file_ord, r.line_no, r.raw) for r in segments.read_segments(spark, str(tmp_path)).select("file_ord", "line_no", "raw").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    by_spark = {-n - 1: [r.value for r in spark.read.option("lineSep", "\n").text(str(tmp_path / f"audit-{n + 1}.jsonl")).collect()] for n in range(len(texts))}
+    assert found == sorted((n, at, line.rstrip("\r")) for n, lines in by_spark.items() for at, line in enumerate(lines) if line.strip())
+
+
+def test_packed_segments_and_patterns_of_names_are_read_by_spark(spark, tmp_path):
+    for n in range(2):
+        folder = tmp_path / "log" / f"segment={n}"
+        folder.mkdir(parents=True)
+        (folder / ("part.txt.gz" if n else "part.txt")).write_bytes(gzip.compress(b'{"id":"1","seq":5}\n') if n else b'{"id":"0"}\n')
+    for path, ids in ((tmp_path / "log", ["0", "1"]), (tmp_path / "log" / "segment=*", ["0", "1"]), (tmp_path / "log" / "segment=1", ["1"])):
+        assert sorted(r.id for r in segments.read_segments(spark, str(path)).collect()) == ids
+        files = segments.manifest(spark, str(path), "k")
+        assert sorted(r.first_seq or 0 for r in files.collect()) == [5 * int(i) for i in ids]
+        assert sorted(r.id for r in segments.read_segments(spark, str(path), files=files).collect()) == ids
